@@ -1,0 +1 @@
+"""Incremental charts over a stream of play files."""
