@@ -1 +1,85 @@
-"""Named themes queries."""
+"""Named theme queries."""
+
+from __future__ import annotations
+
+from listenlens.operators import themes
+from listenlens.plans.registry import register
+from listenlens.plans.sql import with_ctes
+from listenlens.sources import star
+
+
+def theme_sql(lexicon_cte: str = "lexicon") -> dict[str, str]:
+    """Theme CTEs over a lexicon CTE (the seeds or an expanded one)."""
+    return {
+        "theme_idx": f"""
+            SELECT l.theme, v.word, v.word_index
+            FROM (SELECT DISTINCT theme, word FROM {lexicon_cte}) l JOIN vocab v ON l.word = v.word
+            WHERE NOT v.is_stop""",
+        "tscores": """
+            SELECT h.track_id, h.theme, h.theme_score, t.total_words,
+                   h.theme_score / t.total_words AS theme_ratio
+            FROM (SELECT p.track_id, ti.theme, CAST(sum(p.count) AS BIGINT) AS theme_score
+                  FROM postings p JOIN (SELECT DISTINCT theme, word FROM theme_idx) ti ON p.word = ti.word
+                  GROUP BY p.track_id, ti.theme) h
+            JOIN (SELECT track_id, CAST(sum(count) AS BIGINT) AS total_words FROM postings
+                  GROUP BY track_id HAVING sum(count) > 0) t ON h.track_id = t.track_id""",
+        "members": """
+            SELECT track_id, theme, theme_ratio FROM tscores
+            WHERE theme_ratio > 0.063 AND theme_score >= 4""",
+        "tchart": """
+            SELECT theme, rank, artist, title, play_count FROM (
+                SELECT m.theme, tt.artist, tt.title, tt.play_count,
+                       row_number() OVER (PARTITION BY m.theme ORDER BY tt.play_count DESC, tt.track_id) AS rank
+                FROM track_totals tt JOIN members m ON tt.track_id = m.track_id)
+            WHERE rank <= 50""",
+    }
+
+
+BASE = ["vocab", "lexicon", "track_totals"]
+
+
+def _scores(spark, d, lexicon=None):
+    lex = lexicon if lexicon is not None else star.theme_lexicon(spark)
+    idx = themes.theme_index(lex, star.vocabulary(spark, d))
+    # score on words directly: the theme words are already the non-stop,
+    # in-vocabulary ones, so no join of all postings with the vocabulary
+    return themes.theme_scores(star.postings(spark, d), idx.select("theme", "word"), key="word")
+
+
+@register("vocabulary", ids="S6 X5 X7", sql=with_ctes(["vocab"], "SELECT * FROM vocab"))
+def vocabulary(spark, d):
+    return star.vocabulary(spark, d)
+
+
+@register("vocabulary_size", ids="A13", sql=with_ctes(["vocab"], """
+    SELECT max(word_index) AS vocabulary_size FROM vocab WHERE NOT is_stop"""))
+def vocabulary_size(spark, d):
+    return themes.vocabulary_size(star.vocabulary(spark, d))
+
+
+@register("lyrics_postings", ids="S5 X6", sql=with_ctes(["vocab"], """
+    SELECT p.track_id, v.word_index, p.count FROM postings p JOIN vocab v ON p.word = v.word"""))
+def lyrics_postings(spark, d):
+    return star.indexed_postings(spark, d)
+
+
+@register("theme_index", ids="J10 S9 F4", sql=with_ctes(BASE, "SELECT * FROM theme_idx", theme_sql()))
+def theme_index(spark, d):
+    return themes.theme_index(star.theme_lexicon(spark), star.vocabulary(spark, d))
+
+
+@register("theme_scores", ids="A6 F6 X8", sql=with_ctes(BASE, "SELECT * FROM tscores", theme_sql()))
+def theme_scores(spark, d):
+    return _scores(spark, d)
+
+
+@register("theme_members", ids="F7", sql=with_ctes(BASE, "SELECT * FROM members", theme_sql()))
+def theme_members(spark, d):
+    return themes.theme_members(_scores(spark, d), 0.063, 4)
+
+
+@register("theme_chart", ids="P4 J3 T3", sql=with_ctes(BASE, "SELECT * FROM tchart", theme_sql()))
+def theme_chart(spark, d):
+    members = themes.theme_members(_scores(spark, d), 0.063, 4)
+    return themes.theme_chart(star.triplets(spark, d), star.tracks(spark, d), members, 50)
+

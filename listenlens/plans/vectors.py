@@ -1 +1,78 @@
-"""Named vectors queries."""
+"""Named vector queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from listenlens.operators import themes, vectors
+from listenlens.plans.registry import register
+from listenlens.plans.sql import with_ctes
+from listenlens.plans.themes import BASE, _scores, theme_sql
+from listenlens.sources import star
+
+UNIT = "list_transform({v}::DOUBLE[], lambda x: x / sqrt(list_dot_product({v}::DOUBLE[], {v}::DOUBLE[])))"
+
+NEAR = {
+    "nv": f"SELECT word, {UNIT.format(v='vector')} AS u FROM word_vectors",
+    "near": """
+        SELECT * FROM (
+            SELECT word, neighbor, similarity,
+                   row_number() OVER (PARTITION BY word ORDER BY similarity DESC, neighbor) AS rank
+            FROM (SELECT a.word, b.word AS neighbor, round(list_dot_product(a.u, b.u), 6) AS similarity
+                  FROM nv a JOIN nv b ON a.word <> b.word))
+        WHERE rank <= 10""",
+}
+
+
+@register("l2_normalize", ids="A15", sql=f"""
+    SELECT vec_id, dim, round(x / sqrt(list_dot_product(e, e)), 6) AS value FROM (
+        SELECT vec_id, embedding::DOUBLE[] AS e, unnest(embedding::DOUBLE[]) AS x,
+               unnest(generate_series(0, len(embedding) - 1)) AS dim
+        FROM embeddings)""")
+def l2_normalize(spark, d):
+    emb = star.table(spark, d, "embeddings").select("vec_id", "embedding")
+    unit = vectors.l2_normalize(emb, "embedding")
+    return unit.select("vec_id", F.posexplode("embedding").alias("dim", "value")) \
+        .withColumn("value", F.round("value", 6))
+
+
+@register("cosine_top_k", ids="V1 T7 A14 X11 X12", sql=f"""
+    WITH cent AS (
+        SELECT label, list(m ORDER BY pos) AS v FROM (
+            SELECT label, pos, avg(x) AS m FROM (
+                SELECT label, unnest(embedding::DOUBLE[]) AS x,
+                       unnest(generate_series(1, len(embedding))) AS pos FROM embeddings)
+            GROUP BY label, pos)
+        GROUP BY label),
+    q AS (SELECT label, {UNIT.format(v='v')} AS u FROM cent),
+    it AS (SELECT vec_id, {UNIT.format(v='embedding')} AS u FROM embeddings)
+    SELECT * FROM (
+        SELECT label, vec_id, score,
+               row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank
+        FROM (SELECT q.label, it.vec_id, round(list_dot_product(q.u, it.u), 6) AS score
+              FROM q, it))
+    WHERE rank <= 10""")
+def cosine_top_k(spark, d):
+    emb = star.table(spark, d, "embeddings").select("vec_id", "label", "embedding")
+    centroids = vectors.mean_vector(emb, "label", "embedding", out="vector")
+    return vectors.cosine_top_k(centroids, emb, 10, query_id="label", item_id="vec_id",
+                                query_vec="vector", item_vec="embedding")
+
+
+@register("similar_words", ids="V2 S11", sql=with_ctes(["word_vectors"], "SELECT * FROM near", NEAR))
+def similar_words(spark, d):
+    return vectors.similar_words(star.word_vectors(spark, d), None, 10)
+
+
+XLEX = {"xlex": """
+    SELECT theme, word FROM lexicon
+    UNION SELECT l.theme, n.neighbor AS word FROM lexicon l JOIN near n ON l.word = n.word"""}
+
+
+@register("theme_chart_expanded", ids="P5 K1", sql=with_ctes(
+    BASE + ["word_vectors"], "SELECT * FROM tchart", {**NEAR, **XLEX, **theme_sql("xlex")}))
+def theme_chart_expanded(spark, d):
+    lex = themes.expand_lexicon(star.theme_lexicon(spark), star.word_vectors(spark, d),
+                                top_n=10, query="seeds")
+    members = themes.theme_members(_scores(spark, d, lex), 0.063, 4)
+    return themes.theme_chart(star.triplets(spark, d), star.tracks(spark, d), members, 50)
