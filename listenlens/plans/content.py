@@ -1 +1,83 @@
-"""Named content queries."""
+"""Named content-based queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from listenlens.operators import content
+from listenlens.plans.registry import register
+from listenlens.plans.sql import with_ctes
+from listenlens.sources import star
+
+K = 10
+
+CONTENT = {
+    "prof": """
+        SELECT p.user_id, t.track_id, t.artist, p.play_count, g.genre
+        FROM triplets p JOIN tracks t ON p.song_id = t.song_id JOIN genres g ON t.track_id = g.track_id
+        WHERE p.play_count >= 10""",
+    "ag": "SELECT t.track_id, g.genre, t.artist FROM tracks t JOIN genres g ON t.track_id = g.track_id",
+    "feat": """
+        SELECT user_id, 'artist=' || artist AS feature FROM prof
+        UNION ALL SELECT user_id, 'genre=' || genre AS feature FROM prof""",
+    "cnt": "SELECT user_id, feature, count(*) AS c FROM feat GROUP BY user_id, feature",
+    "taste": """
+        SELECT c.user_id, c.feature, c.c / n.n AS weight
+        FROM cnt c JOIN (SELECT user_id, sqrt(sum(c * c)) AS n FROM cnt GROUP BY user_id) n
+          ON c.user_id = n.user_id""",
+    "csc": """
+        SELECT u.user_id, ag.track_id, ag.genre, ag.artist,
+               round((coalesce(ta.weight, 0) + coalesce(tg.weight, 0)) / sqrt(2), 6) AS score
+        FROM (SELECT DISTINCT user_id FROM prof) u CROSS JOIN ag
+        LEFT JOIN taste ta ON ta.user_id = u.user_id AND ta.feature = 'artist=' || ag.artist
+        LEFT JOIN taste tg ON tg.user_id = u.user_id AND tg.feature = 'genre=' || ag.genre""",
+}
+
+
+def csql(body: str) -> str:
+    return with_ctes(["triplets", "tracks", "genres"], body, CONTENT)
+
+
+def _profile(spark, d):
+    return content.user_profile(star.triplets(spark, d), star.tracks(spark, d), star.genres(spark, d),
+                                min_plays=10)
+
+
+@register("artists", ids="A5", sql=with_ctes(["tracks"], "SELECT DISTINCT artist FROM tracks"))
+def artists(spark, d):
+    return content.artists(star.tracks(spark, d))
+
+
+@register("artist_genre", ids="J7 S8 K4", sql=csql("SELECT * FROM ag"))
+def artist_genre(spark, d):
+    return content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
+
+
+@register("user_profile", ids="P12 F4 F5 J6 T8", sql=csql("SELECT * FROM prof"))
+def user_profile(spark, d):
+    return _profile(spark, d)
+
+
+@register("song_vectors", ids="M6 K3", sql=csql("""
+    SELECT track_id, genre, 'artist=' || artist AS feature, round(1 / sqrt(2), 6) AS weight FROM ag
+    UNION ALL
+    SELECT track_id, genre, 'genre=' || genre AS feature, round(1 / sqrt(2), 6) AS weight FROM ag"""))
+def song_vectors(spark, d):
+    rows = content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
+    return content.song_vectors(rows).withColumn("weight", F.round("weight", 6))
+
+
+@register("taste_vector", ids="A14 A15", sql=csql(
+    "SELECT user_id, feature, round(weight, 6) AS weight FROM taste"))
+def taste_vector(spark, d):
+    return content.taste_vector(_profile(spark, d)).withColumn("weight", F.round("weight", 6))
+
+
+@register("content_recommend", ids="P13 V1", sql=csql(f"""
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, track_id, genre) AS rank
+        FROM csc)
+    WHERE rank <= {K}"""))
+def content_recommend(spark, d):
+    catalogue = content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
+    return content.recommend(_profile(spark, d), catalogue, K)
