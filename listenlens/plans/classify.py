@@ -1 +1,111 @@
-"""Named classify queries."""
+"""Named classifier queries.
+
+Adapter: the class of a document is ``labels.quality``; the theme sets of the
+union step are the embedding-expanded theme members.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from listenlens.operators import classify, evaluate, themes
+from listenlens.plans.registry import register
+from listenlens.plans.sql import with_ctes
+from listenlens.plans.themes import BASE, _scores, theme_sql
+from listenlens.plans.vectors import NEAR, XLEX
+from listenlens.sources import star
+
+LAB = {
+    "lab": "SELECT CAST(doc_id AS VARCHAR) AS track_id, CAST(quality AS VARCHAR) AS theme FROM labels",
+    "strat": """
+        SELECT track_id, theme,
+               CASE WHEN rn <= floor(nc * 0.2::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS split
+        FROM (SELECT *, row_number() OVER (PARTITION BY theme
+                                           ORDER BY md5(track_id || ':' || theme || ':42'), track_id) AS rn,
+                     count(*) OVER (PARTITION BY theme) AS nc
+              FROM lab)""",
+}
+
+
+def labelled(spark, d):
+    return star.document_labels(spark, d).withColumnRenamed("label", "theme")
+
+
+def split(spark, d):
+    return classify.stratified_split(labelled(spark, d), "theme", 0.2, seed=42)
+
+
+def _expanded_members(spark, d):
+    lex = themes.expand_lexicon(star.theme_lexicon(spark), star.word_vectors(spark, d), 10, "seeds")
+    return themes.theme_members(_scores(spark, d, lex), 0.063, 4)
+
+
+@register("training_set", ids="U1 A16 K1 S7", sql=with_ctes(
+    BASE + ["word_vectors"], "SELECT DISTINCT track_id, theme, theme_ratio FROM members",
+    {**NEAR, **XLEX, **theme_sql("xlex")}))
+def training_set(spark, d):
+    members = _expanded_members(spark, d)
+    per_theme = [members.where(F.col("theme") == t) for t in star.ADAPTER_THEMES]
+    return classify.training_set(per_theme)
+
+
+@register("stratified_split", ids="D2 T9", sql=with_ctes([], "SELECT * FROM strat", LAB))
+def stratified_split(spark, d):
+    return split(spark, d)
+
+
+@register("class_weights", ids="A11", sql=with_ctes([], """
+    SELECT theme, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weight
+    FROM (SELECT theme, count(*) AS n_c FROM strat WHERE split = 'train' GROUP BY theme)""", LAB))
+def class_weights(spark, d):
+    train = split(spark, d).where(F.col("split") == "train")
+    return classify.class_weights(train).withColumn("weight", F.round("weight", 6))
+
+
+@register("bow_features", ids="D8 J11", sql=with_ctes(["vocab"], """
+    SELECT p.track_id, v.word_index, p.count
+    FROM postings p JOIN vocab v ON p.word = v.word
+    WHERE NOT v.is_stop AND p.track_id IN (SELECT track_id FROM lab)""", LAB))
+def bow_features(spark, d):
+    return classify.bow_features(star.indexed_postings(spark, d), star.vocabulary(spark, d),
+                                 labelled(spark, d))
+
+
+def _predictions(spark, d):
+    parts = split(spark, d)
+    vocab = star.vocabulary(spark, d)
+    feats = classify.bow_features(star.indexed_postings(spark, d, vocab), vocab, parts)
+    size = int(themes.vocabulary_size(vocab).first()[0])
+    vectors = classify.feature_vectors(feats, size)
+    model = classify.fit(parts.where(F.col("split") == "train"), vectors, "logistic", max_iter=50)
+    return classify.predict(model, parts.where(F.col("split") == "test"), vectors)
+
+
+@register("theme_classifier", ids="M1 K2")
+def theme_classifier(spark, d):
+    return _predictions(spark, d)
+
+
+@register("classifier_accuracy", ids="M1 A12")
+def classifier_accuracy(spark, d):
+    return evaluate.accuracy(_predictions(spark, d), label="theme", prediction="prediction")
+
+
+@register("accuracy", ids="A12", sql="""
+    SELECT avg(CASE WHEN toxic = quality THEN 1.0 ELSE 0.0 END) AS accuracy FROM labels""")
+def accuracy(spark, d):
+    # a given prediction table: `toxic` taken as the predicted `quality`
+    lab = star.table(spark, d, "labels")
+    return evaluate.accuracy(lab, label="quality", prediction="toxic")
+
+
+@register("classified_theme_chart", ids="P6 J3 T3", sql=with_ctes(["track_totals"], """
+    SELECT theme, rank, artist, title, play_count FROM (
+        SELECT l.theme, tt.artist, tt.title, tt.play_count,
+               row_number() OVER (PARTITION BY l.theme ORDER BY tt.play_count DESC, tt.track_id) AS rank
+        FROM track_totals tt JOIN lab l ON tt.track_id = l.track_id)
+    WHERE rank <= 50""", LAB))
+def classified_theme_chart(spark, d):
+    # the given predictions: each labelled document's quality class
+    pred = labelled(spark, d).select("track_id", F.col("theme").alias("prediction"))
+    return classify.classified_chart(star.triplets(spark, d), star.tracks(spark, d), pred, None, 50)

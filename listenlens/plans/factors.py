@@ -1 +1,41 @@
-"""Named factors queries."""
+"""Named factor-model queries; checked on rows and invariants."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from listenlens.operators import evaluate, factors
+from listenlens.operators import interactions as ix
+from listenlens.plans.interactions import core_rows
+from listenlens.plans.recommend import _cf
+from listenlens.plans.registry import register
+
+SVD_RANK = 20
+
+
+@register("svd_scores", ids="M2")
+def svd_scores(spark, d):
+    core, train, _ = _cf(spark, d)
+    return factors.svd_scores(train, core, SVD_RANK).withColumn("score", F.round("score", 6))
+
+
+@register("svd_recommend", ids="M3 P9")
+def svd_recommend(spark, d):
+    core, train, _ = _cf(spark, d)
+    return factors.svd_recommend(train, core, SVD_RANK, 10).withColumn("score", F.round("score", 6))
+
+
+@register("svd_precision_at_10", ids="M3 A10")
+def svd_precision_at_10(spark, d):
+    core, train, test = _cf(spark, d)
+    return evaluate.precision_at_k(factors.svd_recommend(train, core, SVD_RANK, 10), test, 10)
+
+
+@register("als_recommend", ids="M4 M5 P11 D3 D4 F9 X10")
+def als_recommend(spark, d):
+    core = core_rows(spark, d)
+    parts = ix.random_split(ix.binarize(core), 0.2, seed=42)
+    train = parts.where(F.col("split") == "train")
+    return factors.als_recommend(train.select("user_id", "song_id", "label"),
+                                 train.select("user_id", "song_id", "play_count"), top=10,
+                                 rank=8, max_iter=10, seed=42).withColumn("score", F.round("score", 6))
