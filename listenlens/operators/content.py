@@ -15,11 +15,14 @@ songs not excluded.  A song's score depends only on its (artist, genre) pair:
 user (a users × songs product), candidates are pulled exactly:
 
 1. songs whose artist is in the profile: per (artist, genre) pair only its
-   ``k`` smallest track ids can enter a top-k (equal scores, id tie-break);
-2. songs of a profile genre by other artists: all score ``T[genre]/√2``; the
-   ``k`` smallest such ids of the genre are found among its first ``2k``
-   positions, or — when the user's own artists crowd the head of the genre —
-   among the first ``k + (user's tracks in that genre)`` positions;
+   ``k`` smallest track ids can enter a top-k (equal scores, id tie-break),
+   and only pairs whose better-scored predecessors hold fewer than ``k``
+   songs are expanded;
+2. songs of a profile genre by other artists: all score ``T[genre]/√2`` and
+   are needed only if that reaches the user's k-th best score from step 1
+   (exact pruning); the ``k`` smallest such ids of the genre are found among
+   its first ``2k`` positions, or — when the user's own artists crowd the head
+   of the genre — among the first ``k + (user's tracks in that genre)``;
 3. zero-score songs, only for users with fewer than ``k`` positive songs.
 
 Positions come from ``dense_index`` (range partitioned, no single-task
@@ -112,36 +115,39 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
     # per (artist, genre) the k smallest ids (WindowGroupLimit: map-side top-k)
     w_combo = Window.partitionBy("artist", "genre").orderBy("track_id")
     combo_head = cat.withColumn("_r", F.row_number().over(w_combo)).where(F.col("_r") <= k).drop("_r")
-    # genre positions without a per-genre window: global index, minus genre start
-    pos = dense_index(cat, ["genre", "track_id", "artist"], name="_gp")
-    start = pos.groupBy("genre").agg(F.min("_gp").alias("_g0"))
-    genre_rank = materialize(pos.join(start, "genre")
-                             .select("genre", (F.col("_gp") - F.col("_g0")).alias("_grank"),
-                                     "track_id", "artist"))
-
-    # 1. songs of the user's artists
-    c1 = (ta.join(combo_head, "artist")
-          .join(tg, [U, "genre"], "left")
-          .select(U, "track_id", "genre", "artist",
-                  ((F.col("wa") + F.coalesce(F.col("wg"), F.lit(0.0))) * INV_SQRT2).alias("score")))
 
-    # 2. songs of the user's genres by other artists
+    # 1. songs of the user's artists.  Ranked per (artist, genre) pair first:
+    # a pair contributes at most k songs, all with the pair's score, so only the
+    # pairs whose higher-scored predecessors hold fewer than k songs (plus ties)
+    # are expanded to songs.
+    pairs = (ta.join(combo_n, "artist").join(tg, [U, "genre"], "left")
+             .select(U, "artist", "genre",
+                     F.round((F.col("wa") + F.coalesce(F.col("wg"), F.lit(0.0))) * INV_SQRT2, 6).alias("score"),
+                     F.least(F.col("n_ag"), F.lit(k)).alias("_m")))
+    w_cum = (Window.partitionBy(U).orderBy(F.desc("score"))
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    needed = (pairs.withColumn("_cum", F.sum("_m").over(w_cum))
+              .withColumn("_tie", F.sum("_m").over(Window.partitionBy(U, "score")))
+              .where(F.col("_cum") - F.col("_tie") < k)
+              .select(U, "artist", "genre", "score"))
+    c1 = materialize(needed.join(combo_head, ["artist", "genre"])
+                     .select(U, "track_id", "genre", "artist", "score"))
+
+    # 2. songs of the user's genres by other artists, score T[genre]/√2.  They
+    # can only enter the top-k when that score reaches the user's k-th best
+    # artist-matched score (exact pruning; users with < k such songs keep all).
+    w_user = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
+    kth = (c1.withColumn("_r", F.row_number().over(w_user)).where(F.col("_r") == k)
+           .select(U, F.col("score").alias("_kth")))
     own = (ta.join(combo_n, "artist").groupBy(U, "genre").agg(F.sum("n_ag").alias("_own")))
-    ug = tg.join(own, [U, "genre"], "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
-    head = (ug.select(U, "genre", "wg", "_own",
-                      F.explode(F.sequence(F.lit(0), F.lit(2 * k - 1))).alias("_grank"))
-            .join(genre_rank, ["genre", "_grank"])
-            .join(ta.select(U, "artist"), [U, "artist"], "left_anti"))
-    enough = head.groupBy(U, "genre").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= k)
-    c2a = head.join(enough.select(U, "genre"), [U, "genre"], "left_semi")
-    rest = ug.join(enough.select(U, "genre"), [U, "genre"], "left_anti")
-    c2b = (rest.select(U, "genre", "wg",
-                       F.explode(F.sequence(F.lit(0), F.col("_own") + F.lit(k - 1))).alias("_grank"))
-           .join(genre_rank, ["genre", "_grank"])
-           .join(ta.select(U, "artist"), [U, "artist"], "left_anti"))
-    c2 = c2a.select(U, "track_id", "genre", "artist", (F.col("wg") * INV_SQRT2).alias("score")) \
-        .unionByName(c2b.select(U, "track_id", "genre", "artist",
-                                (F.col("wg") * INV_SQRT2).alias("score")))
+    ug = (tg.join(kth, U, "left")
+          .where(F.col("_kth").isNull() | (F.round(F.col("wg") * INV_SQRT2, 6) >= F.col("_kth")))
+          .join(own, [U, "genre"], "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
+          .select(U, "genre", "wg", "_own"))
+    ug = materialize(ug)
+    parts = [c1]
+    if ug.count() > 0:  # a scalar job on the written pairs
+        parts.append(_genre_only(ug, ta, cat, k))
 
     # 3. zero-score fillers for users with fewer than k positive songs
     n_artist = ta.join(combo_n, "artist").groupBy(U).agg(F.sum("n_ag").alias("_na"))
@@ -153,16 +159,44 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
              .join(n_both, U, "left")
              .select(U, (F.coalesce("_na", F.lit(0)) + F.coalesce("_ng", F.lit(0))
                          - F.coalesce("_nb", F.lit(0))).alias("_npos")))
-    gpos = dense_index(cat, ["track_id", "genre", "artist"], name="_tp")
-    fill = (n_pos.where(F.col("_npos") < k)
-            .select(U, F.explode(F.sequence(F.lit(0), F.col("_npos") + F.lit(k - 1))).alias("_tp"))
+    short = materialize(n_pos.where(F.col("_npos") < k))
+    if short.count() > 0:
+        gpos = dense_index(cat, ["track_id", "genre", "artist"], name="_tp")
+        parts.append(
+            short.select(U, F.explode(F.sequence(F.lit(0), F.col("_npos") + F.lit(k - 1))).alias("_tp"))
             .join(gpos, "_tp")
             .join(ta.select(U, "artist"), [U, "artist"], "left_anti")
             .join(tg.select(U, "genre"), [U, "genre"], "left_anti")
             .select(U, "track_id", "genre", "artist", F.lit(0.0).alias("score")))
 
-    cand = (c1.unionByName(c2).unionByName(fill)
-            .withColumn("score", F.round("score", 6))
-            .dropDuplicates([U, "track_id", "genre"]))
+    cand = parts[0]
+    for extra in parts[1:]:
+        cand = cand.unionByName(extra)
+    cand = cand.dropDuplicates([U, "track_id", "genre"])
     w = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _genre_only(ug: DataFrame, ta: DataFrame, cat: DataFrame, k: int) -> DataFrame:
+    """Step 2 for the (user, genre) pairs that survive pruning."""
+    # genre positions without a per-genre window: global index, minus genre start
+    pos = dense_index(cat, ["genre", "track_id", "artist"], name="_gp")
+    start = pos.groupBy("genre").agg(F.min("_gp").alias("_g0"))
+    genre_rank = materialize(pos.join(start, "genre")
+                             .select("genre", (F.col("_gp") - F.col("_g0")).alias("_grank"),
+                                     "track_id", "artist"))
+    head = (ug.select(U, "genre", "wg", "_own",
+                      F.explode(F.sequence(F.lit(0), F.lit(2 * k - 1))).alias("_grank"))
+            .join(genre_rank, ["genre", "_grank"])
+            .join(ta.select(U, "artist"), [U, "artist"], "left_anti"))
+    enough = head.groupBy(U, "genre").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= k)
+    c2a = head.join(enough.select(U, "genre"), [U, "genre"], "left_semi")
+    rest = ug.join(enough.select(U, "genre"), [U, "genre"], "left_anti")
+    # exact fallback: the k smallest other-artist ids lie in the first k + own positions
+    c2b = (rest.select(U, "genre", "wg",
+                       F.explode(F.sequence(F.lit(0), F.col("_own") + F.lit(k - 1))).alias("_grank"))
+           .join(genre_rank, ["genre", "_grank"])
+           .join(ta.select(U, "artist"), [U, "artist"], "left_anti"))
+    return c2a.select(U, "track_id", "genre", "artist", F.round(F.col("wg") * INV_SQRT2, 6).alias("score")) \
+        .unionByName(c2b.select(U, "track_id", "genre", "artist",
+                                F.round(F.col("wg") * INV_SQRT2, 6).alias("score")))

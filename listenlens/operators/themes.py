@@ -32,6 +32,7 @@ OLDER_EXPANDED = (0.07, 5)
 
 # a lexicon is a small in-memory dict; refuse to broadcast absurd ones
 MAX_LEXICON_ROWS = 1_000_000
+MAX_THEMES_PIVOT = 256
 
 
 def lexicon_df(spark: SparkSession, themes: dict | None = None) -> DataFrame:
@@ -49,6 +50,16 @@ def theme_index(lexicon: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .select("theme", "word", "word_index")
 
 
+def theme_words(lexicon: DataFrame, stop_words) -> DataFrame:
+    """J10 without a vocabulary table: ``(theme, word)`` minus stop words.
+
+    Scoring by word needs no word index: a lexicon word that is not in the
+    vocabulary has no postings, so dropping only the stop words gives the
+    same theme sets as ``theme_index`` — without joining the corpus-sized
+    vocabulary."""
+    return lexicon.select("theme", "word").distinct().where(~F.col("word").isin([str(w) for w in stop_words]))
+
+
 def vocabulary_size(vocabulary: DataFrame) -> DataFrame:
     """The largest index of a non-stop word."""
     return vocabulary.where(~F.col("is_stop")).agg(F.max("word_index").alias("vocabulary_size"))
@@ -57,13 +68,36 @@ def vocabulary_size(vocabulary: DataFrame) -> DataFrame:
 def theme_scores(postings: DataFrame, theme_words: DataFrame, key: str = "word_index") -> DataFrame:
     """``(track_id, theme, theme_score, total_words, theme_ratio)``.
 
-    ``postings``: ``(track_id, <key>, count)``; ``theme_words``: ``(theme, <key>)``
-    (a set: duplicates ignored).  Only tracks with a theme word and a positive
-    word total get a row.
+    ``postings``: ``(track_id, <key>, count)`` — a bag of words, or one row
+    per token with ``count = 1``; ``theme_words``: ``(theme, <key>)`` (a set).
+    One aggregation per track computes the word total and one conditional sum
+    per theme (the themes of a lexicon are few), partially aggregated on the
+    map side; the result is unpivoted.  Only tracks with a theme word and a
+    positive total get a row.
     """
     words = theme_words.select("theme", key).distinct()
-    if words.count() <= MAX_LEXICON_ROWS:
-        words = F.broadcast(words)
+    names = sorted(r[0] for r in words.select("theme").distinct().collect())  # the lexicon's themes
+    if len(names) > MAX_THEMES_PIVOT:
+        return _theme_scores_join(postings, words, key)
+    word_themes = words.groupBy(key).agg(F.collect_set("theme").alias("_themes"))
+    if word_themes.count() <= MAX_LEXICON_ROWS:
+        word_themes = F.broadcast(word_themes)
+    tagged = postings.join(word_themes, key, "left")
+    sums = [F.sum(F.when(F.array_contains("_themes", t), F.col("count"))).alias(f"_s{i}")
+            for i, t in enumerate(names)]
+    per_track = (tagged.groupBy("track_id").agg(F.sum("count").alias("total_words"), *sums)
+                 .where(F.col("total_words") > 0))
+    stacked = per_track.select(
+        "track_id", "total_words",
+        F.explode(F.array(*[F.struct(F.lit(t).alias("theme"), F.col(f"_s{i}").alias("theme_score"))
+                            for i, t in enumerate(names)])).alias("_t"))
+    return (stacked.where(F.col("_t.theme_score").isNotNull())
+            .select("track_id", F.col("_t.theme").alias("theme"), F.col("_t.theme_score").alias("theme_score"),
+                    "total_words", (F.col("_t.theme_score") / F.col("total_words")).alias("theme_ratio")))
+
+
+def _theme_scores_join(postings: DataFrame, words: DataFrame, key: str) -> DataFrame:
+    """A6 for lexicons with very many themes: join, then two aggregations."""
     totals = (postings.groupBy("track_id").agg(F.sum("count").alias("total_words"))
               .where(F.col("total_words") > 0))
     hits = (postings.join(words, key).groupBy("track_id", "theme")

@@ -54,7 +54,9 @@ def top_k_inner_product(queries: DataFrame, items: DataFrame, k: int, *,
     q = materialize(queries.select(F.col(query_id).alias("_q"), F.col(query_vec).alias("_qv")))
     it = materialize(items.select(F.col(item_id).alias("_i"), F.col(item_vec).alias("_iv")))
     n_q, n_i = q.count(), it.count()
-    n_qb = max(1, -(-n_q // QUERIES_PER_BUCKET))
+    # enough (bucket, block) tasks to keep every core busy, none too large
+    slots = q.sparkSession.sparkContext.defaultParallelism
+    n_qb = max(1, -(-n_q // QUERIES_PER_BUCKET), min(slots, n_q // 256))
     n_ib = max(1, -(-n_i // ITEMS_PER_BLOCK))
     qt = q.schema["_q"].dataType
     itype = it.schema["_i"].dataType

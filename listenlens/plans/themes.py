@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from listenlens.operators import themes
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
@@ -40,10 +42,12 @@ BASE = ["vocab", "lexicon", "track_totals"]
 
 def _scores(spark, d, lexicon=None):
     lex = lexicon if lexicon is not None else star.theme_lexicon(spark)
-    idx = themes.theme_index(lex, star.vocabulary(spark, d))
-    # score on words directly: the theme words are already the non-stop,
-    # in-vocabulary ones, so no join of all postings with the vocabulary
-    return themes.theme_scores(star.postings(spark, d), idx.select("theme", "word"), key="word")
+    # score on words directly: no vocabulary index, no join of all postings
+    # with the vocabulary (same theme sets, see themes.theme_words)
+    words = themes.theme_words(lex, star.ADAPTER_STOP_WORDS)
+    # one row per token (count 1): no (track, word) aggregation is needed
+    scores = themes.theme_scores(star.token_rows(spark, d), words, key="word")
+    return scores.withColumn("track_id", F.col("track_id").cast("string"))
 
 
 @register("vocabulary", ids="S6 X5 X7", sql=with_ctes(["vocab"], "SELECT * FROM vocab"))

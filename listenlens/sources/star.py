@@ -70,23 +70,33 @@ def genres(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("p_type").alias("genre"))
 
 
-def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per token occurrence: ``(track_id, word)``."""
+def tokens(spark: SparkSession, sf_dir: str, string_ids: bool = True) -> DataFrame:
+    """One row per token occurrence: ``(track_id, word)``.  With
+    ``string_ids=False`` the id stays the numeric ``doc_id`` (cheaper keys for
+    aggregations; cast afterwards)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return (docs.select(F.col("doc_id").cast("string").alias("track_id"),
+    tid = F.col("doc_id").cast("string") if string_ids else F.col("doc_id")
+    return (docs.select(tid.alias("track_id"),
                         F.explode(F.split(F.lower("text"), TOKEN_SPLIT)).alias("word"))
             .where(F.col("word") != ""))
 
 
+def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens as postings with ``count = 1`` and numeric ``track_id``."""
+    return tokens(spark, sf_dir, string_ids=False).withColumn("count", F.lit(1))
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bag of words: ``(track_id, word, count)``; map-side combined word count."""
-    return (tokens(spark, sf_dir).groupBy("track_id", "word")
-            .agg(F.count(F.lit(1)).alias("count")))
+    """Bag of words: ``(track_id, word, count)``; map-side combined word count
+    on the numeric id, cast to string after the aggregation."""
+    return (tokens(spark, sf_dir, string_ids=False).groupBy("track_id", "word")
+            .agg(F.count(F.lit(1)).alias("count"))
+            .select(F.col("track_id").cast("string").alias("track_id"), "word", "count"))
 
 
 def vocabulary(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS) -> DataFrame:
     """``(word_index, word, is_stop)``, index 1-based in word order."""
-    words = postings(spark, sf_dir).select("word").distinct()
+    words = tokens(spark, sf_dir, string_ids=False).select("word").distinct()
     indexed = dense_index(words, ["word"], name="word_index", base=1)
     return indexed.select(F.col("word_index").cast("int").alias("word_index"), "word",
                           F.col("word").isin(list(stop_words)).alias("is_stop"))
@@ -101,7 +111,7 @@ def indexed_postings(spark: SparkSession, sf_dir: str, vocab: DataFrame | None =
 
 def word_frequency_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(word, freq_rank)``: 0-based rank by total count desc, word asc."""
-    freq = postings(spark, sf_dir).groupBy("word").agg(F.sum("count").alias("n"))
+    freq = tokens(spark, sf_dir, string_ids=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return dense_index(freq, [F.desc("n"), F.asc("word")], name="freq_rank").select("word", "freq_rank")
 
 
