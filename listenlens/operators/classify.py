@@ -132,3 +132,19 @@ def classified_chart(plays: DataFrame, tracks: DataFrame, predictions: DataFrame
     w = Window.partitionBy("theme").orderBy(F.desc("play_count"), F.asc("track_id"))
     return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .select("theme", "rank", "artist", "title", "play_count"))
+
+
+def save_model(model, path: str) -> None:
+    """K2: persist the fitted pipeline (indexer, classifier, label converter)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str):
+    """K2: load a pipeline saved by ``save_model``."""
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)
+
+
+def save_split(df: DataFrame, path: str) -> None:
+    """K2: persist the labelled split (track ids, themes, split) as Parquet."""
+    df.write.mode("overwrite").parquet(path)

@@ -200,3 +200,12 @@ def _genre_only(ug: DataFrame, ta: DataFrame, cat: DataFrame, k: int) -> DataFra
     return c2a.select(U, "track_id", "genre", "artist", F.round(F.col("wg") * INV_SQRT2, 6).alias("score")) \
         .unionByName(c2b.select(U, "track_id", "genre", "artist",
                                 F.round(F.col("wg") * INV_SQRT2, 6).alias("score")))
+
+
+def save_song_vectors(vectors: DataFrame, path: str) -> None:
+    """K3: persist song vectors keyed by ``track_id`` (not by row order)."""
+    vectors.write.mode("overwrite").partitionBy("genre").parquet(path)
+
+
+def load_song_vectors(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("track_id", "genre", "feature", "weight")

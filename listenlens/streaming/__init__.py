@@ -1 +1,5 @@
 """Incremental charts over a stream of play files."""
+
+from listenlens.streaming.charts import read_play_stream, running_track_totals, start_chart
+
+__all__ = ["read_play_stream", "running_track_totals", "start_chart"]

@@ -1,0 +1,45 @@
+"""The play-count chart (P1) maintained over a growing folder of play files.
+
+The workload reads static files; this is the same operator for plays that
+arrive as new TSV files: a file stream with the triplet schema, a stream-static
+join with the tracks, and a running aggregate per track.  State is the running
+sum per track (bounded by the catalogue), kept in the query's checkpoint
+folder, so a restarted query resumes exactly.  Each micro-batch can publish
+the current top-n with ``foreachBatch``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from listenlens.sources.files import TRIPLET_SCHEMA
+
+
+def read_play_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(TRIPLET_SCHEMA).option("sep", "\t").option("header", "false")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.csv(folder)
+
+
+def running_track_totals(plays: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Streaming ``(track_id, title, artist, play_count)`` (update/complete mode)."""
+    return (plays.join(tracks.select("song_id", "track_id", "title", "artist"), "song_id")
+            .groupBy("track_id", "title", "artist")
+            .agg(F.sum("play_count").alias("play_count")))
+
+
+def start_chart(totals: DataFrame, checkpoint: str, publish: Callable[[DataFrame, int], None],
+                n: int = 250, available_now: bool = True):
+    """Start the query; ``publish(top_n_df, batch_id)`` receives the current chart."""
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        top = batch.orderBy(F.desc("play_count"), F.asc("track_id")).limit(n)
+        publish(top.select("artist", "title", "play_count"), batch_id)
+
+    writer = (totals.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+              .foreachBatch(each_batch))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
