@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from listenlens.functions.columns import holdout_size, md5_fraction, md5_order
 from listenlens.functions.indexing import dense_index
+from listenlens.session import materialize
 
 # a broadcast side must have a proven bound; id lists are bounded by the
 # ``*_limit`` parameters, and we only broadcast below this many rows
@@ -44,12 +45,13 @@ def active_users(plays: DataFrame, popular: DataFrame, users_limit: int = 50,
 def core(plays: DataFrame, songs_limit: int = 80, users_limit: int = 50) -> DataFrame:
     """Plays of the most active users on the most listened songs.
 
-    ``popular`` is one plan used twice; its total order makes both uses agree
-    (the reference inlined it twice without a tie-break).  The id lists are
-    bounded by the limits, so they may be broadcast.
+    ``popular`` is computed once and written (the workload inlined it twice
+    without a tie-break); so is the user list.  Both are bounded by the
+    limits, so they are broadcast, and the semi-joins are pushed below the
+    play aggregation to the scan: only the first pass reads every play.
     """
-    popular = popular_songs(plays, songs_limit)
-    users = active_users(plays, popular, users_limit, songs_limit)
+    popular = materialize(popular_songs(plays, songs_limit))
+    users = materialize(active_users(plays, popular, users_limit, songs_limit))
     return (plays.join(_bounded(users.select(U), users_limit), U, "left_semi")
             .join(_bounded(popular.select(S), songs_limit), S, "left_semi")
             .select(U, S, P))

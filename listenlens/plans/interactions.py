@@ -18,8 +18,9 @@ def core_rows(spark, d):
     return materialize(ix.core(star.triplets(spark, d), songs_limit=80, users_limit=50))
 
 
-def split_rows(spark, d):
-    return ix.holdout_split(core_rows(spark, d), test_size=0.2, min_items=5, seed=42)
+def split_rows(spark, d, core=None):
+    core = core if core is not None else core_rows(spark, d)
+    return ix.holdout_split(core, test_size=0.2, min_items=5, seed=42)
 
 
 @register("popular_songs", ids="A2 T4", sql=with_ctes(["popular"], "SELECT * FROM popular"))

@@ -43,10 +43,11 @@ def cf_sql(body: str) -> str:
 
 
 def _cf(spark, d):
-    split = split_rows(spark, d)
+    core = core_rows(spark, d)
+    split = split_rows(spark, d, core)
     train = split.where(F.col("split") == "train").select("user_id", "song_id", "play_count")
     test = split.where(F.col("split") == "test").select("user_id", "song_id", "play_count")
-    return core_rows(spark, d), train, test
+    return core, train, test
 
 
 def _recs(spark, d):
