@@ -26,16 +26,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenlens.functions.indexing import block_index
-from listenlens.session import materialize
+from listenlens.session import materialize, materialize_if_scanning
 
 ROW_CHUNK = 4096
 DEFAULT_BLOCK = 1024
 ROWS_PER_TASK = 2_000_000
 
 
-def _index(keys: DataFrame, name: str, block_size: int, prefix: str):
+def _index(keys: DataFrame, name: str, block_size: int, prefix: str, upper: int):
+    """Block index of the distinct keys; ``upper`` bounds their number (a row
+    count), which spares the distinct count when everything fits one block."""
     keys = keys.select(F.col(name).alias("_key")).distinct()
-    idx, n_blocks = block_index(keys, "_key", block_size, prefix=prefix)
+    idx, n_blocks = block_index(keys, "_key", block_size, n_items=upper if upper <= block_size else None,
+                                prefix=prefix)
     return idx, n_blocks
 
 
@@ -56,25 +59,27 @@ def multiply(left: DataFrame, right: DataFrame, *, lr: str, lk: str, lv: str,
     # the product runs several small jobs (key counts, block sizes); read the
     # inputs from a written copy instead of recomputing their lineage
     same = left is right
-    left = materialize(left.select(lr, lk, lv))
-    right = left if same else materialize(right.select(rk, rc, rv))
+    left = materialize_if_scanning(left.select(lr, lk, lv))
+    right = left if same else materialize_if_scanning(right.select(rk, rc, rv))
     if columns is not None:
-        columns = materialize(columns.select(columns.columns[0]).distinct())
+        columns = materialize_if_scanning(columns.select(columns.columns[0]).distinct())
+    n_left = left.count()
+    n_right = n_left if same else right.count()
     row_type = left.schema[lr].dataType
     col_type = right.schema[rc].dataType
 
     k_keys = left.select(F.col(lk).alias("_k")).unionByName(right.select(F.col(rk).alias("_k")))
-    kidx, n_kb = _index(k_keys, "_k", block_size, "k")
+    kidx, n_kb = _index(k_keys, "_k", block_size, "k", n_left + n_right)
     cols = columns.select(F.col(columns.columns[0]).alias("_c")) if columns is not None \
         else right.select(F.col(rc).alias("_c"))
-    cidx, n_cb = _index(cols, "_c", block_size, "c")
+    cidx, n_cb = _index(cols, "_c", block_size, "c",
+                        columns.count() if columns is not None else n_right)
     cidx = materialize(cidx)
     # one small row per column block: the block sizes travel in the closure
     block_sizes = {int(r["cblk"]): int(r["cbsize"]) for r in
                    cidx.groupBy("cblk").agg(F.max("cbsize").alias("cbsize")).collect()}
 
     if row_buckets is None:
-        n_left = left.count()  # cheap: counts the written copy
         row_buckets = max(1, -(-n_left // ROWS_PER_TASK))
     n_rb = int(row_buckets)
 

@@ -62,3 +62,14 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scans_files(df) -> bool:
+    """Whether the optimized plan of ``df`` still reads source files."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "Relation [" in plan or "Relation[" in plan
+
+
+def materialize_if_scanning(df):
+    """``materialize`` unless ``df`` only reads already written data."""
+    return materialize(df) if scans_files(df) else df
