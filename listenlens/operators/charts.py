@@ -79,4 +79,5 @@ def top_by_each_genre(plays: DataFrame, tracks: DataFrame, genres: DataFrame,
     totals = track_totals(plays, tracks).join(genres, "track_id")
     w = Window.partitionBy("genre").orderBy(F.desc("play_count"), F.asc("track_id"))
     return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+            .withColumn("rank", F.col("rank").cast("long"))
             .select("genre", "rank", *CHART_COLUMNS))

@@ -131,6 +131,7 @@ def classified_chart(plays: DataFrame, tracks: DataFrame, predictions: DataFrame
     totals = charts.track_totals(plays, tracks).join(pred, "track_id")
     w = Window.partitionBy("theme").orderBy(F.desc("play_count"), F.asc("track_id"))
     return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+            .withColumn("rank", F.col("rank").cast("long"))
             .select("theme", "rank", "artist", "title", "play_count"))
 
 

@@ -174,7 +174,8 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
         cand = cand.unionByName(extra)
     cand = cand.dropDuplicates([U, "track_id", "genre"])
     w = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .withColumn("rank", F.col("rank").cast("long")))
 
 
 def _genre_only(ug: DataFrame, ta: DataFrame, cat: DataFrame, k: int) -> DataFrame:

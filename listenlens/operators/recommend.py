@@ -37,7 +37,8 @@ def unseen(scores: DataFrame, train: DataFrame) -> DataFrame:
 def top_k(scores: DataFrame, k: int = 10, score: str = "score") -> DataFrame:
     """``rank <= k`` per user by (rounded score desc, item id)."""
     w = Window.partitionBy(U).orderBy(F.desc(F.round(score, 6)), F.asc(S))
-    return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .withColumn("rank", F.col("rank").cast("long")))
 
 
 def recommend_all(train: DataFrame, sim: DataFrame, items: DataFrame | None = None,

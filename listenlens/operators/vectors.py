@@ -107,6 +107,7 @@ def top_k_inner_product(queries: DataFrame, items: DataFrame, k: int, *,
     local = qside.unionByName(iside).groupBy("qb", "ib").applyInPandas(local_top_k, schema)
     w = Window.partitionBy("_q").orderBy(F.desc("_s"), F.asc("_i"))
     return (local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .withColumn("rank", F.col("rank").cast("long"))
             .select(F.col("_q").alias(out_query or query_id), F.col("_i").alias(out_item or item_id),
                     F.col("_s").alias(score), "rank"))
 

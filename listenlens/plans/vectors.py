@@ -32,8 +32,9 @@ NEAR = {
 def l2_normalize(spark, d):
     emb = star.table(spark, d, "embeddings").select("vec_id", "embedding")
     unit = vectors.l2_normalize(emb, "embedding")
-    return unit.select("vec_id", F.posexplode("embedding").alias("dim", "value")) \
-        .withColumn("value", F.round("value", 6))
+    return (unit.select("vec_id", F.posexplode("embedding").alias("dim", "value"))
+            .withColumn("dim", F.col("dim").cast("long"))
+            .withColumn("value", F.round("value", 6)))
 
 
 @register("cosine_top_k", ids="V1 T7 A14 X11 X12", sql=f"""
