@@ -15,6 +15,12 @@ Layout (the replicated-block scheme of distributed matrix multiply):
 
 No row of the job is an "all pairs of a group" expansion: a task emits at most
 one value per (row, column) of its block, however hot a key is.
+
+Cost: the left side is copied once per column block and the right side once
+per row bucket.  Row buckets are only added when one k block holds more than
+``ROWS_PER_TASK`` left entries, so a long inner dimension (many users in a
+Gram matrix) costs no copies.  Column blocks grow with the output width; the
+workload's products have a core-sized item dimension (``songs_limit``).
 """
 
 from __future__ import annotations
@@ -80,7 +86,9 @@ def multiply(left: DataFrame, right: DataFrame, *, lr: str, lk: str, lv: str,
                    cidx.groupBy("cblk").agg(F.max("cbsize").alias("cbsize")).collect()}
 
     if row_buckets is None:
-        row_buckets = max(1, -(-n_left // ROWS_PER_TASK))
+        # the k blocks already split the left rows; add row buckets only when a
+        # k block alone would exceed ROWS_PER_TASK (each bucket copies the right side)
+        row_buckets = max(1, -(-n_left // (n_kb * ROWS_PER_TASK)))
     n_rb = int(row_buckets)
 
     lent = (left.select(F.col(lr).alias("_r"), F.col(lk).alias("_key"), F.col(lv).cast("double").alias("_v"))
