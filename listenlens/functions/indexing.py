@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listenlens.session import materialize
+
 
 def _sort_exprs(order) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -26,7 +28,9 @@ def dense_index(df: DataFrame, order, name: str = "idx", base: int = 0,
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _sort_exprs(order)
-    ranged = df.repartitionByRange(n, *exprs).withColumn("_ll_pid", F.spark_partition_id())
+    # written once: the numbering and the per-partition counts must see the same
+    # range bounds, which must not depend on whether Spark reuses the exchange
+    ranged = materialize(df.repartitionByRange(n, *exprs).withColumn("_ll_pid", F.spark_partition_id()))
     numbered = ranged.withColumn(
         "_ll_rn", F.row_number().over(Window.partitionBy("_ll_pid").orderBy(*exprs)))
     counts = ranged.groupBy("_ll_pid").agg(F.count(F.lit(1)).alias("_ll_n"))
