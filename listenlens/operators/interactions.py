@@ -123,23 +123,31 @@ def negative_samples(rows: DataFrame, items: DataFrame | None = None, seed: int
     """For each positive (u, i) emit (u, i, 1.0) and (u, j, 0.0), j a seeded
     uniform draw among the songs u has not heard.
 
-    Exact without retry caps: the draw ``r = floor(f * n_unseen)`` is mapped to
-    the r-th unheard song by walking u's sorted heard indices (``aggregate``).
-    A user who heard every song gets no negative row.  ``items`` is the song
-    universe (default: songs of ``rows``).
+    Exact, without retry caps: the draw ``r = floor(f * n_unseen)`` is mapped to
+    the r-th unheard song index.  With u's heard indices sorted as
+    ``s_0 < s_1 < ...``, the gaps ``s_p - p`` are non-decreasing and the r-th
+    unheard index is ``r + #{p : s_p - p <= r}`` — a running count in a
+    per-user window over gaps and draws (``O(n log n)`` per user).  A user who
+    heard every song gets no negative row.  ``items`` is the song universe
+    (default: songs of ``rows``).
     """
     pos = positive(rows).select(U, S)
     universe = (items if items is not None else pos).select(S).distinct()
     idx = dense_index(universe, [S], name="_ii")
     m = idx.count()  # a scalar job; nothing but the number reaches the driver
-    seen = (pos.join(idx, S).groupBy(U)
-            .agg(F.array_sort(F.collect_list("_ii")).alias("_seen")))
-    drawn = (pos.join(seen, U)
-             .withColumn("_unseen", F.lit(m) - F.size("_seen"))
+    heard = pos.join(idx, S)
+    w_user = Window.partitionBy(U)
+    gaps = (heard.withColumn("_p", F.row_number().over(w_user.orderBy("_ii")) - 1)
+            .select(U, (F.col("_ii") - F.col("_p")).alias("_key"), F.lit(0).alias("_kind")))
+    draws = (heard.withColumn("_unseen", F.lit(m) - F.count(F.lit(1)).over(w_user))
              .where(F.col("_unseen") > 0)
-             .withColumn("_r", F.floor(md5_fraction(U, S, F.lit("neg"), seed=seed) * F.col("_unseen")))
-             .withColumn("_ii", F.aggregate(
-                 "_seen", F.col("_r"), lambda acc, s: F.when(s <= acc, acc + 1).otherwise(acc))))
-    negatives = drawn.select(U, "_ii").join(idx, "_ii").select(U, S, F.lit(0.0).cast("float").alias("label"))
+             .select(U, F.floor(md5_fraction(U, S, F.lit("neg"), seed=seed) * F.col("_unseen"))
+                     .alias("_key"), F.lit(1).alias("_kind")))
+    running = Window.partitionBy(U).orderBy("_key", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (gaps.unionByName(draws)
+              .withColumn("_below", F.sum(1 - F.col("_kind")).over(running))
+              .where(F.col("_kind") == 1)
+              .select(U, (F.col("_key") + F.col("_below")).alias("_ii")))
+    negatives = placed.join(idx, "_ii").select(U, S, F.lit(0.0).cast("float").alias("label"))
     positives = pos.select(U, S, F.lit(1.0).cast("float").alias("label"))
     return positives.unionByName(negatives)
