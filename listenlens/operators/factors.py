@@ -108,9 +108,12 @@ def als_fit(interactions: DataFrame, rank: int = 8, max_iter: int = 10, reg: flo
     return als.fit(data), users, items
 
 
-def als_scores(model, users: DataFrame, items: DataFrame) -> DataFrame:
-    """M5: ``(user_id, song_id, score = sigmoid(u·v))`` for every user × item,
-    computed as a block product of the factor tables."""
+def als_scores(model, users: DataFrame, items: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+    """M5: ``(user_id, song_id, score = sigmoid(u·v))`` for every user × item
+    (or × ``candidates``, a ``song_id`` table), computed as a block product of
+    the factor tables."""
+    if candidates is not None:
+        items = items.join(candidates.select(S).distinct(), S, "left_semi")
     uf = (model.userFactors.join(users, F.col("id") == F.col("_u"))
           .select(U, F.posexplode("features").alias("_f", "_x")))
     itf = (model.itemFactors.join(items, F.col("id") == F.col("_i"))
@@ -120,8 +123,9 @@ def als_scores(model, users: DataFrame, items: DataFrame) -> DataFrame:
     return raw.select(U, S, sigmoid(F.col("_dot")).alias("score"))
 
 
-def als_recommend(interactions: DataFrame, seen: DataFrame, top: int = 10, **fit_kw) -> DataFrame:
-    """Fit, score, drop ``seen`` items, top-k per user."""
+def als_recommend(interactions: DataFrame, seen: DataFrame, top: int = 10,
+                  candidates: DataFrame | None = None, **fit_kw) -> DataFrame:
+    """Fit, score (optionally only ``candidates``), drop ``seen`` items, top-k per user."""
     model, users, items = als_fit(interactions, **fit_kw)
-    scores = als_scores(model, users, items)
+    scores = als_scores(model, users, items, candidates)
     return recommend.top_k(recommend.unseen(scores, seen), top)

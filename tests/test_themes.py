@@ -36,3 +36,21 @@ def test_vocabulary_size_and_unknown_expansion(spark, tmpdir_path):
     lex2 = themes.lexicon_df(spark, {"love": ["heart"]})
     out2 = sorted(r.word for r in themes.expand_lexicon(lex2, vectors, 1, "theme").where(F.lit(True)).collect())
     assert out2 == ["heart"]  # nearest other word of "love" is heart, already a seed
+
+
+def test_collections_dispatch(spark, tmpdir_path):
+    import pytest
+    d = load(spark, tmpdir_path)
+    lex = themes.lexicon_df(spark, {"love": ["love", "heart"], "war": ["war"]})
+    kw = dict(plays=d["plays"], tracks=d["tracks"], postings=d["lyrics"], vocabulary=d["vocab"],
+              lexicon=lex, theme="love")
+    base = themes.collections("baseline", **kw).collect()
+    assert base == []  # lyrics ids A-D are not track ids of the play fixture
+    with pytest.raises(ValueError):
+        themes.collections("word2vec", **kw)
+    with pytest.raises(ValueError):
+        themes.collections("bogus", **kw)
+    pred = spark.createDataFrame([("T1", "love"), ("T3", "war")], "track_id string, prediction string")
+    out = themes.collections("classification", plays=d["plays"], tracks=d["tracks"], predictions=pred,
+                             theme="love").collect()
+    assert [(r.title, r.play_count) for r in out] == [("One", 21)]
