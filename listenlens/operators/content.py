@@ -124,11 +124,13 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
              .select(U, "artist", "genre",
                      F.round((F.col("wa") + F.coalesce(F.col("wg"), F.lit(0.0))) * INV_SQRT2, 6).alias("score"),
                      F.least(F.col("n_ag"), F.lit(k)).alias("_m")))
-    w_cum = (Window.partitionBy(U).orderBy(F.desc("score"))
-             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    needed = (pairs.withColumn("_cum", F.sum("_m").over(w_cum))
-              .withColumn("_tie", F.sum("_m").over(Window.partitionBy(U, "score")))
-              .where(F.col("_cum") - F.col("_tie") < k)
+    # songs of strictly better pairs: a range frame over the score in units of
+    # 1e-6 (scores are rounded to 6 digits), ending one unit above the row
+    w_better = (Window.partitionBy(U).orderBy(F.desc("_iscore"))
+                .rangeBetween(Window.unboundedPreceding, -1))
+    needed = (pairs.withColumn("_iscore", F.round(F.col("score") * 1e6).cast("long"))
+              .withColumn("_better", F.coalesce(F.sum("_m").over(w_better), F.lit(0)))
+              .where(F.col("_better") < k)
               .select(U, "artist", "genre", "score"))
     c1 = materialize(needed.join(combo_head, ["artist", "genre"])
                      .select(U, "track_id", "genre", "artist", "score"))
@@ -149,9 +151,13 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
     if ug.count() > 0:  # a scalar job on the written pairs
         parts.append(_genre_only(ug, ta, cat, k))
 
-    # 3. zero-score fillers for users with fewer than k positive songs
-    n_artist = ta.join(combo_n, "artist").groupBy(U).agg(F.sum("n_ag").alias("_na"))
+    # 3. zero-score fillers for users with fewer than k positive songs.  Every
+    # profile row has a genre, so a user has at least the songs of one genre:
+    # when the smallest genre holds k songs, no user is short.
     genre_n = cat.groupBy("genre").agg(F.count(F.lit(1)).alias("n_g"))
+    if genre_n.agg(F.min("n_g")).first()[0] >= k:
+        return _top_k(parts, k)
+    n_artist = ta.join(combo_n, "artist").groupBy(U).agg(F.sum("n_ag").alias("_na"))
     n_genre = tg.join(genre_n, "genre").groupBy(U).agg(F.sum("n_g").alias("_ng"))
     n_both = (ta.join(combo_n, "artist").join(tg.select(U, "genre"), [U, "genre"])
               .groupBy(U).agg(F.sum("n_ag").alias("_nb")))
@@ -169,6 +175,10 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
             .join(tg.select(U, "genre"), [U, "genre"], "left_anti")
             .select(U, "track_id", "genre", "artist", F.lit(0.0).alias("score")))
 
+    return _top_k(parts, k)
+
+
+def _top_k(parts: list[DataFrame], k: int) -> DataFrame:
     cand = parts[0]
     for extra in parts[1:]:
         cand = cand.unionByName(extra)

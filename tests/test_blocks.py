@@ -50,12 +50,17 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
         assert got == best
 
 
-def test_content_recommend_matches_brute_force(spark):
-    # few artists crowding genres: exercises pruning, head and fallback paths
+import pytest
+
+
+@pytest.mark.parametrize("n_tracks", [120, 14])
+def test_content_recommend_matches_brute_force(spark, n_tracks):
+    # few artists crowding genres: exercises pruning, head and fallback paths;
+    # the small catalogue has genres with fewer than k songs (zero-score fill)
     rng = np.random.default_rng(11)
-    cat = [(f"t{i:03d}", f"g{rng.integers(0, 3)}", f"a{rng.integers(0, 4)}") for i in range(120)]
+    cat = [(f"t{i:03d}", f"g{rng.integers(0, 3)}", f"a{rng.integers(0, 4)}") for i in range(n_tracks)]
     prof = [(f"u{u}", t, a, 10, g) for u in range(12)
-            for (t, g, a) in [cat[j] for j in rng.choice(120, size=int(rng.integers(1, 6)), replace=False)]]
+            for (t, g, a) in [cat[j] for j in rng.choice(n_tracks, size=int(rng.integers(1, 6)), replace=False)]]
     cdf = spark.createDataFrame(cat, "track_id string, genre string, artist string")
     pdf = spark.createDataFrame(prof, "user_id string, track_id string, artist string, play_count int, genre string")
     got = {}
