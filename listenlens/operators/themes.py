@@ -152,13 +152,16 @@ def save_theme_set(members: DataFrame, path: str) -> None:
 def collection(plays: DataFrame, tracks: DataFrame, postings: DataFrame, vocabulary: DataFrame,
                lexicon: DataFrame, theme: str, threshold: float = THRESHOLD,
                min_words: int = MIN_WORDS, vectors: DataFrame | None = None, top_n: int = TOP_N,
-               expand_query: str = "theme", n: int = CHART_SIZE) -> DataFrame:
-    """Chart of one theme (``vectors`` given → embedding-expanded)."""
+               expand_query: str = "theme", n: int = CHART_SIZE, key: str = "word_index") -> DataFrame:
+    """Chart of one theme (``vectors`` given → embedding-expanded).
+
+    ``postings`` are keyed by ``key``: ``word_index`` (lyrics files) or ``word``.
+    """
     lex = lexicon.where(F.col("theme") == theme)
     if vectors is not None:
         lex = expand_lexicon(lex, vectors, top_n, expand_query)
-    idx = theme_index(lex, vocabulary)
-    members = theme_members(theme_scores(postings, idx), threshold, min_words)
+    idx = theme_index(lex, vocabulary).select("theme", key)
+    members = theme_members(theme_scores(postings, idx, key=key), threshold, min_words)
     return theme_chart(plays, tracks, members, n).drop("theme")
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from listenlens.operators import charts, interactions
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
-from listenlens.sources import parse_track_lines, star
+from listenlens.sources import parse_genre_lines, parse_track_lines, parse_triplet_lines, star
 
 
 @register("top_tracks", ids="P1 J1 A1 T1", sql=with_ctes(["track_totals"], """
@@ -17,7 +17,7 @@ def top_tracks(spark, d):
     return charts.top_tracks(star.triplets(spark, d), star.tracks(spark, d), n=250)
 
 
-@register("track_lines_parse", ids="S2 S3 X1 X2", sql=with_ctes(["tracks"], """
+@register("track_lines_parse", ids="S2 S3 X1 X2 X3", sql=with_ctes(["tracks"], """
     SELECT track_id, song_id, artist, title FROM tracks"""))
 def track_lines_parse(spark, d):
     return parse_track_lines(star.track_lines(spark, d))
@@ -42,7 +42,7 @@ def genres(spark, d):
     return charts.genre_list(star.genres(spark, d))
 
 
-@register("top_by_genre", ids="P3 F3 J2 T2", sql=with_ctes(["track_totals", "genres"], """
+@register("top_by_genre", ids="P3 F3 J2 T2 X4", sql=with_ctes(["track_totals", "genres"], """
     SELECT tt.artist, tt.title, tt.play_count
     FROM track_totals tt JOIN genres g ON tt.track_id = g.track_id
     WHERE g.genre LIKE '%O%'
@@ -76,3 +76,14 @@ def plays_for_song_list(spark, d):
 
 
 
+
+
+@register("triplet_lines_parse", ids="S1 X6", sql=with_ctes(["triplets"], """
+    SELECT user_id, song_id, CAST(play_count AS INTEGER) AS play_count FROM triplets"""))
+def triplet_lines_parse(spark, d):
+    return parse_triplet_lines(star.triplet_lines(spark, d))
+
+
+@register("genre_lines_parse", ids="S4 X7", sql=with_ctes(["genres"], "SELECT track_id, genre FROM genres"))
+def genre_lines_parse(spark, d):
+    return parse_genre_lines(star.genre_lines(spark, d))

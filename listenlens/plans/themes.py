@@ -87,3 +87,14 @@ def theme_chart(spark, d):
     members = themes.theme_members(_scores(spark, d), 0.063, 4)
     return themes.theme_chart(star.triplets(spark, d), star.tracks(spark, d), members, 50)
 
+
+
+@register("theme_collection", ids="P7 P4", sql=with_ctes(BASE, """
+    SELECT artist, title, play_count FROM tchart WHERE theme = 'love'""", theme_sql()))
+def theme_collection(spark, d):
+    # the one-theme API of the workload, dispatched by approach
+    return themes.collections(
+        "baseline", plays=star.triplets(spark, d), tracks=star.tracks(spark, d),
+        postings=star.token_rows(spark, d).withColumn("track_id", F.col("track_id").cast("string")),
+        vocabulary=star.vocabulary(spark, d), lexicon=star.theme_lexicon(spark), theme="love",
+        key="word").select("artist", "title", "play_count")

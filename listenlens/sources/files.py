@@ -32,6 +32,12 @@ def read_triplets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRIPLET_SCHEMA).option("sep", "\t").option("header", "false").csv(path)
 
 
+def parse_triplet_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """S1 on a column of text lines (same schema and separator as the reader)."""
+    parsed = F.from_csv(F.col(column), TRIPLET_SCHEMA.simpleString(), {"sep": "\t"})
+    return lines.select(parsed.alias("_t")).select("_t.*")
+
+
 def parse_track_lines(lines: DataFrame, column: str = "value",
                       fields=TRACK_FIELDS) -> DataFrame:
     """Split ``track<SEP>song<SEP>artist<SEP>title`` lines.

@@ -64,6 +64,24 @@ def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(F.concat_ws("<SEP>", "track_id", "song_id", "artist", "title").alias("value"))
 
 
+def triplet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plays rendered as TSV lines (input of the triplet parser)."""
+    return triplets(spark, sf_dir).select(
+        F.concat_ws("\t", "user_id", "song_id", F.col("play_count").cast("string")).alias("value"))
+
+
+def genre_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genre-file lines built from ``part``: per part one ``track<TAB>genre``
+    line and one ``#`` comment line, and for parts of even size a malformed
+    three-field line (``track<TAB>genre<TAB>brand``) that the reader drops."""
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("string")
+    good = part.select(F.concat_ws("\t", key, "p_type").alias("value"))
+    comment = part.select(F.concat(F.lit("# part "), key).alias("value"))
+    bad = part.where(F.col("p_size") % 2 == 0).select(F.concat_ws("\t", key, "p_type", "p_brand").alias("value"))
+    return good.unionByName(comment).unionByName(bad)
+
+
 def genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return part.select(F.col("p_partkey").cast("string").alias("track_id"),
