@@ -68,9 +68,12 @@ def pivot(rows: DataFrame, max_columns: int = 10_000) -> DataFrame:
     Only for bounded item sets (a core); Spark's pivot refuses more than
     ``max_columns`` distinct songs.
     """
-    spark = rows.sparkSession
-    spark.conf.set("spark.sql.pivotMaxValues", str(max_columns))
-    wide = rows.groupBy(U).pivot(S).agg(F.avg(P))
+    songs = rows.select(S).distinct()
+    n = songs.count()
+    if n > max_columns:
+        raise ValueError(f"{n} songs: a wide matrix is only built for a bounded core")
+    values = [r[0] for r in songs.orderBy(S).collect()]  # at most max_columns ids
+    wide = rows.groupBy(U).pivot(S, values).agg(F.avg(P))
     return wide.na.fill(0.0)
 
 
