@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from listenlens.operators import charts
 from listenlens.operators.vectors import similar_words
+from listenlens.session import materialize
 
 # The theme lexicon of the music workload (theme -> seed words).
 THEMES = {
@@ -76,11 +77,13 @@ def theme_scores(postings: DataFrame, theme_words: DataFrame, key: str = "word_i
     positive total get a row.
     """
     words = theme_words.select("theme", key).distinct()
-    names = sorted(r[0] for r in words.select("theme").distinct().collect())  # the lexicon's themes
+    # one small job: the lexicon's themes and its size (a bounded table)
+    per_theme = words.groupBy("theme").agg(F.count(F.lit(1)).alias("_n")).collect()
+    names = sorted(r["theme"] for r in per_theme)
     if len(names) > MAX_THEMES_PIVOT:
         return _theme_scores_join(postings, words, key)
     word_themes = words.groupBy(key).agg(F.collect_set("theme").alias("_themes"))
-    if word_themes.count() <= MAX_LEXICON_ROWS:
+    if sum(r["_n"] for r in per_theme) <= MAX_LEXICON_ROWS:
         word_themes = F.broadcast(word_themes)
     tagged = postings.join(word_themes, key, "left")
     sums = [F.sum(F.when(F.array_contains("_themes", t), F.col("count"))).alias(f"_s{i}")
@@ -141,7 +144,8 @@ def expand_lexicon(lexicon: DataFrame, vectors: DataFrame, top_n: int = TOP_N,
         raise ValueError(f"unknown expansion query {query!r}")
     near = similar_words(vectors, asks.select("word"), top_n)
     added = asks.join(near, "word").select("theme", F.col("neighbor").alias("word"))
-    return lexicon.select("theme", "word").unionByName(added).distinct()
+    # bounded by (lexicon words) × (1 + top_n); written once, read by several jobs
+    return materialize(lexicon.select("theme", "word").unionByName(added).distinct())
 
 
 def save_theme_set(members: DataFrame, path: str) -> None:
