@@ -28,7 +28,8 @@ def svd_recommend(spark, d):
 @register("svd_precision_at_10", ids="M3 A10")
 def svd_precision_at_10(spark, d):
     core, train, test = _cf(spark, d)
-    return evaluate.precision_at_k(factors.svd_recommend(train, core, SVD_RANK, 10), test, 10)
+    p = evaluate.precision_at_k(factors.svd_recommend(train, core, SVD_RANK, 10), test, 10)
+    return p.withColumn("precision_at_k", F.round("precision_at_k", 6))
 
 
 @register("als_recommend", ids="M4 M5 P11 D3 D4 F9 X10")

@@ -109,11 +109,11 @@ def recommend_titles(spark, d):
 
 
 @register("precision_at_10", ids="A10 J9 U2", sql=cf_sql("""
-    SELECT avg(coalesce(h.hits, 0) / 10.0) AS precision_at_k
+    SELECT round(avg(coalesce(h.hits, 0) / 10.0), 6) AS precision_at_k
     FROM (SELECT DISTINCT user_id FROM test) u
     LEFT JOIN (SELECT r.user_id, count(*) AS hits FROM recs r
                JOIN test t ON r.user_id = t.user_id AND r.song_id = t.song_id GROUP BY r.user_id) h
       ON u.user_id = h.user_id"""))
 def precision_at_10(spark, d):
     recs, test = _recs(spark, d)
-    return evaluate.precision_at_k(recs, test, k=K)
+    return _rounded(evaluate.precision_at_k(recs, test, k=K), "precision_at_k")
