@@ -73,3 +73,26 @@ def scans_files(df) -> bool:
 def materialize_if_scanning(df):
     """``materialize`` unless ``df`` only reads already written data."""
     return materialize(df) if scans_files(df) else df
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings to size a session for a given input volume.
+
+    Shuffle partitions follow the data (about ``target_partition_bytes`` per
+    partition, at least twice the cores) so partitions fit in executor memory;
+    AQE coalesces small ones and splits skewed joins at run time.  The
+    broadcast threshold stays small: only sides with a proven bound should be
+    broadcast, and AQE's runtime statistics decide the rest.
+    """
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
