@@ -99,6 +99,7 @@ def fit(train: DataFrame, vectors: DataFrame, model: str = "logistic", max_iter:
     from pyspark.ml.feature import IndexToString, StringIndexer
 
     weights = class_weights(train).select(LABEL, F.col("weight").alias("_w"))
+    # one row per class: bounded by the number of labels
     data = train.join(vectors, "track_id").join(F.broadcast(weights), LABEL)
     indexer = StringIndexer(inputCol=LABEL, outputCol="_y", stringOrderType="alphabetAsc").fit(data)
     if model == "logistic":

@@ -47,8 +47,10 @@ def theme_index(lexicon: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(theme, word, word_index)`` for lexicon words in the non-stop
     vocabulary; unknown words and stop words drop out."""
     vocab = vocabulary.where(~F.col("is_stop")).select("word", "word_index")
-    return vocab.join(F.broadcast(lexicon.select("theme", "word").distinct()), "word") \
-        .select("theme", "word", "word_index")
+    lex = lexicon.select("theme", "word").distinct()
+    if lex.count() <= MAX_LEXICON_ROWS:  # checked before it is broadcast
+        lex = F.broadcast(lex)
+    return vocab.join(lex, "word").select("theme", "word", "word_index")
 
 
 def theme_words(lexicon: DataFrame, stop_words) -> DataFrame:
