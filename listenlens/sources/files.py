@@ -82,13 +82,20 @@ def parse_lyrics_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     postings = (lines.select(line.alias("line")).where(_is_data_line(F.col("line")))
                 .select(F.get(F.split("line", ","), 0).alias("track_id"),
                         F.explode(F.slice(F.split("line", ","), 3, 1 << 30)).alias("p")))
+    # try_cast: a malformed ``idx:count`` becomes NULL instead of failing the job
+    # under ANSI mode; ``bad_postings`` counts them
     return postings.select(
         "track_id",
-        F.split_part("p", F.lit(":"), F.lit(1)).cast("int").alias("word_index"),
-        F.split_part("p", F.lit(":"), F.lit(2)).cast("int").alias("count"),
+        F.split_part("p", F.lit(":"), F.lit(1)).try_cast("int").alias("word_index"),
+        F.split_part("p", F.lit(":"), F.lit(2)).try_cast("int").alias("count"),
     )
 
 
+def bad_postings(postings: DataFrame) -> DataFrame:
+    """Rows of ``parse_lyrics_lines`` whose ``idx:count`` did not parse."""
+    return postings.where(F.col("word_index").isNull() | F.col("count").isNull())
+
+
 def read_lyrics(spark: SparkSession, path: str) -> DataFrame:
     return parse_lyrics_lines(spark.read.text(path))
 
