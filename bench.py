@@ -44,10 +44,14 @@ def main() -> None:
                       app_name="listenlens-bench",
                       extra={"spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024)})
     registry = all_queries()
-    cold, warm = {}, {}
+    cold, warm, failed = {}, {}, {}
     for name in names:
         q = registry[name]
-        times = [run_once(spark, q, sf_dir) for _ in range(runs)]
+        try:
+            times = [run_once(spark, q, sf_dir) for _ in range(runs)]
+        except Exception as e:  # keep benchmarking the rest; report the failure
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         cold[name] = round(times[0], 3)
         warm[name] = round(statistics.median(times[1:]) if len(times) > 1 else times[0], 3)
     spark.stop()
@@ -60,6 +64,7 @@ def main() -> None:
         "cold": cold,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        **({"failed": failed} if failed else {}),
     }))
 
 
