@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-
-
 from listenlens.operators import charts, interactions
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
