@@ -72,13 +72,13 @@ def triplet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def genre_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genre-file lines built from ``part``: per part one ``track<TAB>genre``
-    line and one ``#`` comment line, and for parts of even size a malformed
-    three-field line (``track<TAB>genre<TAB>brand``) that the reader drops."""
+    line, one ``#`` comment line and one malformed three-field line
+    (``track<TAB>genre<TAB>brand``) that the reader drops."""
     part = table(spark, sf_dir, "part")
     key = F.col("p_partkey").cast("string")
     good = part.select(F.concat_ws("\t", key, "p_type").alias("value"))
     comment = part.select(F.concat(F.lit("# part "), key).alias("value"))
-    bad = part.where(F.col("p_size") % 2 == 0).select(F.concat_ws("\t", key, "p_type", "p_brand").alias("value"))
+    bad = part.select(F.concat_ws("\t", key, "p_type", "p_brand").alias("value"))
     return good.unionByName(comment).unionByName(bad)
 
 
