@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenlens.functions.indexing import block_index
-from listenlens.session import materialize, materialize_if_scanning
+from listenlens.session import materialize_if_scanning
 
 ROW_CHUNK = 4096
 DEFAULT_BLOCK = 1024
@@ -80,8 +80,9 @@ def multiply(left: DataFrame, right: DataFrame, *, lr: str, lk: str, lv: str,
         else right.select(F.col(rc).alias("_c"))
     cidx, n_cb = _index(cols, "_c", block_size, "c",
                         columns.count() if columns is not None else n_right)
-    cidx = materialize(cidx)
     # one small row per column block: the block sizes travel in the closure
+    # (the column index is deterministic — hash blocks, positions by key — so
+    # recomputing it inside the product equals this result)
     block_sizes = {int(r["cblk"]): int(r["cbsize"]) for r in
                    cidx.groupBy("cblk").agg(F.max("cbsize").alias("cbsize")).collect()}
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenlens.functions.columns import l2_normalize as _unit
-from listenlens.session import materialize
+from listenlens.session import materialize_if_scanning
 
 ITEMS_PER_BLOCK = 20_000
 QUERIES_PER_BUCKET = 5_000
@@ -51,8 +51,8 @@ def top_k_inner_product(queries: DataFrame, items: DataFrame, k: int, *,
     inner product per query; scores are rounded to 6 digits and ties go to the
     smaller item id.  ``exclude_self`` drops ``item_id == query_id``.
     """
-    q = materialize(queries.select(F.col(query_id).alias("_q"), F.col(query_vec).alias("_qv")))
-    it = materialize(items.select(F.col(item_id).alias("_i"), F.col(item_vec).alias("_iv")))
+    q = materialize_if_scanning(queries.select(F.col(query_id).alias("_q"), F.col(query_vec).alias("_qv")))
+    it = materialize_if_scanning(items.select(F.col(item_id).alias("_i"), F.col(item_vec).alias("_iv")))
     n_q, n_i = q.count(), it.count()
     # enough (bucket, block) tasks to keep every core busy, none too large
     slots = q.sparkSession.sparkContext.defaultParallelism
