@@ -3,7 +3,8 @@
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_QUERIES`` (comma list, default the headline set),
 ``BENCH_RUNS`` (default 2: one cold run, then warm runs; the warm median is
-reported).  Each query is executed completely with the ``noop`` sink (no
+reported), ``BENCH_EVENTLOG_DIR`` (optional: write Spark's event log there for
+stage and task times).  Each query is executed completely with the ``noop`` sink (no
 driver collect).  Prints one JSON line.
 """
 
@@ -40,9 +41,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = max(1, int(os.environ.get("BENCH_RUNS", "2")))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
+    extra = {"spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+             "spark.ui.showConsoleProgress": "false"}
+    if os.environ.get("BENCH_EVENTLOG_DIR"):  # stage/task times without the web UI
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENTLOG_DIR"]})
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                      app_name="listenlens-bench",
-                      extra={"spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024)})
+                      app_name="listenlens-bench", extra=extra)
     registry = all_queries()
     # JVM and Python-worker start-up are not query time: one trivial job first
     spark.range(1000).selectExpr("sum(id)").collect()
