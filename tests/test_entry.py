@@ -14,9 +14,14 @@ def test_entry_and_registry(spark):
     assert set(o) <= set(q) and len(q) >= 50
 
 
-def test_same_result_any_partitioning(spark):
+import pytest
+
+
+@pytest.mark.parametrize("name", ["top_by_each_genre", "vocabulary", "negative_samples",
+                                  "recommend_all", "content_recommend"])
+def test_same_result_any_partitioning(spark, name):
     from listenlens.plans import all_queries
-    build = all_queries()["top_by_each_genre"].build
+    build = all_queries()[name].build
     d = "/root/testdata/sf0.001"
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
