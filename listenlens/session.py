@@ -40,7 +40,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when it is unset (tests, local runs) a fresh local folder is
     taken.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -66,7 +69,10 @@ def materialize(df):
 
 def scans_files(df) -> bool:
     """Whether the optimized plan of ``df`` still reads source files."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # plan not inspectable (remote session): assume it scans
+        return True
     return "Relation [" in plan or "Relation[" in plan
 
 
