@@ -64,3 +64,9 @@ def block_index(df: DataFrame, key: str, block_size: int, n_items: int | None =
                        (F.row_number().over(w.orderBy(key)) - 1).cast("int"))
            .withColumn(prefix + "bsize", F.count(F.lit(1)).over(w).cast("int")))
     return out, n_blocks
+
+
+def label_codes(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
+    """``(col, code)`` — 0-based codes of the distinct values in sorted
+    order (what a sorted label encoder assigns), computed with ``dense_index``."""
+    return dense_index(df.select(col).distinct(), [col], name=name or f"{col}_code")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listenlens.functions.columns import holdout_size, md5_fraction, md5_order
-from listenlens.functions.indexing import dense_index
+from listenlens.functions.indexing import dense_index, label_codes
 from listenlens.session import materialize
 
 # a broadcast side must have a proven bound; id lists are bounded by the
@@ -94,8 +94,8 @@ def explicit_samples(rows: DataFrame) -> DataFrame:
 
 def index_ids(rows: DataFrame) -> DataFrame:
     """0-based label codes of users and songs by sorted id (distributed)."""
-    users = dense_index(rows.select(U).distinct(), [U], name="user_index")
-    songs = dense_index(rows.select(S).distinct(), [S], name="item_index")
+    users = label_codes(rows, U, "user_index")
+    songs = label_codes(rows, S, "item_index")
     return rows.join(users, U).join(songs, S)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from listenlens.functions import label_codes as codes
 from listenlens.operators import content
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
@@ -81,3 +82,18 @@ def taste_vector(spark, d):
 def content_recommend(spark, d):
     catalogue = content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
     return content.recommend(_profile(spark, d), catalogue, K)
+
+
+@register("label_codes", ids="D4 A4 A5", sql=with_ctes(["tracks", "genres"], """
+    SELECT 'artist' AS kind, artist AS value, dense_rank() OVER (ORDER BY artist) - 1 AS code
+    FROM (SELECT DISTINCT artist FROM tracks)
+    UNION ALL
+    SELECT 'genre' AS kind, genre AS value, dense_rank() OVER (ORDER BY genre) - 1 AS code
+    FROM (SELECT DISTINCT genre FROM genres)"""))
+def label_codes(spark, d):
+    # the artist and genre encoders of the song-vector step
+    a = codes(star.tracks(spark, d), "artist", "code").select(F.lit("artist").alias("kind"),
+                                                               F.col("artist").alias("value"), "code")
+    g = codes(star.genres(spark, d), "genre", "code").select(F.lit("genre").alias("kind"),
+                                                              F.col("genre").alias("value"), "code")
+    return a.unionByName(g)
