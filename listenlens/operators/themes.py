@@ -82,6 +82,11 @@ def theme_scores(postings: DataFrame, theme_words: DataFrame, key: str = "word_i
     # one small job: the lexicon's themes and its size (a bounded table)
     per_theme = words.groupBy("theme").agg(F.count(F.lit(1)).alias("_n")).collect()
     names = sorted(r["theme"] for r in per_theme)
+    if not names:  # empty lexicon: no theme can score
+        return postings.where(F.lit(False)).select(
+            "track_id", F.lit(None).cast("string").alias("theme"),
+            F.lit(None).cast("long").alias("theme_score"), F.lit(None).cast("long").alias("total_words"),
+            F.lit(None).cast("double").alias("theme_ratio"))
     if len(names) > MAX_THEMES_PIVOT:
         return _theme_scores_join(postings, words, key)
     word_themes = words.groupBy(key).agg(F.collect_set("theme").alias("_themes"))
