@@ -62,8 +62,8 @@ def multiply(left: DataFrame, right: DataFrame, *, lr: str, lk: str, lv: str,
     """
     out_row = out_row or lr
     out_col = out_col or rc
-    # the product runs several small jobs (key counts, block sizes); read the
-    # inputs from a written copy instead of recomputing their lineage
+    # the product runs several small jobs (key counts, block sizes); inputs that
+    # still scan source files are written once instead of recomputed per job
     same = left is right
     left = materialize_if_scanning(left.select(lr, lk, lv))
     right = left if same else materialize_if_scanning(right.select(rk, rc, rv))
