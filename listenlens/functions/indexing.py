@@ -25,12 +25,12 @@ def dense_index(df: DataFrame, order, name: str = "idx", base: int = 0,
     ``order`` must be a total order over the rows of ``df`` (unique keys);
     then the result is deterministic and survives recomputation.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _sort_exprs(order)
+    # without an explicit count AQE may merge adjacent small ranges (order kept);
     # written once: the numbering and the per-partition counts must see the same
-    # range bounds, which must not depend on whether Spark reuses the exchange
-    ranged = materialize(df.repartitionByRange(n, *exprs).withColumn("_ll_pid", F.spark_partition_id()))
+    # ranges, which must not depend on whether Spark reuses the exchange
+    ranged = df.repartitionByRange(num_partitions, *exprs) if num_partitions else df.repartitionByRange(*exprs)
+    ranged = materialize(ranged.withColumn("_ll_pid", F.spark_partition_id()))
     numbered = ranged.withColumn(
         "_ll_rn", F.row_number().over(Window.partitionBy("_ll_pid").orderBy(*exprs)))
     counts = ranged.groupBy("_ll_pid").agg(F.count(F.lit(1)).alias("_ll_n"))
