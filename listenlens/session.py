@@ -24,6 +24,7 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("LISTENLENS_DRIVER_MEMORY", "8g"))
     )
     for key, value in (extra or {}).items():
@@ -61,7 +62,9 @@ def materialize(df):
     Used where a bounded intermediate feeds several jobs (the dense core, the
     inputs of a block product): later jobs read the written table instead of
     recomputing the scan, and a lost executor does not force a rerun of the
-    whole lineage.  Never a machine-local checkpoint.
+    whole lineage.  Never a machine-local checkpoint.  With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go away when
+    the DataFrame is no longer referenced.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -101,4 +104,6 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        # written intermediates are removed once no plan refers to them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
