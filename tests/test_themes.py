@@ -54,3 +54,24 @@ def test_collections_dispatch(spark, tmpdir_path):
     out = themes.collections("classification", plays=d["plays"], tracks=d["tracks"], predictions=pred,
                              theme="love").collect()
     assert [(r.title, r.play_count) for r in out] == [("One", 21)]
+
+
+def test_theme_scores_overlapping_words_brute_force(spark):
+    import random
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    lex = {"a": ["w0", "w1", "w2"], "b": ["w2", "w3"], "c": ["w3", "w4", "w0"]}
+    post = [(f"t{t}", w, rng.randint(1, 5)) for t in range(20) for w in rng.sample(words, 5)]
+    df = spark.createDataFrame(post, "track_id string, word string, count long")
+    theme_words = spark.createDataFrame([(t, w) for t, ws in lex.items() for w in ws], "theme string, word string")
+    got = {(r.track_id, r.theme): (r.theme_score, r.total_words)
+           for r in themes.theme_scores(df, theme_words, key="word").collect()}
+    expect = {}
+    for t in {p[0] for p in post}:
+        rows = [p for p in post if p[0] == t]
+        total = sum(c for _, _, c in rows)
+        for th, ws in lex.items():
+            score = sum(c for _, w, c in rows if w in ws)
+            if score > 0:
+                expect[(t, th)] = (score, total)
+    assert got == expect
