@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from listenlens.operators import themes
 from listenlens.plans.registry import register
-from listenlens.plans.sql import with_ctes
-from listenlens.sources import star
+from listenlens.plans.sql import spark_english_stop_words_sql, with_ctes
+from listenlens.sources import english_stop_words, star
 
 
 def theme_sql(lexicon_cte: str = "lexicon") -> dict[str, str]:
@@ -98,3 +98,12 @@ def theme_collection(spark, d):
         postings=star.token_rows(spark, d).withColumn("track_id", F.col("track_id").cast("string")),
         vocabulary=star.vocabulary(spark, d), lexicon=star.theme_lexicon(spark), theme="love",
         key="word").select("artist", "title", "play_count")
+
+
+@register("english_stop_vocabulary", ids="S10 S6", sql=with_ctes(["postings"], f"""
+    SELECT CAST(row_number() OVER (ORDER BY word) AS INTEGER) AS word_index, word,
+           word IN ({spark_english_stop_words_sql()}) AS is_stop
+    FROM (SELECT DISTINCT word FROM postings)"""))
+def english_stop_vocabulary(spark, d):
+    # the vocabulary with Spark's English stop-word list instead of the adapter's
+    return star.vocabulary(spark, d, stop_words=english_stop_words())
