@@ -6,6 +6,8 @@ so that the oracle does not share code with the Spark side.
 
 from __future__ import annotations
 
+from listenlens.sources.stop_words import ENGLISH_STOP_WORDS
+
 CTE = {
     "triplets": """
         SELECT CAST(o.o_custkey AS VARCHAR) AS user_id,
@@ -103,16 +105,6 @@ def with_ctes(names, body: str, extra: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
-def spark_english_stop_words_sql() -> str:
-    """SQL ``IN`` list of Spark's English stop words, read from the resource in
-    the Spark ML jar (no JVM needed), so the oracle uses the same list."""
-    import glob
-    import os
-    import zipfile
-
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-    words = [w.strip() for w in text.splitlines() if w.strip()]
-    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+def english_stop_words_sql() -> str:
+    """SQL ``IN`` list of the English stop words."""
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from listenlens.operators import themes
 from listenlens.plans.registry import register
-from listenlens.plans.sql import spark_english_stop_words_sql, with_ctes
+from listenlens.plans.sql import english_stop_words_sql, with_ctes
 from listenlens.sources import english_stop_words, star
 
 
@@ -102,7 +102,7 @@ def theme_collection(spark, d):
 
 @register("english_stop_vocabulary", ids="S10 S6", sql=with_ctes(["postings"], f"""
     SELECT CAST(row_number() OVER (ORDER BY word) AS INTEGER) AS word_index, word,
-           word IN ({spark_english_stop_words_sql()}) AS is_stop
+           word IN ({english_stop_words_sql()}) AS is_stop
     FROM (SELECT DISTINCT word FROM postings)"""))
 def english_stop_vocabulary(spark, d):
     # the vocabulary with Spark's English stop-word list instead of the adapter's

@@ -124,12 +124,6 @@ def read_theme_sets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(THEME_SET_SCHEMA).option("header", "false").csv(path)
 
 
-def english_stop_words() -> list[str]:
-    """Spark's built-in English stop-word list."""
-    from pyspark.ml.feature import StopWordsRemover
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def read_word_vectors(spark: SparkSession, path: str) -> DataFrame:
     """Parquet ``(word string, vector array<float>)``."""
     return spark.read.parquet(path).select("word", "vector")
