@@ -243,13 +243,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
              shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id
-    (rows of equal id: the one of least content hash); all columns unchanged.
-    Groups without any id keep all their rows, as these cannot be told apart."""
+    """One document of each group of near-duplicates, that with the smallest id;
+    all columns unchanged.  Rows of equal id and text are one document; rows of
+    equal id and different texts are versions of one document and share its
+    fate.  Rows without id cannot be named by a group's decision: they stay,
+    copies among them as one."""
     groups = near_duplicates(docs, id_column, text, shingle, radius)
-    gone = groups.where(F.col("id").isNotNull() & (F.col("id") != F.col("component"))).select("id").distinct()
-    columns = docs.columns
-    names = [f"c{i}" for i in range(len(columns))]
-    ids = names[columns.index(id_column)]
-    kept = docs.toDF(*names).join(gone, F.col(ids) == F.col("id"), "left_anti")
-    return kept.toDF(*columns)
+    gone = written(groups.where(F.col("id").isNotNull() & (F.col("id") != F.col("component"))).select("id").distinct(),
+                   "simhash-gone")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own, body = names[docs.columns.index(id_column)], names[docs.columns.index(text)]
+    kept = docs.toDF(*names).join(gone, F.col(own) == F.col("id"), "left_anti")
+    return kept.withColumn("_h", F.sha2(F.col(body), 256)).dropDuplicates([own, "_h"]).select(*names).toDF(*docs.columns)

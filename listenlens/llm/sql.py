@@ -76,8 +76,17 @@ SELECT doc_id, item_id, max(n_shared) AS n_shared, max(n_shingles) AS n_shingles
 FROM hit JOIN size USING (item_id) JOIN d USING (r)
 WHERE n_shared >= 0.8 * n_shingles GROUP BY doc_id, item_id"""
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+k AS (SELECT h, max(page_id) AS keep FROM p WHERE octet_length(encode(h)) >= 1000 GROUP BY h)
+SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN keep IS DISTINCT FROM page_id AND keep IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keep IS DISTINCT FROM page_id THEN keep END AS refers_to
+FROM p LEFT JOIN k USING (h)"""
+
 ORACLES = {
     "op1_secret_scan": SECRET_SCAN,
     "op3_quality_rules": QUALITY_RULES,
+    "op8_warc_zstd": WARC,
     "op10_decontamination": DECONTAMINATION,
 }
