@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from listenlens.llm.common import scratch_path, text_or_empty, written
+from listenlens.llm.common import few_files, scratch_path, text_or_empty, written
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ class BlobLedger:
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or scratch_path(spark, "ledger")
         for name, schema in (("scanned", SCANNED), ("findings", FINDINGS)):  # empty tables for a new ledger
-            spark.createDataFrame([], schema).write.mode("append").parquet(f"{self.path}/{name}")
+            spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
 
     def scanned(self) -> DataFrame:
         return self.spark.read.schema(SCANNED).parquet(f"{self.path}/scanned").distinct()
@@ -97,7 +97,7 @@ class BlobLedger:
             F.collect_set(F.struct("kind", "version")).alias("rules")), "ledger-todo")  # at most len(rules)
         texts = contents.join(todo.withColumnRenamed("blob", "_b"), (F.col("blob") == F.col("_b"))
                               & F.col("path").eqNullSafe(F.col("carrier"))).select("blob", "rules", "content")
-        spans(texts, rules).write.mode("append").parquet(f"{self.path}/findings")
+        few_files(spans(texts, rules)).write.mode("append").parquet(f"{self.path}/findings")
         todo.select("blob", F.inline("rules")).select(*SCANNED.names).write.mode("append").parquet(
             f"{self.path}/scanned")
 
@@ -120,7 +120,8 @@ def spans(texts: DataFrame, rules=RULES) -> DataFrame:
             F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0)).alias("hits"))))
     found = texts.select("blob", F.explode(F.array_compact(F.array(*per_rule))).alias("f"))
     rows = found.select("blob", "f.kind", "f.version", F.posexplode(F.arrays_zip("f.gaps", "f.hits")).alias("i", "x")).select(
-        "blob", "kind", "version", "i", F.col("x.gaps").alias("gap"), F.col("x.hits").alias("hit")).where(F.col("hit").isNotNull())
+        "blob", "kind", "version", "i", F.col("x.gaps").alias("gap"), F.col("x.hits").alias("hit")).where(
+        F.col("hit").isNotNull()).distinct()  # rows that repeat id and text carry a blob twice
     through = W.partitionBy("blob", "kind", "version").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum((F.col("gap") + F.length("hit")).cast("long")).over(through)
     holds = F.lit(True)
@@ -146,7 +147,7 @@ def paths_with_findings(contents: DataFrame, ledger: BlobLedger, rules=RULES) ->
     is_base = F.filter("s", lambda x: x["o"] < len(base))
     per_blob = written(per_blob.select(
         "blob", *(f"n_{k}" for k in base), _joined(is_base).alias("base"), _joined(F.col("s")).alias("spans")), "ledger-blobs")
-    return contents.select("path", "blob").join(per_blob, "blob", "left").select(
+    return few_files(contents.select("path", "blob").join(per_blob, "blob", "left")).select(
         "path", *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in base),
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
 
