@@ -19,14 +19,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back.
+def few_files(df: DataFrame) -> DataFrame:
+    """At most two partitions per core of the cluster.  A task goes through its
+    partitions one after the other, so it needs no more memory; small tables are
+    not spread over as many files as there are shuffle partitions."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def written(df: DataFrame, name: str, few: bool = True) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back.  ``few``: see
+    ``few_files``; not for tables that are made while scanning whole texts.
 
     Cuts the lineage: a lost executor or a later job reads the table, and a
     retried task cannot see other rows than the first attempt committed.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (few_files(df) if few else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

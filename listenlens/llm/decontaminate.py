@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from listenlens.llm.common import text_or_empty, written
+from listenlens.llm.common import few_files, text_or_empty, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -97,9 +97,9 @@ def contained(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text
     shared = F.size(F.array_intersect("shingles", shingle_texts(F.col("w"), F.col("size"))))
     verified = text_of.join(of_item, "item").select(
         "id", "item", shared.cast("long").alias("n_shared"), F.size("shingles").cast("long").alias("n_shingles"))
-    return verified.where(F.col("n_shared") >= F.ceil(F.col("n_shingles") * F.lit(threshold) - F.lit(1e-9))).groupBy(
+    return few_files(verified.where(F.col("n_shared") >= F.ceil(F.col("n_shingles") * F.lit(threshold) - F.lit(1e-9))).groupBy(
         "id", "item").agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles")).withColumn(
-            "containment", F.col("n_shared") / F.col("n_shingles"))
+            "containment", F.col("n_shared") / F.col("n_shingles")))
 
 
 def remove(docs: DataFrame, items: DataFrame, text: str = "text", **how) -> DataFrame:

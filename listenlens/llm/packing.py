@@ -221,7 +221,7 @@ def _slots(patterns: list[Pattern]) -> np.ndarray:
 
 def pack(docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY, **how) -> DataFrame:
     """Every piece with its sequence and offset, as few sequences as we can."""
-    cut = written(pieces(docs, id_column, text, capacity, **how), "pack-pieces")
+    cut = written(pieces(docs, id_column, text, capacity, **how), "pack-pieces", few=False)
     by_task = written(cut.groupBy("task", "length").agg(F.count("*").alias("n")), "pack-counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = _slots(plan(counts, capacity))  # bounded by the capacity, not by the corpus

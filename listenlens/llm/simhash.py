@@ -229,7 +229,7 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                     shingle: int = 3, radius: int = 2) -> DataFrame:
     """``(id, fp, component)`` for every row; component: the smallest id reachable."""
-    prints = written(fingerprints(docs, id_column, text, shingle), "simhash")
+    prints = written(fingerprints(docs, id_column, text, shingle), "simhash", few=False)
     by_print = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     edges = written(links(by_print.select("fp"), radius).distinct(), "simhash-links")
     roots = written(connected_components(edges), "simhash-roots")

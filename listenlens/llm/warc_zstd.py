@@ -212,6 +212,6 @@ def round_trip(pages: DataFrame, id_column: str = "page_id", **how) -> DataFrame
     """Write the archives, read them back: ``(id, payload_bytes, payload_digest,
     record_type, refers_to)`` of every record."""
     kind = pages.schema[id_column].dataType
-    back = records(written(archives(pages, id_column, **how), "warc"), with_payload=False)
+    back = records(written(archives(pages, id_column, **how), "warc", few=False), with_payload=False)
     return back.select(F.col("record_id").cast(kind).alias(id_column), "payload_bytes", "payload_digest", "record_type",
                        F.col("refers_to").cast(kind).alias("refers_to"))
