@@ -19,11 +19,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def few_files(df: DataFrame) -> DataFrame:
-    """At most two partitions per core of the cluster.  A task goes through its
-    partitions one after the other, so it needs no more memory; small tables are
-    not spread over as many files as there are shuffle partitions."""
-    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+def few_files(df: DataFrame, per_core: int = 1) -> DataFrame:
+    """At most ``per_core`` partitions for each core of the cluster.  A task goes
+    through its shuffle partitions one after the other, so it needs no more memory;
+    a result is not spread over as many files as there are shuffle partitions."""
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def written(df: DataFrame, name: str, few: bool = True) -> DataFrame:

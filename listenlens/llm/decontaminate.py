@@ -109,4 +109,5 @@ def remove(docs: DataFrame, items: DataFrame, text: str = "text", **how) -> Data
     own = names[docs.columns.index(text)]
     keyed = docs.toDF(*names).withColumn("_blob", F.sha2(text_or_empty(own), 256))
     leaks = written(contained(keyed, items, "_blob", own, **how).select("id").distinct(), "leak-texts")
-    return keyed.join(leaks, F.col("_blob") == F.col("id"), "left_anti").select(*names).toDF(*docs.columns)
+    kept = keyed.join(leaks, F.col("_blob") == F.col("id"), "left_anti")
+    return few_files(kept, 2).select(*names).toDF(*docs.columns)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import py_texts, written
+from listenlens.llm.common import few_files, py_texts, written
 from listenlens.llm.components import connected_components
 
 SEED = 42
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     member = written(member, "simhash-member")
     class_id = written(member.groupBy("root").agg(F.min("least").alias("component")), "simhash-class")
     of_print = written(member.join(class_id, "root").select("fp", "component"), "simhash-of")
-    return prints.join(of_print, "fp").select("id", "fp", "component")
+    return few_files(prints.join(of_print, "fp"), 2).select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -254,4 +254,5 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     names = [f"c{i}" for i in range(len(docs.columns))]
     own, body = names[docs.columns.index(id_column)], names[docs.columns.index(text)]
     kept = docs.toDF(*names).join(gone, F.col(own) == F.col("id"), "left_anti")
-    return kept.withColumn("_h", F.sha2(F.col(body), 256)).dropDuplicates([own, "_h"]).select(*names).toDF(*docs.columns)
+    kept = kept.withColumn("_h", F.sha2(F.col(body), 256)).dropDuplicates([own, "_h"])
+    return few_files(kept, 2).select(*names).toDF(*docs.columns)

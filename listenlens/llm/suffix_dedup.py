@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import text_or_empty, written
+from listenlens.llm.common import few_files, text_or_empty, written
 
 WINDOW, GRAM = 200, 32  # GRAM: a power of two
 REACH = WINDOW - GRAM  # most bytes from a window's start to its sample place
@@ -418,4 +418,4 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
                 pa.array(c, pa.int64()) if i < 3 else pa.array(c, pa.string() if i == 3 else pa.binary())
                 for i, c in enumerate(columns)], names=schema.names)
 
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_column)
+    return few_files(rows.mapInArrow(run, schema), 2).withColumnRenamed("id", id_column)
