@@ -79,35 +79,51 @@ def sketches(shingles: DataFrame, threshold: float, sizes: list[int]) -> DataFra
     return rows.withColumn("r", rank).where(F.col("r") <= F.col("k")).select("h", "item").distinct()
 
 
+def _needed(n_shingles: Column, threshold: float) -> Column:
+    return F.ceil(n_shingles * F.lit(threshold) - F.lit(1e-9))
+
+
+def candidates(source: DataFrame, items: DataFrame, item_column: str, item_text: str, shingle: int,
+               threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``(id, item)`` pairs of ``(id, text)`` rows that share a sketch hash, and the
+    items' ``(item, size, shingles)``; both written."""
+    of_item = written(item_shingles(items, item_column, item_text, shingle), "leak-items")
+    sizes = sorted(r["size"] for r in of_item.select("size").distinct().collect()) or [shingle]  # ``shingle`` values at most
+    sketch = written(sketches(of_item, threshold, sizes), "leak-sketch")
+    hashed = source.select("id", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("wh"))
+    found = hashed.select("id", F.explode(F.concat(*(shingle_hashes(F.col("wh"), n) for n in sizes))).alias("h"))
+    return written(found.join(sketch, "h").select("id", "item").distinct(), "leak-candidates"), of_item
+
+
 def contained(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text",
               item_column: str = "item_id", item_text: str = "text", shingle: int = SHINGLE,
               threshold: float = THRESHOLD) -> DataFrame:
     """``(id, item, n_shared, n_shingles, containment)`` of contained items."""
-    of_item = written(item_shingles(items, item_column, item_text, shingle), "leak-items")
-    sizes = sorted(r["size"] for r in of_item.select("size").distinct().collect())  # at most ``shingle`` values
     source = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
-    if not sizes:
-        sizes = [shingle]
-    sketch = written(sketches(of_item, threshold, sizes), "leak-sketch")
-    hashed = source.select("id", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("wh"))
-    found = hashed.select("id", F.explode(F.concat(*(shingle_hashes(F.col("wh"), n) for n in sizes))).alias("h"))
-    candidates = written(found.join(sketch, "h").select("id", "item").distinct(), "leak-candidates")
-    text_of = candidates.withColumnRenamed("id", "_id").join(source, F.col("_id").eqNullSafe(F.col("id"))).select(
+    pairs, of_item = candidates(source, items, item_column, item_text, shingle, threshold)
+    text_of = pairs.withColumnRenamed("id", "_id").join(source, F.col("_id").eqNullSafe(F.col("id"))).select(
         "id", "item", words(F.col("text")).alias("w"))
     shared = F.size(F.array_intersect("shingles", shingle_texts(F.col("w"), F.col("size"))))
     verified = text_of.join(of_item, "item").select(
         "id", "item", shared.cast("long").alias("n_shared"), F.size("shingles").cast("long").alias("n_shingles"))
-    return few_files(verified.where(F.col("n_shared") >= F.ceil(F.col("n_shingles") * F.lit(threshold) - F.lit(1e-9))).groupBy(
-        "id", "item").agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles")).withColumn(
+    return few_files(verified.where(F.col("n_shared") >= _needed(F.col("n_shingles"), threshold)).groupBy("id", "item").agg(
+        F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles")).withColumn(
             "containment", F.col("n_shared") / F.col("n_shingles")))
 
 
-def remove(docs: DataFrame, items: DataFrame, text: str = "text", **how) -> DataFrame:
+def remove(docs: DataFrame, items: DataFrame, text: str = "text", item_column: str = "item_id", item_text: str = "text",
+           shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that contain an item, all columns unchanged.  Rows
-    are judged by their text, so repeated or null ids decide nothing."""
+    are judged by their text, so repeated or null ids decide nothing.  The texts
+    meet their candidate items' shingles in one join, where they are verified."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    own = names[docs.columns.index(text)]
-    keyed = docs.toDF(*names).withColumn("_blob", F.sha2(text_or_empty(own), 256))
-    leaks = written(contained(keyed, items, "_blob", own, **how).select("id").distinct(), "leak-texts")
-    kept = keyed.join(leaks, F.col("_blob") == F.col("id"), "left_anti")
+    body = text_or_empty(names[docs.columns.index(text)])
+    address = F.unhex(F.substring(F.sha2(body, 256), 1, 32))  # 128 bits
+    keyed = docs.toDF(*names).withColumn("_text", body).withColumn("_address", address)
+    pairs, of_item = candidates(keyed.select(F.col("_address").alias("id"), F.col("_text").alias("text")), items,
+                                item_column, item_text, shingle, threshold)
+    asked = pairs.join(of_item, "item").groupBy("id").agg(F.collect_list(F.struct("size", "shingles")).alias("_asked"))
+    leaks = F.exists("_asked", lambda a: F.size(F.array_intersect(
+        a["shingles"], shingle_texts(words(F.col("_text")), a["size"]))) >= _needed(F.size(a["shingles"]), threshold))
+    kept = keyed.join(asked, F.col("_address") == F.col("id"), "left").where(F.col("_asked").isNull() | ~leaks)
     return few_files(kept, 2).select(*names).toDF(*docs.columns)
