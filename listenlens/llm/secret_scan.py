@@ -173,16 +173,19 @@ def redact(docs: DataFrame, ledger: BlobLedger | None = None, rules=RULES, mark:
             .withColumn("new", (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int"))
             .withColumn("island", F.sum("new").over(island))
             .groupBy("blob", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-            .groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts")))
-    cuts = written(cuts, "ledger-cuts")
+            .groupBy("blob").agg(F.array_sort(F.collect_list(F.struct(
+                F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")))).alias("cuts")))
+    short = lambda blob: F.unhex(F.substring(blob, 1, 32))  # noqa: E731  128 bits keep the table small
+    cuts = written(cuts.select(short(F.col("blob")).alias("blob"), "cuts"), "ledger-cuts")
     names = [f"c{i}" for i in range(len(docs.columns))]
     body = names[docs.columns.index(text)]
-    rows = docs.toDF(*names).withColumn("blob", F.sha2(text_or_empty(body), 256)).join(cuts, "blob", "left")
+    rows = docs.toDF(*names).withColumn(
+        "blob", short(F.sha2(text_or_empty(body), 256))).join(cuts, "blob", "left")
     # what stays: before the first cut, between cuts, after the last
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("cuts", lambda c: c["end"]))
-    starts = F.concat(F.transform("cuts", lambda c: c["start"]), F.array(F.length(body).cast("long")))
+    ends = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c["end"]))
+    starts = F.concat(F.transform("cuts", lambda c: c["start"]), F.array(F.length(body)))
     kept = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda p: F.substring(
-        F.col(body), (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")))
+        F.col(body), p["a"] + 1, p["b"] - p["a"]))
     clean = F.when(F.col("cuts").isNotNull(), F.array_join(kept, mark)).otherwise(F.col(body))
     rows = rows.withColumn(body, clean)
     if "n_chars" in docs.columns:
