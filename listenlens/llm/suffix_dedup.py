@@ -24,6 +24,10 @@ on the input; they never cross documents.
 The sample order comes from the external sort rather than from a further level
 of induction: windows are bounded, so right contexts of ``WINDOW`` bytes settle it.
 
+A hash that more than ``hot_rows`` places share (a passage of very many texts) is
+not given to one task: its windows are counted by a 128-bit hash, combined on the
+map side, and those that occur twice are joined back.
+
 Texts are addressed by a 128-bit hash: copies of a text are sorted once, and a
 text with copies is removed as a whole (if it has ``WINDOW`` bytes).
 
@@ -50,26 +54,33 @@ from pyspark.sql import types as T
 
 from listenlens.llm.common import few_files, text_or_empty, written
 
-WINDOW, GRAM = 200, 32  # GRAM: a power of two
+WINDOW, GRAM = 200, 32  # GRAM
 REACH = WINDOW - GRAM  # most bytes from a window's start to its sample place
 CHUNK = 1 << 18  # bytes hashed at once
 BLOCK = 1 << 22  # windows of one text handled at once
 MEMORY_ROWS = 1 << 17
 _POSITION = np.uint64((1 << 24) - 1)
-_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE, _BYTE_2 = np.random.default_rng(20).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the ``GRAM`` bytes from each position."""
-    x, step, power = _BYTE[data], 1, np.uint64(0x9E3779B97F4A7C15)
+def string_hashes(data: np.ndarray, length: int, table: np.ndarray = _BYTE, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """A 64-bit hash of the ``length`` bytes from each position: polynomial hashes of
+    1, 2, 4, ... bytes, put together by the binary digits of ``length``."""
+    n = len(data) - length + 1
+    x, step, power = table[data], 1, np.uint64(base)
+    out, done = np.zeros(n, np.uint64), 0
     with np.errstate(over="ignore"):
-        while step < GRAM:
-            x = x[:-step] * power + x[step:]
+        while step <= length:
+            if length & step:
+                out = out * power + x[done:done + n]
+                done += step
+            if 2 * step <= length:
+                x = x[:-step] * power + x[step:]
             step, power = 2 * step, power * power
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(29)
-    return x
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(29)
+    return out
 
 
 def sample_places(data: np.ndarray, bounds: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
@@ -82,7 +93,7 @@ def sample_places(data: np.ndarray, bounds: list[tuple[int, int]]) -> tuple[np.n
     at = np.flatnonzero(valid)
     if not len(at):
         return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64))
-    hashes = gram_hashes(data)
+    hashes = string_hashes(data, GRAM)
     least, span, wide = (hashes & ~_POSITION) | np.arange(len(hashes), dtype=np.uint64), 1, REACH + 1
     while 2 * span <= wide:
         least = np.minimum(least[:-span], least[span:])
@@ -212,6 +223,27 @@ def contexts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, _CONTEXTS)
 
 
+_WINDOWS = T.StructType([T.StructField(n, T.LongType()) for n in ("ra", "rb", "start", "w1", "w2")])
+
+
+def hot_windows(texts: DataFrame) -> DataFrame:
+    """``(ra, rb, start, w1, w2)``: every window of the places in ``at`` with its
+    128-bit hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ra, rb, text, at in zip(*batch.columns):
+                raw = text.as_py().encode()
+                for x in at.as_py():
+                    p, least, most = x["packed"] >> 16, x["packed"] >> 8 & 255, x["packed"] & 255
+                    data = np.frombuffer(raw[p - most:p - least + WINDOW], np.uint8)
+                    w1, w2 = string_hashes(data, WINDOW), string_hashes(data, WINDOW, _BYTE_2, 0xC2B2AE3D27D4EB4F)
+                    yield _batch(_WINDOWS, np.full(len(w1), ra.as_py()), np.full(len(w1), rb.as_py()),
+                                 np.arange(p - most, p - least + 1), w1.view(np.int64), w2.view(np.int64))
+
+    return texts.mapInArrow(run, _WINDOWS)
+
+
 class Shard:
     """Rows of whole hashes in sorted order: bytes as one matrix, in memory or,
     beyond ``MEMORY_ROWS``, in a file."""
@@ -377,28 +409,42 @@ def _addressed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return own.withColumn("ra", F.xxhash64("text")).withColumn("rb", F.xxhash64(F.lit("second"), "text"))
 
 
-def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+                       hot_rows: int = 100_000) -> DataFrame:
     """``(ra, rb, whole, parts)`` of the texts that lose bytes: whether all of
-    them, else the stretches (start, length)."""
+    them, else the stretches (start, length).  Hashes with over ``hot_rows`` places
+    are not sorted in one task: their windows are counted by hash instead."""
     texts = _addressed(docs, id_column, text)
     by_text = written(texts.groupBy("ra", "rb").agg(F.count("*").alias("n"), F.min("id").alias("carrier")), "suffix-texts")
     found = written(repeated(places(texts.select("ra", "rb", "text"))), "suffix-places")
-    wanted = found.where("packed >= 0").groupBy("ra", "rb").agg(F.collect_list(F.struct("packed", "h")).alias("at"))
-    wanted = written(wanted.join(by_text, ["ra", "rb"]).select("ra", "rb", "carrier", "at"), "suffix-wanted")
-    carried = texts.join(wanted.withColumnRenamed("ra", "_a").withColumnRenamed("rb", "_b"), (F.col("ra") == F.col("_a"))
-                         & (F.col("rb") == F.col("_b")) & F.col("id").eqNullSafe(F.col("carrier"))).select("ra", "rb", "text", "at")
+    hot = written(found.where("packed >= 0").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("h"),
+                  "suffix-hot")
+    at_places = found.where("packed >= 0")
+
+    def carried(rows: DataFrame, name: str) -> DataFrame:
+        """The texts with their places in ``rows``, each text from one document."""
+        at = rows.groupBy("ra", "rb").agg(F.collect_list(F.struct("packed", "h")).alias("at"))
+        at = written(at.join(by_text, ["ra", "rb"]).select(F.col("ra").alias("_a"), F.col("rb").alias("_b"), "carrier", "at"), name)
+        return texts.join(at, (F.col("ra") == F.col("_a")) & (F.col("rb") == F.col("_b"))
+                          & F.col("id").eqNullSafe(F.col("carrier"))).select("ra", "rb", "text", "at")
+
+    windows = hot_windows(carried(at_places.join(hot, "h", "left_semi"), "suffix-hot-wanted"))
+    counted = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2"), "suffix-hot-windows")
+    of_hot = windows.join(counted, ["w1", "w2"]).select("ra", "rb", "start", F.lit(WINDOW).cast("long").alias("length"))
     own = found.where("packed < 0").select("ra", "rb", F.expr("shiftright(-1 - packed, 31)").alias("start"),
                                            F.expr("(-1 - packed) & 2147483647").alias("length"))
-    shared = stretches(contexts(carried).repartition("h").sortWithinPartitions("h", "right"))
-    parts = shared.unionByName(own).groupBy("ra", "rb").agg(F.collect_set(F.struct("start", "length")).alias("parts"))
+    shared = stretches(contexts(carried(at_places.join(hot, "h", "left_anti"), "suffix-wanted"))
+                       .repartition("h").sortWithinPartitions("h", "right"))
+    parts = shared.unionByName(own).unionByName(of_hot).groupBy("ra", "rb").agg(F.collect_set(F.struct("start", "length")).alias("parts"))
     return by_text.select("ra", "rb", (F.col("n") > 1).alias("whole")).join(parts, ["ra", "rb"], "left").where(
         "whole OR parts IS NOT NULL")
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", with_kept: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", with_kept: bool = False,
+                   hot_rows: int = 100_000) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256[, kept])`` of every row;
     kept: the remaining bytes."""
-    lost = written(repeated_stretches(docs, id_column, text), "suffix-lost")
+    lost = written(repeated_stretches(docs, id_column, text, hot_rows), "suffix-lost")
     rows = _addressed(docs, id_column, text).join(lost, ["ra", "rb"], "left").select("id", "text", "whole", "parts")
     schema = T.StructType([rows.schema["id"]] + [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
                           + [T.StructField("kept_sha256", T.StringType())] + [T.StructField("kept", T.BinaryType())] * with_kept)
