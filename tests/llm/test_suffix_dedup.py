@@ -39,9 +39,10 @@ def planted():
     ]
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [100_000, 3, 0])
+def test_matches_brute_force(spark, hot_rows):
     rows = [r for r in AWKWARD if r[0] != 10] + planted()
-    got = suffix_dedup.remove_repeats(table(spark, rows))
+    got = suffix_dedup.remove_repeats(table(spark, rows), hot_rows=hot_rows)
     want = brute(rows)
     assert by_key(got.collect()) == by_key(want)
     assert sum(0 < w[2] < w[1] for w in want) >= 8
@@ -90,6 +91,18 @@ def test_induced_windows_in_memory_and_on_disk(tmp_path, monkeypatch, memory_row
     assert found > 50
 
 
+@pytest.mark.parametrize("length", [1, 2, 3, 32, 200, 137])
+def test_string_hashes_follow_the_bytes(length):
+    rng = np.random.default_rng(length)
+    data = np.concatenate([rng.integers(0, 4, 400), rng.integers(0, 256, 300)]).astype(np.uint8)
+    data = np.concatenate([data, data[100:500]])
+    by_hash, by_bytes = {}, {}
+    for i, h in enumerate(suffix_dedup.string_hashes(data, length)):
+        by_hash.setdefault(int(h), set()).add(i)
+        by_bytes.setdefault(data[i:i + length].tobytes(), set()).add(i)
+    assert sorted(map(sorted, by_hash.values())) == sorted(map(sorted, by_bytes.values()))
+
+
 def test_sample_places_depend_on_the_window_alone():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 100, 5000).astype(np.uint8)
