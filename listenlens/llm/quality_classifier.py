@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
         F.col(id_column).alias("id"), F.col(label).cast("double").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
     sample = written(chosen, "quality-labels")
     found = docs.join(sample.select(F.col("id").alias("_id")).distinct(), F.col(id_column) == F.col("_id"), "left_semi")
-    train = written(statistics(found, id_column, text).join(sample, "id"), "quality-train")
+    train = written(statistics(found, id_column, text).join(sample, "id"), "quality-train", few=False)
     classes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         share = next(iter(classes), 0.5)
