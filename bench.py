@@ -26,7 +26,8 @@ HEADLINE = [
     "negative_samples", "item_cosine", "recommend_all", "precision_at_10", "recommend_titles",
     "lyrics_postings", "theme_chart", "similar_words", "theme_chart_expanded", "cosine_top_k",
     "user_profile", "taste_vector", "content_recommend", "training_set", "stratified_split",
-    "classified_theme_chart", "svd_recommend", "als_recommend",
+    "classified_theme_chart", "svd_recommend", "als_recommend", "bow_features", "theme_classifier",
+    "classifier_accuracy",
 ]
 
 

@@ -7,7 +7,6 @@ functions   column expressions and small DataFrame helpers (hashing, vectors, in
 operators   charts, themes, interactions, similarity, recommendation, evaluation,
             classification, factor models and content vectors
 plans       named queries (Spark) and their SQL oracles
-streaming   incremental charts over a stream of play files
 """
 
 from listenlens.session import get_spark, ensure_checkpoint_dir

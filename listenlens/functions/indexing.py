@@ -26,22 +26,22 @@ def dense_index(df: DataFrame, order, name: str = "idx", base: int = 0,
     then the result is deterministic and survives recomputation.
     """
     exprs = _sort_exprs(order)
-    # without an explicit count AQE may merge adjacent small ranges (order kept);
-    # written once: the numbering and the per-partition counts must see the same
-    # ranges, which must not depend on whether Spark reuses the exchange
+    # one shuffle: rows are sorted inside their range and numbered there by the
+    # row's place in its partition (the low 33 bits of the id); written once, so
+    # the numbers and the ranges' sizes cannot differ
     ranged = df.repartitionByRange(num_partitions, *exprs) if num_partitions else df.repartitionByRange(*exprs)
-    ranged = materialize(ranged.withColumn("_ll_pid", F.spark_partition_id()))
-    numbered = ranged.withColumn(
-        "_ll_rn", F.row_number().over(Window.partitionBy("_ll_pid").orderBy(*exprs)))
-    counts = ranged.groupBy("_ll_pid").agg(F.count(F.lit(1)).alias("_ll_n"))
+    placed = materialize(ranged.sortWithinPartitions(*exprs).withColumn("_ll_at", F.monotonically_increasing_id()))
+    placed = placed.select(*df.columns, F.shiftright("_ll_at", 33).alias("_ll_pid"),
+                           F.col("_ll_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("_ll_rn"))
+    counts = placed.groupBy("_ll_pid").agg(F.count(F.lit(1)).alias("_ll_n"))
     # one row per partition: a global window here is bounded by the partition count
     offsets = counts.select(
         "_ll_pid",
         F.coalesce(F.sum("_ll_n").over(
             Window.orderBy("_ll_pid").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("_ll_off"))
-    return (numbered.join(F.broadcast(offsets), "_ll_pid")
-            .withColumn(name, (F.col("_ll_off") + F.col("_ll_rn") - 1 + F.lit(base)).cast("long"))
+    return (placed.join(offsets, "_ll_pid")
+            .withColumn(name, (F.col("_ll_off") + F.col("_ll_rn") + F.lit(base)).cast("long"))
             .drop("_ll_pid", "_ll_rn", "_ll_off"))
 
 

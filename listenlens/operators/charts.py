@@ -38,8 +38,14 @@ def plays_with_tracks(plays: DataFrame, tracks: DataFrame, cols: Iterable[str] |
     return joined.select(*cols) if cols else joined
 
 
-def track_totals(plays: DataFrame, tracks: DataFrame, song_ids=None) -> DataFrame:
-    """A1: ``(track_id, title, artist, play_count)`` summed over plays ⋈ tracks."""
+def track_totals(plays: DataFrame, tracks: DataFrame, song_ids=None, track_ids: DataFrame | None = None) -> DataFrame:
+    """A1: ``(track_id, title, artist, play_count)`` summed over plays ⋈ tracks.
+
+    ``track_ids``: a ``track_id`` table; only these tracks are totalled, and plays
+    of other songs are dropped before they are summed."""
+    if track_ids is not None:
+        tracks = tracks.join(track_ids.select("track_id").distinct(), "track_id", "left_semi")
+        plays = plays.join(tracks.select("song_id").distinct(), "song_id", "left_semi")
     per_song = plays.groupBy("song_id").agg(F.sum("play_count").alias("_song_plays"))
     return (per_song.join(restrict_songs(tracks, song_ids), "song_id")
             .groupBy("track_id", "title", "artist")
@@ -64,8 +70,8 @@ def genre_list(genres: DataFrame) -> DataFrame:
 def top_by_genre(plays: DataFrame, tracks: DataFrame, genres: DataFrame, pattern: str,
                  n: int = 100) -> DataFrame:
     """Chart of the tracks whose genre is ``LIKE pattern``."""
-    totals = track_totals(plays, tracks)
-    hits = totals.join(genres.where(F.col("genre").like(pattern)).select("track_id"), "track_id")
+    chosen = genres.where(F.col("genre").like(pattern)).select("track_id")
+    hits = track_totals(plays, tracks, track_ids=chosen).join(chosen, "track_id")
     return hits.orderBy(*_ranked(hits)).limit(n).select(*CHART_COLUMNS)
 
 

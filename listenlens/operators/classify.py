@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from listenlens.functions.columns import md5_order
 from listenlens.functions.ranking import rank_within
 from listenlens.operators import charts
+from listenlens.session import materialize
 
 LABEL = "theme"
 
@@ -69,22 +70,15 @@ def bow_features(postings: DataFrame, vocabulary: DataFrame, tracks: DataFrame |
     return out.select("track_id", "word_index", "count")
 
 
-def feature_vectors(features: DataFrame, size: int) -> DataFrame:
-    """Long features → ``(track_id, features: SparseVector)``.
+def hashed_vectors(documents: DataFrame, words: str = "words", size: int = 1 << 18) -> DataFrame:
+    """D8 for the model: ``(track_id, features)`` from each track's word list.
 
-    One row per track; the per-track word list is bounded by the track's
-    distinct words.  Building the vector object is a tiny per-track helper.
-    """
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    @F.udf(VectorUDT())
-    def to_vector(idx, vals):
-        order = sorted(range(len(idx)), key=lambda i: idx[i])
-        return SparseVector(size, [idx[i] - 1 for i in order], [float(vals[i]) for i in order])
-
-    grouped = features.groupBy("track_id").agg(
-        F.collect_list("word_index").alias("_i"), F.collect_list("count").alias("_v"))
-    return grouped.select("track_id", to_vector("_i", "_v").alias("features"))
+    Spark ML's ``HashingTF`` counts the words into ``size`` buckets inside the JVM:
+    no vocabulary, no join on a word, no Python.  Lists of one track are counted
+    together when the caller has put them into one row."""
+    from pyspark.ml.feature import HashingTF
+    return HashingTF(numFeatures=size, inputCol=words, outputCol="features").transform(
+        documents.where(F.col(words).isNotNull())).select("track_id", "features")
 
 
 def fit(train: DataFrame, vectors: DataFrame, model: str = "logistic", max_iter: int = 100,
@@ -99,8 +93,8 @@ def fit(train: DataFrame, vectors: DataFrame, model: str = "logistic", max_iter:
     from pyspark.ml.feature import IndexToString, StringIndexer
 
     weights = class_weights(train).select(LABEL, F.col("weight").alias("_w"))
-    # one row per class: bounded by the number of labels
-    data = train.join(vectors, "track_id").join(F.broadcast(weights), LABEL)
+    # read by the label indexer and by every iteration of the fit
+    data = materialize(train.join(vectors, "track_id").join(weights, LABEL))
     indexer = StringIndexer(inputCol=LABEL, outputCol="_y", stringOrderType="alphabetAsc").fit(data)
     if model == "logistic":
         clf = LogisticRegression(featuresCol="features", labelCol="_y", weightCol="_w",
@@ -129,7 +123,7 @@ def classified_chart(plays: DataFrame, tracks: DataFrame, predictions: DataFrame
     pred = predictions.select("track_id", F.col("prediction").alias("theme"))
     if theme is not None:
         pred = pred.where(F.col("theme") == theme)
-    totals = charts.track_totals(plays, tracks).join(pred, "track_id")
+    totals = charts.track_totals(plays, tracks, track_ids=pred).join(pred, "track_id")
     w = Window.partitionBy("theme").orderBy(F.desc("play_count"), F.asc("track_id"))
     return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .withColumn("rank", F.col("rank").cast("long"))
@@ -150,3 +144,8 @@ def load_model(path: str):
 def save_split(df: DataFrame, path: str) -> None:
     """K2: persist the labelled split (track ids, themes, split) as Parquet."""
     df.write.mode("overwrite").parquet(path)
+
+
+def load_split(spark, path: str) -> DataFrame:
+    """K2: the split saved by ``save_split``."""
+    return spark.read.parquet(path)

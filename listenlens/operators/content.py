@@ -20,13 +20,15 @@ user (a users × songs product), candidates are pulled exactly:
    songs are expanded;
 2. songs of a profile genre by other artists: all score ``T[genre]/√2`` and
    are needed only if that reaches the user's k-th best score from step 1
-   (exact pruning); the ``k`` smallest such ids of the genre are found among
-   its first ``2k`` positions, or — when the user's own artists crowd the head
-   of the genre — among the first ``k + (user's tracks in that genre)``;
-3. zero-score songs, only for users with fewer than ``k`` positive songs.
-
-Positions come from ``dense_index`` (range partitioned, no single-task
-window), so a genre holding a third of the catalogue is not one task.
+   (exact pruning).  The ``k`` smallest such ids lie within the ``k`` first
+   (artist, genre) pairs, by smallest id, whose artist is not the user's; these
+   are among the genre's first ``k + (user's artists)`` pairs;
+3. zero-score songs for users with fewer than ``k`` positive songs: among the
+   catalogue's first ``2k`` songs.
+
+The three parts are always united (an empty part costs little).  Every
+``row_number() <= n`` is planned with a map-side group limit, so a genre with a
+third of the catalogue is cut down before the shuffle.
 """
 
 from __future__ import annotations
@@ -36,7 +38,6 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listenlens.functions.indexing import dense_index
 from listenlens.session import materialize
 
 U = "user_id"
@@ -59,6 +60,11 @@ def save_artist_genre(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def load_artist_genre(spark, path: str) -> DataFrame:
+    """The rows saved by ``save_artist_genre``."""
+    return spark.read.parquet(path).select("track_id", "genre", "artist")
+
+
 def user_profile(plays: DataFrame, tracks: DataFrame, genres: DataFrame, user_id=None,
                  min_plays: int = 10) -> DataFrame:
     """Tracks a user played at least ``min_plays`` times, with
@@ -103,24 +109,32 @@ def song_vectors_of_profile(profile: DataFrame) -> DataFrame:
 
 def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFrame:
     """``(user_id, track_id, genre, artist, score, rank)``; score rounded to
-    6 digits, ties by ``track_id`` then ``genre``; heard songs stay in."""
-    taste = materialize(taste_vector(profile))
-    cat = materialize(catalogue.select("track_id", "genre", "artist").distinct())
+    6 digits, ties by ``track_id`` then ``genre``; heard songs stay in.  An empty
+    profile or catalogue gives no rows."""
+    taste = materialize(taste_vector(profile))  # six reads of the profile otherwise
+    cat = catalogue.select("track_id", "genre", "artist").distinct()
     ta = taste.where(F.col("feature").startswith("artist=")).select(
         U, F.expr("substring(feature, 8)").alias("artist"), F.col("weight").alias("wa"))
     tg = taste.where(F.col("feature").startswith("genre=")).select(
         U, F.expr("substring(feature, 7)").alias("genre"), F.col("weight").alias("wg"))
-
-    combo_n = cat.groupBy("artist", "genre").agg(F.count(F.lit(1)).alias("n_ag"))
-    # per (artist, genre) the k smallest ids (WindowGroupLimit: map-side top-k)
+    combos = cat.groupBy("artist", "genre").agg(F.count(F.lit(1)).alias("n_ag"), F.min("track_id").alias("_first"))
     w_combo = Window.partitionBy("artist", "genre").orderBy("track_id")
     combo_head = cat.withColumn("_r", F.row_number().over(w_combo)).where(F.col("_r") <= k).drop("_r")
 
-    # 1. songs of the user's artists.  Ranked per (artist, genre) pair first:
-    # a pair contributes at most k songs, all with the pair's score, so only the
-    # pairs whose higher-scored predecessors hold fewer than k songs (plus ties)
-    # are expanded to songs.
-    pairs = (ta.join(combo_n, "artist").join(tg, [U, "genre"], "left")
+    c1 = _of_own_artists(ta, tg, combos, combo_head, k)
+    c2 = _of_own_genres(ta, tg, combos, combo_head, c1, k)
+    c3 = _fillers(taste, ta, tg, combos, cat, k)
+    cand = c1.unionByName(c2).unionByName(c3).dropDuplicates([U, "track_id", "genre"])
+    w = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
+    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .withColumn("rank", F.col("rank").cast("long")))
+
+
+def _of_own_artists(ta: DataFrame, tg: DataFrame, combos: DataFrame, combo_head: DataFrame, k: int) -> DataFrame:
+    """Step 1.  A pair contributes at most k songs, all with the pair's score, so
+    only the pairs whose better ones hold fewer than k songs (plus ties) are
+    expanded to songs."""
+    pairs = (ta.join(combos, "artist").join(tg, [U, "genre"], "left")
              .select(U, "artist", "genre",
                      F.round((F.col("wa") + F.coalesce(F.col("wg"), F.lit(0.0))) * INV_SQRT2, 6).alias("score"),
                      F.least(F.col("n_ag"), F.lit(k)).alias("_m")))
@@ -130,88 +144,56 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
                 .rangeBetween(Window.unboundedPreceding, -1))
     needed = (pairs.withColumn("_iscore", F.round(F.col("score") * 1e6).cast("long"))
               .withColumn("_better", F.coalesce(F.sum("_m").over(w_better), F.lit(0)))
-              .where(F.col("_better") < k)
-              .select(U, "artist", "genre", "score"))
-    c1 = materialize(needed.join(combo_head, ["artist", "genre"])
-                     .select(U, "track_id", "genre", "artist", "score"))
-
-    # 2. songs of the user's genres by other artists, score T[genre]/√2.  They
-    # can only enter the top-k when that score reaches the user's k-th best
-    # artist-matched score (exact pruning; users with < k such songs keep all).
+              .where(F.col("_better") < k))
+    return needed.join(combo_head, ["artist", "genre"]).select(U, "track_id", "genre", "artist", "score")
+
+
+def _of_own_genres(ta: DataFrame, tg: DataFrame, combos: DataFrame, combo_head: DataFrame, c1: DataFrame, k: int) -> DataFrame:
+    """Step 2, for the (user, genre) pairs that can reach the user's k-th score."""
     w_user = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
     kth = (c1.withColumn("_r", F.row_number().over(w_user)).where(F.col("_r") == k)
            .select(U, F.col("score").alias("_kth")))
-    own = (ta.join(combo_n, "artist").groupBy(U, "genre").agg(F.sum("n_ag").alias("_own")))
-    ug = (tg.join(kth, U, "left")
-          .where(F.col("_kth").isNull() | (F.round(F.col("wg") * INV_SQRT2, 6) >= F.col("_kth")))
-          .join(own, [U, "genre"], "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
-          .select(U, "genre", "wg", "_own"))
-    ug = materialize(ug)
-    parts = [c1]
-    if ug.count() > 0:  # a scalar job on the written pairs
-        parts.append(_genre_only(ug, ta, cat, k))
-
-    # 3. zero-score fillers for users with fewer than k positive songs.  Every
-    # profile row has a genre, so a user has at least the songs of one genre:
-    # when the smallest genre holds k songs, no user is short.
-    genre_n = cat.groupBy("genre").agg(F.count(F.lit(1)).alias("n_g"))
-    if genre_n.agg(F.min("n_g")).first()[0] >= k:
-        return _top_k(parts, k)
-    n_artist = ta.join(combo_n, "artist").groupBy(U).agg(F.sum("n_ag").alias("_na"))
+    # how many of the genre's pairs are the user's own artists
+    n_artists = ta.join(combos, "artist").groupBy(U, "genre").agg(F.count(F.lit(1)).alias("_own"))
+    most = n_artists.agg(F.max("_own")).first()[0] or 0  # a scalar: how many pairs of a genre are ranked
+    w_genre = Window.partitionBy("genre").orderBy("_first", "artist")
+    ranked = (combos.withColumn("_at", F.row_number().over(w_genre)).where(F.col("_at") <= k + most)
+              .select("genre", "artist", "_first", "_at"))
+    asks = (tg.join(kth, U, "left").withColumn("score", F.round(F.col("wg") * INV_SQRT2, 6))
+            .where(F.col("_kth").isNull() | (F.col("score") >= F.col("_kth")))
+            .join(n_artists, [U, "genre"], "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
+            .select(U, "genre", "score", F.explode(F.sequence(F.lit(1), (F.col("_own") + k).cast("int"))).alias("_at")))
+    others = asks.join(ranked, ["genre", "_at"]).join(ta.select(U, "artist"), [U, "artist"], "left_anti")
+    w_first = Window.partitionBy(U, "genre").orderBy("_first", "artist")
+    chosen = others.withColumn("_r", F.row_number().over(w_first)).where(F.col("_r") <= k)
+    songs = chosen.select(U, "genre", "artist", "score").join(combo_head, ["artist", "genre"])
+    w_song = Window.partitionBy(U, "genre").orderBy("track_id")
+    return (songs.withColumn("_r", F.row_number().over(w_song)).where(F.col("_r") <= k)
+            .select(U, "track_id", "genre", "artist", "score"))
+
+
+def _fillers(taste: DataFrame, ta: DataFrame, tg: DataFrame, combos: DataFrame, cat: DataFrame, k: int) -> DataFrame:
+    """Step 3: the first songs that share neither artist nor genre, for users with
+    fewer than k songs that share one."""
+    genre_n = combos.groupBy("genre").agg(F.sum("n_ag").alias("n_g"))
+    n_artist = ta.join(combos, "artist").groupBy(U).agg(F.sum("n_ag").alias("_na"))
     n_genre = tg.join(genre_n, "genre").groupBy(U).agg(F.sum("n_g").alias("_ng"))
-    n_both = (ta.join(combo_n, "artist").join(tg.select(U, "genre"), [U, "genre"])
+    n_both = (ta.join(combos, "artist").join(tg.select(U, "genre"), [U, "genre"])
               .groupBy(U).agg(F.sum("n_ag").alias("_nb")))
     n_pos = (taste.select(U).distinct().join(n_artist, U, "left").join(n_genre, U, "left")
              .join(n_both, U, "left")
              .select(U, (F.coalesce("_na", F.lit(0)) + F.coalesce("_ng", F.lit(0))
                          - F.coalesce("_nb", F.lit(0))).alias("_npos")))
-    short = materialize(n_pos.where(F.col("_npos") < k))
-    if short.count() > 0:
-        gpos = dense_index(cat, ["track_id", "genre", "artist"], name="_tp")
-        parts.append(
-            short.select(U, F.explode(F.sequence(F.lit(0), F.col("_npos") + F.lit(k - 1))).alias("_tp"))
-            .join(gpos, "_tp")
+    short = n_pos.where(F.col("_npos") < k)
+    # at most 2k rows, numbered in one small task
+    head = cat.orderBy("track_id", "genre", "artist").limit(2 * k).withColumn(
+        "_tp", F.row_number().over(Window.orderBy("track_id", "genre", "artist")) - 1)
+    return (short.select(U, F.explode(F.sequence(F.lit(0), (F.col("_npos") + F.lit(k - 1)).cast("int"))).alias("_tp"))
+            .join(head, "_tp")
             .join(ta.select(U, "artist"), [U, "artist"], "left_anti")
             .join(tg.select(U, "genre"), [U, "genre"], "left_anti")
             .select(U, "track_id", "genre", "artist", F.lit(0.0).alias("score")))
 
-    return _top_k(parts, k)
-
-
-def _top_k(parts: list[DataFrame], k: int) -> DataFrame:
-    cand = parts[0]
-    for extra in parts[1:]:
-        cand = cand.unionByName(extra)
-    cand = cand.dropDuplicates([U, "track_id", "genre"])
-    w = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumn("rank", F.col("rank").cast("long")))
-
-
-def _genre_only(ug: DataFrame, ta: DataFrame, cat: DataFrame, k: int) -> DataFrame:
-    """Step 2 for the (user, genre) pairs that survive pruning."""
-    # genre positions without a per-genre window: global index, minus genre start
-    pos = dense_index(cat, ["genre", "track_id", "artist"], name="_gp")
-    start = pos.groupBy("genre").agg(F.min("_gp").alias("_g0"))
-    genre_rank = materialize(pos.join(start, "genre")
-                             .select("genre", (F.col("_gp") - F.col("_g0")).alias("_grank"),
-                                     "track_id", "artist"))
-    head = (ug.select(U, "genre", "wg", "_own",
-                      F.explode(F.sequence(F.lit(0), F.lit(2 * k - 1))).alias("_grank"))
-            .join(genre_rank, ["genre", "_grank"])
-            .join(ta.select(U, "artist"), [U, "artist"], "left_anti"))
-    enough = head.groupBy(U, "genre").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= k)
-    c2a = head.join(enough.select(U, "genre"), [U, "genre"], "left_semi")
-    rest = ug.join(enough.select(U, "genre"), [U, "genre"], "left_anti")
-    # exact fallback: the k smallest other-artist ids lie in the first k + own positions
-    c2b = (rest.select(U, "genre", "wg",
-                       F.explode(F.sequence(F.lit(0), F.col("_own") + F.lit(k - 1))).alias("_grank"))
-           .join(genre_rank, ["genre", "_grank"])
-           .join(ta.select(U, "artist"), [U, "artist"], "left_anti"))
-    return c2a.select(U, "track_id", "genre", "artist", F.round(F.col("wg") * INV_SQRT2, 6).alias("score")) \
-        .unionByName(c2b.select(U, "track_id", "genre", "artist",
-                                F.round(F.col("wg") * INV_SQRT2, 6).alias("score")))
-
 
 def save_song_vectors(vectors: DataFrame, path: str) -> None:
     """K3: persist song vectors keyed by ``track_id`` (not by row order)."""

@@ -1,93 +1,133 @@
 """Latent-factor models.
 
-SVD (M2/M3): the top-``k`` right singular vectors ``V`` of the user × item
-matrix ``X`` are the top eigenvectors of ``XᵀX``.  The Gram matrix comes from
-the distributed block product; its eigen-decomposition runs in one task, which
-is bounded by the item count (refused above ``MAX_SVD_ITEMS``).  Scores are
-``X V Vᵀ`` (= U·S·Vᵀ of the truncated SVD), again a block product.
+SVD (M2/M3): the top-``k`` right singular vectors of the user × item matrix by
+subspace iteration over long tables.  ``XᵀX V`` is two joins and two map-side
+combined aggregations; orthonormalising and the final rotation need only the
+l × l Gram matrix of the iterate (l = ``k`` + oversampling), which is all that
+reaches the driver.  There is no limit on users or items.
 
 Implicit feedback (M4/M5): Spark ML ``ALS(implicitPrefs=True)`` replaces the
-neural matrix-factorisation model; the top-k step scores every (user, item)
-with ``sigmoid(u · v)`` through the block product and drops heard items.
+neural matrix-factorisation model; lists rank ``sigmoid(u · v)`` inside the
+block product and drop heard items there.
 """
 
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.functions.columns import sigmoid
+from listenlens.functions.columns import dot, sigmoid
 from listenlens.functions.indexing import dense_index
-from listenlens.operators import blockmat, recommend
+from listenlens.operators import blockmat
 from listenlens.session import ensure_checkpoint_dir, materialize
 
 U, S, P = "user_id", "song_id", "play_count"
-MAX_SVD_ITEMS = 5_000
 
 
-def svd_projection(train: DataFrame, k: int = 20) -> tuple[DataFrame, DataFrame]:
-    """M2: ``(item_i, item_j, p)`` of ``P = V_k V_kᵀ`` and ``(component, singular_value)``.
+def _weighted_sum(entries: DataFrame, vectors: DataFrame, on: str, key: str, width: int) -> DataFrame:
+    """``(key, v)``: Σ value · vector over the entries of each key."""
+    joined = entries.join(vectors, on)
+    sums = joined.groupBy(key).agg(*(F.sum(F.col("_x") * F.col("v")[j]).alias(f"s{j}") for j in range(width)))
+    return sums.select(key, F.array(*(f"s{j}" for j in range(width))).alias("v"))
 
-    The default rank follows the survey: with ``k >= min(users, items)`` the
-    truncated SVD reproduces the training matrix and ranks unseen items by
-    rounding noise, so a warning is raised.
+
+def _gram(vectors: DataFrame, width: int) -> np.ndarray:
+    """VᵀV of ``(key, v)`` rows: a width × width matrix, summed over the tasks."""
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("g", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            m = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            total += m.T @ m
+        yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()),
+                                          pa.array(total.tolist(), pa.list_(pa.float64()))], names=schema.names)
+
+    rows = vectors.select("v").mapInArrow(run, schema).groupBy("i").agg(
+        *(F.sum(F.col("g")[j]).alias(f"g{j}") for j in range(width))).collect()
+    out = np.zeros((width, width))
+    for r in rows:
+        out[r["i"]] = r[1:]
+    return (out + out.T) / 2
+
+
+def _rotated(vectors: DataFrame, key: str, m: np.ndarray) -> DataFrame:
+    """Every row vector times the small matrix ``m``."""
+    schema = T.StructType([vectors.schema[key], T.StructField("v", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) @ m
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.tolist(), pa.list_(pa.float64()))],
+                                             names=schema.names)
+
+    return vectors.select(key, "v").mapInArrow(run, schema)
+
+
+def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, rounds: int = 30,
+                tolerance: float = 1e-7) -> tuple[DataFrame, DataFrame, list[float]]:
+    """M2: ``(users, items, singular values)``: ``users`` holds ``X V`` (= U·S) and
+    ``items`` the right singular vectors ``V``, as ``(id, v array<double>)``.
+
+    Iterates until the ``k`` values change by less than ``tolerance`` relative to
+    the largest.  With ``k >= min(users, items)`` the truncated SVD reproduces the
+    training matrix and ranks unseen items by rounding noise: a warning is raised.
     """
-    rows = materialize(train.where(F.col(P) != 0).select(U, S, P))
-    n_users = rows.select(U).distinct().count()
-    n_items = rows.select(S).distinct().count()
-    if n_items > MAX_SVD_ITEMS:
-        raise ValueError(f"{n_items} items: the eigen step is one task; use ALS for large item sets")
-    if k >= min(n_users, n_items):
-        warnings.warn(f"k={k} >= min(users, items)={min(n_users, n_items)}: full-rank SVD "
-                      "reproduces the training matrix", stacklevel=2)
-    gram = materialize(blockmat.gram(rows, row=U, col=S, val=P))
-    item_type = gram.schema["item_i"].dataType
-    schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("item_i", item_type),
-                           T.StructField("item_j", item_type), T.StructField("value", T.DoubleType()),
-                           T.StructField("component", T.IntegerType())])
-
-    def eigen(pdf: pd.DataFrame) -> pd.DataFrame:
-        items = np.unique(np.concatenate([pdf["item_i"].to_numpy(), pdf["item_j"].to_numpy()]))
-        pos = {v: i for i, v in enumerate(items)}
-        g = np.zeros((len(items), len(items)))
-        g[[pos[v] for v in pdf["item_i"]], [pos[v] for v in pdf["item_j"]]] = pdf["dot"].to_numpy()
-        vals, vecs = np.linalg.eigh((g + g.T) / 2.0)
-        top = np.argsort(-vals, kind="stable")[:k]
-        v = vecs[:, top]
-        proj = v @ v.T
-        ii, jj = np.nonzero(np.abs(proj) > 0)
-        sv = np.sqrt(np.clip(vals[top], 0.0, None))
-        return pd.concat([
-            pd.DataFrame({"kind": "p", "item_i": items[ii], "item_j": items[jj], "value": proj[ii, jj],
-                          "component": None}),
-            pd.DataFrame({"kind": "s", "item_i": None, "item_j": None, "value": sv,
-                          "component": np.arange(len(sv), dtype="int32")}),
-        ], ignore_index=True)
-
-    out = materialize(gram.groupBy(F.lit(0).alias("_one")).applyInPandas(eigen, schema))
-    projection = out.where(F.col("kind") == "p").select("item_i", "item_j", F.col("value").alias("p"))
-    singular = out.where(F.col("kind") == "s").select("component", F.col("value").alias("singular_value"))
-    return projection, singular
-
-
-def svd_scores(train: DataFrame, items: DataFrame | None = None, k: int = 20) -> DataFrame:
-    """M2: ``(user_id, song_id, score)`` of the rank-``k`` reconstruction, dense over ``items``."""
-    proj, _ = svd_projection(train, k)
-    universe = (items if items is not None else train).select(S).distinct()
-    return blockmat.multiply(train.where(F.col(P) != 0), proj, lr=U, lk=S, lv=P,
-                             rk="item_i", rc="item_j", rv="p", out_row=U, out_col=S,
-                             out_val="score", columns=universe, dense=True)
+    rows = materialize(train.where(F.col(P) != 0).select(U, S, F.col(P).cast("double").alias("_x")))
+    width = k + (oversample if oversample is not None else 2 * k)
+    draws = F.array(*(F.xxhash64(F.col(S), F.lit(j)) / F.lit(float(1 << 63)) for j in range(width)))
+    items = rows.select(S).distinct().select(S, draws.alias("v"))
+    values = np.zeros(0)
+    for _ in range(rounds):
+        users = _weighted_sum(rows, items, S, U, width)
+        items = materialize(_weighted_sum(rows, users, U, S, width))
+        # the iterate is XᵀXV of an orthonormal V: singular values of the step
+        power, q = np.linalg.eigh(_gram(items, width))
+        keep = power > max(power.max(initial=0.0), 0.0) * 1e-15  # directions above rounding noise
+        if not keep.any():
+            return users, items, []
+        width = int(keep.sum())
+        items = _rotated(items, S, q[:, keep] / np.sqrt(power[keep]))
+        now = np.sqrt(np.sqrt(power[keep][::-1]))[:k]
+        if len(now) == len(values) and np.abs(now - values).max() <= tolerance * now[0]:
+            break
+        values = now
+    items = materialize(items)
+    users = materialize(_weighted_sum(rows, items, S, U, width))
+    square, q = np.linalg.eigh(_gram(users, width))
+    turn = q[:, ::-1][:, :k]
+    if width <= k:
+        warnings.warn(f"k={k} >= rank {width}: a full-rank SVD reproduces the training matrix", stacklevel=2)
+    singular = np.sqrt(np.clip(square[::-1][:k], 0, None)).tolist()
+    return _rotated(users, U, turn), _rotated(items, S, turn), singular
+
+
+def svd_scores(train: DataFrame, pairs: DataFrame, k: int = 20) -> DataFrame:
+    """M2: ``(user_id, song_id, score)`` of the rank-``k`` reconstruction for the
+    given ``(user_id, song_id)`` pairs; unknown users and songs score 0."""
+    users, items, _ = svd_vectors(train, k)
+    known = pairs.select(U, S).join(users.withColumnRenamed("v", "_u"), U, "left").join(
+        items.withColumnRenamed("v", "_i"), S, "left")
+    return known.select(U, S, F.coalesce(dot(F.col("_u"), F.col("_i")), F.lit(0.0)).alias("score"))
+
+
+def _long(vectors: DataFrame, key: str) -> DataFrame:
+    return vectors.select(key, F.posexplode("v").alias("_f", "_x"))
 
 
 def svd_recommend(train: DataFrame, items: DataFrame | None = None, k: int = 20,
                   top: int = 10) -> DataFrame:
     """Top unseen items by SVD score (scores, not held-out plays: B2)."""
-    return recommend.top_k(recommend.unseen(svd_scores(train, items, k), train), top)
+    users, vectors, _ = svd_vectors(train, k)
+    universe = (items if items is not None else train).select(S)
+    return blockmat.top_k_product(_long(users, U), _long(vectors, S), universe, train.where(F.col(P) > 0).select(U, S),
+                                  top, lr=U, lk="_f", lv="_x", rk="_f", rc=S, rv="_x", out_row=U, out_col=S)
 
 
 def als_fit(interactions: DataFrame, rank: int = 8, max_iter: int = 10, reg: float = 0.1,
@@ -108,24 +148,31 @@ def als_fit(interactions: DataFrame, rank: int = 8, max_iter: int = 10, reg: flo
     return als.fit(data), users, items
 
 
-def als_scores(model, users: DataFrame, items: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
-    """M5: ``(user_id, song_id, score = sigmoid(u·v))`` for every user × item
-    (or × ``candidates``, a ``song_id`` table), computed as a block product of
-    the factor tables."""
-    if candidates is not None:
-        items = items.join(candidates.select(S).distinct(), S, "left_semi")
-    uf = (model.userFactors.join(users, F.col("id") == F.col("_u"))
-          .select(U, F.posexplode("features").alias("_f", "_x")))
-    itf = (model.itemFactors.join(items, F.col("id") == F.col("_i"))
-           .select(S, F.posexplode("features").alias("_f", "_x")))
-    raw = blockmat.multiply(uf, itf, lr=U, lk="_f", lv="_x", rk="_f", rc=S, rv="_x",
-                            out_row=U, out_col=S, out_val="_dot", columns=items.select(S), dense=True)
-    return raw.select(U, S, sigmoid(F.col("_dot")).alias("score"))
+def _als_vectors(model, users: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (model.userFactors.join(users, F.col("id") == F.col("_u")).select(U, F.col("features").alias("v")),
+            model.itemFactors.join(items, F.col("id") == F.col("_i")).select(S, F.col("features").alias("v")))
+
+
+def als_scores(model, users: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
+    """M5: ``(user_id, song_id, score = sigmoid(u·v))`` of the given pairs with a
+    known user and song (one user over its candidates is such a table)."""
+    uf, itf = _als_vectors(model, users, items)
+    return (pairs.select(U, S).join(uf.withColumnRenamed("v", "_a"), U).join(itf.withColumnRenamed("v", "_b"), S)
+            .select(U, S, sigmoid(dot(F.col("_a").cast("array<double>"), F.col("_b").cast("array<double>"))).alias("score")))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-x))
 
 
 def als_recommend(interactions: DataFrame, seen: DataFrame, top: int = 10,
                   candidates: DataFrame | None = None, **fit_kw) -> DataFrame:
     """Fit, score (optionally only ``candidates``), drop ``seen`` items, top-k per user."""
     model, users, items = als_fit(interactions, **fit_kw)
-    scores = als_scores(model, users, items, candidates)
-    return recommend.top_k(recommend.unseen(scores, seen), top)
+    uf, itf = _als_vectors(model, users, items)
+    universe = items.select(S)
+    if candidates is not None:
+        universe = universe.join(candidates.select(S).distinct(), S, "left_semi")
+    heard = seen.where(F.col(P) > 0).select(U, S)
+    return blockmat.top_k_product(_long(uf, U), _long(itf, S), universe, heard, top, lr=U, lk="_f", lv="_x",
+                                  rk="_f", rc=S, rv="_x", out_row=U, out_col=S, transform=_sigmoid)

@@ -8,24 +8,17 @@ yields the same rows as the first attempt.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlens.functions.columns import holdout_size, md5_fraction, md5_order
 from listenlens.functions.indexing import dense_index, label_codes
+from listenlens.functions.ranking import rank_within
 from listenlens.session import materialize
 
-# a broadcast side must have a proven bound; id lists are bounded by the
-# ``*_limit`` parameters, and we only broadcast below this many rows
-BROADCAST_MAX_ROWS = 1_000_000
-
 U, S, P = "user_id", "song_id", "play_count"
 
 
-def _bounded(df: DataFrame, limit: int) -> DataFrame:
-    return F.broadcast(df) if limit <= BROADCAST_MAX_ROWS else df
-
-
 def popular_songs(plays: DataFrame, songs_limit: int = 80) -> DataFrame:
     """A2/T4: ``(song_id, shared_users_count)``, the ``songs_limit`` songs with most
     listener rows (``count(user_id)``, not distinct), ties by ``song_id``."""
@@ -33,11 +26,9 @@ def popular_songs(plays: DataFrame, songs_limit: int = 80) -> DataFrame:
             .orderBy(F.desc("shared_users_count"), F.asc(S)).limit(songs_limit))
 
 
-def active_users(plays: DataFrame, popular: DataFrame, users_limit: int = 50,
-                 songs_limit: int = 80) -> DataFrame:
+def active_users(plays: DataFrame, popular: DataFrame, users_limit: int = 50) -> DataFrame:
     """``(user_id, shared_song_count)`` over the popular songs."""
-    songs = _bounded(popular.select(S), songs_limit)
-    return (plays.join(songs, S, "left_semi").groupBy(U)
+    return (plays.join(popular.select(S), S, "left_semi").groupBy(U)
             .agg(F.count(S).alias("shared_song_count"))
             .orderBy(F.desc("shared_song_count"), F.asc(U)).limit(users_limit))
 
@@ -46,14 +37,13 @@ def core(plays: DataFrame, songs_limit: int = 80, users_limit: int = 50) -> Data
     """Plays of the most active users on the most listened songs.
 
     ``popular`` is computed once and written (the workload inlined it twice
-    without a tie-break); so is the user list.  Both are bounded by the
-    limits, so they are broadcast, and the semi-joins are pushed below the
-    play aggregation to the scan: only the first pass reads every play.
+    without a tie-break); so is the user list.  Both hold at most their limit of
+    ids, so their written size lets Spark pick a broadcast semi-join.
     """
     popular = materialize(popular_songs(plays, songs_limit))
-    users = materialize(active_users(plays, popular, users_limit, songs_limit))
-    return (plays.join(_bounded(users.select(U), users_limit), U, "left_semi")
-            .join(_bounded(popular.select(S), songs_limit), S, "left_semi")
+    users = materialize(active_users(plays, popular, users_limit))
+    return (plays.join(users.select(U), U, "left_semi")
+            .join(popular.select(S), S, "left_semi")
             .select(U, S, P))
 
 
@@ -62,19 +52,11 @@ def user_item_matrix(rows: DataFrame) -> DataFrame:
     return rows.groupBy(U, S).agg(F.avg(P).alias(P))
 
 
-def pivot(rows: DataFrame, max_columns: int = 10_000) -> DataFrame:
+def pivot(rows: DataFrame, songs: list[str]) -> DataFrame:
     """A7 (wide form, on request): user × song matrix, mean, 0 where missing.
 
-    Only for bounded item sets (a core); Spark's pivot refuses more than
-    ``max_columns`` distinct songs.
-    """
-    songs = rows.select(S).distinct()
-    n = songs.count()
-    if n > max_columns:
-        raise ValueError(f"{n} songs: a wide matrix is only built for a bounded core")
-    values = [r[0] for r in songs.orderBy(S).collect()]  # at most max_columns ids
-    wide = rows.groupBy(U).pivot(S, values).agg(F.avg(P))
-    return wide.na.fill(0.0)
+    The caller names the columns; a core has at most ``songs_limit`` of them."""
+    return rows.groupBy(U).pivot(S, songs).agg(F.avg(P)).na.fill(0.0)
 
 
 def positive(rows: DataFrame) -> DataFrame:
@@ -104,15 +86,14 @@ def holdout_split(rows: DataFrame, test_size: float = 0.2, min_items: int = 5,
     """Per user with at least ``min_items`` positive items, move
     ``max(1, int(n * test_size))`` of them (seeded md5 order) to ``test``.
 
-    Adds ``split``.  The window is per user; a user's rows are at most the
-    number of distinct songs, since (user, song) pairs are unique.
+    Adds ``split``.  Ranks come from ``rank_within``, so a user with a large share
+    of the rows is spread over all tasks.
     """
-    w = Window.partitionBy(U)
-    ranked = (positive(rows)
-              .withColumn("_n", F.count(F.lit(1)).over(w))
-              .withColumn("_rn", F.row_number().over(w.orderBy(md5_order(U, S, seed=seed), S))))
+    keyed = positive(rows).withColumn("_h", md5_order(U, S, seed=seed))
+    n = keyed.groupBy(U).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = rank_within(keyed, U, ["_h", S], name="_rn").join(n, U)
     is_test = (F.col("_n") >= min_items) & (F.col("_rn") <= holdout_size(F.col("_n"), test_size))
-    return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_n", "_rn")
+    return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_n", "_rn", "_h")
 
 
 def random_split(rows: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
@@ -129,28 +110,28 @@ def negative_samples(rows: DataFrame, items: DataFrame | None = None, seed: int
     Exact, without retry caps: the draw ``r = floor(f * n_unseen)`` is mapped to
     the r-th unheard song index.  With u's heard indices sorted as
     ``s_0 < s_1 < ...``, the gaps ``s_p - p`` are non-decreasing and the r-th
-    unheard index is ``r + #{p : s_p - p <= r}`` — a running count in a
-    per-user window over gaps and draws (``O(n log n)`` per user).  A user who
-    heard every song gets no negative row.  ``items`` is the song universe
-    (default: songs of ``rows``).
+    unheard index is ``r + #{p : s_p - p <= r}``.  That count is the draw's rank
+    among u's gaps and draws together, less its rank among the draws; ranks come
+    from ``rank_within``, so no user is one task.  A user who heard every song gets
+    no negative row.  ``items`` is the song universe (default: songs of ``rows``).
     """
     pos = positive(rows).select(U, S)
     universe = (items if items is not None else pos).select(S).distinct()
     idx = dense_index(universe, [S], name="_ii")
     m = idx.count()  # a scalar job; nothing but the number reaches the driver
     heard = pos.join(idx, S)
-    w_user = Window.partitionBy(U)
-    gaps = (heard.withColumn("_p", F.row_number().over(w_user.orderBy("_ii")) - 1)
-            .select(U, (F.col("_ii") - F.col("_p")).alias("_key"), F.lit(0).alias("_kind")))
-    draws = (heard.withColumn("_unseen", F.lit(m) - F.count(F.lit(1)).over(w_user))
+    n = pos.groupBy(U).agg(F.count(F.lit(1)).alias("_n"))
+    gaps = rank_within(heard, U, ["_ii"], name="_p").select(
+        U, (F.col("_ii") - F.col("_p") + 1).alias("_key"), F.lit(0).alias("_kind"), F.col("_ii").alias("_tie"),
+        F.lit(0).cast("long").alias("_d"))
+    draws = (heard.join(n, U).withColumn("_unseen", F.lit(m) - F.col("_n"))
              .where(F.col("_unseen") > 0)
              .select(U, F.floor(md5_fraction(U, S, F.lit("neg"), seed=seed) * F.col("_unseen"))
-                     .alias("_key"), F.lit(1).alias("_kind")))
-    running = Window.partitionBy(U).orderBy("_key", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (gaps.unionByName(draws)
-              .withColumn("_below", F.sum(1 - F.col("_kind")).over(running))
+                     .alias("_key"), F.lit(1).alias("_kind"), F.col("_ii").alias("_tie")))
+    draws = rank_within(draws, U, ["_key", "_tie"], name="_d")
+    placed = (rank_within(gaps.unionByName(draws), U, ["_key", "_kind", "_tie"], name="_r")
               .where(F.col("_kind") == 1)
-              .select(U, (F.col("_key") + F.col("_below")).alias("_ii")))
+              .select(U, (F.col("_key") + F.col("_r") - F.col("_d")).alias("_ii")))
     negatives = placed.join(idx, "_ii").select(U, S, F.lit(0.0).cast("float").alias("label"))
     positives = pos.select(U, S, F.lit(1.0).cast("float").alias("label"))
     return positives.unionByName(negatives)

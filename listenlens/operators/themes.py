@@ -3,9 +3,8 @@
 
 A track belongs to a theme when ``theme words / all words > threshold`` and
 ``theme words >= min_words``; all words include stop words, theme words
-never are stop words.  Scoring is a broadcast join of the postings with the
-(small, bounded) theme-word table plus one aggregation per track — a word
-count, with map-side partial aggregation, so hot words do not skew it.
+never are stop words.  Scoring is a join of the postings with the theme-word
+table plus map-side combined word counts, so hot words do not skew it.
 """
 
 from __future__ import annotations
@@ -31,11 +30,6 @@ THRESHOLD, MIN_WORDS, CHART_SIZE, TOP_N = 0.063, 4, 50, 10
 OLDER_BASELINE = (0.065, 5)
 OLDER_EXPANDED = (0.07, 5)
 
-# a lexicon is a small in-memory dict; refuse to broadcast absurd ones
-MAX_LEXICON_ROWS = 1_000_000
-MAX_THEMES_PIVOT = 256
-
-
 def lexicon_df(spark: SparkSession, themes: dict | None = None) -> DataFrame:
     """``(theme, word)`` rows of a theme dict."""
     themes = themes or THEMES
@@ -48,8 +42,6 @@ def theme_index(lexicon: DataFrame, vocabulary: DataFrame) -> DataFrame:
     vocabulary; unknown words and stop words drop out."""
     vocab = vocabulary.where(~F.col("is_stop")).select("word", "word_index")
     lex = lexicon.select("theme", "word").distinct()
-    if lex.count() <= MAX_LEXICON_ROWS:  # checked before it is broadcast
-        lex = F.broadcast(lex)
     return vocab.join(lex, "word").select("theme", "word", "word_index")
 
 
@@ -73,46 +65,23 @@ def theme_scores(postings: DataFrame, theme_words: DataFrame, key: str = "word_i
 
     ``postings``: ``(track_id, <key>, count)`` — a bag of words, or one row
     per token with ``count = 1``; ``theme_words``: ``(theme, <key>)`` (a set).
-    One aggregation per track computes the word total and one conditional sum
-    per theme (the themes of a lexicon are few), partially aggregated on the
-    map side; the result is unpivoted.  Only tracks with a theme word and a
-    positive total get a row.
+    Every posting counts once for the total (a null theme) and once for each of
+    its word's themes; the counts are summed per (track, theme), combined on the
+    map side, and each track's few sums are then put side by side.  One plan for
+    any number of themes and words; the join with the word table is Spark's
+    choice by its size.  Only tracks with a theme word and a positive total get a
+    row.
     """
-    words = theme_words.select("theme", key).distinct()
-    # one small job: the lexicon's themes and its size (a bounded table)
-    per_theme = words.groupBy("theme").agg(F.count(F.lit(1)).alias("_n")).collect()
-    names = sorted(r["theme"] for r in per_theme)
-    if not names:  # empty lexicon: no theme can score
-        return postings.where(F.lit(False)).select(
-            "track_id", F.lit(None).cast("string").alias("theme"),
-            F.lit(None).cast("long").alias("theme_score"), F.lit(None).cast("long").alias("total_words"),
-            F.lit(None).cast("double").alias("theme_ratio"))
-    if len(names) > MAX_THEMES_PIVOT:
-        return _theme_scores_join(postings, words, key)
-    word_themes = words.groupBy(key).agg(F.collect_set("theme").alias("_themes"))
-    if sum(r["_n"] for r in per_theme) <= MAX_LEXICON_ROWS:
-        word_themes = F.broadcast(word_themes)
-    tagged = postings.join(word_themes, key, "left")
-    sums = [F.sum(F.when(F.array_contains("_themes", t), F.col("count"))).alias(f"_s{i}")
-            for i, t in enumerate(names)]
-    per_track = (tagged.groupBy("track_id").agg(F.sum("count").alias("total_words"), *sums)
-                 .where(F.col("total_words") > 0))
-    stacked = per_track.select(
-        "track_id", "total_words",
-        F.explode(F.array(*[F.struct(F.lit(t).alias("theme"), F.col(f"_s{i}").alias("theme_score"))
-                            for i, t in enumerate(names)])).alias("_t"))
-    return (stacked.where(F.col("_t.theme_score").isNotNull())
-            .select("track_id", F.col("_t.theme").alias("theme"), F.col("_t.theme_score").alias("theme_score"),
-                    "total_words", (F.col("_t.theme_score") / F.col("total_words")).alias("theme_ratio")))
-
-
-def _theme_scores_join(postings: DataFrame, words: DataFrame, key: str) -> DataFrame:
-    """A6 for lexicons with very many themes: join, then two aggregations."""
-    totals = (postings.groupBy("track_id").agg(F.sum("count").alias("total_words"))
-              .where(F.col("total_words") > 0))
-    hits = (postings.join(words, key).groupBy("track_id", "theme")
-            .agg(F.sum("count").alias("theme_score")))
-    return (hits.join(totals, "track_id")
+    word_themes = theme_words.select("theme", key).distinct().groupBy(key).agg(F.collect_set("theme").alias("_themes"))
+    none = F.lit(None).cast("string")
+    counted = postings.join(word_themes, key, "left").select(
+        "track_id", "count", F.explode(F.concat(F.array(none), F.coalesce("_themes", F.array().cast("array<string>")))).alias("theme"))
+    sums = counted.groupBy("track_id", "theme").agg(F.sum("count").alias("_s"))
+    per_track = sums.groupBy("track_id").agg(
+        F.max(F.when(F.col("theme").isNull(), F.col("_s"))).alias("total_words"),
+        F.collect_list(F.when(F.col("theme").isNotNull(), F.struct("theme", F.col("_s").alias("theme_score")))).alias("_t"))
+    return (per_track.where((F.col("total_words") > 0) & (F.size("_t") > 0))
+            .select("track_id", "total_words", F.inline("_t"))
             .select("track_id", "theme", "theme_score", "total_words",
                     (F.col("theme_score") / F.col("total_words")).alias("theme_ratio")))
 
@@ -128,7 +97,7 @@ def theme_chart(plays: DataFrame, tracks: DataFrame, members: DataFrame,
                 n: int = CHART_SIZE) -> DataFrame:
     """Top-``n`` tracks by plays of each theme:
     ``(theme, rank, artist, title, play_count)``."""
-    totals = charts.track_totals(plays, tracks).join(members.select("track_id", "theme"), "track_id")
+    totals = charts.track_totals(plays, tracks, track_ids=members).join(members.select("track_id", "theme"), "track_id")
     w = Window.partitionBy("theme").orderBy(F.desc("play_count"), F.asc("track_id"))
     return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .withColumn("rank", F.col("rank").cast("long"))

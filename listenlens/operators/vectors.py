@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenlens.functions.columns import l2_normalize as _unit
-from listenlens.session import materialize_if_scanning
+from listenlens.operators.blockmat import best_columns
+from listenlens.session import materialize
 
 ITEMS_PER_BLOCK = 20_000
 QUERIES_PER_BUCKET = 5_000
@@ -46,13 +47,18 @@ def top_k_inner_product(queries: DataFrame, items: DataFrame, k: int, *,
                         query_id: str = "query_id", item_id: str = "item_id",
                         query_vec: str = "vector", item_vec: str = "vector",
                         exclude_self: bool = False, score: str = "score",
-                        out_query: str | None = None, out_item: str | None = None) -> DataFrame:
+                        out_query: str | None = None, out_item: str | None = None,
+                        write_inputs: bool = True) -> DataFrame:
     """``(query_id, item_id, score, rank)``: the ``k`` items with the largest
     inner product per query; scores are rounded to 6 digits and ties go to the
-    smaller item id.  ``exclude_self`` drops ``item_id == query_id``.
+    smaller item id.  ``exclude_self`` drops ``item_id == query_id``.  Both sides
+    are read by a count and by the search; ``write_inputs`` writes them once
+    (false when they are plain tables already).
     """
-    q = materialize_if_scanning(queries.select(F.col(query_id).alias("_q"), F.col(query_vec).alias("_qv")))
-    it = materialize_if_scanning(items.select(F.col(item_id).alias("_i"), F.col(item_vec).alias("_iv")))
+    q = queries.select(F.col(query_id).alias("_q"), F.col(query_vec).alias("_qv"))
+    it = items.select(F.col(item_id).alias("_i"), F.col(item_vec).alias("_iv"))
+    if write_inputs:
+        q, it = materialize(q), materialize(it)
     n_q, n_i = q.count(), it.count()
     # enough (bucket, block) tasks to keep every core busy, none too large
     slots = q.sparkSession.sparkContext.defaultParallelism
@@ -85,24 +91,17 @@ def top_k_inner_product(queries: DataFrame, items: DataFrame, k: int, *,
         iids = its["_i"].to_numpy()
         order_ids = np.argsort(iids, kind="stable")  # ties: smaller item id first
         im, iids = im[order_ids], iids[order_ids]
-        out_q, out_i, out_s = [], [], []
+        out = []
         for start in range(0, len(qids), 1024):
             sc = np.round(qm[start:start + 1024] @ im.T, 6)
-            for r in range(sc.shape[0]):
-                row = sc[r]
-                qid = qids[start + r]
-                valid = np.ones(len(row), dtype=bool)
-                if exclude_self:
-                    valid &= iids != qid
-                cand = np.nonzero(valid)[0]
-                if cand.size == 0:
-                    continue
-                # stable sort on -score keeps the id order among equal scores
-                best = cand[np.argsort(-row[cand], kind="stable")[:k]]
-                out_q += [qid] * len(best)
-                out_i += list(iids[best])
-                out_s += list(row[best])
-        return pd.DataFrame({"_q": out_q, "_i": out_i, "_s": np.asarray(out_s, dtype="float64")})
+            if exclude_self:
+                own = qids[start:start + 1024]
+                place = np.searchsorted(iids, own).clip(max=len(iids) - 1)
+                at = np.flatnonzero(iids[place] == own)
+                sc[at, place[at]] = -np.inf
+            r, c = best_columns(sc, k)
+            out.append(pd.DataFrame({"_q": qids[start + r], "_i": iids[c], "_s": sc[r, c]}))
+        return pd.concat(out, ignore_index=True)
 
     local = qside.unionByName(iside).groupBy("qb", "ib").applyInPandas(local_top_k, schema)
     w = Window.partitionBy("_q").orderBy(F.desc("_s"), F.asc("_i"))

@@ -13,6 +13,7 @@ from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
 from listenlens.plans.themes import BASE, _scores, theme_sql
 from listenlens.plans.vectors import NEAR, XLEX
+from listenlens.session import materialize, shared_path
 from listenlens.sources import star
 
 LAB = {
@@ -40,7 +41,7 @@ def _expanded_members(spark, d):
     return themes.theme_members(_scores(spark, d, lex), 0.063, 4)
 
 
-@register("training_set", ids="U1 A16 K1 S7", sql=with_ctes(
+@register("training_set", ids="U1 A16", sql=with_ctes(
     BASE + ["word_vectors"], "SELECT DISTINCT track_id, theme, theme_ratio FROM members",
     {**NEAR, **XLEX, **theme_sql("xlex")}))
 def training_set(spark, d):
@@ -67,25 +68,54 @@ def class_weights(spark, d):
     FROM postings p JOIN vocab v ON p.word = v.word
     WHERE NOT v.is_stop AND p.track_id IN (SELECT track_id FROM lab)""", LAB))
 def bow_features(spark, d):
-    return classify.bow_features(star.indexed_postings(spark, d), star.vocabulary(spark, d),
-                                 labelled(spark, d))
+    vocab = star.vocabulary(spark, d)
+    return classify.bow_features(star.indexed_postings(spark, d, vocab), vocab, labelled(spark, d))
 
 
-def _predictions(spark, d):
+def _model(spark, d):
+    """The fitted model and the written feature vectors of all documents: texts are
+    tokenised once, for fitting and prediction alike."""
+    vectors = materialize(classify.hashed_vectors(star.word_lists(spark, d)))
     parts = split(spark, d)
-    vocab = star.vocabulary(spark, d)
-    feats = classify.bow_features(star.indexed_postings(spark, d, vocab), vocab, parts)
-    size = int(themes.vocabulary_size(vocab).first()[0])
-    vectors = classify.feature_vectors(feats, size)
-    model = classify.fit(parts.where(F.col("split") == "train"), vectors, "logistic", max_iter=50)
+    return classify.fit(parts.where(F.col("split") == "train"), vectors, "logistic", max_iter=50), vectors, parts
+
+
+def _predictions(spark, d):
+    model, vectors, parts = _model(spark, d)
     return classify.predict(model, parts.where(F.col("split") == "test"), vectors)
 
 
-@register("theme_classifier", ids="M1 K2")
+@register("theme_classifier", ids="M1")
 def theme_classifier(spark, d):
     return _predictions(spark, d)
 
 
+@register("model_roundtrip", ids="K2 M1")
+def model_roundtrip(spark, d):
+    # the model and the split are saved, loaded and then applied
+    model, vectors, parts = _model(spark, d)
+    path = shared_path(spark, "theme-model")
+    classify.save_model(model, f"{path}/model")
+    classify.save_split(parts, f"{path}/split")
+    test = classify.load_split(spark, f"{path}/split").where(F.col("split") == "test")
+    return classify.predict(classify.load_model(f"{path}/model"), test, vectors)
+
+
+@register("split_roundtrip", ids="K2", sql=with_ctes([], "SELECT * FROM strat", LAB))
+def split_roundtrip(spark, d):
+    path = shared_path(spark, "split")
+    classify.save_split(split(spark, d), path)
+    return classify.load_split(spark, path)
+
+
+@register("model_theme_chart", ids="P6 M1")
+def model_theme_chart(spark, d):
+    # from the texts to the chart: the classes are the model's
+    model, vectors, parts = _model(spark, d)
+    pred = classify.predict(model, parts, vectors).select("track_id", "prediction")
+    return classify.classified_chart(star.triplets(spark, d), star.tracks(spark, d), pred, None, 50)
+
+
 @register("classifier_accuracy", ids="M1 A12")
 def classifier_accuracy(spark, d):
     return evaluate.accuracy(_predictions(spark, d), label="theme", prediction="prediction")
@@ -109,3 +139,12 @@ def classified_theme_chart(spark, d):
     # the given predictions: each labelled document's quality class
     pred = labelled(spark, d).select("track_id", F.col("theme").alias("prediction"))
     return classify.classified_chart(star.triplets(spark, d), star.tracks(spark, d), pred, None, 50)
+
+
+@register("theme_collection_classified", ids="P7 P6", sql=with_ctes(["track_totals"], """
+    SELECT tt.artist, tt.title, tt.play_count FROM track_totals tt JOIN lab l ON tt.track_id = l.track_id
+    WHERE l.theme = '1' ORDER BY tt.play_count DESC, tt.track_id LIMIT 50""", LAB))
+def theme_collection_classified(spark, d):
+    pred = labelled(spark, d).select("track_id", F.col("theme").alias("prediction"))
+    return themes.collections("classification", plays=star.triplets(spark, d), tracks=star.tracks(spark, d),
+                              predictions=pred, theme="1", n=50).select("artist", "title", "play_count")

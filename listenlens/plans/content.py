@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from listenlens.functions import label_codes as codes
 from listenlens.operators import content
+from listenlens.operators import interactions as ix
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
+from listenlens.session import shared_path
 from listenlens.sources import star
 
 K = 10
@@ -49,17 +51,17 @@ def artists(spark, d):
     return content.artists(star.tracks(spark, d))
 
 
-@register("artist_genre", ids="J7 S8 K4", sql=csql("SELECT * FROM ag"))
+@register("artist_genre", ids="J7", sql=csql("SELECT * FROM ag"))
 def artist_genre(spark, d):
     return content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
 
 
-@register("user_profile", ids="P12 F4 F5 J6 T8", sql=csql("SELECT * FROM prof"))
+@register("user_profile", ids="P12 F5 J6", sql=csql("SELECT * FROM prof"))
 def user_profile(spark, d):
     return _profile(spark, d)
 
 
-@register("song_vectors", ids="M6 K3", sql=csql("""
+@register("song_vectors", ids="M6", sql=csql("""
     SELECT track_id, genre, 'artist=' || artist AS feature, round(1 / sqrt(2), 6) AS weight FROM ag
     UNION ALL
     SELECT track_id, genre, 'genre=' || genre AS feature, round(1 / sqrt(2), 6) AS weight FROM ag"""))
@@ -97,3 +99,52 @@ def label_codes(spark, d):
     g = codes(star.genres(spark, d), "genre", "code").select(F.lit("genre").alias("kind"),
                                                               F.col("genre").alias("value"), "code")
     return a.unionByName(g)
+
+
+TOP_USER = "(SELECT user_id FROM active ORDER BY shared_song_count DESC, user_id LIMIT 1)"
+
+
+def _top_user(spark, d) -> str:
+    """The most active listener of the popular songs: one id."""
+    plays = star.triplets(spark, d)
+    return ix.active_users(plays, ix.popular_songs(plays, 80), 1).first()["user_id"]
+
+
+def _user_profile(spark, d):
+    return content.user_profile(star.triplets(spark, d), star.tracks(spark, d), star.genres(spark, d),
+                                user_id=_top_user(spark, d), min_plays=10)
+
+
+@register("one_user_profile", ids="P12 F4 T8", sql=with_ctes(
+    ["triplets", "tracks", "genres", "active"],
+    f"SELECT * FROM prof WHERE user_id = {TOP_USER} ORDER BY play_count DESC, track_id, genre", CONTENT))
+def one_user_profile(spark, d):
+    return _user_profile(spark, d)
+
+
+@register("one_user_content", ids="P13", sql=with_ctes(["triplets", "tracks", "genres", "active"], f"""
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, track_id, genre) AS rank
+        FROM csc WHERE user_id = {TOP_USER})
+    WHERE rank <= {K}""", CONTENT))
+def one_user_content(spark, d):
+    catalogue = content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
+    return content.recommend(_user_profile(spark, d), catalogue, K)
+
+
+@register("artist_genre_roundtrip", ids="S8 K4", sql=csql("SELECT * FROM ag"))
+def artist_genre_roundtrip(spark, d):
+    path = shared_path(spark, "artist-genre")
+    content.save_artist_genre(content.artist_genre(star.tracks(spark, d), star.genres(spark, d)), path)
+    return content.load_artist_genre(spark, path)
+
+
+@register("song_vectors_roundtrip", ids="K3", sql=csql("""
+    SELECT track_id, genre, 'artist=' || artist AS feature, round(1 / sqrt(2), 6) AS weight FROM ag
+    UNION ALL
+    SELECT track_id, genre, 'genre=' || genre AS feature, round(1 / sqrt(2), 6) AS weight FROM ag"""))
+def song_vectors_roundtrip(spark, d):
+    path = shared_path(spark, "song-vectors")
+    rows = content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
+    content.save_song_vectors(content.song_vectors(rows), path)
+    return content.load_song_vectors(spark, path).withColumn("weight", F.round("weight", 6))

@@ -9,12 +9,14 @@ from listenlens.operators import interactions as ix
 from listenlens.plans.interactions import core_rows
 from listenlens.plans.recommend import _cf
 from listenlens.plans.registry import register
+from listenlens.sources import star
 
 SVD_RANK = 20
 
 
 @register("svd_scores", ids="M2")
 def svd_scores(spark, d):
+    # the reconstruction at the core's own pairs, held-out ones included
     core, train, _ = _cf(spark, d)
     return factors.svd_scores(train, core, SVD_RANK).withColumn("score", F.round("score", 6))
 
@@ -32,11 +34,35 @@ def svd_precision_at_10(spark, d):
     return p.withColumn("precision_at_k", F.round("precision_at_k", 6))
 
 
+def _als_train(spark, d):
+    parts = ix.random_split(ix.binarize(core_rows(spark, d)), 0.2, seed=42)
+    return parts.where(F.col("split") == "train")
+
+
+@register("als_candidates", ids="M5 P11")
+def als_candidates(spark, d):
+    # the lists restricted to candidates: the 40 most listened songs
+    train = _als_train(spark, d)
+    songs = ix.popular_songs(star.triplets(spark, d), 40)
+    return factors.als_recommend(train.select("user_id", "song_id", "label"),
+                                 train.select("user_id", "song_id", "play_count"), top=10, candidates=songs,
+                                 rank=8, max_iter=10, seed=42).withColumn("score", F.round("score", 6))
+
+
+@register("als_user_scores", ids="M5 X10")
+def als_user_scores(spark, d):
+    # one user (the most active) over given candidates: the most listened songs
+    train, plays = _als_train(spark, d), star.triplets(spark, d)
+    popular = ix.popular_songs(plays, 80)
+    model, users, items = factors.als_fit(train.select("user_id", "song_id", "label"), rank=8, max_iter=10, seed=42)
+    user = ix.active_users(plays, popular, 1).first()["user_id"]
+    pairs = popular.select(F.lit(user).alias("user_id"), "song_id")
+    return factors.als_scores(model, users, items, pairs).withColumn("score", F.round("score", 6))
+
+
 @register("als_recommend", ids="M4 M5 P11 D3 D4 F9 X10")
 def als_recommend(spark, d):
-    core = core_rows(spark, d)
-    parts = ix.random_split(ix.binarize(core), 0.2, seed=42)
-    train = parts.where(F.col("split") == "train")
+    train = _als_train(spark, d)
     return factors.als_recommend(train.select("user_id", "song_id", "label"),
                                  train.select("user_id", "song_id", "play_count"), top=10,
                                  rank=8, max_iter=10, seed=42).withColumn("score", F.round("score", 6))

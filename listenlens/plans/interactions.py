@@ -31,7 +31,7 @@ def popular_songs(spark, d):
 @register("active_users", ids="A3 J5 T4", sql=with_ctes(["active"], "SELECT * FROM active"))
 def active_users(spark, d):
     plays = star.triplets(spark, d)
-    return ix.active_users(plays, ix.popular_songs(plays, 80), 50, 80)
+    return ix.active_users(plays, ix.popular_songs(plays, 80), 50)
 
 
 @register("interaction_core", ids="D7 J4 J5", sql=with_ctes(["core"], "SELECT * FROM core"))
@@ -50,7 +50,9 @@ def user_item_matrix(spark, d):
         PIVOT (SELECT user_id, song_id, play_count FROM core)
         ON song_id USING avg(play_count) GROUP BY user_id)"""))
 def user_item_pivot(spark, d):
-    return ix.pivot(core_rows(spark, d))
+    core = core_rows(spark, d)
+    songs = [r[0] for r in core.select("song_id").distinct().orderBy("song_id").collect()]  # songs_limit at most
+    return ix.pivot(core, songs)
 
 
 @register("binarize", ids="F9", sql=with_ctes(["core"], """

@@ -20,13 +20,14 @@ SIM = """
     JOIN norms ni ON ni.song_id = a.song_id JOIN norms nj ON nj.song_id = b.song_id
     GROUP BY a.song_id, b.song_id, ni.n, nj.n"""
 NORMS = "SELECT song_id, sqrt(sum(CAST(play_count AS DOUBLE) * play_count)) AS n FROM train GROUP BY song_id"
+REACHED = """
+    SELECT t.user_id, m.item_j AS song_id, sum(m.sim * t.play_count) AS score
+    FROM train t JOIN sim m ON t.song_id = m.item_i GROUP BY t.user_id, m.item_j"""
 SCORES = """
     SELECT u.user_id, i.song_id, coalesce(s.score, 0.0) AS score
     FROM (SELECT DISTINCT user_id FROM train) u
     CROSS JOIN (SELECT DISTINCT song_id FROM core) i
-    LEFT JOIN (SELECT t.user_id, m.item_j AS song_id, sum(m.sim * t.play_count) AS score
-               FROM train t JOIN sim m ON t.song_id = m.item_i GROUP BY t.user_id, m.item_j) s
-      ON s.user_id = u.user_id AND s.song_id = i.song_id"""
+    LEFT JOIN reached s ON s.user_id = u.user_id AND s.song_id = i.song_id"""
 UNSEEN = """
     SELECT * FROM scores s WHERE NOT EXISTS (
         SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.song_id = s.song_id)"""
@@ -35,7 +36,7 @@ RECS = f"""
         SELECT user_id, song_id, score,
                row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, song_id) AS rank
         FROM unseen) WHERE rank <= {K}"""
-CF = {"norms": NORMS, "sim": SIM, "scores": SCORES, "unseen": UNSEEN, "recs": RECS}
+CF = {"norms": NORMS, "sim": SIM, "reached": REACHED, "scores": SCORES, "unseen": UNSEEN, "recs": RECS}
 
 
 def cf_sql(body: str) -> str:
@@ -68,17 +69,19 @@ def item_cosine(spark, d):
 
 
 @register("item_scores", ids="A9 X11", sql=cf_sql(
-    "SELECT user_id, song_id, round(score, 6) AS score FROM scores"))
+    "SELECT user_id, song_id, round(score, 6) AS score FROM reached"))
 def item_scores(spark, d):
-    core, train, _ = _cf(spark, d)
-    return _rounded(recommend.item_scores(train, similarity.item_cosine(train), items=core))
+    # the non-zero scores; an item that no neighbour reaches scores 0
+    _, train, _ = _cf(spark, d)
+    return _rounded(recommend.item_scores(train, similarity.item_cosine(train)))
 
 
 @register("unseen_items", ids="J8 U3", sql=cf_sql(
-    "SELECT user_id, song_id, round(score, 6) AS score FROM unseen"))
+    """SELECT user_id, song_id, round(score, 6) AS score FROM reached s WHERE NOT EXISTS (
+        SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.song_id = s.song_id)"""))
 def unseen_items(spark, d):
-    core, train, _ = _cf(spark, d)
-    scores = recommend.item_scores(train, similarity.item_cosine(train), items=core)
+    _, train, _ = _cf(spark, d)
+    scores = recommend.item_scores(train, similarity.item_cosine(train))
     return _rounded(recommend.unseen(scores, train))
 
 
@@ -93,11 +96,11 @@ def recommend_all(spark, d):
     SELECT user_id, song_id, round(score, 6) AS score, rank FROM recs
     WHERE user_id = (SELECT user_id FROM active ORDER BY shared_song_count DESC, user_id LIMIT 1)"""))
 def recommend_user(spark, d):
-    recs, _ = _recs(spark, d)
+    core, train, _ = _cf(spark, d)
     plays = star.triplets(spark, d)
-    top_user = ix.active_users(plays, ix.popular_songs(plays, 80), 1, 80).select("user_id")
     # the user is data-derived: the most active listener of the core
-    return _rounded(recs.join(top_user, "user_id", "left_semi"))
+    top_user = ix.active_users(plays, ix.popular_songs(plays, 80), 1).select("user_id")
+    return _rounded(recommend.recommend_user(train, similarity.item_cosine(train), top_user, items=core, k=K))
 
 
 @register("recommend_titles", ids="J12 P10 F2", sql=cf_sql("""

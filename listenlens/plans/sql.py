@@ -6,6 +6,7 @@ so that the oracle does not share code with the Spark side.
 
 from __future__ import annotations
 
+from listenlens.sources.star import HEADER_WORDS
 from listenlens.sources.stop_words import ENGLISH_STOP_WORDS
 
 CTE = {
@@ -35,6 +36,9 @@ CTE = {
         SELECT CAST(row_number() OVER (ORDER BY word) AS INTEGER) AS word_index, word,
                word IN ('the', 'of', 'and', 'to', 'a', 'in', 'is', 'that') AS is_stop
         FROM (SELECT DISTINCT word FROM postings)""",
+    "header": f"""
+        SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word) AS INTEGER) AS word_index
+        FROM (SELECT word, sum(count) AS n FROM postings GROUP BY word) ORDER BY n DESC, word LIMIT {HEADER_WORDS}""",
     "lexicon": """
         SELECT * FROM (VALUES
             ('love', 'this'), ('love', 'from'), ('love', 'with'), ('love', 'was'),
@@ -75,6 +79,7 @@ DEPENDS = {
     "postings": ["tokens"],
     "vocab": ["postings"],
     "word_vectors": ["postings"],
+    "header": ["postings"],
     "popular": ["triplets"],
     "active": ["triplets", "popular"],
     "core": ["triplets", "popular", "active"],

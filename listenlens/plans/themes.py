@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from listenlens.operators import themes
 from listenlens.plans.registry import register
 from listenlens.plans.sql import english_stop_words_sql, with_ctes
-from listenlens.sources import english_stop_words, star
+from listenlens.session import shared_path
+from listenlens.sources import (
+    english_stop_words, parse_lyrics_lines, parse_vocabulary_line, read_theme_sets, star,
+)
 
 
 def theme_sql(lexicon_cte: str = "lexicon") -> dict[str, str]:
@@ -93,11 +96,45 @@ def theme_chart(spark, d):
     SELECT artist, title, play_count FROM tchart WHERE theme = 'love'""", theme_sql()))
 def theme_collection(spark, d):
     # the one-theme API of the workload, dispatched by approach
+    return _love(spark, d, "baseline", lexicon=star.theme_lexicon(spark))
+
+
+def _love(spark, d, approach, **kw):
     return themes.collections(
-        "baseline", plays=star.triplets(spark, d), tracks=star.tracks(spark, d),
+        approach, plays=star.triplets(spark, d), tracks=star.tracks(spark, d),
         postings=star.token_rows(spark, d).withColumn("track_id", F.col("track_id").cast("string")),
-        vocabulary=star.vocabulary(spark, d), lexicon=star.theme_lexicon(spark), theme="love",
-        key="word").select("artist", "title", "play_count")
+        vocabulary=star.vocabulary(spark, d), theme="love", key="word", **kw).select("artist", "title", "play_count")
+
+
+@register("vocabulary_line_parse", ids="S6 X5 X7", sql=with_ctes(["header"], """
+    SELECT word_index, CASE WHEN word_index = 1 THEN 'i' ELSE word END AS word,
+           CASE WHEN word_index = 1 THEN false
+                ELSE word IN ('the', 'of', 'and', 'to', 'a', 'in', 'is', 'that') END AS is_stop FROM header"""))
+def vocabulary_line_parse(spark, d):
+    return parse_vocabulary_line(star.vocabulary_lines(spark, d), star.ADAPTER_STOP_WORDS)
+
+
+@register("lyrics_lines_parse", ids="S5 X5 X6", sql=with_ctes(["header"], """
+    SELECT p.track_id, h.word_index, CAST(p.count AS INTEGER) AS count FROM postings p JOIN header h ON p.word = h.word"""))
+def lyrics_lines_parse(spark, d):
+    return parse_lyrics_lines(star.lyrics_lines(spark, d))
+
+
+@register("theme_set_roundtrip", ids="K1", sql=with_ctes(BASE, "SELECT * FROM members", theme_sql()))
+def theme_set_roundtrip(spark, d):
+    path = shared_path(spark, "theme-sets")
+    themes.save_theme_set(themes.theme_members(_scores(spark, d), 0.063, 4), path)
+    return spark.read.parquet(path).select("track_id", "theme", "theme_ratio").withColumn(
+        "track_id", F.col("track_id").cast("string"))  # a partition column's type is inferred, an id's is not
+
+
+@register("theme_set_csv", ids="S7", sql=with_ctes(BASE, """
+    SELECT track_id, theme, round(theme_ratio, 9) AS theme_ratio FROM members""", theme_sql()))
+def theme_set_csv(spark, d):
+    # the headerless files of the workload, written and read by the reader
+    path = shared_path(spark, "theme-csv")
+    themes.theme_members(_scores(spark, d), 0.063, 4).select("track_id", "theme", "theme_ratio").write.csv(path)
+    return read_theme_sets(spark, path).withColumn("theme_ratio", F.round("theme_ratio", 9))
 
 
 @register("english_stop_vocabulary", ids="S10 S6", sql=with_ctes(["postings"], f"""

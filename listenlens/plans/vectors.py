@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from listenlens.operators import themes, vectors
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
-from listenlens.plans.themes import BASE, _scores, theme_sql
-from listenlens.sources import star
+from listenlens.plans.themes import BASE, _love, _scores, theme_sql
+from listenlens.session import shared_path
+from listenlens.sources import read_word_vectors, star
 
 UNIT = "list_transform({v}::DOUBLE[], lambda x: x / sqrt(list_dot_product({v}::DOUBLE[], {v}::DOUBLE[])))"
 
@@ -60,9 +61,20 @@ def cosine_top_k(spark, d):
                                 query_vec="vector", item_vec="embedding")
 
 
-@register("similar_words", ids="V2 S11", sql=with_ctes(["word_vectors"], "SELECT * FROM near", NEAR))
+@register("similar_words", ids="V2", sql=with_ctes(
+    ["word_vectors", "lexicon"], "SELECT * FROM near WHERE word IN (SELECT word FROM lexicon)", NEAR))
 def similar_words(spark, d):
-    return vectors.similar_words(star.word_vectors(spark, d), None, 10)
+    # the query words are the lexicon's, as in the expansion
+    return vectors.similar_words(star.word_vectors(spark, d), star.theme_lexicon(spark), 10)
+
+
+@register("word_vectors_roundtrip", ids="S11", sql=with_ctes(["word_vectors"], """
+    SELECT word, round(list_sum(vector::DOUBLE[]), 4) AS total, len(vector) AS size FROM word_vectors"""))
+def word_vectors_roundtrip(spark, d):
+    path = shared_path(spark, "word-vectors")
+    star.word_vectors(spark, d).write.parquet(path)
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return read_word_vectors(spark, path).select("word", F.round(total, 4).alias("total"), F.size("vector").cast("long").alias("size"))
 
 
 XLEX = {"xlex": """
@@ -77,3 +89,27 @@ def theme_chart_expanded(spark, d):
                                 top_n=10, query="seeds")
     members = themes.theme_members(_scores(spark, d, lex), 0.063, 4)
     return themes.theme_chart(star.triplets(spark, d), star.tracks(spark, d), members, 50)
+
+
+@register("theme_collection_expanded", ids="P7 P5", sql=with_ctes(
+    BASE + ["word_vectors"], "SELECT artist, title, play_count FROM tchart WHERE theme = 'love'",
+    {**NEAR, **XLEX, **theme_sql("xlex")}))
+def theme_collection_expanded(spark, d):
+    return _love(spark, d, "word2vec", lexicon=star.theme_lexicon(spark), vectors=star.word_vectors(spark, d),
+                 top_n=10, expand_query="seeds")
+
+
+# a lexicon whose theme names are words of the vocabulary, so that the
+# expansion by the theme word itself (the workload's rule) finds neighbours
+NAMED = {"this": ["from", "with"], "are": ["by", "be"], "at": ["on", "for"]}
+NAMED_SQL = {
+    "named": "SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{w}')" for t, ws in NAMED.items() for w in ws) + ") AS t(theme, word)",
+    "xnamed": """
+        SELECT theme, word FROM named
+        UNION SELECT l.theme, n.neighbor AS word FROM named l JOIN near n ON l.theme = n.word""",
+}
+
+
+@register("theme_word_expansion", ids="P5 V2", sql=with_ctes(["word_vectors"], "SELECT * FROM xnamed", {**NEAR, **NAMED_SQL}))
+def theme_word_expansion(spark, d):
+    return themes.expand_lexicon(star.theme_lexicon(spark, NAMED), star.word_vectors(spark, d), 10, "theme")

@@ -6,8 +6,12 @@ use ``df.sparkSession``.  ``get_spark`` is for scripts, tests and the bench.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +41,10 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; we use it
-    as is.  Only when it is unset (tests, local runs) a fresh local folder is
-    taken.
+    A cluster names a shared folder in ``spark.checkpoint.dir``; we use it as
+    is.  A local folder is only taken where driver and executors are one process
+    (``local`` masters); elsewhere an unset folder is an error, since executors
+    on other machines could not read it.
     """
     try:
         sc = spark.sparkContext
@@ -51,11 +56,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         configured = tempfile.mkdtemp(prefix="listenlens-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return configured
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the session's shared folder, for tables that are written and
+    read back."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df):
     """Write ``df`` to the checkpoint folder and read it back (cuts lineage).
 
@@ -70,20 +84,6 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def scans_files(df) -> bool:
-    """Whether the optimized plan of ``df`` still reads source files."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # plan not inspectable (remote session): assume it scans
-        return True
-    return "Relation [" in plan or "Relation[" in plan
-
-
-def materialize_if_scanning(df):
-    """``materialize`` unless ``df`` only reads already written data."""
-    return materialize(df) if scans_files(df) else df
-
-
 def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings to size a session for a given input volume.
 

@@ -81,7 +81,7 @@ def parse_lyrics_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     line = F.trim(F.col(column))
     postings = (lines.select(line.alias("line")).where(_is_data_line(F.col("line")))
                 .select(F.get(F.split("line", ","), 0).alias("track_id"),
-                        F.explode(F.slice(F.split("line", ","), 3, 1 << 30)).alias("p")))
+                        F.explode(F.expr("slice(split(line, ','), 3, greatest(size(split(line, ',')) - 2, 0))")).alias("p")))
     # try_cast: a malformed ``idx:count`` becomes NULL instead of failing the job
     # under ANSI mode; ``bad_postings`` counts them
     return postings.select(
@@ -104,7 +104,7 @@ def parse_vocabulary_line(lines: DataFrame, stop_words, column: str = "value") -
     """The ``%`` header line is the comma list of words; index is 1-based
     and the first token is always ``i``.  ``is_stop`` marks stop words."""
     header = lines.where(F.col(column).startswith("%")).select(
-        F.split(F.substring(F.trim(F.col(column)), 2, 1 << 30), ",").alias("words"))
+        F.split(F.trim(F.col(column)).substr(F.lit(2), F.length(column)), ",").alias("words"))
     exploded = header.select(F.posexplode("words").alias("pos", "word"))
     word = F.when(F.col("pos") == 0, F.lit("i")).otherwise(F.col("word"))
     stop = [str(w) for w in stop_words]

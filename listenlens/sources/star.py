@@ -19,7 +19,7 @@ the whole input tables, so the work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listenlens.functions.indexing import dense_index
@@ -127,6 +127,46 @@ def indexed_postings(spark: SparkSession, sf_dir: str, vocab: DataFrame | None =
             .select("track_id", "word_index", "count"))
 
 
+#: Words of the vocabulary header: the most frequent ones, as in the lyrics file.
+HEADER_WORDS = 5_000
+
+
+def header_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(pos, word)``: the ``HEADER_WORDS`` most frequent words, 0-based, by count
+    desc, then word."""
+    freq = tokens(spark, sf_dir, string_ids=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.asc("word")]
+    return freq.orderBy(*order).limit(HEADER_WORDS).select(  # a small table: numbered in one task
+        (F.row_number().over(Window.orderBy(*order)) - 1).alias("pos"), "word")
+
+
+def vocabulary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lyrics file's head: a comment line and the ``%`` line of its words."""
+    line = header_words(spark, sf_dir).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("w")).select(
+        F.concat(F.lit("%"), F.array_join(F.transform("w", lambda x: x["word"]), ",")).alias("value"))
+    return line.unionByName(line.select(F.lit("# vocabulary above").alias("value")))
+
+
+def lyrics_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lyrics file's body: ``track,other id,index:count,...`` lines with 1-based
+    indices into the header's words, and a comment line for each document."""
+    words = header_words(spark, sf_dir).select((F.col("pos") + 1).alias("i"), "word")
+    bags = postings(spark, sf_dir).join(words, "word").groupBy("track_id").agg(
+        F.array_sort(F.collect_list(F.struct("i", "count"))).alias("b"))
+    pairs = F.transform("b", lambda x: F.concat_ws(":", x["i"].cast("string"), x["count"].cast("string")))
+    body = bags.select(F.concat_ws(",", "track_id", F.lit("0"), F.array_join(pairs, ",")).alias("value"))
+    return body.unionByName(bags.select(F.concat(F.lit("# "), F.col("track_id")).alias("value")))
+
+
+def word_lists(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS) -> DataFrame:
+    """``(track_id, words)``: each document's tokens without stop words."""
+    words = F.array_except(F.array(F.lit("")), F.array(F.lit("")))  # empty, of strings
+    split = F.coalesce(F.split(F.lower("text"), TOKEN_SPLIT), words)
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("track_id"),
+        F.filter(split, lambda w: (w != "") & ~w.isin(list(stop_words))).alias("words"))
+
+
 def word_frequency_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(word, freq_rank)``: 0-based rank by total count desc, word asc."""
     freq = tokens(spark, sf_dir, string_ids=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))

@@ -48,7 +48,7 @@ def main():
     con = duckdb.connect()
     for t in TABLES:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    spark = get_spark("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
+    spark = get_spark(os.environ.get("ORACLE_MASTER", "local[8]"), 8, extra={"spark.ui.showConsoleProgress": "false"})
     bad = 0
     for name, q in all_queries().items():
         if only and name not in only:

@@ -42,12 +42,11 @@ def test_factor_invariants(spark):
     import warnings
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
-        scores = factors.svd_scores(df, k=5).collect()  # full rank: reproduces train
+        scores = factors.svd_scores(df, df, k=5).collect()  # full rank: reproduces train
     got = {(r.user_id, r.song_id): r.score for r in scores}
     for u, s, v in rows:
         assert abs(got[(u, s)] - v) < 1e-6
-    _, sv = factors.svd_projection(df, 3)
-    vals = [r.singular_value for r in sv.orderBy("component").collect()]
+    _, _, vals = factors.svd_vectors(df, 3)
     assert vals == sorted(vals, reverse=True)
     recs = factors.svd_recommend(df, k=2, top=2)
     seen = {(u, s) for u, s, _ in rows}

@@ -31,7 +31,10 @@ def test_recommend_fixture_users(spark, tmpdir_path):
     assert by_user["u2"][0][1] == "s3" and math.isclose(by_user["u2"][0][2], 3.823414, abs_tol=1e-5)
     assert by_user["u3"][0][1] == "s2" and math.isclose(by_user["u3"][0][2], 6.455888, abs_tol=1e-5)
     assert "u1" not in by_user  # heard everything
-    assert recommend.recommend_user(recs, "nobody").count() == 0
+    for user, want in (("nobody", []), ("u2", sorted(by_user["u2"]))):
+        own = spark.createDataFrame([(user,)], "user_id string")
+        got = recommend.recommend_user(plays, sim, own, k=10).collect()
+        assert sorted((r.rank, r.song_id, r.score) for r in got) == want
 
 
 def test_precision_divisor_is_k(spark):

@@ -16,13 +16,14 @@ def test_theme_members_fixture(spark, tmpdir_path):
     assert s[("A", "war")] == (1, 15)
 
 
-def test_join_and_pivot_scoring_agree(spark, tmpdir_path):
-    d = load(spark, tmpdir_path)
-    lex = themes.lexicon_df(spark, {"love": ["love", "heart"], "war": ["war"]})
-    words = themes.theme_index(lex, d["vocab"]).select("theme", "word_index")
-    a = sorted(tuple(r) for r in themes.theme_scores(d["lyrics"], words).collect())
-    b = sorted(tuple(r) for r in themes._theme_scores_join(d["lyrics"], words, "word_index").collect())
-    assert a == b
+def test_one_plan_for_very_many_themes(spark):
+    # 400 themes that share words; tracks without a theme word get no row
+    lex = [(f"t{i}", w) for i in range(400) for w in (f"w{i % 50}", f"w{(i + 1) % 50}")]
+    words = spark.createDataFrame(lex, "theme string, word string")
+    post = [("A", "w0", 2), ("A", "w1", 1), ("A", "x", 7), ("B", "x", 3)]
+    got = themes.theme_scores(spark.createDataFrame(post, "track_id string, word string, count long"), words, key="word").collect()
+    want = {t: sum(c for _, w, c in post[:2] if (t, w) in set(lex)) for t, _ in lex}
+    assert {(r.theme, r.theme_score, r.total_words) for r in got} == {(t, s, 10) for t, s in want.items() if s}
 
 
 def test_vocabulary_size_and_unknown_expansion(spark, tmpdir_path):
