@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from listenlens.session import map_batches
+
 DEFAULT_BLOCK = 1024
 ROWS_PER_BUCKET = 4096
 ROWS_PER_TASK = 2_000_000
@@ -139,7 +141,7 @@ def multiply(left: DataFrame, right: DataFrame, *, lr: str, lk: str, lv: str,
 
     # without running sums over inner blocks these may be dealt apart
     dealt = operands.repartition("rb", "cb", "kb").sortWithinPartitions("rb", "cb", "kb", "side")
-    return dealt.mapInArrow(run, schema).groupBy("r", "c").agg(F.sum("v").alias("v")).select(
+    return map_batches(dealt, run, schema).groupBy("r", "c").agg(F.sum("v").alias("v")).select(
         F.col("r").alias(out_row), F.col("c").alias(out_col), F.col("v").alias(out_val))
 
 
@@ -239,7 +241,7 @@ def top_k_product(left: DataFrame, right: DataFrame, columns: DataFrame, seen: D
                     total[own] += _dense(rpos, len(own), kpos[on], len(keys), v[on]) @ dense
         yield from result()
 
-    local = _sorted_blocks(operands).mapInArrow(run, schema)
+    local = map_batches(_sorted_blocks(operands), run, schema)
     best = Window.partitionBy("r").orderBy(F.desc(F.round("v", 6)), F.asc("c"))
     return (local.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
             .select(F.col("r").alias(out_row), F.col("c").alias(out_col), F.col("v").alias(out_val), "rank"))

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from listenlens.functions.columns import dot, sigmoid
 from listenlens.functions.indexing import dense_index
 from listenlens.operators import blockmat
-from listenlens.session import ensure_checkpoint_dir, materialize
+from listenlens.session import ensure_checkpoint_dir, map_batches, materialize
 
 U, S, P = "user_id", "song_id", "play_count"
 
@@ -49,7 +49,7 @@ def _gram(vectors: DataFrame, width: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()),
                                           pa.array(total.tolist(), pa.list_(pa.float64()))], names=schema.names)
 
-    rows = vectors.select("v").mapInArrow(run, schema).groupBy("i").agg(
+    rows = map_batches(vectors.select("v"), run, schema).groupBy("i").agg(
         *(F.sum(F.col("g")[j]).alias(f"g{j}") for j in range(width))).collect()
     out = np.zeros((width, width))
     for r in rows:
@@ -67,7 +67,7 @@ def _rotated(vectors: DataFrame, key: str, m: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.tolist(), pa.list_(pa.float64()))],
                                              names=schema.names)
 
-    return vectors.select(key, "v").mapInArrow(run, schema)
+    return map_batches(vectors.select(key, "v"), run, schema)
 
 
 def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, rounds: int = 30,

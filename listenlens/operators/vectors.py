@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from listenlens.functions.columns import l2_normalize as _unit
 from listenlens.operators.blockmat import best_columns
-from listenlens.session import materialize
+from listenlens.session import materialize, ship
 
 ITEMS_PER_BLOCK = 20_000
 QUERIES_PER_BUCKET = 5_000
@@ -103,6 +103,7 @@ def top_k_inner_product(queries: DataFrame, items: DataFrame, k: int, *,
             out.append(pd.DataFrame({"_q": qids[start + r], "_i": iids[c], "_s": sc[r, c]}))
         return pd.concat(out, ignore_index=True)
 
+    ship(q.sparkSession)
     local = qside.unionByName(iside).groupBy("qb", "ib").applyInPandas(local_top_k, schema)
     w = Window.partitionBy("_q").orderBy(F.desc("_s"), F.asc("_i"))
     return (local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

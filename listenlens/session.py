@@ -64,6 +64,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package: its folder goes on
+    their path.  On a cluster the package must lie in the same place on every
+    machine or be passed with ``--py-files``."""
+    try:
+        environment = spark.sparkContext.environment
+    except Exception:  # a remote (Connect) session: the server sets up its workers
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def map_batches(df, run, schema):
+    """``df.mapInArrow(run, schema)`` with workers that can import this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the session's shared folder, for tables that are written and
     read back."""

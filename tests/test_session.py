@@ -53,3 +53,22 @@ def test_a_cluster_must_name_a_shared_folder():
 
 def test_tables_go_to_the_named_folder(spark):
     assert session.shared_path(spark, "x").startswith(session.ensure_checkpoint_dir(spark))
+
+
+def run_elsewhere(tmp_path, name: str) -> None:
+    """A query in a session whose folder and path know nothing of the repository."""
+    code = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "2").getOrCreate()
+sys.path.insert(0, {REPO!r})
+import __spark_entry__ as e
+assert e.queries()[{name!r}](spark, "/root/testdata/sf0.001").count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=env)
+
+
+def test_python_workers_find_the_package(tmp_path):
+    run_elsewhere(tmp_path, "recommend_user")
