@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlens.session import ensure_checkpoint_dir
+from listenlens.session import ensure_checkpoint_dir, map_batches  # noqa: F401
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import py_texts
+from listenlens.llm.common import map_batches, py_texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -205,13 +205,15 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-#: Digits that a further span has at least, and its least probability.
+#: Digits that a further span has at least and at most, and its least probability.
 LEAST_DIGITS = {"email": 0, "ip": 4, "card": 14, "phone": 7}
+MOST_DIGITS = {"email": 64, "ip": 12, "card": 19, "phone": 15}
 LEAST_PROBABILITY = 0.7
 
 
 def further_spans(text: str, base: list[Span], field: Field) -> list[Span]:
-    """Runs of adjacent unseen tokens with the same label."""
+    """Runs of adjacent unseen tokens with the same label, as long as their digits
+    can be one entity's."""
     g = build_graph(text, base)
     if g is None or g.seen.all():
         return []
@@ -220,16 +222,17 @@ def further_spans(text: str, base: list[Span], field: Field) -> list[Span]:
     near = set(g.chain[:, 0].tolist())
     found, i = [], 0
     while i < len(label):
-        j = i
-        while label[i] and j in near and label[j + 1] == label[i]:
+        j, n = i, len(g.digits[i])
+        while label[i] and j in near and label[j + 1] == label[i] and (
+                n + len(g.digits[j + 1]) <= MOST_DIGITS[LABELS[label[i]]]):
             j += 1
+            n += len(g.digits[j])
         if label[i]:
             kind, a, b = LABELS[label[i]], int(g.starts[i]), int(g.ends[j])
             body = text[a:b]
             a += len(body) - len(body.lstrip(".,;:!?\"'[]{}<>#*$%&|)"))
             b -= len(body) - len(body.rstrip(".,;:!?\"'[]{}<>#*$%&|("))
-            digits = sum(len(d) for d in g.digits[i:j + 1])
-            if a < b and digits >= LEAST_DIGITS[kind] and (kind != "email" or "@" in text[a:b]):
+            if a < b and n >= LEAST_DIGITS[kind] and (kind != "email" or "@" in text[a:b]):
                 found.append((kind, a, b))
         i = j + 1
     return found
@@ -254,7 +257,7 @@ def train(docs: DataFrame, text: str, max_documents: int = 4000, max_tokens: int
                                               pa.array(chain, pa.int32()), pa.array(skip, pa.int32())], names=schema.names)
 
     with_clue = docs.select(F.col(text).alias("_text")).where(F.col("_text").rlike("[0-9@]"))
-    rows = with_clue.sample(False, 0.2, seed).limit(max_documents).mapInArrow(run, schema).limit(max_tokens).collect()
+    rows = map_batches(with_clue.sample(False, 0.2, seed).limit(max_documents), run, schema).limit(max_tokens).collect()
     y = np.array([r["label"] for r in rows], np.int64)
     if not y.any():
         return None
@@ -300,4 +303,4 @@ def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **train
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]),
                  *(pa.array(c, pa.string()) for c in columns[4:])], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)

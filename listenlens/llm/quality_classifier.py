@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import py_texts, written
+from listenlens.llm.common import map_batches, py_texts, written
 from listenlens.llm.quality_rules import TextStats
 
 #: Share of held-out rows: remainder 0 of crc32(id as text) modulo FOLDS.
@@ -67,7 +67,7 @@ def statistics(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
             yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(c, pa.float64()) for c in zip(*rows)],
                                              names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 @dataclass(frozen=True)

@@ -25,6 +25,7 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import py_texts
+from listenlens.llm.common import map_batches, py_texts
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b"\t\n\v\f\r "
@@ -83,6 +84,11 @@ class TextStats:
     def n_lower(self) -> int:
         return int(self.byte_counts[97:123].sum())
 
+    @cached_property
+    def n_stutters(self) -> int:
+        """Words equal to the word before."""
+        return sum(map(eq, self.words, self.words[1:]))
+
     @cached_property
     def n_repeat_words(self) -> int:
         return repeated_window_words(self.words, WINDOW)
@@ -133,6 +139,10 @@ def repeated_lines(s: TextStats) -> bool:
     return 2 * s.n_dup_lines > len(s.lines)
 
 
+def stuttering(s: TextStats) -> bool:
+    return 100 * s.n_stutters > 30 * s.n_words
+
+
 def odd_word_length(s: TextStats) -> bool:
     return not 2 * s.n_words <= s.word_chars <= 12 * s.n_words
 
@@ -143,7 +153,7 @@ def shouting(s: TextStats) -> bool:
 
 BASE_RULES = (Rule("few_words", few_words), Rule("repeated_windows", repeated_windows))
 RULES = BASE_RULES + (Rule("many_symbols", many_symbols), Rule("repeated_lines", repeated_lines),
-                      Rule("odd_word_length", odd_word_length), Rule("shouting", shouting))
+                      Rule("odd_word_length", odd_word_length), Rule("shouting", shouting), Rule("stuttering", stuttering))
 
 
 def rejected_by(stats: TextStats, rules) -> str | None:
@@ -174,7 +184,7 @@ def measure(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int =
                                              names=schema.names)
 
     sample = docs.select(text).sample(False, sample_fraction, seed).limit(sample_rows)
-    return [r.asDict() for r in sample.mapInArrow(run, schema).groupBy("mask").agg(
+    return [r.asDict() for r in map_batches(sample, run, schema).groupBy("mask").agg(
         F.count("*").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(len(rules)))).collect()]
 
 
@@ -201,7 +211,7 @@ def filter_documents(docs: DataFrame, rules=RULES, text: str = "text", **samplin
             keep = [rejected_by(TextStats(t), order) is None for t in py_texts(batch.column(at))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 REPORT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -224,4 +234,4 @@ def report(docs: DataFrame, rules=RULES, id_column: str = "doc_id", text: str =
                 [batch.column(0), *columns, pa.array(failed, pa.bool_()),
                  pa.array([k and not f for k, f in zip(kept, failed)], pa.bool_())], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)

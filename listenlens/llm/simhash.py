@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import few_files, py_texts, written
+from listenlens.llm.common import few_files, map_batches, py_texts, written
 from listenlens.llm.components import connected_components
 
 SEED = 42
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
             fp = np.fromiter((fingerprint(t, shingle) for t in py_texts(batch.column(1))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def block_masks(radius: int) -> list[int]:
@@ -223,7 +223,7 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(fp[own][child]), pa.array(fp[own][parent])], names=schema.names)
 
-    return dealt.mapInArrow(run, schema)
+    return map_batches(dealt, run, schema)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text",

@@ -49,12 +49,13 @@ s AS (
     SELECT r, doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
            len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
+           len(list_filter(list_zip(w, w[2:]), lambda x: x[1] = x[2])) AS n_stutters,
            length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower
     FROM w LEFT JOIN rep USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > n_words
-            OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 12 * n_words
+            OR 100 * n_stutters > 30 * n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 12 * n_words
             OR (upper * 10 > 4 * (upper + lower) AND upper + lower >= 20)) AS kept
 FROM s"""
 

@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import few_files, text_or_empty, written
+from listenlens.llm.common import few_files, map_batches, text_or_empty, written
 
 WINDOW, GRAM = 200, 32  # GRAM
 REACH = WINDOW - GRAM  # most bytes from a window's start to its sample place
@@ -174,7 +174,7 @@ def places(texts: DataFrame) -> DataFrame:
         if chunk:
             yield from (_batch(_PLACES, *rows) for rows in _places_of(chunk))
 
-    return texts.mapInArrow(run, _PLACES)
+    return map_batches(texts, run, _PLACES)
 
 
 def repeated(rows: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def repeated(rows: DataFrame) -> DataFrame:
         if matched:
             yield _batch(_PLACES, *tail)
 
-    return rows.repartition("h").sortWithinPartitions("h", "ra", "rb", "packed").mapInArrow(run, _PLACES)
+    return map_batches(rows.repartition("h").sortWithinPartitions("h", "ra", "rb", "packed"), run, _PLACES)
 
 
 _CONTEXTS = T.StructType([T.StructField("h", T.LongType()), T.StructField("right", T.BinaryType()),
@@ -220,7 +220,7 @@ def contexts(texts: DataFrame) -> DataFrame:
                     rows.append((x["h"], raw[p:p + WINDOW - least], raw[p - most:p][::-1], ra.as_py(), rb.as_py(), x["packed"]))
                 yield _batch(_CONTEXTS, *zip(*rows))
 
-    return texts.mapInArrow(run, _CONTEXTS)
+    return map_batches(texts, run, _CONTEXTS)
 
 
 _WINDOWS = T.StructType([T.StructField(n, T.LongType()) for n in ("ra", "rb", "start", "w1", "w2")])
@@ -241,7 +241,7 @@ def hot_windows(texts: DataFrame) -> DataFrame:
                     yield _batch(_WINDOWS, np.full(len(w1), ra.as_py()), np.full(len(w1), rb.as_py()),
                                  np.arange(p - most, p - least + 1), w1.view(np.int64), w2.view(np.int64))
 
-    return texts.mapInArrow(run, _WINDOWS)
+    return map_batches(texts, run, _WINDOWS)
 
 
 class Shard:
@@ -401,7 +401,7 @@ def stretches(sorted_contexts: DataFrame) -> DataFrame:
             if shard.rows:
                 yield from result(shard)
 
-    return sorted_contexts.mapInArrow(run, _STRETCH)
+    return map_batches(sorted_contexts, run, _STRETCH)
 
 
 def _addressed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -464,4 +464,4 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
                 pa.array(c, pa.int64()) if i < 3 else pa.array(c, pa.string() if i == 3 else pa.binary())
                 for i, c in enumerate(columns)], names=schema.names)
 
-    return few_files(rows.mapInArrow(run, schema), 2).withColumnRenamed("id", id_column)
+    return few_files(map_batches(rows, run, schema), 2).withColumnRenamed("id", id_column)

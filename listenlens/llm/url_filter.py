@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import py_texts
+from listenlens.llm.common import map_batches, py_texts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path)
@@ -112,8 +112,8 @@ def dictionary(texts: DataFrame, column: str, size: int) -> dict[str, int]:
     return counts | {w: max(SEED_COUNT, counts.get(w, 0)) for w in SEEDS}
 
 
-def train(urls: DataFrame, counts: dict[str, int], buckets: int) -> tuple[np.ndarray, float]:
-    """Log odds of each hashed feature (Laplace), and of the classes."""
+def train(urls: DataFrame, counts: dict[str, int], buckets: int, smoothing: float = 0.01) -> tuple[np.ndarray, float]:
+    """Log odds of each hashed feature (additive smoothing), and of the classes."""
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("label", T.IntegerType()),
                            T.StructField("n", T.LongType())])
 
@@ -130,9 +130,9 @@ def train(urls: DataFrame, counts: dict[str, int], buckets: int) -> tuple[np.nda
                                           pa.array(seen[label, bucket])], names=schema.names)
 
     table = np.zeros((2, buckets + 1))
-    for r in urls.select("host", "path").mapInArrow(run, schema).groupBy("bucket", "label").agg(F.sum("n").alias("n")).collect():
+    for r in map_batches(urls.select("host", "path"), run, schema).groupBy("bucket", "label").agg(F.sum("n").alias("n")).collect():
         table[r["label"], r["bucket"]] = r["n"]  # at most 2 * (buckets + 1) rows
-    smooth = table[:, :-1] + 1
+    smooth = table[:, :-1] + smoothing
     odds = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
     return odds, float(np.log(table[1, -1] + 1) - np.log(table[0, -1] + 1))
 
@@ -157,7 +157,7 @@ def judge(pages: DataFrame, rules=RULES, id_column: str = "page_id", url: str =
                       for host, path in zip(*(py_texts(c) for c in batch.columns[1:]))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=schema.names)
 
-    scored = urls.mapInArrow(run, schema).withColumn("r", longest_rule(F.col("host"), F.col("path"), rules))
+    scored = map_batches(urls, run, schema).withColumn("r", longest_rule(F.col("host"), F.col("path"), rules))
     by_score = F.when((F.col("score") > 0) & (F.col("host") != ""), "block").otherwise("allow")
     return scored.select(F.col("id").alias(id_column), "host", "path", F.col("r.rule").alias("rule"),
                          F.coalesce("r.verdict", by_score).alias("verdict"), "score")

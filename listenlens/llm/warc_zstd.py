@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import text_or_empty, written
+from listenlens.llm.common import map_batches, text_or_empty, written
 
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
@@ -182,7 +182,7 @@ def archives(pages: DataFrame, id_column: str = "page_id", url: str = "url", pay
             yield pa.RecordBatch.from_arrays([pa.array([f"pages-{task:05d}-{made:05d}.warc.zst"]),
                                               pa.array([lead + b"".join(parts)], pa.binary())], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def records(archives_: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -197,7 +197,7 @@ def records(archives_: DataFrame, with_payload: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns.get(f.name, ()), _ARROW[f.dataType.simpleString()]) for f in schema], names=schema.names)
 
-    return archives_.select("content").where(F.col("content").isNotNull()).mapInArrow(run, schema)
+    return map_batches(archives_.select("content").where(F.col("content").isNotNull()), run, schema)
 
 
 _ARROW = {"string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}

@@ -41,6 +41,20 @@ def test_the_rest_works_without_the_operators(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env={**os.environ, "PYTHONPATH": str(copy)})
 
 
+def test_python_workers_find_the_package(tmp_path):
+    code = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+sys.path.insert(0, {REPO!r})
+import __spark_entry__ as e
+assert e.queries()["op3_quality_rules"](spark, "/root/testdata/sf0.001").count() > 0
+assert e.queries()["op8_warc_zstd"](spark, "/root/testdata/sf0.001").count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=env)
+
+
 def test_nothing_else_imports_the_operators():
     for folder, _, files in os.walk(os.path.join(REPO, "listenlens")):
         if os.path.basename(folder) == "llm":

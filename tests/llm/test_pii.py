@@ -67,6 +67,16 @@ def test_rows_and_further_spans(spark):
     assert again["n_phone"] == 1 and f"phone:{at}:{at + 14}" in again["spans"].split(",")
 
 
+def test_spans_hold_one_entity_each():
+    import numpy as np
+    k = len(pii_crf.LABELS)
+    node = np.zeros((k, pii_crf.N_FEATURES))
+    node[3, 0] = 5.0  # everything is a card
+    field = pii_crf.Field(node, np.zeros((k, k)), np.zeros((k, k)))
+    text = "1234567890123456 6543210987654321 x 12345678 12345678 9"
+    assert pii_crf.further_spans(text, [], field) == [("card", 0, 16), ("card", 17, 33), ("card", 36, 55)]
+
+
 def test_message_passing_agrees_with_exhaustive_sums():
     """On a tree (no loop) the marginals are exact."""
     import itertools

@@ -11,7 +11,7 @@ SPACE = r"[\x20\x09-\x0D]"
 ROWS = AWKWARD + [
     (30, "THIS IS SHOUTED TEXT " * 12 + prose(9, 5)), (31, "### " * 40), (32, "| a " * 30),
     (33, "\n".join(["same line here"] * 9 + ["another"])), (34, "a b c d e f g h " * 2 + prose(8, 60)),
-    (35, "a b a b a b a b a"), (36, "x " * 8), (37, "x " * 9), (38, "word" * 20 + " " + "w" * 400)]
+    (39, " ".join(w for x in prose(10, 30).split() for w in (x, x))), (35, "a b a b a b a b a"), (36, "x " * 8), (37, "x " * 9), (38, "word" * 20 + " " + "w" * 400)]
 
 
 def brute(text):

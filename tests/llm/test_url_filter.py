@@ -37,6 +37,8 @@ def test_hosts_paths_and_rules(spark):
     by_url = {i: r["verdict"] for i, u, *_ in rows for r in got if r["page_id"] == i}
     assert by_url[URLS.index(None)] == "allow"
     assert by_url[URLS.index("http://freecasinowin.example.com/poker/1")] == "block"
+    spam = {i for i, u, *_ in rows if u and ("casino-site" in u or "poker-site" in u)}
+    assert all(by_url[i] == "block" for i in spam) and len(spam) == 60
     assert by_url[URLS.index("http://quietgarden.example.com/tea/1")] == "allow"
     assert set(r["verdict"] for r in got) == {"allow", "block"}
 
