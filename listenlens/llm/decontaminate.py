@@ -123,7 +123,8 @@ def remove(docs: DataFrame, items: DataFrame, text: str = "text", item_column: s
     pairs, of_item = candidates(keyed.select(F.col("_address").alias("id"), F.col("_text").alias("text")), items,
                                 item_column, item_text, shingle, threshold)
     asked = pairs.join(of_item, "item").groupBy("id").agg(F.collect_list(F.struct("size", "shingles")).alias("_asked"))
-    leaks = F.exists("_asked", lambda a: F.size(F.array_intersect(
-        a["shingles"], shingle_texts(words(F.col("_text")), a["size"]))) >= _needed(F.size(a["shingles"]), threshold))
+    # the one-element array binds a text's words once, for all of its shingles
+    leaks = F.exists(F.array(words(F.col("_text"))), lambda w: F.exists("_asked", lambda a: F.size(F.array_intersect(
+        a["shingles"], shingle_texts(w, a["size"]))) >= _needed(F.size(a["shingles"]), threshold)))
     kept = keyed.join(asked, F.col("_address") == F.col("id"), "left").where(F.col("_asked").isNull() | ~leaks)
     return few_files(kept, 2).select(*names).toDF(*docs.columns)
