@@ -45,27 +45,6 @@ def dense_index(df: DataFrame, order, name: str = "idx", base: int = 0,
             .drop("_ll_pid", "_ll_rn", "_ll_off"))
 
 
-def block_index(df: DataFrame, key: str, block_size: int, n_items: int | None = None,
-                prefix: str = "") -> tuple[DataFrame, int]:
-    """Split distinct keys into hash blocks of about ``block_size`` keys.
-
-    Returns ``(df + [<prefix>blk, <prefix>pos, <prefix>bsize], n_blocks)``: the
-    block of a key, its position inside the block (ordered by key) and the
-    block's size.  Windows are partitioned by block, so no task sees more than
-    one block of keys.
-    """
-    if n_items is None:
-        n_items = df.count()
-    n_blocks = max(1, -(-n_items // block_size))
-    blk = F.pmod(F.xxhash64(F.col(key)), F.lit(n_blocks)).cast("int")
-    w = Window.partitionBy(prefix + "blk")
-    out = (df.withColumn(prefix + "blk", blk)
-           .withColumn(prefix + "pos",
-                       (F.row_number().over(w.orderBy(key)) - 1).cast("int"))
-           .withColumn(prefix + "bsize", F.count(F.lit(1)).over(w).cast("int")))
-    return out, n_blocks
-
-
 def label_codes(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """``(col, code)`` — 0-based codes of the distinct values in sorted
     order (what a sorted label encoder assigns), computed with ``dense_index``."""
