@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def py_texts(column) -> list[str]:
-    """An Arrow string column as Python strings, null as empty."""
-    return [t if t is not None else "" for t in column.to_pylist()]
+def py_texts(column) -> Iterator[str]:
+    """The texts of an Arrow column one by one, null as empty: a batch may hold
+    tens of megabytes."""
+    return (v.as_py() or "" for v in column)

@@ -58,13 +58,16 @@ def _encoder(vocabulary: str | None, ranks: str | None):
     import tiktoken
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    @lru_cache(maxsize=1)
+    def whole() -> Tokenizer:  # loaded by the first text that needs it
+        return Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+
     with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks={
             base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f)})
 
     def encode(text: str) -> np.ndarray:
-        ids = whole.encode(text, add_special_tokens=False).ids if SPECIAL in text else fast.encode_ordinary(text)
+        ids = whole().encode(text, add_special_tokens=False).ids if SPECIAL in text else fast.encode_ordinary(text)
         return np.array([*ids, END], dtype="<u4")
 
     return encode

@@ -226,12 +226,14 @@ def report(docs: DataFrame, rules=RULES, id_column: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = [TextStats(t) for t in py_texts(batch.column(1))]
-            kept = [rejected_by(s, order) is None for s in stats]
-            failed = [few_words(s) or repeated_windows(s) for s in stats]
-            columns = [pa.array([getattr(s, n) for s in stats], pa.int64()) for n in REPORT]
+            rows = []
+            for t in py_texts(batch.column(1)):
+                s = TextStats(t)
+                kept, failed = rejected_by(s, order) is None, few_words(s) or repeated_windows(s)
+                rows.append((*(getattr(s, n) for n in REPORT), failed, kept and not failed))
+            columns = list(zip(*rows)) or [()] * (len(schema) - 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns, pa.array(failed, pa.bool_()),
-                 pa.array([k and not f for k, f in zip(kept, failed)], pa.bool_())], names=schema.names)
+                [batch.column(0)] + [pa.array(c, pa.int64() if i < len(REPORT) else pa.bool_()) for i, c in enumerate(columns)],
+                names=schema.names)
 
     return map_batches(source, run, schema)

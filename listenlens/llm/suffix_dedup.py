@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import few_files, map_batches, text_or_empty, written
+from listenlens.llm.common import few_files, map_batches, py_texts, text_or_empty, written
 
 WINDOW, GRAM = 200, 32  # GRAM
 REACH = WINDOW - GRAM  # most bytes from a window's start to its sample place
@@ -452,7 +452,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, whole, parts in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            for text, whole, parts in zip(py_texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 raw = text.encode()
                 spans = [(0, len(raw))] if whole and len(raw) >= WINDOW else _merged(
                     [(p["start"], p["start"] + p["length"]) for p in parts or ()])
