@@ -121,23 +121,25 @@ def recommend(profile: DataFrame, catalogue: DataFrame, k: int = 10) -> DataFram
     w_combo = Window.partitionBy("artist", "genre").orderBy("track_id")
     combo_head = cat.withColumn("_r", F.row_number().over(w_combo)).where(F.col("_r") <= k).drop("_r")
 
-    c1 = _of_own_artists(ta, tg, combos, combo_head, k)
-    c2 = _of_own_genres(ta, tg, combos, combo_head, c1, k)
-    c3 = _fillers(taste, ta, tg, combos, cat, k)
+    # the user's artists with their genres, weights and numbers of songs: five reads
+    pairs = materialize(ta.join(combos, "artist").join(tg, [U, "genre"], "left").select(
+        U, "artist", "genre", "wa", "wg", "n_ag"))
+    c1 = _of_own_artists(pairs, combo_head, k)
+    c2 = _of_own_genres(pairs, ta, tg, combos, combo_head, c1, k)
+    c3 = _fillers(pairs, taste, ta, tg, combos, cat, k)
     cand = c1.unionByName(c2).unionByName(c3).dropDuplicates([U, "track_id", "genre"])
     w = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .withColumn("rank", F.col("rank").cast("long")))
 
 
-def _of_own_artists(ta: DataFrame, tg: DataFrame, combos: DataFrame, combo_head: DataFrame, k: int) -> DataFrame:
+def _of_own_artists(pairs: DataFrame, combo_head: DataFrame, k: int) -> DataFrame:
     """Step 1.  A pair contributes at most k songs, all with the pair's score, so
     only the pairs whose better ones hold fewer than k songs (plus ties) are
     expanded to songs."""
-    pairs = (ta.join(combos, "artist").join(tg, [U, "genre"], "left")
-             .select(U, "artist", "genre",
-                     F.round((F.col("wa") + F.coalesce(F.col("wg"), F.lit(0.0))) * INV_SQRT2, 6).alias("score"),
-                     F.least(F.col("n_ag"), F.lit(k)).alias("_m")))
+    pairs = pairs.select(U, "artist", "genre",
+                         F.round((F.col("wa") + F.coalesce(F.col("wg"), F.lit(0.0))) * INV_SQRT2, 6).alias("score"),
+                         F.least(F.col("n_ag"), F.lit(k)).alias("_m"))
     # songs of strictly better pairs: a range frame over the score in units of
     # 1e-6 (scores are rounded to 6 digits), ending one unit above the row
     w_better = (Window.partitionBy(U).orderBy(F.desc("_iscore"))
@@ -148,13 +150,13 @@ def _of_own_artists(ta: DataFrame, tg: DataFrame, combos: DataFrame, combo_head:
     return needed.join(combo_head, ["artist", "genre"]).select(U, "track_id", "genre", "artist", "score")
 
 
-def _of_own_genres(ta: DataFrame, tg: DataFrame, combos: DataFrame, combo_head: DataFrame, c1: DataFrame, k: int) -> DataFrame:
+def _of_own_genres(pairs: DataFrame, ta: DataFrame, tg: DataFrame, combos: DataFrame, combo_head: DataFrame, c1: DataFrame, k: int) -> DataFrame:
     """Step 2, for the (user, genre) pairs that can reach the user's k-th score."""
     w_user = Window.partitionBy(U).orderBy(F.desc("score"), F.asc("track_id"), F.asc("genre"))
     kth = (c1.withColumn("_r", F.row_number().over(w_user)).where(F.col("_r") == k)
            .select(U, F.col("score").alias("_kth")))
     # how many of the genre's pairs are the user's own artists
-    n_artists = ta.join(combos, "artist").groupBy(U, "genre").agg(F.count(F.lit(1)).alias("_own"))
+    n_artists = pairs.groupBy(U, "genre").agg(F.count(F.lit(1)).alias("_own"))
     most = n_artists.agg(F.max("_own")).first()[0] or 0  # a scalar: how many pairs of a genre are ranked
     w_genre = Window.partitionBy("genre").orderBy("_first", "artist")
     ranked = (combos.withColumn("_at", F.row_number().over(w_genre)).where(F.col("_at") <= k + most)
@@ -172,18 +174,15 @@ def _of_own_genres(ta: DataFrame, tg: DataFrame, combos: DataFrame, combo_head:
             .select(U, "track_id", "genre", "artist", "score"))
 
 
-def _fillers(taste: DataFrame, ta: DataFrame, tg: DataFrame, combos: DataFrame, cat: DataFrame, k: int) -> DataFrame:
+def _fillers(pairs: DataFrame, taste: DataFrame, ta: DataFrame, tg: DataFrame, combos: DataFrame, cat: DataFrame, k: int) -> DataFrame:
     """Step 3: the first songs that share neither artist nor genre, for users with
     fewer than k songs that share one."""
     genre_n = combos.groupBy("genre").agg(F.sum("n_ag").alias("n_g"))
-    n_artist = ta.join(combos, "artist").groupBy(U).agg(F.sum("n_ag").alias("_na"))
+    # songs of the user's artists outside the user's genres, and of those genres
+    n_artist = pairs.where(F.col("wg").isNull()).groupBy(U).agg(F.sum("n_ag").alias("_na"))
     n_genre = tg.join(genre_n, "genre").groupBy(U).agg(F.sum("n_g").alias("_ng"))
-    n_both = (ta.join(combos, "artist").join(tg.select(U, "genre"), [U, "genre"])
-              .groupBy(U).agg(F.sum("n_ag").alias("_nb")))
     n_pos = (taste.select(U).distinct().join(n_artist, U, "left").join(n_genre, U, "left")
-             .join(n_both, U, "left")
-             .select(U, (F.coalesce("_na", F.lit(0)) + F.coalesce("_ng", F.lit(0))
-                         - F.coalesce("_nb", F.lit(0))).alias("_npos")))
+             .select(U, (F.coalesce("_na", F.lit(0)) + F.coalesce("_ng", F.lit(0))).alias("_npos")))
     short = n_pos.where(F.col("_npos") < k)
     # at most 2k rows, numbered in one small task
     head = cat.orderBy("track_id", "genre", "artist").limit(2 * k).withColumn(
