@@ -123,6 +123,7 @@ def classified_chart(plays: DataFrame, tracks: DataFrame, predictions: DataFrame
     pred = predictions.select("track_id", F.col("prediction").alias("theme"))
     if theme is not None:
         pred = pred.where(F.col("theme") == theme)
+    pred = materialize(pred)  # read for the restriction and for the join
     totals = charts.track_totals(plays, tracks, track_ids=pred).join(pred, "track_id")
     w = Window.partitionBy("theme").orderBy(F.desc("play_count"), F.asc("track_id"))
     return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -97,7 +97,10 @@ def theme_chart(plays: DataFrame, tracks: DataFrame, members: DataFrame,
                 n: int = CHART_SIZE) -> DataFrame:
     """Top-``n`` tracks by plays of each theme:
     ``(theme, rank, artist, title, play_count)``."""
-    totals = charts.track_totals(plays, tracks, track_ids=members).join(members.select("track_id", "theme"), "track_id")
+    # the few member tracks restrict tracks and plays before the totals: written
+    # once, since finding them reads all lyrics
+    members = materialize(members.select("track_id", "theme"))
+    totals = charts.track_totals(plays, tracks, track_ids=members).join(members, "track_id")
     w = Window.partitionBy("theme").orderBy(F.desc("play_count"), F.asc("track_id"))
     return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .withColumn("rank", F.col("rank").cast("long"))
