@@ -8,7 +8,20 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlens.session import ensure_checkpoint_dir, map_batches  # noqa: F401
+from listenlens import session
+from listenlens.session import ensure_checkpoint_dir
+
+#: Bytes of an Arrow batch, unless the session sets its own bound.
+BATCH_BYTES = "8m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``.  Texts are long: batches are bounded in bytes,
+    which both the executor's and the worker's buffers follow."""
+    conf = df.sparkSession.conf
+    conf.set(_BATCH_SETTING, conf.get(_BATCH_SETTING, BATCH_BYTES))
+    return session.map_batches(df, run, schema)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
