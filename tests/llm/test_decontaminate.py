@@ -75,3 +75,24 @@ def test_remove_and_empty_tables(spark):
     assert decontaminate.contained(table(spark, []), items).count() == 0
     assert decontaminate.contained(table(spark, docs), items.limit(0)).count() == 0
     assert decontaminate.remove(table(spark, docs), items.limit(0)).count() == len(docs)
+
+
+def test_repeated_and_null_item_ids(spark):
+    """Different texts under one item id, or without one, are searched one by one."""
+    texts = [prose(300 + k, 24) for k in range(60)]
+    items = [(1 if k < 30 else None if k < 50 else k, t) for k, t in enumerate(texts)]
+    items += [(1, texts[0]), (2, texts[0]), (None, texts[0]), (None, None)]
+    docs = [(k, prose(400, 50) + t + prose(401, 50)) for k, t in enumerate(texts)]
+    docs += [(100, " ".join(texts[0].split()[:-4])), (101, texts[1] + texts[2]), (None, texts[31]), (102, prose(402, 300))]
+    # the largest containment of the texts of an id, of equal ones the most shingles
+    want = {}
+    for d, t in docs:
+        for i, x in items:
+            for *_, shared, own in brute([(d, t)], [(i, x)]):
+                want[d, i] = max(want.get((d, i), (0, 0, 0)), (shared / own, shared, own))
+    table_of = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contained(table(spark, docs), table_of).collect()
+    assert by_key((r["id"], r["item"], r["containment"], r["n_shared"], r["n_shingles"]) for r in got) == by_key(
+        (*k, *v) for k, v in want.items())
+    assert {(k, 1) for k in range(30)} | {(k, None) for k in range(30, 50)} <= {(r["id"], r["item"]) for r in got}
+    assert [r["doc_id"] for r in decontaminate.remove(table(spark, docs), table_of).collect()] == [102]
