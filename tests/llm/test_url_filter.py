@@ -61,3 +61,26 @@ def test_segmentation_is_the_most_probable_split():
 
 def test_empty_table(spark):
     assert url_filter.judge(pages(spark, URLS)[1].limit(0)).count() == 0
+
+
+def test_words_of_bodies_and_without_a_limit(spark):
+    """Host words that only bodies hold, behind 60,000 words that are as frequent."""
+    def name(k):
+        out = "q"
+        for _ in range(4):
+            k, r = divmod(k, 26)
+            out += chr(97 + r)
+        return out
+    many = " ".join(name(k) for k in range(60_000))
+    html = ["<p>mellow <b>zither</b></p>", f"<!-- hidden --><script>var zi = 'ther';</script><div>{many}</div>",
+            "<title>Zither&nbsp;MELLOW</title><style>p{}", "<script>unclosed melodrama", None]
+    df = spark.createDataFrame([(k, "http://mellowzither.example.com/", h) for k, h in enumerate(html)], "page_id long, url string, html string")
+    counts = url_filter.dictionary(df, "html")
+    found = {r["w"]: r["n"] for r in counts.collect()}
+    assert len(found) == 60_000 + 2 + len(url_filter.SEEDS)  # tags, comments, scripts and styles add none
+    assert found["mellow"] == found["zither"] == 2 and found[name(0)] == 1 and found["casino"] == url_filter.SEED_COUNT
+    urls = spark.createDataFrame([(0, "mellowzither.qaaaaqbaaa.x", "/"), (1, "mellowzither.qaaaaqbaaa.x", "/a"), (2, "", "")],
+                                 "id int, host string, path string")
+    got = {r["id"]: r["words"] for r in url_filter.segmented(urls, counts).collect()}
+    assert got == {0: (w := ["mellow", "zither", "qaaaa", "qbaaa", "x"]), 1: w, 2: []}
+    assert url_filter.judge(df).count() == len(html)
