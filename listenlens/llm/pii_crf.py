@@ -11,7 +11,9 @@ spans are evidence and always stay; a run of adjacent tokens that get the same
 label becomes a further span.
 
 The weights are trained here on a bounded sample whose labels are the base
-spans: multinomial logistic node weights, and smoothed association of the labels
+spans.  It is drawn by a hash of id and text over the whole table, holds texts of
+each kind of base span that the table has, and takes about as many tokens from each
+text; where the rows lie decides nothing.  They are multinomial logistic node weights, and smoothed association of the labels
 at the ends of chain and skip edges.
 
 Defined results
@@ -20,7 +22,7 @@ Defined results
 * equal or null ids and repeated rows: one result row per row;
 * positions: code points, end exclusive; very long texts are read whole, all
   scans are linear in the text;
-* a sample without base spans: no further spans;
+* a table without base spans: no further spans;
 * empty table: empty result; other columns are ignored.
 """
 
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import map_batches, py_texts
+from listenlens.llm.common import map_batches, py_texts, written
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -238,29 +240,98 @@ def further_spans(text: str, base: list[Span], field: Field) -> list[Span]:
     return found
 
 
-def train(docs: DataFrame, text: str, max_documents: int = 4000, max_tokens: int = 40_000, seed: int = 5) -> Field | None:
-    """Weights from at most ``max_documents`` sampled texts with a clue and
-    ``max_tokens`` of their tokens; None without a base span among them."""
-    schema = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("label", T.IntegerType()),
+#: Sampled texts of each kind, if the table has so many.
+PER_KIND = 64
+
+
+def sample(docs: DataFrame, id_column: str, text: str, max_documents: int, seed: int) -> DataFrame | None:
+    """``(u, text)`` of at most ``max_documents`` distinct rows with a clue, those with
+    the smallest hashes ``u`` of each kind and of all; None without a base span in
+    the whole table."""
+    u = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text))
+    rows = docs.select(u.alias("u"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    schema = T.StructType([T.StructField("u", T.LongType()), T.StructField("kinds", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = [sum(1 << KINDS.index(k) for k in {k for k, _, _ in base_spans(t)}) for t in py_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.int32())], names=schema.names)
+
+    scanned = written(map_batches(rows, run, schema).distinct(), "pii-kinds")
+    count = {r["kinds"]: r["count"] for r in scanned.groupBy("kinds").count().collect()}  # 16 rows at most
+    if not any(count):
+        return None
+    bits, least = [1 << k for k in range(len(KINDS))], max(1, min(PER_KIND, max_documents // (2 * len(KINDS))))
+
+    def among(wanted: int, n: int):  # about 4 * wanted rows of n, or all
+        share = 4 * wanted / max(n, 1)
+        return F.lit(True) if share >= 1 else F.col("u") < F.lit(int(share * 2**64) - 2**63)
+
+    near = among(max_documents, sum(count.values()))
+    for bit in bits:
+        of_kind = sum(n for kinds, n in count.items() if kinds & bit)
+        near = near | ((F.col("kinds").bitwiseAND(bit) > 0) & among(least, of_kind))
+    found = sorted((r["u"], r["kinds"]) for r in scanned.where(near).collect())  # bounded by the shares
+    taken = {v for bit in bits for v in [v for v, kinds in found if kinds & bit][:least]}
+    rest = [v for v, _ in found if v not in taken][:max(0, max_documents - len(taken))]
+    chosen = F.col("u").isin(sorted(taken))
+    if rest:
+        chosen = chosen | (F.col("u") <= rest[-1])  # all up to there are taken
+    return written(rows.where(chosen).dropDuplicates(["u"]), "pii-sample")
+
+
+def quota(sizes: list[int], total: int) -> int:
+    """The largest number of tokens a text can give so that all give ``total`` at most."""
+    left = total
+    for k, n in enumerate(sizes := sorted(sizes)):
+        if n * (len(sizes) - k) > left:
+            return max(1, left // (len(sizes) - k))
+        left -= n
+    return max(sizes, default=1)
+
+
+def _picked(label: np.ndarray, most: int) -> list[int]:
+    """Places of the first token of each label, then evenly spaced ones."""
+    if len(label) <= most:
+        return list(range(len(label)))
+    first = np.unique(label, return_index=True)[1].tolist()
+    even = np.linspace(0, len(label) - 1, most).astype(int).tolist()
+    return sorted(list(dict.fromkeys(first + even))[:max(most, len(first))])
+
+
+def train(docs: DataFrame, text: str, max_documents: int = 4000, max_tokens: int = 40_000, seed: int = 5,
+          id_column: str = "doc_id") -> Field | None:
+    """Weights from at most ``max_documents`` sampled texts with a clue and about
+    ``max_tokens`` of their tokens; None without a base span in the table."""
+    texts = sample(docs, id_column, text, max_documents, seed)
+    if texts is None:
+        return None
+    size = T.StructType([T.StructField("n", T.LongType())])
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [sum(1 for m in TOKEN.finditer(t) if CLUE.search(t, m.start(), m.end())) for t in py_texts(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=size.names)
+
+    most = quota([r["n"] for r in map_batches(texts.select("text"), tokens, size).collect()], max_tokens)
+    schema = T.StructType([T.StructField("u", T.LongType()), T.StructField("i", T.IntegerType()),
+                           T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("label", T.IntegerType()),
                            T.StructField("chain", T.IntegerType()), T.StructField("skip", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for t in py_texts(batch.column(0)):
+            for u, t in zip(batch.column(0).to_pylist(), py_texts(batch.column(1))):
                 if g := build_graph(t, base_spans(t)):
                     ends = [dict(e.tolist()) for e in (g.chain, g.skip)]  # a token's next in chain and skip
-                    rows += [(x.tolist(), int(y), *(int(g.label[e[i]]) if i in e else None for e in ends))
-                             for i, (x, y) in enumerate(zip(g.x, g.label))]
-            x, y, chain, skip = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()),
-                                              pa.array(chain, pa.int32()), pa.array(skip, pa.int32())], names=schema.names)
-
-    with_clue = docs.select(F.col(text).alias("_text")).where(F.col("_text").rlike("[0-9@]"))
-    rows = map_batches(with_clue.sample(False, 0.2, seed).limit(max_documents), run, schema).limit(max_tokens).collect()
+                    rows += [(u, i, g.x[i].tolist(), int(g.label[i]), *(int(g.label[e[i]]) if i in e else None for e in ends))
+                             for i in _picked(g.label, most)]
+            columns = zip(*rows) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(columns, (
+                pa.int64(), pa.int32(), pa.list_(pa.float64()), pa.int32(), pa.int32(), pa.int32()))], names=schema.names)
+
+    rows = sorted(map_batches(texts, run, schema).collect(), key=lambda r: (r["u"], r["i"]))
     y = np.array([r["label"] for r in rows], np.int64)
-    if not y.any():
-        return None
     x = np.array([r["x"] for r in rows])
     target = np.eye(len(LABELS))[y]
     node = np.zeros((len(LABELS), N_FEATURES))
@@ -283,7 +354,7 @@ def _association(first: np.ndarray, second: list) -> np.ndarray:
 
 def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **training) -> DataFrame:
     """``(id, n_<kind>..., base_sha256, spans)`` of every row."""
-    field = train(docs, text, **training)
+    field = train(docs, text, id_column=id_column, **training)
     source = docs.select(F.col(id_column).alias(id_column), F.col(text).alias("_text"))
     counts = [f"n_{k}" for k in KINDS]
     schema = T.StructType([source.schema[id_column]] + [T.StructField(n, T.LongType()) for n in counts]

@@ -102,3 +102,30 @@ def test_empty_table_and_no_sample(spark):
     assert pii_crf.find(table(spark, [])).count() == 0
     rows = [(1, "no clue"), (2, None)]
     assert [r["spans"] for r in pii_crf.find(table(spark, rows)).collect()] == ["", ""]
+
+
+def test_sample_does_not_follow_the_rows_places(spark):
+    """Long texts of numbers in the first partition, and a few labelled texts behind."""
+    long = [(k, " ".join(f"v{k}x{i}" for i in range(4000))) for k in range(100)]
+    clear = [(1000 + k, f"{prose(k, 9)} page {k}. section {k}.1") for k in range(3000)]
+    kinds = ["ann.b@mail.example.com", "10.0.255.1", "4111 1111 1111 1111", "+1 (499) 555-6503"]
+    last = [(9000 + k, f"{prose(k, 9)} {x} {prose(k + 1, 9)}") for k, x in enumerate(kinds)]
+    docs = table(spark, long + clear + last).coalesce(1)
+    texts = pii_crf.sample(docs, "doc_id", "text", 500, 5).collect()
+    assert len(texts) == 500 and {t for _, t in last} <= {r["text"] for r in texts}
+    assert any(r["text"].startswith("v") for r in texts)
+    field = pii_crf.train(docs, "text")
+    assert field is not None
+    again = pii_crf.train(docs.repartition(7), "text")
+    assert abs(field.node - again.node).max() < 1e-9 and abs(field.skip - again.skip).max() < 1e-9
+    assert pii_crf.train(table(spark, clear), "text") is None
+    assert pii_crf.train(table(spark, clear[:40] + last[:1]), "text") is not None
+
+
+def test_token_quota():
+    import numpy as np
+    assert pii_crf.quota([5, 7, 1000], 112) == 100 and pii_crf.quota([5, 7], 40) == 7 and pii_crf.quota([9] * 50, 10) == 1
+    label = np.zeros(10_000, int)
+    label[[77, 78, 5000]] = 4, 4, 2
+    picked = pii_crf._picked(label, 100)
+    assert len(picked) == 100 and {0, 77, 5000} <= set(picked) and max(picked) > 9000
