@@ -5,7 +5,8 @@ the tokens with digits or ``@`` that no base span covers: neighbouring tokens
 share chain potentials, and all tokens of a document with the same or similar
 content (equal digits, or equal text without outer punctuation) are linked by
 skip edges from each occurrence to the next, however distant.  Loopy sum-product
-message passing makes an entity's mentions agree: the tokens of a number that was
+message passing, whose rounds sweep over whole runs of neighbours and over all
+occurrences from the first to the last and back, makes an entity's mentions agree: the tokens of a number that was
 recognised once are found again where its form is broken or abridged.  Base
 spans are evidence and always stay; a run of adjacent tokens that get the same
 label becomes a further span.
@@ -177,29 +178,71 @@ class Field:
     chain: np.ndarray
     skip: np.ndarray
 
-    def marginals(self, g: Graph, rounds: int = 12, damping: float = 0.3) -> np.ndarray:
-        """Loopy sum-product; base spans clamp their tokens."""
+    def marginals(self, g: Graph, rounds: int | None = None, damping: float = 0.3) -> np.ndarray:
+        """Loopy sum-product; base spans clamp their tokens.
+
+        A round sums exactly over every run of neighbours and then over every
+        sequence of occurrences, at any length: evidence passes all of an entity's
+        mentions in one.  Rounds go on until the messages change by less than 1e-4,
+        ``rounds`` at most (by default ``ROUNDS`` and one for each sequence)."""
         unary = g.x @ self.node.T
         unary[g.seen] = -30.0
         unary[g.seen, g.label[g.seen]] = 0.0
-        edges = np.concatenate([g.chain, g.skip])
-        potential = np.concatenate([np.repeat(p[None], len(e), axis=0) for p, e in ((self.chain, g.chain), (self.skip, g.skip))])
-        source, target = np.r_[edges[:, 0], edges[:, 1]], np.r_[edges[:, 1], edges[:, 0]]
-        potential = np.concatenate([potential, potential.transpose(0, 2, 1)])
-        back = np.r_[np.arange(len(edges), 2 * len(edges)), np.arange(len(edges))]
-        messages = np.zeros((len(source), len(LABELS)))
+        own = np.exp(np.maximum(unary - unary.max(axis=1, keepdims=True), -300.0))
+        chain, skip = _Paths(g.chain, len(own)), _Paths(g.skip, len(own))
+        if rounds is None:
+            rounds = ROUNDS + skip.number
+        of_chain, of_skip = np.exp(self.chain), np.exp(self.skip)
+        messages = np.ones((2, *own.shape))  # along the skip edges, forward and backward
         for _ in range(rounds):
-            belief = unary.copy()
-            np.add.at(belief, target, messages)
-            new = _log_sum((belief[source] - messages[back])[:, :, None] + potential, axis=1)
-            new -= _log_sum(new, axis=1)[:, None]
-            change = np.abs(new - messages).max(initial=0.0)
-            messages = damping * messages + (1 - damping) * new
+            near = chain.sweep(own * messages[0] * messages[1], of_chain)
+            if not len(g.skip):
+                break
+            new = skip.sweep(own * near[0] * near[1], of_skip)
+            change = np.abs(np.log(new) - np.log(messages)).max()
+            messages = messages ** damping * new ** (1 - damping)
             if change < 1e-4:
                 break
-        belief = unary.copy()
-        np.add.at(belief, target, messages)
-        return np.exp(belief - _log_sum(belief, axis=1)[:, None])
+        near = chain.sweep(own * messages[0] * messages[1], of_chain)
+        belief = own * messages[0] * messages[1] * near[0] * near[1]
+        return belief / belief.sum(axis=1, keepdims=True)
+
+
+#: Rounds of message passing that any text has at most, besides one for each sequence of occurrences.
+ROUNDS = 60
+
+
+class _Paths:
+    """Edges that form disjoint paths (each node has one next and one previous at
+    most), laid out by the nodes' places in them, long paths first."""
+
+    def __init__(self, edges: np.ndarray, n: int):
+        before = np.full(n, -1)
+        before[edges[:, 1]] = edges[:, 0]
+        path, place = np.arange(n), np.zeros(n, np.int64)
+        for node in np.sort(edges[:, 1]).tolist():  # a node's previous one has a smaller number
+            path[node], place[node] = path[before[node]], place[before[node]] + 1
+        length = np.bincount(path, minlength=n)
+        self.order = np.lexsort((path, -length[path], place))
+        self.number = int((length > 1).sum())
+        self.starts = np.r_[0, np.cumsum(np.bincount(place, minlength=1))].tolist()
+
+    def sweep(self, weight: np.ndarray, potential: np.ndarray) -> np.ndarray:
+        """Messages from the previous and from the next node, each summing to one
+        (ones where there is none)."""
+        w, starts = weight[self.order], self.starts
+        forward, backward = np.ones_like(w), np.ones_like(w)
+        for d in range(1, len(starts) - 1):
+            a, b, c = starts[d - 1], starts[d], starts[d + 1]
+            m = (w[a:a + c - b] * forward[a:a + c - b]) @ potential
+            forward[b:c] = m / m.sum(axis=1, keepdims=True)
+        for d in range(len(starts) - 2, 0, -1):
+            a, b, c = starts[d - 1], starts[d], starts[d + 1]
+            m = (w[b:c] * backward[b:c]) @ potential.T
+            backward[a:a + c - b] = m / m.sum(axis=1, keepdims=True)
+        out = np.empty((2, *w.shape))
+        out[0, self.order], out[1, self.order] = forward, backward
+        return out
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:

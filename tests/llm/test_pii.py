@@ -129,3 +129,40 @@ def test_token_quota():
     label[[77, 78, 5000]] = 4, 4, 2
     picked = pii_crf._picked(label, 100)
     assert len(picked) == 100 and {0, 77, 5000} <= set(picked) and max(picked) > 9000
+
+
+def test_evidence_reaches_every_mention():
+    """At the default settings, 80 mentions with the evidence at one end."""
+    import numpy as np
+    text = "+14995556503 5556503 " + " ".join("x 5556503" for _ in range(80))
+    g = pii_crf.build_graph(text, [("phone", 0, 20)])
+    assert len(g.label) == 82 and len(g.skip) == 80 and g.seen.sum() == 2
+    k = len(pii_crf.LABELS)
+    node, skip = np.zeros((k, pii_crf.N_FEATURES)), 6 * np.eye(k)
+    node[0, 0] = 0.01
+    field = pii_crf.Field(node, np.zeros((k, k)), skip)
+    p = field.marginals(g)
+    # exact, on the path of the mentions
+    unary = np.exp(g.x @ node.T)
+    unary[g.seen] = np.where(np.arange(k) == pii_crf.LABELS.index("phone"), 1.0, np.exp(-30.0))
+    forward, backward = [np.ones(k)], [np.ones(k)]
+    for i in range(1, 81):
+        m = (unary[i] * forward[-1]) @ np.exp(skip)
+        forward.append(m / m.sum())
+        m = np.exp(skip) @ (unary[82 - i] * backward[-1])
+        backward.append(m / m.sum())
+    want = np.array([unary[i + 1] * forward[i] * backward[80 - i] for i in range(81)])
+    want /= want.sum(axis=1, keepdims=True)
+    assert np.abs(p[1:] - want).max() < 1e-3
+    alone = field.marginals(pii_crf.build_graph(text, []))
+    assert p[-1, pii_crf.LABELS.index("phone")] > 2 * alone[-1, pii_crf.LABELS.index("phone")]
+
+
+def test_message_passing_on_long_texts_ends():
+    import numpy as np
+    text = " ".join(f"{k % 7}{k % 3}{k % 11}" + " x" * (k % 5 == 0) for k in range(20_000))
+    g = pii_crf.build_graph(text, [])
+    rng = np.random.default_rng(2)
+    k = len(pii_crf.LABELS)
+    p = pii_crf.Field(rng.normal(size=(k, pii_crf.N_FEATURES)), 2 * np.eye(k), 2 * np.eye(k)).marginals(g)
+    assert np.isfinite(p).all() and np.abs(p.sum(axis=1) - 1).max() < 1e-9
