@@ -76,14 +76,15 @@ def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, ro
     ``items`` the right singular vectors ``V``, as ``(id, v array<double>)``.
 
     Iterates until the ``k`` values change by less than ``tolerance`` relative to
-    the largest.  With ``k >= min(users, items)`` the truncated SVD reproduces the
+    the largest, ``rounds`` times at most: a warning tells the last change if they
+    have not converged by then.  With ``k >= min(users, items)`` the truncated SVD reproduces the
     training matrix and ranks unseen items by rounding noise: a warning is raised.
     """
     rows = materialize(train.where(F.col(P) != 0).select(U, S, F.col(P).cast("double").alias("_x")))
     width = k + (oversample if oversample is not None else 2 * k)
     draws = F.array(*(F.xxhash64(F.col(S), F.lit(j)) / F.lit(float(1 << 63)) for j in range(width)))
     items = rows.select(S).distinct().select(S, draws.alias("v"))
-    values = np.zeros(0)
+    values, change = np.zeros(0), np.inf
     for _ in range(rounds):
         users = _weighted_sum(rows, items, S, U, width)
         items = materialize(_weighted_sum(rows, users, U, S, width))
@@ -95,9 +96,13 @@ def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, ro
         width = int(keep.sum())
         items = _rotated(items, S, q[:, keep] / np.sqrt(power[keep]))
         now = np.sqrt(np.sqrt(power[keep][::-1]))[:k]
-        if len(now) == len(values) and np.abs(now - values).max() <= tolerance * now[0]:
+        change = np.abs(now - values).max() / now[0] if len(now) == len(values) else np.inf
+        if change <= tolerance:
             break
         values = now
+    else:
+        warnings.warn(f"singular values not converged after {rounds} rounds: last relative change {change:.1e}, "
+                      f"tolerance {tolerance:.1e}", stacklevel=2)
     items = materialize(items)
     users = materialize(_weighted_sum(rows, items, S, U, width))
     square, q = np.linalg.eigh(_gram(users, width))

@@ -1,5 +1,7 @@
 """Subspace iteration against numpy's SVD."""
 
+import warnings
+
 import numpy as np
 import pytest
 
@@ -48,3 +50,12 @@ def test_scores_of_pairs_and_lists(spark):
         best = sorted(free, key=lambda j: (-round(low[i, j], 3), j))[:3]
         assert len(mine) == len(best)
         assert all(abs(low[i, int(a[1:])] - low[i, b]) < 1e-2 for a, b in zip(mine, best))
+
+
+def test_warns_where_the_values_have_not_converged(spark):
+    df = frame(spark, play_matrix(7, 20, 16))
+    with pytest.warns(UserWarning, match="not converged after 2 rounds: last relative change"):
+        factors.svd_vectors(df, 2, 2, rounds=2)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        factors.svd_vectors(df, 2, 2, tolerance=1e-2)
