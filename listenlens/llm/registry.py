@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenlens.llm import (
-    decontaminate, packing, pii_crf, quality_classifier, quality_rules, secret_scan, simhash, sql, suffix_dedup, url_filter,
-    warc_zstd,
+    collocations, decontaminate, packing, pii_crf, quality_classifier, quality_rules, runs, secret_scan, simhash, sql,
+    suffix_dedup, toxicity, url_filter, warc_zstd,
 )
 from listenlens.llm.common import read_table
 
@@ -57,10 +57,23 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_shared", "n_shingles", "containment")
 
 
+def op11_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.judge(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return runs.detect(read_table(spark, d, "documents"), tile=runs.tiled)
+
+
+def op13_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_url_filter, op5_suffix_dedup,
-        op6_quality_classifier, op7_personal_data, op8_warc_zstd, op9_simhash, op10_decontamination)}
+        op6_quality_classifier, op7_personal_data, op8_warc_zstd, op9_simhash, op10_decontamination,
+        op11_toxicity, op12_periodic_runs, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:

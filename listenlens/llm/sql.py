@@ -85,9 +85,34 @@ SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS payload_dig
        CASE WHEN keep IS DISTINCT FROM page_id THEN keep END AS refers_to
 FROM p LEFT JOIN k USING (h)"""
 
+COLLOCATIONS = r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, m, w[i:i + m - 1] AS g
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 4) AS k(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, g, count(*)::HUGEINT AS f FROM g GROUP BY lang, m, g),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, g, f AS a FROM f WHERE m > 1 AND f >= 10),
+cut AS (SELECT c.lang, c.m, c.g, a, k, l.f AS l, r.f AS r, 1000000 * a * a // (l.f * r.f) AS score
+        FROM c, range(1, 3) AS k(k), f AS l, f AS r
+        WHERE k < c.m AND l.lang = c.lang AND l.g = c.g[1:k] AND r.lang = c.lang AND r.g = c.g[k + 1:c.m]),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner2 AS (SELECT lang, g, max(a) AS longer
+           FROM (SELECT lang, unnest([g[1:2], g[2:3]]) AS g, a FROM c WHERE m = 3) GROUP BY lang, g),
+kept AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN inner2 USING (lang, g)
+         WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
 ORACLES = {
     "op1_secret_scan": SECRET_SCAN,
     "op3_quality_rules": QUALITY_RULES,
     "op8_warc_zstd": WARC,
     "op10_decontamination": DECONTAMINATION,
+    "op13_collocations": COLLOCATIONS,
 }
