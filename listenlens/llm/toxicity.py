@@ -144,14 +144,13 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return map_batches(rows, run, schema).groupBy("h").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
 
 
-def ratios(counts: DataFrame, least: float, max_grams: int) -> tuple[np.ndarray, np.ndarray]:
+def ratios(counts: DataFrame, least: float, stands_out: float, max_grams: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and log-count ratios of the n-grams that ``least`` texts have and whose
-    ratio stands out: over sqrt(2 log m) of its standard errors, which is about the largest
-    of m ratios that are only noise.  At most ``max_grams``, those that stand out most."""
+    ratio is ``stands_out`` times its standard error; at most ``max_grams``, those that
+    stand out most."""
     p, q, often = F.col("p") + 1.0, F.col("q") + 1.0, F.col("p") + F.col("q") >= least
-    sums = counts.agg(F.sum(p).alias("p"), F.sum(q).alias("q"), F.count_if(often).alias("m")).first()
+    sums = counts.agg(F.sum(p).alias("p"), F.sum(q).alias("q")).first()
     r = F.log(p / sums["p"]) - F.log(q / sums["q"])
-    stands_out = math.sqrt(2 * math.log(max(1, sums["m"])))
     slot = F.shiftrightunsigned("h", 64 - SLOT_BITS)
     scored = counts.where(often).select("h", r.alias("r"), F.abs(r / F.sqrt(1 / p + 1 / q)).alias("z"))
     best = scored.where(F.col("z") >= stands_out).groupBy(slot.alias("slot")).agg(F.max(F.struct("z", "h", "r")).alias("b")).select("b.*")
@@ -162,7 +161,7 @@ def ratios(counts: DataFrame, least: float, max_grams: int) -> tuple[np.ndarray,
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_rows: int = 16_000, least: float = 5, max_grams: int = 16_384,
+        max_rows: int = 16_000, least: float = 5, stands_out: float = 4.0, max_grams: int = 16_384,
         penalty: float = 0.03) -> Model:
     """Train on at most ``max_rows`` labelled rows; the model has at most ``max_grams`` n-grams."""
     rows, sizes = sample(docs, labels, id_column, text, label, max_rows)
@@ -173,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
         share = share if len(classes) == 2 else next(iter(classes), share)
     if not 0 < share < 1 or not sizes:
         return Model(math.log((share + 1e-3) / (1 - share + 1e-3)), *none)
-    hashes, r = ratios(written(gram_counts(rows), "toxicity-counts"), least, max_grams)
+    hashes, r = ratios(written(gram_counts(rows), "toxicity-counts"), least, stands_out, max_grams)
     if not len(hashes):
         return Model(math.log(share / (1 - share)), *none)
     width = len(hashes)

@@ -53,14 +53,13 @@ def test_n_grams_and_ratios_match_brute_force(spark):
     got = {r["h"] % 2**64: (r["p"], r["q"]) for r in counts.collect()}
     assert got == {hash_of[g]: (p[True].get(g, 0), p[False].get(g, 0)) for g in every}
     sums = [sum(p[t].get(g, 0) + 1 for g in every) for t in (True, False)]
-    h, r = tx.ratios(counts, 5, 1000)
-    bound = np.sqrt(2 * np.log(sum(p[True].get(g, 0) + p[False].get(g, 0) >= 5 for g in every)))
+    h, r = tx.ratios(counts, 5, 2.0, 1000)
     known = {hash_of[g]: g for g in every}
     assert "vile" in {known[int(x)] for x in h} and list(h) == sorted(h)
     for x, ratio in zip(h, r):
         a, b = (p[t].get(known[int(x)], 0) + 1 for t in (True, False))
         assert ratio == pytest.approx(np.log(a / sums[0]) - np.log(b / sums[1]))
-        assert a + b - 2 >= 5 and abs(ratio) / np.sqrt(1 / a + 1 / b) >= bound
+        assert a + b - 2 >= 5 and abs(ratio) / np.sqrt(1 / a + 1 / b) >= 2.0
 
 
 def _hash(gram):
