@@ -1,10 +1,11 @@
 """Latent-factor models.
 
 SVD (M2/M3): the top-``k`` right singular vectors of the user × item matrix by
-subspace iteration over long tables.  ``XᵀX V`` is two joins and two map-side
-combined aggregations; orthonormalising and the final rotation need only the
-l × l Gram matrix of the iterate (l = ``k`` + oversampling), which is all that
-reaches the driver.  There is no limit on users or items.
+a randomised range finder over long tables.  ``XᵀX V`` is two joins and two map-side
+combined aggregations; orthonormalising needs the triangular factor of a tall and
+narrow table, which a reduction tree of QR decompositions gives; only an l × l
+triangle (l: at most twice ``k`` + oversampling) reaches the driver.  There is no
+limit on users or items.
 
 Implicit feedback (M4/M5): Spark ML ``ALS(implicitPrefs=True)`` replaces the
 neural matrix-factorisation model; lists rank ``sigmoid(u · v)`` inside the
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,24 +39,57 @@ def _weighted_sum(entries: DataFrame, vectors: DataFrame, on: str, key: str, wid
     return sums.select(key, F.array(*(f"s{j}" for j in range(width))).alias("v"))
 
 
-def _gram(vectors: DataFrame, width: int) -> np.ndarray:
-    """VᵀV of ``(key, v)`` rows: a width × width matrix, summed over the tasks."""
-    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("g", T.ArrayType(T.DoubleType()))])
+def _stacked(rows: DataFrame, width: int, group) -> DataFrame:
+    """The triangular factor of each group's rows of ``(g, r)``, one row per line."""
+    schema = "g long, r array<double>"
+
+    def qr(key: tuple, lines: pa.Table) -> pa.Table:
+        r = np.linalg.qr(lines["r"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width), mode="r")
+        return pa.table({"g": pa.array(np.full(len(r), key[0].as_py())), "r": pa.array(r.tolist(), pa.list_(pa.float64()))})
+
+    return rows.withColumn("g", group).groupBy("g").applyInArrow(qr, schema)
+
+
+def _triangle(vectors: DataFrame, width: int, fan_in: int = 64) -> np.ndarray:
+    """R of a QR decomposition of the rows ``v``, reduced over a tree: every task keeps the
+    triangle of its rows, ``fan_in`` triangles meet in one task, the last one reaches the
+    driver (``width`` × ``width``).  Unlike VᵀV it does not square the condition."""
+    schema = T.StructType([T.StructField("g", T.LongType()), T.StructField("r", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((width, width))
+        held = np.zeros((0, width))
         for batch in batches:
             m = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            total += m.T @ m
-        yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()),
-                                          pa.array(total.tolist(), pa.list_(pa.float64()))], names=schema.names)
+            held = np.linalg.qr(np.concatenate((held, m)), mode="r")
+        g = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), g), pa.int64()),
+                                          pa.array(held.tolist(), pa.list_(pa.float64()))], names=schema.names)
+
+    tasks = vectors.select("v")
+    triangles, n = map_batches(tasks, run, schema), tasks.rdd.getNumPartitions()
+    while n > fan_in:
+        triangles, n = _stacked(triangles, width, F.floor(F.col("g") / fan_in).cast("long")), -(-n // fan_in)
+    lines = [r["r"] for r in triangles.select("r").collect()]  # fan_in triangles at most
+    return np.linalg.qr(np.array(lines), mode="r") if lines else np.zeros((0, width))
+
+
+def _orthonormal(vectors: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
+    """An orthonormal basis of the columns and its width: directions below rounding
+    noise fall away.  A division by R leaves errors of its condition, so it is repeated
+    where that is large."""
+    for _ in range(3):
+        vectors = materialize(vectors)
+        r = _triangle(vectors, width)
+        _, size, turn = np.linalg.svd(r, full_matrices=False) if r.size else (0, np.zeros(0), np.zeros((0, width)))
+        keep = size > size.max(initial=0.0) * 1e-13
+        vectors, width = _rotated(vectors, key, turn[keep].T / size[keep]), int(keep.sum())
+        if not width or size[width - 1] > 1e-4 * size[0]:
+            break
+    return vectors, width
+
 
-    rows = map_batches(vectors.select("v"), run, schema).groupBy("i").agg(
-        *(F.sum(F.col("g")[j]).alias(f"g{j}") for j in range(width))).collect()
-    out = np.zeros((width, width))
-    for r in rows:
-        out[r["i"]] = r[1:]
-    return (out + out.T) / 2
+def _beside(one: DataFrame, two: DataFrame, key: str) -> DataFrame:
+    return one.join(two.withColumnRenamed("v", "_v"), key).select(key, F.concat("v", "_v").alias("v"))
 
 
 def _rotated(vectors: DataFrame, key: str, m: np.ndarray) -> DataFrame:
@@ -70,47 +105,58 @@ def _rotated(vectors: DataFrame, key: str, m: np.ndarray) -> DataFrame:
     return map_batches(vectors.select(key, "v"), run, schema)
 
 
-def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, rounds: int = 30,
-                tolerance: float = 1e-7) -> tuple[DataFrame, DataFrame, list[float]]:
+def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, rounds: int = 12,
+                tolerance: float = 1e-5) -> tuple[DataFrame, DataFrame, list[float]]:
     """M2: ``(users, items, singular values)``: ``users`` holds ``X V`` (= U·S) and
     ``items`` the right singular vectors ``V``, as ``(id, v array<double>)``.
 
-    Iterates until the ``k`` values change by less than ``tolerance`` relative to
-    the largest, ``rounds`` times at most: a warning tells the last change if they
-    have not converged by then.  With ``k >= min(users, items)`` the truncated SVD reproduces the
-    training matrix and ranks unseen items by rounding noise: a warning is raised.
+    A randomised range finder: a random block of ``k`` + ``oversample`` columns and its image
+    under XᵀX span the search space (all of the row space, if it is no wider: then the
+    first round is exact).  Other rounds cost five passes over the plays and end with the
+    residuals |XᵀXv - s²v| / s₁² of the ``k`` vectors; while one is over ``tolerance`` the
+    next round starts from the vectors found.  Unconverged vectors are never returned:
+    after ``rounds`` rounds an ``ArithmeticError`` names the residual.  With
+    ``k >= min(users, items)`` the truncated SVD reproduces the training matrix and ranks
+    unseen items by rounding noise: a warning is raised.
     """
-    rows = materialize(train.where(F.col(P) != 0).select(U, S, F.col(P).cast("double").alias("_x")))
+    rows = train.where(F.col(P) != 0).select(U, S, F.col(P).cast("double").alias("_x"))
+    rows = materialize(rows)
     width = k + (oversample if oversample is not None else 2 * k)
     draws = F.array(*(F.xxhash64(F.col(S), F.lit(j)) / F.lit(float(1 << 63)) for j in range(width)))
-    items = rows.select(S).distinct().select(S, draws.alias("v"))
-    values, change = np.zeros(0), np.inf
+    block = rows.select(S).distinct().select(S, draws.alias("v"))
+    error = np.inf
     for _ in range(rounds):
-        users = _weighted_sum(rows, items, S, U, width)
-        items = materialize(_weighted_sum(rows, users, U, S, width))
-        # the iterate is XᵀXV of an orthonormal V: singular values of the step
-        power, q = np.linalg.eigh(_gram(items, width))
-        keep = power > max(power.max(initial=0.0), 0.0) * 1e-15  # directions above rounding noise
-        if not keep.any():
-            return users, items, []
-        width = int(keep.sum())
-        items = _rotated(items, S, q[:, keep] / np.sqrt(power[keep]))
-        now = np.sqrt(np.sqrt(power[keep][::-1]))[:k]
-        change = np.abs(now - values).max() / now[0] if len(now) == len(values) else np.inf
-        if change <= tolerance:
+        image = _weighted_sum(rows, _weighted_sum(rows, block, S, U, width), U, S, width)
+        image, found = _orthonormal(image, S, width)
+        if not found:
+            return _weighted_sum(rows, block, S, U, width).limit(0), image, []
+        # a narrower image is the whole row space
+        whole = found < width
+        basis, found = (image, found) if whole else _orthonormal(_beside(block, image, S), S, width + found)
+        basis = materialize(basis)
+        users = materialize(_weighted_sum(rows, basis, S, U, found))
+        _, values, turn = np.linalg.svd(_triangle(users, found), full_matrices=False)
+        turn, values = turn.T[:, :width], values[:width]
+        items, users = materialize(_rotated(basis, S, turn)), materialize(_rotated(users, U, turn))
+        kept = min(k, len(values))
+        error = 0.0 if whole else _residual(rows, users, items, values, kept)
+        if error <= tolerance:
             break
-        values = now
+        block, width = items, len(values)
     else:
-        warnings.warn(f"singular values not converged after {rounds} rounds: last relative change {change:.1e}, "
-                      f"tolerance {tolerance:.1e}", stacklevel=2)
-    items = materialize(items)
-    users = materialize(_weighted_sum(rows, items, S, U, width))
-    square, q = np.linalg.eigh(_gram(users, width))
-    turn = q[:, ::-1][:, :k]
-    if width <= k:
-        warnings.warn(f"k={k} >= rank {width}: a full-rank SVD reproduces the training matrix", stacklevel=2)
-    singular = np.sqrt(np.clip(square[::-1][:k], 0, None)).tolist()
-    return _rotated(users, U, turn), _rotated(items, S, turn), singular
+        raise ArithmeticError(f"singular vectors not converged after {rounds} rounds: residual {error:.1e}, tolerance {tolerance:.1e}")
+    if found <= k:
+        warnings.warn(f"k={k} >= rank {found}: a full-rank SVD reproduces the training matrix", stacklevel=2)
+    first = F.slice("v", 1, kept).alias("v")
+    return users.select(U, first), items.select(S, first), values[:kept].tolist()
+
+
+def _residual(rows: DataFrame, users: DataFrame, items: DataFrame, values: np.ndarray, k: int) -> float:
+    """The largest |XᵀXv - s²v| / s₁² of the first ``k`` vectors."""
+    image = _weighted_sum(rows, users.select(U, F.slice("v", 1, k).alias("v")), U, S, k)
+    both = items.join(image.withColumnRenamed("v", "_v"), S)
+    squares = [F.sum(F.pow(F.col("_v")[j] - float(values[j]) ** 2 * F.col("v")[j], 2.0)).alias(f"e{j}") for j in range(k)]
+    return float(np.sqrt(max(both.agg(*squares).first()))) / float(values[0]) ** 2
 
 
 def svd_scores(train: DataFrame, pairs: DataFrame, k: int = 20) -> DataFrame:

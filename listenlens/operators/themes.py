@@ -65,23 +65,23 @@ def theme_scores(postings: DataFrame, theme_words: DataFrame, key: str = "word_i
 
     ``postings``: ``(track_id, <key>, count)`` — a bag of words, or one row
     per token with ``count = 1``; ``theme_words``: ``(theme, <key>)`` (a set).
-    Every posting counts once for the total (a null theme) and once for each of
-    its word's themes; the counts are summed per (track, theme), combined on the
-    map side, and each track's few sums are then put side by side.  One plan for
-    any number of themes and words; the join with the word table is Spark's
+    Counts are summed per (track, set of themes of the word), combined on the map
+    side, so a track leaves its task as a few sums: no posting is copied per theme.
+    A track's sums then give its total and, unfolded, its theme scores.  One plan
+    for any number of themes and words; the join with the word table is Spark's
     choice by its size.  Only tracks with a theme word and a positive total get a
     row.
     """
-    word_themes = theme_words.select("theme", key).distinct().groupBy(key).agg(F.collect_set("theme").alias("_themes"))
-    none = F.lit(None).cast("string")
-    counted = postings.join(word_themes, key, "left").select(
-        "track_id", "count", F.explode(F.concat(F.array(none), F.coalesce("_themes", F.array().cast("array<string>")))).alias("theme"))
-    sums = counted.groupBy("track_id", "theme").agg(F.sum("count").alias("_s"))
+    word_themes = theme_words.select("theme", key).distinct().groupBy(key).agg(
+        F.array_sort(F.collect_set("theme")).alias("_themes"))
+    sums = postings.join(word_themes, key, "left").groupBy("track_id", "_themes").agg(F.sum("count").alias("_s"))
     per_track = sums.groupBy("track_id").agg(
-        F.max(F.when(F.col("theme").isNull(), F.col("_s"))).alias("total_words"),
-        F.collect_list(F.when(F.col("theme").isNotNull(), F.struct("theme", F.col("_s").alias("theme_score")))).alias("_t"))
-    return (per_track.where((F.col("total_words") > 0) & (F.size("_t") > 0))
-            .select("track_id", "total_words", F.inline("_t"))
+        F.sum("_s").alias("total_words"),
+        F.collect_list(F.when(F.col("_themes").isNotNull(), F.struct("_themes", "_s"))).alias("_t"))
+    unfolded = (per_track.where((F.col("total_words") > 0) & (F.size("_t") > 0))
+                .select("track_id", "total_words", F.inline("_t"))
+                .select("track_id", "total_words", F.explode("_themes").alias("theme"), "_s"))
+    return (unfolded.groupBy("track_id", "theme").agg(F.max("total_words").alias("total_words"), F.sum("_s").alias("theme_score"))
             .select("track_id", "theme", "theme_score", "total_words",
                     (F.col("theme_score") / F.col("total_words")).alias("theme_ratio")))
 
@@ -128,8 +128,17 @@ def expand_lexicon(lexicon: DataFrame, vectors: DataFrame, top_n: int = TOP_N,
 
 
 def save_theme_set(members: DataFrame, path: str) -> None:
-    """K1: persist theme members, one folder per theme."""
-    members.write.mode("overwrite").partitionBy("theme").parquet(path)
+    """K1: persist theme members, one folder per theme.  The folders of the themes in
+    ``members`` are replaced; other themes saved under ``path`` stay."""
+    members.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("theme").parquet(path)
+
+
+def load_theme_set(spark: SparkSession, path: str, theme: str | None = None) -> DataFrame:
+    """K1: ``(track_id, theme, theme_ratio)`` as saved; of one ``theme`` only its folder is read."""
+    # the schema is given: a partition column's type would be guessed from its names
+    saved = spark.read.schema("track_id string, theme_ratio double, theme string").parquet(path)
+    saved = saved if theme is None else saved.where(F.col("theme") == theme)
+    return saved.select("track_id", "theme", "theme_ratio")
 
 
 def collection(plays: DataFrame, tracks: DataFrame, postings: DataFrame, vocabulary: DataFrame,

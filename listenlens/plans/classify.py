@@ -45,9 +45,8 @@ def _expanded_members(spark, d):
     BASE + ["word_vectors"], "SELECT DISTINCT track_id, theme, theme_ratio FROM members",
     {**NEAR, **XLEX, **theme_sql("xlex")}))
 def training_set(spark, d):
-    members = _expanded_members(spark, d)
-    per_theme = [members.where(F.col("theme") == t) for t in star.ADAPTER_THEMES]
-    return classify.training_set(per_theme)
+    # all themes' sets in one table: the texts are read once
+    return classify.training_set(_expanded_members(spark, d))
 
 
 @register("stratified_split", ids="D2 T9", sql=with_ctes([], "SELECT * FROM strat", LAB))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from listenlens.operators import evaluate, factors
@@ -9,6 +10,7 @@ from listenlens.operators import interactions as ix
 from listenlens.plans.interactions import core_rows
 from listenlens.plans.recommend import _cf
 from listenlens.plans.registry import register
+from listenlens.plans.sql import with_ctes
 from listenlens.sources import star
 
 SVD_RANK = 20
@@ -21,6 +23,34 @@ def svd_scores(spark, d):
     return factors.svd_scores(train, core, SVD_RANK).withColumn("score", F.round("score", 6))
 
 
+@register("svd_invariants", ids="M2", sql=with_ctes(["train"], """
+    SELECT CAST(range + 1 AS BIGINT) AS rank, true AS orthonormal, true AS descending, true AS energy_within,
+           (SELECT round(CAST(sum(play_count * play_count) AS DOUBLE), 3) FROM train) AS energy
+    FROM range(20)"""))
+def svd_invariants(spark, d):
+    # of the factors themselves: VᵀV = 1, UᵀU = S², values descending, and no more energy in
+    # the first ranks than in the matrix
+    _, train, _ = _cf(spark, d)
+    users, items, values = factors.svd_vectors(train, SVD_RANK)
+    inner = []
+    for rows, key in ((items, "song_id"), (users, "user_id")):
+        one, two = (rows.select(key, F.posexplode("v").alias(i, x)) for i, x in (("_i", "_x"), ("_j", "_y")))
+        inner.append(one.join(two, key).groupBy("_i", "_j").agg(F.sum(F.col("_x") * F.col("_y")).alias("_p")))
+    size = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "_i int, _s double")
+    of_items, of_users = (p.withColumn("_p", F.when(F.col("_i") == F.col("_j"), F.col("_p") - w).otherwise(F.col("_p")))
+                          .groupBy("_i").agg(F.max(F.abs("_p")).alias(n))
+                          for p, w, n in ((inner[0], 1.0, "_v"), (inner[1].join(size, "_i"), F.col("_s") * F.col("_s"), "_u")))
+    total = train.agg(F.sum(F.col("play_count").cast("double") * F.col("play_count")).alias("_t"))
+    every = Window.orderBy("_i")  # over k rows
+    rows = size.join(of_items, "_i").join(of_users, "_i").join(total)
+    return rows.select(
+        (F.col("_i") + 1).cast("long").alias("rank"),
+        ((F.col("_v") < 1e-9) & (F.col("_u") < 1e-9 * values[0] ** 2)).alias("orthonormal"),
+        (F.coalesce(F.lag("_s").over(every), F.col("_s")) >= F.col("_s")).alias("descending"),
+        (F.sum(F.col("_s") * F.col("_s")).over(every) <= F.col("_t") * (1 + 1e-9)).alias("energy_within"),
+        F.round("_t", 3).alias("energy"))
+
+
 @register("svd_recommend", ids="M3 P9")
 def svd_recommend(spark, d):
     core, train, _ = _cf(spark, d)

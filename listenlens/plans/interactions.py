@@ -46,13 +46,15 @@ def user_item_matrix(spark, d):
 
 
 @register("user_item_pivot", ids="A7", sql=with_ctes(["core"], """
-    SELECT user_id, COALESCE(COLUMNS(* EXCLUDE (user_id)), 0) FROM (
-        PIVOT (SELECT user_id, song_id, play_count FROM core)
-        ON song_id USING avg(play_count) GROUP BY user_id)"""))
+    SELECT u.user_id, s.song_id, coalesce(avg(c.play_count), 0) AS play_count
+    FROM (SELECT DISTINCT user_id FROM core) u CROSS JOIN (SELECT DISTINCT song_id FROM core) s
+    LEFT JOIN core c ON c.user_id = u.user_id AND c.song_id = s.song_id
+    GROUP BY u.user_id, s.song_id"""))
 def user_item_pivot(spark, d):
+    # the wide matrix, its cells listed: no column of the result is named by the data
     core = core_rows(spark, d)
     songs = [r[0] for r in core.select("song_id").distinct().orderBy("song_id").collect()]  # songs_limit at most
-    return ix.pivot(core, songs)
+    return ix.pivot(core, songs).unpivot(["user_id"], songs, "song_id", "play_count")
 
 
 @register("binarize", ids="F9", sql=with_ctes(["core"], """

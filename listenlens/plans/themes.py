@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from listenlens.operators import themes
 from listenlens.plans.registry import register
 from listenlens.plans.sql import english_stop_words_sql, with_ctes
-from listenlens.session import shared_path
+from listenlens.session import materialize, shared_path
 from listenlens.sources import (
     english_stop_words, parse_lyrics_lines, parse_vocabulary_line, read_theme_sets, star,
 )
@@ -114,18 +114,28 @@ def vocabulary_line_parse(spark, d):
     return parse_vocabulary_line(star.vocabulary_lines(spark, d), star.ADAPTER_STOP_WORDS)
 
 
-@register("lyrics_lines_parse", ids="S5 X5 X6", sql=with_ctes(["header"], """
-    SELECT p.track_id, h.word_index, CAST(p.count AS INTEGER) AS count FROM postings p JOIN header h ON p.word = h.word"""))
+@register("lyrics_lines_parse", ids="S5 X5 X6", sql=with_ctes(["vocab"], """
+    SELECT p.track_id, v.word_index, CAST(p.count AS INTEGER) AS count FROM postings p JOIN vocab v ON p.word = v.word"""))
 def lyrics_lines_parse(spark, d):
     return parse_lyrics_lines(star.lyrics_lines(spark, d))
 
 
 @register("theme_set_roundtrip", ids="K1", sql=with_ctes(BASE, "SELECT * FROM members", theme_sql()))
 def theme_set_roundtrip(spark, d):
+    # theme by theme, one of them twice: each save replaces its own theme only
+    path = shared_path(spark, "theme-sets")
+    members = materialize(themes.theme_members(_scores(spark, d), 0.063, 4))
+    for theme in [*star.ADAPTER_THEMES, next(iter(star.ADAPTER_THEMES))]:
+        themes.save_theme_set(members.where(F.col("theme") == theme), path)
+    return themes.load_theme_set(spark, path)
+
+
+@register("theme_set_load", ids="K1", sql=with_ctes(BASE, "SELECT * FROM members WHERE theme = 'war'", theme_sql()))
+def theme_set_load(spark, d):
+    # one theme's folder of the saved sets
     path = shared_path(spark, "theme-sets")
     themes.save_theme_set(themes.theme_members(_scores(spark, d), 0.063, 4), path)
-    return spark.read.parquet(path).select("track_id", "theme", "theme_ratio").withColumn(
-        "track_id", F.col("track_id").cast("string"))  # a partition column's type is inferred, an id's is not
+    return themes.load_theme_set(spark, path, "war")
 
 
 @register("theme_set_csv", ids="S7", sql=with_ctes(BASE, """

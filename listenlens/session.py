@@ -49,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: the server owns the folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a remote session") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -149,10 +149,9 @@ def vocabulary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lyrics_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lyrics file's body: ``track,other id,index:count,...`` lines with 1-based
-    indices into the header's words, and a comment line for each document."""
-    words = header_words(spark, sf_dir).select((F.col("pos") + 1).alias("i"), "word")
-    bags = postings(spark, sf_dir).join(words, "word").groupBy("track_id").agg(
-        F.array_sort(F.collect_list(F.struct("i", "count"))).alias("b"))
+    indices into the whole vocabulary, and a comment line for each document."""
+    bags = indexed_postings(spark, sf_dir).groupBy("track_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("word_index").alias("i"), "count"))).alias("b"))
     pairs = F.transform("b", lambda x: F.concat_ws(":", x["i"].cast("string"), x["count"].cast("string")))
     body = bags.select(F.concat_ws(",", "track_id", F.lit("0"), F.array_join(pairs, ",")).alias("value"))
     return body.unionByName(bags.select(F.concat(F.lit("# "), F.col("track_id")).alias("value")))

@@ -53,3 +53,15 @@ def test_classifier_fit_save_load(spark, tmpdir_path):
                             data.select("track_id", "features"))
     acc = pred.agg(F.avg((F.col("theme") == F.col("prediction")).cast("double"))).first()[0]
     assert acc > 0.9  # planted signal: feature 3 marks class b
+
+
+def test_saving_one_theme_leaves_the_others(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "sets")
+    rows = lambda *r: spark.createDataFrame(r, "track_id string, theme string, theme_ratio double")
+    themes.save_theme_set(rows(("1", "a", 0.1), ("2", "a", 0.2)), out)
+    themes.save_theme_set(rows(("1", "b", 0.3)), out)
+    themes.save_theme_set(rows(("3", "a", 0.4)), out)
+    assert sorted(map(tuple, themes.load_theme_set(spark, out).collect())) == [("1", "b", 0.3), ("3", "a", 0.4)]
+    one = themes.load_theme_set(spark, out, "b")
+    assert [tuple(r) for r in one.collect()] == [("1", "b", 0.3)]
+    assert "PartitionFilters: [isnotnull(theme" in one._jdf.queryExecution().toString()

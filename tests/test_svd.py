@@ -1,4 +1,4 @@
-"""Subspace iteration against numpy's SVD."""
+"""The range finder against numpy's SVD."""
 
 import warnings
 
@@ -52,10 +52,28 @@ def test_scores_of_pairs_and_lists(spark):
         assert all(abs(low[i, int(a[1:])] - low[i, b]) < 1e-2 for a, b in zip(mine, best))
 
 
-def test_warns_where_the_values_have_not_converged(spark):
-    df = frame(spark, play_matrix(7, 20, 16))
-    with pytest.warns(UserWarning, match="not converged after 2 rounds: last relative change"):
-        factors.svd_vectors(df, 2, 2, rounds=2)
+def test_no_unconverged_vectors(spark):
+    df = frame(spark, play_matrix(7, 40, 36))
+    with pytest.raises(ArithmeticError, match="not converged after 1 rounds: residual"):
+        factors.svd_vectors(df, 2, 2, rounds=1, tolerance=1e-9)
     with warnings.catch_warnings():
         warnings.simplefilter("error", UserWarning)
-        factors.svd_vectors(df, 2, 2, tolerance=1e-2)
+        factors.svd_vectors(df, 2, 2, rounds=1, tolerance=1.0)
+
+
+def test_narrow_row_space_takes_one_round(spark):
+    m = play_matrix(3, 30, 8)
+    users, items, singular = factors.svd_vectors(frame(spark, m), 3, 20, rounds=1, tolerance=1e-12)
+    assert np.allclose(singular, np.linalg.svd(m, compute_uv=False)[:3], rtol=1e-12)
+
+
+def test_triangle_is_reduced_over_a_tree(spark):
+    rng = np.random.default_rng(1)
+    m = rng.normal(size=(500, 6)) * [1, 1e-3, 1e-6, 1, 1e-8, 1]  # squared, the least would drown
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id long, v array<double>").repartition(9)
+    for fan_in in (2, 64):
+        r = factors._triangle(df, 6, fan_in)
+        assert np.allclose(np.linalg.svd(r, compute_uv=False), np.linalg.svd(m, compute_uv=False), rtol=1e-9, atol=1e-14)
+    basis, width = factors._orthonormal(df, "id", 6)
+    q = np.array([r["v"] for r in basis.collect()])
+    assert width == 6 and np.allclose(q.T @ q, np.eye(6), atol=1e-13)
