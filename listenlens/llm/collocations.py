@@ -297,7 +297,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
     hot: dict[str, list[str]] = {}
     for r in prefixes.where(F.col("prefix").isNotNull() & (F.col("n") * share_of >= words)).collect():  # share_of for each depth at most
         hot.setdefault(r["lang"], []).append(r["prefix"])
-    known = written(frequent(texts, max_words, least, routes, hot), "phrases")
+    known = written(frequent(texts, max_words, least, routes, hot), "phrases", few=False)
     found = known.where("words > 1").select("lang", "phrase", F.col("words").alias("_m"), F.col("f").alias("a"),
                                            F.split("phrase", " ").alias("_w"))
     cuts = found.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("_m") - 1)))
@@ -315,5 +315,5 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
         lowest = lowest.join(inner, ["lang", "phrase"], "left").where(
             F.col("_longer").isNull() | (F.col("_longer") * 100 < F.lit(share) * F.col("a")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase")))
-    best = lowest.withColumn("rank", place.cast("long")).where(F.col("rank") <= top)
-    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    best = lowest.withColumn("rank", place).where(F.col("rank") <= top)  # each task keeps its own first rows
+    return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

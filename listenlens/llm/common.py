@@ -33,22 +33,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def few_files(df: DataFrame, per_core: int = 1) -> DataFrame:
-    """At most ``per_core`` partitions for each core of the cluster.  A task goes
-    through its shuffle partitions one after the other, so it needs no more memory;
-    a result is not spread over as many files as there are shuffle partitions."""
-    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
-
-
 def written(df: DataFrame, name: str, few: bool = True) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back.  ``few``: see
-    ``few_files``; not for tables that are made while scanning whole texts.
+    """``df`` as a Parquet table in the shared folder, read back.  ``few``: the rows go
+    to files by their bytes (the adaptive planner's advisory size), whatever made
+    them; not for tables of whole texts, nor where the scan's partitions will do.
 
     Cuts the lineage: a lost executor or a later job reads the table, and a
     retried task cannot see other rows than the first attempt committed.
     """
     path = scratch_path(df.sparkSession, name)
-    (few_files(df) if few else df).write.parquet(path)
+    (df.hint("rebalance") if few else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from listenlens.llm.common import few_files, text_or_empty, written
+from listenlens.llm.common import text_or_empty, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -71,6 +71,11 @@ def item_shingles(items: DataFrame, item_column: str, text: str, shingle: int) -
     return cut.select("item", key.alias("key"), "size", "shingles")
 
 
+def address(text: Column) -> Column:
+    """128 bits that stand for a text."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def sketches(texts: DataFrame, threshold: float, sizes: list[int]) -> DataFrame:
     """``(h, key)``: the bottom-k hashes of each distinct text, k by size partition."""
     bound = F.pow(F.lit(2), F.ceil(F.log2(F.size("shingles").cast("double"))))  # largest size of the partition
@@ -107,17 +112,18 @@ def contained(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text
               item_column: str = "item_id", item_text: str = "text", shingle: int = SHINGLE,
               threshold: float = THRESHOLD) -> DataFrame:
     """``(id, item, n_shared, n_shingles, containment)`` of contained items."""
-    source = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
-    pairs, texts, owners = candidates(source, items, item_column, item_text, shingle, threshold)
-    text_of = pairs.withColumnRenamed("id", "_id").join(source, F.col("_id").eqNullSafe(F.col("id"))).select(
-        "id", "key", words(F.col("text")).alias("w"))
+    source = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).withColumn("address", address(F.col("text")))
+    # texts are found by their address: null or repeated ids meet no other texts
+    pairs, texts, owners = candidates(source.select(F.col("address").alias("id"), "text"), items, item_column, item_text,
+                                      shingle, threshold)
+    text_of = pairs.withColumnRenamed("id", "address").join(source, "address").select("id", "key", words(F.col("text")).alias("w"))
     shared = F.size(F.array_intersect("shingles", shingle_texts(F.col("w"), F.col("size"))))
     verified = text_of.join(texts, "key").select(
         "id", "key", shared.cast("long").alias("n_shared"), F.size("shingles").cast("long").alias("n_shingles"))
     hits = verified.where(F.col("n_shared") >= _needed(F.col("n_shingles"), threshold)).groupBy("id", "key").agg(
         F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))  # a key has one n_shingles
     best = F.max(F.struct((F.col("n_shared") / F.col("n_shingles")).alias("containment"), "n_shared", "n_shingles"))
-    return few_files(hits.join(owners, "key").groupBy("id", "item").agg(best.alias("b"))).select(
+    return hits.join(owners, "key").groupBy("id", "item").agg(best.alias("b")).select(
         "id", "item", "b.n_shared", "b.n_shingles", "b.containment")
 
 
@@ -128,8 +134,7 @@ def remove(docs: DataFrame, items: DataFrame, text: str = "text", item_column: s
     meet their candidate items' shingles in one join, where they are verified."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     body = text_or_empty(names[docs.columns.index(text)])
-    address = F.unhex(F.substring(F.sha2(body, 256), 1, 32))  # 128 bits
-    keyed = docs.toDF(*names).withColumn("_text", body).withColumn("_address", address)
+    keyed = docs.toDF(*names).withColumn("_text", body).withColumn("_address", address(body))
     pairs, texts, _ = candidates(keyed.select(F.col("_address").alias("id"), F.col("_text").alias("text")), items,
                                 item_column, item_text, shingle, threshold)
     asked = pairs.join(texts, "key").groupBy("id").agg(F.collect_list(F.struct("size", "shingles")).alias("_asked"))
@@ -137,4 +142,4 @@ def remove(docs: DataFrame, items: DataFrame, text: str = "text", item_column: s
     leaks = F.exists(F.array(words(F.col("_text"))), lambda w: F.exists("_asked", lambda a: F.size(F.array_intersect(
         a["shingles"], shingle_texts(w, a["size"]))) >= _needed(F.size(a["shingles"]), threshold)))
     kept = keyed.join(asked, F.col("_address") == F.col("id"), "left").where(F.col("_asked").isNull() | ~leaks)
-    return few_files(kept, 2).select(*names).toDF(*docs.columns)
+    return kept.select(*names).toDF(*docs.columns)

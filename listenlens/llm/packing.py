@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from listenlens.llm.common import few_files, map_batches, py_texts, written
+from listenlens.llm.common import map_batches, py_texts, written
 
 CAPACITY = 2048
 END = 0
@@ -247,5 +247,5 @@ def pack(docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacit
             columns |= {"sequence_id": pa.array(sequence + k // copies), "offset": pa.array(offset + k % copies * length)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return few_files(map_batches(numbered, place, schema), 2).withColumnRenamed("id", id_column).select(
+    return map_batches(numbered, place, schema).withColumnRenamed("id", id_column).select(
         id_column, "piece", "start", *(n for n in schema.names if n not in ("id", "piece", "start")))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from listenlens.llm.common import few_files, scratch_path, text_or_empty, written
+from listenlens.llm.common import scratch_path, text_or_empty, written
 
 
 @dataclass(frozen=True)
@@ -97,7 +97,7 @@ class BlobLedger:
             F.collect_set(F.struct("kind", "version")).alias("rules")), "ledger-todo")  # at most len(rules)
         texts = contents.join(todo.withColumnRenamed("blob", "_b"), (F.col("blob") == F.col("_b"))
                               & F.col("path").eqNullSafe(F.col("carrier"))).select("blob", "rules", "content")
-        few_files(spans(texts, rules)).write.mode("append").parquet(f"{self.path}/findings")
+        spans(texts, rules).hint("rebalance").write.mode("append").parquet(f"{self.path}/findings")
         todo.select("blob", F.inline("rules")).select(*SCANNED.names).write.mode("append").parquet(
             f"{self.path}/scanned")
 
@@ -147,7 +147,7 @@ def paths_with_findings(contents: DataFrame, ledger: BlobLedger, rules=RULES) ->
     is_base = F.filter("s", lambda x: x["o"] < len(base))
     per_blob = written(per_blob.select(
         "blob", *(f"n_{k}" for k in base), _joined(is_base).alias("base"), _joined(F.col("s")).alias("spans")), "ledger-blobs")
-    return few_files(contents.select("path", "blob").join(per_blob, "blob", "left")).select(
+    return contents.select("path", "blob").join(per_blob, "blob", "left").select(
         "path", *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in base),
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
 
@@ -192,4 +192,4 @@ def redact(docs: DataFrame, ledger: BlobLedger | None = None, rules=RULES, mark:
         n = names[docs.columns.index("n_chars")]
         rows = rows.withColumn(n, F.when(F.col("cuts").isNotNull(), F.length(body).cast(docs.schema["n_chars"].dataType))
                                .otherwise(F.col(n)))
-    return few_files(rows, 2).select(*names).toDF(*docs.columns)
+    return rows.select(*names).toDF(*docs.columns)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import few_files, map_batches, py_texts, written
+from listenlens.llm.common import map_batches, py_texts, written
 from listenlens.llm.components import connected_components
 
 SEED = 42
@@ -238,21 +238,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     member = written(member, "simhash-member")
     class_id = written(member.groupBy("root").agg(F.min("least").alias("component")), "simhash-class")
     of_print = written(member.join(class_id, "root").select("fp", "component"), "simhash-of")
-    return few_files(prints.join(of_print, "fp"), 2).select("id", "fp", "component")
+    return prints.join(of_print, "fp").select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
              shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id;
-    all columns unchanged.  Rows of equal id and text are one document; rows of
-    equal id and different texts are versions of one document and share its
-    fate.  Rows without id cannot be named by a group's decision: they stay,
-    copies among them as one."""
-    groups = near_duplicates(docs, id_column, text, shingle, radius)
-    gone = written(groups.where(F.col("id").isNotNull() & (F.col("id") != F.col("component"))).select("id").distinct(),
-                   "simhash-gone")
+    """One row of each group of near-duplicates, all columns unchanged: that of the
+    smallest id (rows without id come last; of equal ids the text with the smaller
+    128-bit hash).  Rows are named by id and text, so a text that shares its id with
+    a near copy of another document stays; of rows equal in both one stays."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     own, body = names[docs.columns.index(id_column)], names[docs.columns.index(text)]
-    kept = docs.toDF(*names).join(gone, F.col(own) == F.col("id"), "left_anti")
-    kept = kept.withColumn("_h", F.sha2(F.col(body), 256)).dropDuplicates([own, "_h"])
-    return few_files(kept, 2).select(*names).toDF(*docs.columns)
+    address = F.unhex(F.substring(F.sha2(F.coalesce(F.col(body).cast("string"), F.lit("")), 256), 1, 32))
+    keyed = docs.toDF(*names).withColumn("_address", address)
+    name = F.struct(F.col(own).isNull().alias("none"), F.col(own).alias("id"), F.col("_address").alias("address"))
+    groups = near_duplicates(keyed.withColumn("_name", name), "_name", body, shingle, radius)
+    first = written(groups.where(F.col("id").eqNullSafe(F.col("component"))).select(
+        F.col("id.id").alias("_first"), F.col("id.address").alias("_at")).distinct(), "simhash-first")
+    kept = keyed.join(first, (F.col("_address") == F.col("_at")) & F.col(own).eqNullSafe(F.col("_first")), "left_semi")
+    return kept.dropDuplicates(["_address"]).select(*names).toDF(*docs.columns)

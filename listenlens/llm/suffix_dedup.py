@@ -26,7 +26,8 @@ of induction: windows are bounded, so right contexts of ``WINDOW`` bytes settle
 
 A hash that more than ``hot_rows`` places share (a passage of very many texts) is
 not given to one task: its windows are counted by a 128-bit hash, combined on the
-map side, and those that occur twice are joined back.
+map side, and those that occur twice are joined back.  The bytes of a hash's windows
+are compared as it is counted; a hash that stands for several is counted by bytes.
 
 Texts are addressed by a 128-bit hash: copies of a text are sorted once, and a
 text with copies is removed as a whole (if it has ``WINDOW`` bytes).
@@ -52,13 +53,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenlens.llm.common import few_files, map_batches, py_texts, text_or_empty, written
+from listenlens.llm.common import map_batches, py_texts, text_or_empty, written
 
 WINDOW, GRAM = 200, 32  # GRAM
 REACH = WINDOW - GRAM  # most bytes from a window's start to its sample place
 CHUNK = 1 << 18  # bytes hashed at once
 BLOCK = 1 << 22  # windows of one text handled at once
 MEMORY_ROWS = 1 << 17
+HOT_ROWS = 3 * MEMORY_ROWS
 _POSITION = np.uint64((1 << 24) - 1)
 _BYTE, _BYTE_2 = np.random.default_rng(20).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 
@@ -224,11 +226,13 @@ def contexts(texts: DataFrame) -> DataFrame:
 
 
 _WINDOWS = T.StructType([T.StructField(n, T.LongType()) for n in ("ra", "rb", "start", "w1", "w2")])
+_WITH_BYTES = T.StructType([*_WINDOWS, T.StructField("bytes", T.BinaryType())])
 
 
-def hot_windows(texts: DataFrame) -> DataFrame:
-    """``(ra, rb, start, w1, w2)``: every window of the places in ``at`` with its
+def hot_windows(texts: DataFrame, with_bytes: bool = False) -> DataFrame:
+    """``(ra, rb, start, w1, w2[, bytes])``: every window of the places in ``at`` with its
     128-bit hash."""
+    schema = _WITH_BYTES if with_bytes else _WINDOWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,10 +242,26 @@ def hot_windows(texts: DataFrame) -> DataFrame:
                     p, least, most = x["packed"] >> 16, x["packed"] >> 8 & 255, x["packed"] & 255
                     data = np.frombuffer(raw[p - most:p - least + WINDOW], np.uint8)
                     w1, w2 = string_hashes(data, WINDOW), string_hashes(data, WINDOW, _BYTE_2, 0xC2B2AE3D27D4EB4F)
-                    yield _batch(_WINDOWS, np.full(len(w1), ra.as_py()), np.full(len(w1), rb.as_py()),
-                                 np.arange(p - most, p - least + 1), w1.view(np.int64), w2.view(np.int64))
+                    own = [[raw[s:s + WINDOW] for s in range(p - most, p - least + 1)]] if with_bytes else []
+                    yield _batch(schema, np.full(len(w1), ra.as_py()), np.full(len(w1), rb.as_py()),
+                                 np.arange(p - most, p - least + 1), w1.view(np.int64), w2.view(np.int64), *own)
 
-    return map_batches(texts, run, _WINDOWS)
+    return map_batches(texts, run, schema)
+
+
+def repeated_windows(places: DataFrame) -> DataFrame:
+    """``(ra, rb, start)`` of the hot windows whose bytes stand at two places or more.  Windows
+    are counted by hash; the least and the greatest bytes of a hash tell whether all are
+    equal, and the windows of a hash that stands for several are counted by their bytes."""
+    by_hash = written(hot_windows(places, True).groupBy("w1", "w2").agg(
+        F.count("*").alias("n"), (F.min("bytes") == F.max("bytes")).alias("one")).where("n > 1"), "suffix-hot-windows")
+    alike = hot_windows(places).join(by_hash.where("one").select("w1", "w2"), ["w1", "w2"]).select("ra", "rb", "start")
+    mixed = by_hash.where("NOT one").select("w1", "w2")
+    if mixed.isEmpty():
+        return alike
+    mixed = written(hot_windows(places, True).join(mixed, ["w1", "w2"]), "suffix-hot-mixed")
+    several = mixed.groupBy("bytes").agg(F.count("*").alias("n")).where("n > 1").select("bytes")
+    return alike.unionByName(mixed.join(several, "bytes").select("ra", "rb", "start"))
 
 
 class Shard:
@@ -410,10 +430,11 @@ def _addressed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                       hot_rows: int = 100_000) -> DataFrame:
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(ra, rb, whole, parts)`` of the texts that lose bytes: whether all of
     them, else the stretches (start, length).  Hashes with over ``hot_rows`` places
-    are not sorted in one task: their windows are counted by hash instead."""
+    are not sorted in one task: their windows are counted by hash, proven by bytes,
+    instead.  Up to there a hash of over ``MEMORY_ROWS`` places goes through queues on disk."""
     texts = _addressed(docs, id_column, text)
     by_text = written(texts.groupBy("ra", "rb").agg(F.count("*").alias("n"), F.min("id").alias("carrier")), "suffix-texts")
     found = written(repeated(places(texts.select("ra", "rb", "text"))), "suffix-places")
@@ -428,9 +449,8 @@ def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text: str = "
         return texts.join(at, (F.col("ra") == F.col("_a")) & (F.col("rb") == F.col("_b"))
                           & F.col("id").eqNullSafe(F.col("carrier"))).select("ra", "rb", "text", "at")
 
-    windows = hot_windows(carried(at_places.join(hot, "h", "left_semi"), "suffix-hot-wanted"))
-    counted = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2"), "suffix-hot-windows")
-    of_hot = windows.join(counted, ["w1", "w2"]).select("ra", "rb", "start", F.lit(WINDOW).cast("long").alias("length"))
+    windows = repeated_windows(carried(at_places.join(hot, "h", "left_semi"), "suffix-hot-wanted"))
+    of_hot = windows.withColumn("length", F.lit(WINDOW).cast("long"))
     own = found.where("packed < 0").select("ra", "rb", F.expr("shiftright(-1 - packed, 31)").alias("start"),
                                            F.expr("(-1 - packed) & 2147483647").alias("length"))
     shared = stretches(contexts(carried(at_places.join(hot, "h", "left_anti"), "suffix-wanted"))
@@ -441,7 +461,7 @@ def repeated_stretches(docs: DataFrame, id_column: str = "doc_id", text: str = "
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", with_kept: bool = False,
-                   hot_rows: int = 100_000) -> DataFrame:
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256[, kept])`` of every row;
     kept: the remaining bytes."""
     lost = written(repeated_stretches(docs, id_column, text, hot_rows), "suffix-lost")
@@ -464,4 +484,4 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
                 pa.array(c, pa.int64()) if i < 3 else pa.array(c, pa.string() if i == 3 else pa.binary())
                 for i, c in enumerate(columns)], names=schema.names)
 
-    return few_files(map_batches(rows, run, schema), 2).withColumnRenamed("id", id_column)
+    return map_batches(rows, run, schema).withColumnRenamed("id", id_column)

@@ -96,3 +96,13 @@ def test_repeated_and_null_item_ids(spark):
         (*k, *v) for k, v in want.items())
     assert {(k, 1) for k in range(30)} | {(k, None) for k in range(30, 50)} <= {(r["id"], r["item"]) for r in got}
     assert [r["doc_id"] for r in decontaminate.remove(table(spark, docs), table_of).collect()] == [102]
+
+
+def test_null_and_repeated_document_ids(spark):
+    """Most rows have no id, or one id: texts are found by their address, not by the id."""
+    rows = [(None if i % 2 else 9, f"{prose(600 + i, 30)} {ITEMS[0][1] if i % 10 < 2 else ''}") for i in range(120)]
+    items = spark.createDataFrame([ITEMS[0], ITEMS[1]], "item_id long, text string")
+    got = decontaminate.contained(table(spark, rows), items)
+    assert by_key((r["id"], r["item"], r["containment"]) for r in got.collect()) == by_key([(9, 1, 1.0), (None, 1, 1.0)])
+    kept = decontaminate.remove(table(spark, rows), items)
+    assert kept.count() == sum(ITEMS[0][1] not in t for _, t in rows) == 96

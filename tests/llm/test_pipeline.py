@@ -26,8 +26,7 @@ def redacted(text):
 def brute_stages(rows):
     kept = [r for r in rows if rejected_by(TextStats(r[1] or ""), RULES) is None]
     yield kept
-    found = test_simhash.brute(kept)
-    kept = list(dict.fromkeys(r for r, (i, _, c) in zip(kept, found) if i is None or i == c))
+    kept = test_simhash.kept_by_brute_force(kept)
     yield kept
     kept = [(i, t) for i, t in kept if not test_decontaminate.brute([(0, t)], ITEMS)]
     yield kept

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cases import AWKWARD, by_key, prose, table
 from listenlens.llm import suffix_dedup
@@ -114,3 +115,32 @@ def test_sample_places_depend_on_the_window_alone():
             alone = suffix_dedup.sample_places(data[s:s + WINDOW].copy(), [(0, WINDOW)])
             assert alone[0][0] == p - s
     assert windows == set(range(2301)) | set(range(2500, 4801))
+
+
+def test_a_hash_beyond_memory_goes_through_the_disk_queues(tmp_path):
+    # default settings: one hash with more places than stay in memory, two contexts in turn
+    n = suffix_dedup.MEMORY_ROWS + 9_000
+    assert n < suffix_dedup.HOT_ROWS
+    shard = suffix_dedup.Shard(str(tmp_path))
+    right = [bytes([65]) * WINDOW] * (n // 2) + [bytes([66]) * WINDOW] * (n - n // 2 - 1) + [bytes([67]) * WINDOW]
+    left = [bytes([i % 3]) * 2 for i in range(n)]
+    meta = np.array([[0] * n, [0] * n, [0] * n, [5000 << 16 | 0 << 8 | 2] * n], np.int64)
+    for a in range(0, n, 50_000):
+        shard.add(right[a:a + 50_000], left[a:a + 50_000], meta[:, a:a + 50_000])
+    assert shard.file
+    marks = suffix_dedup.induce(shard)
+    assert marks[:-1, :3].all() and not marks[-1, 0] and not marks[:, 3:].any()
+    # 198 bytes of the last context alone do not repeat
+    assert not marks[-1].any()
+
+
+def test_windows_of_one_hash_are_counted_by_bytes(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    shared = rng.integers(97, 123, 400).astype(np.uint8).tobytes().decode()
+    rows = [(i, rng.integers(97, 123, 300).astype(np.uint8).tobytes().decode() + (shared if i < 4 else "")) for i in range(8)]
+    want = by_key(suffix_dedup.remove_repeats(table(spark, rows)).collect())
+    real = suffix_dedup.hot_windows
+    monkeypatch.setattr(suffix_dedup, "hot_windows", lambda places, with_bytes=False: real(places, with_bytes).withColumn(
+        "w1", F.lit(0).cast("long")).withColumn("w2", F.col("w2") % 2))  # two hashes for all windows
+    assert by_key(suffix_dedup.remove_repeats(table(spark, rows), hot_rows=1).collect()) == want
+    assert sum(r[2] > 0 for r in want) == 4
