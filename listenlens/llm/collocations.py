@@ -40,6 +40,8 @@ from listenlens.llm.common import map_batches, written
 ROUTE_WORDS, LEAST_ROUTES = 1 << 20, 32
 #: Hot prefixes of one length at most: those with this share of all words.
 MOST_HOT = 1 << 20
+#: Tasks that a language's phrases are dealt to before they are ranked.
+DEALS = 64
 #: Text bytes cut into words at once.
 SLICE_BYTES = 4 << 20
 
@@ -314,6 +316,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
         inner = inner.groupBy("lang", "phrase").agg(F.max("_longer").alias("_longer"))
         lowest = lowest.join(inner, ["lang", "phrase"], "left").where(
             F.col("_longer").isNull() | (F.col("_longer") * 100 < F.lit(share) * F.col("a")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase")))
-    best = lowest.withColumn("rank", place).where(F.col("rank") <= top)  # each task keeps its own first rows
+    # the first rows of each deal of a language, then of the language: no task orders all of its phrases
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    deal = F.pmod(F.xxhash64("phrase"), F.lit(DEALS))
+    best = lowest.withColumn("_deal", deal).withColumn("_n", F.row_number().over(
+        Window.partitionBy("lang", "_deal").orderBy(*order))).where(F.col("_n") <= top)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
