@@ -81,6 +81,34 @@ def hashed_vectors(documents: DataFrame, words: str = "words", size: int = 1 <<
         documents.where(F.col(words).isNotNull())).select("track_id", "features")
 
 
+def chi_square(postings: DataFrame, classes: DataFrame, key: str = "word", label: str = LABEL) -> DataFrame:
+    """``(key, chi2)``: how far a feature's counts per class are from the classes' shares.
+
+    ``postings``: ``(track_id, key, count)``; ``classes``: ``(track_id, label)``.  With the
+    share p of a class and a feature's count n in all of them, Σ (o - pn)² / pn is
+    Σ o² / pn - n: one aggregation of the long rows per (feature, class), combined on
+    the map side, and no row for a class without the feature."""
+    sizes = classes.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    share = sizes.select(label, (F.col("_nc") / F.sum("_nc").over(Window.partitionBy())).alias("_p"))  # one row per class
+    seen = postings.join(classes, "track_id").groupBy(key, label).agg(F.sum("count").alias("_o"))
+    every = F.sum("_o").cast("double")
+    return seen.join(share, label).groupBy(key).agg(
+        (F.sum(F.col("_o") * F.col("_o") / F.col("_p")) / every - every).alias("chi2"))
+
+
+def select_features(scores: DataFrame, k: int, key: str = "word") -> DataFrame:
+    """The ``k`` features of largest ``chi2`` (to six decimals; ties by key)."""
+    return scores.withColumn("chi2", F.round("chi2", 6)).orderBy(F.desc("chi2"), F.asc(key)).limit(k)
+
+
+def selected_vectors(documents: DataFrame, vocabulary: list[str], words: str = "words") -> DataFrame:
+    """D8 for the two-layer model: ``(track_id, features)``, the counts of the selected words
+    (a list of bounded length, in its order), made inside the JVM."""
+    from pyspark.ml.feature import CountVectorizerModel
+    model = CountVectorizerModel.from_vocabulary(vocabulary, inputCol=words, outputCol="features")
+    return model.transform(documents.where(F.col(words).isNotNull())).select("track_id", "features")
+
+
 def fit(train: DataFrame, vectors: DataFrame, model: str = "logistic", max_iter: int = 100,
         seed: int = 42):
     """M1: fit on ``train`` (track_id, theme) ⋈ feature vectors.

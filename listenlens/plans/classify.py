@@ -100,6 +100,36 @@ def model_roundtrip(spark, d):
     return classify.predict(classify.load_model(f"{path}/model"), test, vectors)
 
 
+CHI_WORDS = 200
+
+
+def _chi_square(spark, d):
+    train = split(spark, d).where(F.col("split") == "train").select("track_id", "theme")
+    words = star.word_lists(spark, d).select("track_id", F.explode("words").alias("word"), F.lit(1).alias("count"))
+    return classify.select_features(classify.chi_square(words, train), CHI_WORDS)
+
+
+@register("chi_square_words", ids="M1 D8", sql=with_ctes(["tokens"], f"""
+    SELECT word, round(sum(o * o / p) / sum(o) - sum(o), 6) AS chi2 FROM (
+        SELECT k.word, t.theme, CAST(count(*) AS DOUBLE) AS o FROM tokens k
+        JOIN (SELECT * FROM strat WHERE split = 'train') t ON k.track_id = t.track_id
+        WHERE k.word NOT IN ('the', 'of', 'and', 'to', 'a', 'in', 'is', 'that') GROUP BY k.word, t.theme)
+    JOIN (SELECT theme, count(*) / sum(count(*)) OVER () AS p FROM strat WHERE split = 'train' GROUP BY theme) USING (theme)
+    GROUP BY word ORDER BY chi2 DESC, word LIMIT {CHI_WORDS}""", LAB))
+def chi_square_words(spark, d):
+    return _chi_square(spark, d)
+
+
+@register("mlp_classifier", ids="M1 D8")
+def mlp_classifier(spark, d):
+    # the two-layer model on the words that tell the classes apart
+    vocabulary = [r["word"] for r in _chi_square(spark, d).orderBy(F.desc("chi2"), "word").collect()]  # CHI_WORDS at most
+    vectors = materialize(classify.selected_vectors(star.word_lists(spark, d), vocabulary))
+    parts = split(spark, d)
+    model = classify.fit(parts.where(F.col("split") == "train"), vectors, "mlp", max_iter=60)
+    return classify.predict(model, parts.where(F.col("split") == "test"), vectors)
+
+
 @register("split_roundtrip", ids="K2", sql=with_ctes([], "SELECT * FROM strat", LAB))
 def split_roundtrip(spark, d):
     path = shared_path(spark, "split")

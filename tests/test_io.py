@@ -65,3 +65,23 @@ def test_saving_one_theme_leaves_the_others(spark, tmpdir_path):
     one = themes.load_theme_set(spark, out, "b")
     assert [tuple(r) for r in one.collect()] == [("1", "b", 0.3)]
     assert "PartitionFilters: [isnotnull(theme" in one._jdf.queryExecution().toString()
+
+
+def test_chi_square_and_the_two_layer_model(spark):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    docs = [(f"t{i}", "a" if i % 3 else "b", ["hit" if i % 3 == 0 else "miss"] * 2 + [f"w{j}" for j in rng.integers(0, 30, 12)])
+            for i in range(90)]
+    classes = spark.createDataFrame([d[:2] for d in docs], ["track_id", "theme"])
+    words = spark.createDataFrame([(d[0], d[2]) for d in docs], ["track_id", "words"])
+    long = words.select("track_id", F.explode("words").alias("word"), F.lit(1).alias("count"))
+    got = {r.word: r.chi2 for r in classify.chi_square(long, classes).collect()}
+    for word in {w for d in docs for w in d[2]}:
+        seen = np.array([sum(d[2].count(word) for d in docs if d[1] == c) for c in "ab"], float)
+        want = np.array([60, 30]) / 90 * seen.sum()
+        assert abs(got[word] - ((seen - want) ** 2 / want).sum()) < 1e-9
+    best = [r.word for r in classify.select_features(classify.chi_square(long, classes), 5).collect()]
+    assert set(best[:2]) == {"hit", "miss"} and len(best) == 5
+    vectors = classify.selected_vectors(words, best)
+    model = classify.fit(classes, vectors, "mlp", max_iter=40)
+    assert classify.predict(model, classes, vectors).where("theme = prediction").count() >= 88
