@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from listenlens.operators import evaluate, recommend, similarity
+from listenlens.operators import evaluate, neighbours, recommend, similarity
 from listenlens.operators import interactions as ix
 from listenlens.plans.interactions import core_rows, split_rows
 from listenlens.plans.registry import register
@@ -68,6 +68,20 @@ def item_cosine(spark, d):
     return _rounded(similarity.item_cosine(train), "sim")
 
 
+@register("item_neighbours", ids="A8 J13 T6", sql=with_ctes(["triplets"], f"""
+    SELECT item_i, item_j, sim, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_i ORDER BY sim DESC, item_j) AS rank FROM (
+            SELECT a.song_id AS item_i, b.song_id AS item_j,
+                   round(sum(CAST(a.play_count AS DOUBLE) * b.play_count) / (ni.n * nj.n), 6) AS sim
+            FROM triplets a JOIN triplets b ON a.user_id = b.user_id AND a.song_id <> b.song_id
+            JOIN catalogue_norms ni ON ni.song_id = a.song_id JOIN catalogue_norms nj ON nj.song_id = b.song_id
+            GROUP BY a.song_id, b.song_id, ni.n, nj.n))
+    WHERE rank <= {K}""", {"catalogue_norms": NORMS.replace("FROM train", "FROM triplets")}))
+def item_neighbours(spark, d):
+    # every song of every play, not the core
+    return neighbours.item_neighbours(star.triplets(spark, d), k=K)
+
+
 @register("item_scores", ids="A9 X11", sql=cf_sql(
     "SELECT user_id, song_id, round(score, 6) AS score FROM reached"))
 def item_scores(spark, d):
