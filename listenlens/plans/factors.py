@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from listenlens.operators import evaluate, factors
+from listenlens.functions import dot
+from listenlens.operators import evaluate, factors, ranking
 from listenlens.operators import interactions as ix
 from listenlens.plans.interactions import core_rows
 from listenlens.plans.recommend import _cf
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
+from listenlens.session import materialize
 from listenlens.sources import star
 
 SVD_RANK = 20
@@ -96,3 +98,42 @@ def als_recommend(spark, d):
     return factors.als_recommend(train.select("user_id", "song_id", "label"),
                                  train.select("user_id", "song_id", "play_count"), top=10,
                                  rank=8, max_iter=10, seed=42).withColumn("score", F.round("score", 6))
+
+
+RANKING = dict(rank=8, epochs=4, blocks=2, draws=2, batch=64)
+
+
+def _ranking(spark, d):
+    core = core_rows(spark, d)
+    users, items = ranking.fit(core, **RANKING)
+    return core, users, items
+
+
+@register("ranking_recommend", ids="D5 M4 P11")
+def ranking_recommend(spark, d):
+    core, users, items = _ranking(spark, d)
+    return ranking.recommend(users, items, core, 10).withColumn("score", F.round("score", 6))
+
+
+@register("ranking_invariants", ids="D5 M4 P11", sql=with_ctes(["core"], """
+    SELECT user_id, least(10, (SELECT count(DISTINCT song_id) FROM core) - count(*)) AS n_recs,
+           least(10, (SELECT count(DISTINCT song_id) FROM core) - count(*)) AS last_rank,
+           0::BIGINT AS n_heard, 0::BIGINT AS n_out_of_order, true AS learned
+    FROM core WHERE play_count > 0 GROUP BY user_id
+    HAVING count(*) < (SELECT count(DISTINCT song_id) FROM core)"""))
+def ranking_invariants(spark, d):
+    """Lists: length, ranks, no heard song, scores in order; and heard songs get more
+    than freshly drawn unheard ones on average."""
+    core, users, items = _ranking(spark, d)
+    users, items = materialize(users), materialize(items)
+    recs = materialize(ranking.recommend(users, items, core, 10))
+    after = recs.select("user_id", (F.col("rank") + 1).alias("rank"), F.col("score").alias("before"))
+    heard = core.where(F.col("play_count") > 0).select("user_id", "song_id", F.lit(1).alias("heard"))
+    lists = (recs.join(after, ["user_id", "rank"], "left").join(heard, ["user_id", "song_id"], "left").groupBy("user_id")
+             .agg(F.count("song_id").alias("n_recs"), F.max("rank").cast("long").alias("last_rank"), F.count("heard").alias("n_heard"),
+                  F.sum(F.when(F.col("score") > F.col("before"), 1).otherwise(0)).alias("n_out_of_order")))
+    pairs = ix.negative_samples(core, seed=7).join(users.withColumnRenamed("v", "p"), "user_id").join(
+        items.withColumnRenamed("v", "q"), "song_id")
+    score = F.when(F.col("label") > 0, 1.0).otherwise(-1.0) * dot(F.col("p"), F.col("q"))
+    learned = pairs.agg(F.sum(score) > 0).first()[0]
+    return lists.withColumn("learned", F.lit(bool(learned)))
