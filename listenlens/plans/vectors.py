@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from listenlens.operators import themes, vectors
+from listenlens.operators import cooccurrence, themes, vectors
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
 from listenlens.plans.themes import BASE, _love, _scores, theme_sql
-from listenlens.session import shared_path
+from listenlens.session import materialize, shared_path
 from listenlens.sources import read_word_vectors, star
 
 UNIT = "list_transform({v}::DOUBLE[], lambda x: x / sqrt(list_dot_product({v}::DOUBLE[], {v}::DOUBLE[])))"
@@ -113,3 +113,51 @@ NAMED_SQL = {
 @register("theme_word_expansion", ids="P5 V2", sql=with_ctes(["word_vectors"], "SELECT * FROM xnamed", {**NEAR, **NAMED_SQL}))
 def theme_word_expansion(spark, d):
     return themes.expand_lexicon(star.theme_lexicon(spark, NAMED), star.word_vectors(spark, d), 10, "theme")
+
+
+WINDOW, MIN_COUNT = 4, 20
+
+
+def _pairs(spark, d):
+    return cooccurrence.pair_counts(star.word_lists(spark, d), window=WINDOW, min_count=MIN_COUNT)
+
+
+PAIRS = {
+    "placed": f"""
+    SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY o) AS p FROM (
+        SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS o
+        FROM (SELECT doc_id, string_split_regex(lower(text), '[^a-z]+') AS l FROM documents))
+    WHERE word <> '' AND word NOT IN ({", ".join(f"'{w}'" for w in star.ADAPTER_STOP_WORDS)})""",
+    "kept": f"SELECT word FROM placed GROUP BY word HAVING count(*) >= {MIN_COUNT}",
+    "beside": f"""
+    SELECT a.word AS word, b.word AS other FROM placed a
+    JOIN (SELECT doc_id, word, p, unnest(range(1, {WINDOW + 1})) AS o FROM placed) b
+      ON a.doc_id = b.doc_id AND a.p = b.p - b.o
+    WHERE a.word <> b.word AND a.word IN (SELECT word FROM kept) AND b.word IN (SELECT word FROM kept)""",
+    "pairs": """
+    SELECT word, other, count(*) AS n FROM (
+        SELECT word, other FROM beside UNION ALL SELECT other, word FROM beside) GROUP BY word, other""",
+    "of_word": "SELECT word, sum(n) AS nw FROM pairs GROUP BY word",
+    "weighted": """
+    SELECT p.word, p.other, p.n,
+           ln(p.n * (SELECT CAST(sum(n) AS DOUBLE) FROM pairs) / (CAST(a.nw AS DOUBLE) * b.nw)) AS weight
+    FROM pairs p JOIN of_word a ON p.word = a.word JOIN of_word b ON p.other = b.word""",
+}
+
+
+@register("word_pairs", ids="S11", sql=with_ctes([], "SELECT word, other, n FROM pairs", PAIRS))
+def word_pairs(spark, d):
+    return _pairs(spark, d)
+
+
+@register("word_information", ids="S11", sql=with_ctes(
+    [], "SELECT word, other, n, round(weight, 6) AS weight FROM weighted WHERE weight > 0", PAIRS))
+def word_information(spark, d):
+    return cooccurrence.information(_pairs(spark, d)).withColumn("weight", F.round("weight", 6))
+
+
+@register("trained_similar_words", ids="S11 V2")
+def trained_similar_words(spark, d):
+    # vectors trained here, neighbours of the lexicon's words
+    table = materialize(cooccurrence.word_vectors(cooccurrence.information(_pairs(spark, d)), 16))
+    return vectors.similar_words(table, star.theme_lexicon(spark), 10)
