@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from listenlens.operators import encoders
 from listenlens.operators import interactions as ix
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
-from listenlens.session import materialize
-from listenlens.sources import star
+from listenlens.session import materialize, shared_path
+from listenlens.sources import checked, star
 
 FRACTION_SQL = "('0x' || substr(md5({key}), 1, 8))::BIGINT / 4294967296.0"
 
@@ -117,3 +118,33 @@ def negative_samples(spark, d):
     SELECT user_id, song_id, CAST(play_count AS FLOAT) AS label FROM core WHERE play_count > 0"""))
 def explicit_samples(spark, d):
     return ix.explicit_samples(core_rows(spark, d))
+
+
+@register("encoder_append", ids="K2 D4", sql=with_ctes(["triplets", "active"], """
+    SELECT user_id, CAST(row_number() OVER (ORDER BY generation, user_id) - 1 AS BIGINT) AS code, generation FROM (
+        SELECT DISTINCT user_id, CASE WHEN user_id IN (SELECT user_id FROM active) THEN 0 ELSE 1 END AS generation FROM triplets)"""))
+def encoder_append(spark, d):
+    # the core's users first, then those of all plays: the first codes stay
+    plays, path = star.triplets(spark, d), shared_path(spark, "encoder")
+    encoders.append(core_rows(spark, d), "user_id", path)
+    encoders.append(plays, "user_id", path)
+    return encoders.load(spark, path).withColumnRenamed("value", "user_id")
+
+
+@register("triplet_files_checked", ids="S1 X6", sql=with_ctes(["triplets"], """
+    SELECT length(user_id) AS folder, count(*) AS good, 2 * count(DISTINCT user_id) AS bad, count(DISTINCT user_id) AS skipped,
+           CAST(sum(play_count) AS BIGINT) AS plays
+    FROM triplets GROUP BY length(user_id)"""))
+def triplet_files_checked(spark, d):
+    """Real files with bad lines: two of each user (a short one, a count that is no number)
+    and an empty one, in a folder for each length of user id."""
+    plays = star.triplets(spark, d)
+    users, path = plays.select("user_id").distinct(), shared_path(spark, "triplet-files")
+    short, wrong = F.concat_ws("\t", "user_id", F.lit("song")), F.concat_ws("\t", "user_id", F.lit("song"), F.lit("many"))
+    bad = users.select("user_id", F.explode(F.array(short, wrong, F.lit(""))).alias("value"))
+    good = plays.select("user_id", F.concat_ws("\t", "user_id", "song_id", F.col("play_count").cast("string")).alias("value"))
+    good.unionByName(bad).select(F.length("user_id").alias("folder"), "value").write.partitionBy("folder").text(path)
+    folder = F.regexp_extract("file", r"/folder=([0-9]+)/", 1).cast("int").alias("folder")
+    lines = checked.counts(spark, path, "triplets").groupBy(folder).agg(*(F.sum(c).alias(c) for c in ("good", "bad", "skipped")))
+    parsed, _ = checked.read_good(spark, path, "triplets")
+    return lines.join(parsed.groupBy(F.length("user_id").alias("folder")).agg(F.sum("play_count").alias("plays")), "folder")
