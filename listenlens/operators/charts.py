@@ -14,6 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from listenlens.operators.skew import split_join
+
 CHART_COLUMNS = ("artist", "title", "play_count")
 
 
@@ -32,9 +34,11 @@ def restrict_songs(tracks: DataFrame, song_ids=None) -> DataFrame:
 
 
 def plays_with_tracks(plays: DataFrame, tracks: DataFrame, cols: Iterable[str] | None = None,
-                      song_ids=None) -> DataFrame:
-    """Plays ⋈ tracks on ``song_id`` (a song with several tracks fans out)."""
-    joined = plays.join(restrict_songs(tracks, song_ids), "song_id")
+                      song_ids=None, split: bool = False) -> DataFrame:
+    """Plays ⋈ tracks on ``song_id`` (a song with several tracks fans out).
+    ``split``: plays of very popular songs are dealt over several tasks."""
+    wanted = restrict_songs(tracks, song_ids)
+    joined = split_join(plays, wanted, "song_id") if split else plays.join(wanted, "song_id")
     return joined.select(*cols) if cols else joined
 
 

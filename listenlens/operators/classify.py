@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from listenlens.functions.columns import md5_order
 from listenlens.functions.ranking import rank_within
 from listenlens.operators import charts
+from listenlens.operators.skew import split_join
 from listenlens.session import materialize
 
 LABEL = "theme"
@@ -59,12 +60,14 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
         (F.sum("n_c").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n_c"))).alias("weight"))
 
 
-def bow_features(postings: DataFrame, vocabulary: DataFrame, tracks: DataFrame | None = None) -> DataFrame:
+def bow_features(postings: DataFrame, vocabulary: DataFrame, tracks: DataFrame | None = None,
+                 split: bool = False) -> DataFrame:
     """D8/J11 (long form): ``(track_id, word_index, count)`` without stop words,
     only for ``tracks`` when given (inner join: unknown ids drop out with their
-    labels, so features and labels stay aligned)."""
+    labels, so features and labels stay aligned).  ``split``: words of very many
+    tracks are dealt over several tasks, at the price of a pass that names them."""
     keep = vocabulary.where(~F.col("is_stop")).select("word_index")
-    out = postings.join(keep, "word_index")
+    out = split_join(postings, keep, "word_index") if split else postings.join(keep, "word_index")
     if tracks is not None:
         out = out.join(tracks.select("track_id").distinct(), "track_id", "left_semi")
     return out.select("track_id", "word_index", "count")

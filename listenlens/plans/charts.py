@@ -5,6 +5,7 @@ from __future__ import annotations
 from listenlens.operators import charts, interactions
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
+from listenlens.session import materialize
 from listenlens.sources import parse_genre_lines, parse_track_lines, parse_triplet_lines, star
 
 
@@ -29,6 +30,15 @@ def plays_with_tracks(spark, d):
                                     cols=["track_id", "artist", "title", "play_count"])
 
 
+@register("plays_with_tracks_split", ids="F1 J1", sql=with_ctes(["triplets", "tracks"], """
+    SELECT t.track_id, t.artist, t.title, p.play_count
+    FROM triplets p JOIN tracks t ON p.song_id = t.song_id"""))
+def plays_with_tracks_split(spark, d):
+    plays = materialize(star.triplets(spark, d))  # read by the pass that names hot songs and by the join
+    return charts.plays_with_tracks(plays, star.tracks(spark, d), cols=["track_id", "artist", "title", "play_count"],
+                                    split=True)
+
+
 @register("track_totals", ids="A1", sql=with_ctes(["track_totals"], """
     SELECT track_id, title, artist, play_count FROM track_totals"""))
 def track_totals(spark, d):

@@ -71,6 +71,16 @@ def bow_features(spark, d):
     return classify.bow_features(star.indexed_postings(spark, d, vocab), vocab, labelled(spark, d))
 
 
+@register("bow_features_split", ids="D8 J11 S5", sql=with_ctes(["vocab"], """
+    SELECT p.track_id, v.word_index, p.count
+    FROM postings p JOIN vocab v ON p.word = v.word
+    WHERE NOT v.is_stop AND p.track_id IN (SELECT track_id FROM lab)""", LAB))
+def bow_features_split(spark, d):
+    vocab = star.vocabulary(spark, d)
+    rows = materialize(star.indexed_postings(spark, d, vocab, split=True))
+    return classify.bow_features(rows, vocab, labelled(spark, d), split=True)
+
+
 def _model(spark, d):
     """The fitted model and the written feature vectors of all documents: texts are
     tokenised once, for fitting and prediction alike."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from listenlens.functions import label_codes as codes
 from listenlens.operators import content
 from listenlens.operators import interactions as ix
+from listenlens.operators import lookup
 from listenlens.plans.registry import register
 from listenlens.plans.sql import with_ctes
 from listenlens.session import shared_path
@@ -148,3 +149,15 @@ def song_vectors_roundtrip(spark, d):
     rows = content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
     content.save_song_vectors(content.song_vectors(rows), path)
     return content.load_song_vectors(spark, path).withColumn("weight", F.round("weight", 6))
+
+
+@register("song_vectors_lookup", ids="K3 J6", sql=csql("""
+    SELECT p.user_id, p.track_id, ag.genre, kind || CASE kind WHEN 'artist=' THEN ag.artist ELSE ag.genre END AS feature,
+           round(1 / sqrt(2), 6) AS weight
+    FROM prof p JOIN ag ON p.track_id = ag.track_id, (VALUES ('artist='), ('genre=')) AS f(kind)"""))
+def song_vectors_lookup(spark, d):
+    """The vectors of every user's tracks, from the table kept by ``track_id``."""
+    rows = content.artist_genre(star.tracks(spark, d), star.genres(spark, d))
+    kept = lookup.save_by_key(content.song_vectors(rows), shared_path(spark, "song-vectors-by-key"))
+    return _profile(spark, d).select("user_id", "track_id").join(kept, "track_id").select(
+        "user_id", "track_id", "genre", "feature", F.round("weight", 6).alias("weight"))

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listenlens.functions.indexing import dense_index
+from listenlens.operators.skew import split_join
+from listenlens.session import materialize
 
 # Fixed values of the adapter (they must equal the oracle's):
 # theme lexicon over function words of the test prose, and the stop words.
@@ -120,11 +122,15 @@ def vocabulary(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS)
                           F.col("word").isin(list(stop_words)).alias("is_stop"))
 
 
-def indexed_postings(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) -> DataFrame:
-    """Postings in the lyrics-file form ``(track_id, word_index, count)``."""
-    vocab = vocab if vocab is not None else vocabulary(spark, sf_dir)
-    return (postings(spark, sf_dir).join(vocab.select("word", "word_index"), "word")
-            .select("track_id", "word_index", "count"))
+def indexed_postings(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None,
+                     split: bool = False) -> DataFrame:
+    """Postings in the lyrics-file form ``(track_id, word_index, count)``; ``split``:
+    with the words of very many documents dealt over several tasks."""
+    vocab = (vocab if vocab is not None else vocabulary(spark, sf_dir)).select("word", "word_index")
+    if split:
+        rows = materialize(postings(spark, sf_dir))  # read by the pass that names the words and by the join
+        return split_join(rows, vocab, "word").select("track_id", "word_index", "count")
+    return postings(spark, sf_dir).join(vocab, "word").select("track_id", "word_index", "count")
 
 
 #: Words of the vocabulary header: the most frequent ones, as in the lyrics file.
