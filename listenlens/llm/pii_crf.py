@@ -3,8 +3,9 @@
 Patterns give the base spans (email, ip, card, phone).  The field then labels
 the tokens with digits or ``@`` that no base span covers: neighbouring tokens
 share chain potentials, and all tokens of a document with the same or similar
-content (equal digits, or equal text without outer punctuation) are linked by
-skip edges from each occurrence to the next, however distant.  Loopy sum-product
+content (the same last four digits, the same local part of an address, or equal text
+without outer punctuation) are linked by skip edges from each occurrence to the next,
+however distant.  Loopy sum-product
 message passing, whose rounds sweep over whole runs of neighbours and over all
 occurrences from the first to the last and back, makes an entity's mentions agree: the tokens of a number that was
 recognised once are found again where its form is broken or abridged.  Base
@@ -14,7 +15,10 @@ label becomes a further span.
 The weights are trained here on a bounded sample whose labels are the base
 spans.  It is drawn by a hash of id and text over the whole table, holds texts of
 each kind of base span that the table has, and takes about as many tokens from each
-text; where the rows lie decides nothing.  They are multinomial logistic node weights, and smoothed association of the labels
+text; where the rows lie decides nothing.  A sampled text gets broken repeats of some of
+its own mentions, which carry their label, and as many broken forms of entities that it
+does not mention, which carry none: what a token looks like cannot tell them apart, the
+skip edges have to.  The weights are multinomial logistic node weights, and smoothed association of the labels
 at the ends of chain and skip edges.
 
 Defined results
@@ -143,6 +147,15 @@ def _features(token: str, digits: str, before: bool, after: bool) -> list[float]
     return [float(v) for v in row] + bins
 
 
+def _entity(word: str, digits: str) -> str:
+    """What similar tokens have in common: the last digits of a number, else the local
+    part of an address, else the text."""
+    word = word.strip(".,;:!?\"'()[]{}<>#*$%&|").lower()
+    if "@" in word:
+        return word.partition("@")[0] + "@"
+    return digits[-4:] if len(digits) >= 3 else word
+
+
 def build_graph(text: str, base: list[Span]) -> Graph | None:
     tokens = [(i, m.start(), m.end()) for i, m in enumerate(TOKEN.finditer(text)) if CLUE.search(text, m.start(), m.end())]
     if not tokens:
@@ -162,7 +175,7 @@ def build_graph(text: str, base: list[Span]) -> Graph | None:
     last: dict[str, int] = {}
     skip = []
     for i, (w, d) in enumerate(zip(words, digits)):
-        key = d if len(d) >= 3 and "@" not in w else w.strip(".,;:!?\"'()[]{}<>#*$%&|").lower()
+        key = _entity(w, d)
         if key in last:
             skip.append((last[key], i))
         last[key] = i
@@ -333,11 +346,61 @@ def quota(sizes: list[int], total: int) -> int:
     return max(sizes, default=1)
 
 
-def _picked(label: np.ndarray, most: int) -> list[int]:
-    """Places of the first token of each label, then evenly spaced ones."""
+#: Mentions of a sampled text that are repeated in a broken form, at most.
+PLANTS = 4
+COUNTRY = re.compile(r"\+[0-9]+[\x20.-]*")
+
+
+def broken(kind: str, mention: str, draw: int) -> str:
+    """A mention as a text may repeat it where the pattern fails: abridged or with
+    other separators.  ``draw`` chooses the form."""
+    digits = NOT_DIGIT.sub("", mention)
+    if kind == "email":
+        local, _, domain = mention.partition("@")
+        return f"{local}@{domain.partition('.')[0]}"
+    if kind == "ip":
+        return mention.replace(".", ",-/"[draw % 3])
+    if kind == "card":
+        return [f"{digits[:4]}/{digits[4:8]}/{digits[8:12]}/{digits[12:]}", f"{digits[:-4]}.{digits[-4:]}", f"#{digits}x"][draw % 3]
+    local = COUNTRY.sub("", mention) or digits
+    return [local, f"{digits[-10:-7]}.{digits[-7:-4]}.{digits[-4:]}", f"{digits[-7:-4]}-{digits[-4:]}"][draw % 3]
+
+
+def stranger(mention: str, draw: np.random.Generator) -> str:
+    """Another entity of the same form."""
+    swap = {**{c: str(draw.integers(10)) for c in "0123456789"},
+            **{c: chr(97 + draw.integers(26)) for c in "abcdefghijklmnopqrstuvwxyz"}}
+    return "".join(str(draw.integers(10)) if c.isdigit() else swap.get(c, c) for c in mention)
+
+
+def planted(text: str, base: list[Span], seed: int) -> tuple[str, list[Span], int]:
+    """The text with broken repeats of at most ``PLANTS`` of its mentions and as many of
+    strangers behind it, the spans of the mentions and their repeats, and the text's
+    length before.  Repeats that are base spans themselves are left out."""
+    draw = np.random.default_rng(seed & 0xFFFFFFFF)
+    spans, parts, at = list(base), [text], len(text)
+    for j in draw.permutation(len(base))[:PLANTS]:
+        kind, a, b = base[j]
+        if b - a > 256:  # a token of that length is no repeat
+            continue
+        form = int(draw.integers(3))
+        for mention, label in ((text[a:b], kind), (stranger(text[a:b], draw), None)):
+            repeat = broken(kind, mention, form)
+            if base_spans(repeat):
+                continue
+            parts.append(f" again {repeat} and")
+            if label:
+                spans.append((label, at + 7, at + 7 + len(repeat)))
+            at += len(parts[-1])
+    return "".join(parts), spans, len(text)
+
+
+def _picked(label: np.ndarray, most: int, must: np.ndarray = np.empty(0, np.int64)) -> list[int]:
+    """Places in ``must`` and of the first token of each label, then evenly spaced ones."""
     if len(label) <= most:
         return list(range(len(label)))
-    first = np.unique(label, return_index=True)[1].tolist()
+    first = must.tolist() + np.unique(label, return_index=True)[1].tolist()
+    first = list(dict.fromkeys(first))
     even = np.linspace(0, len(label) - 1, most).astype(int).tolist()
     return sorted(list(dict.fromkeys(first + even))[:max(most, len(first))])
 
@@ -345,7 +408,7 @@ def _picked(label: np.ndarray, most: int) -> list[int]:
 def train(docs: DataFrame, text: str, max_documents: int = 4000, max_tokens: int = 40_000, seed: int = 5,
           id_column: str = "doc_id") -> Field | None:
     """Weights from at most ``max_documents`` sampled texts with a clue and about
-    ``max_tokens`` of their tokens; None without a base span in the table."""
+    ``max_tokens`` of their tokens, besides those of the planted repeats; None without a base span in the table."""
     texts = sample(docs, id_column, text, max_documents, seed)
     if texts is None:
         return None
@@ -365,10 +428,13 @@ def train(docs: DataFrame, text: str, max_documents: int = 4000, max_tokens: int
         for batch in batches:
             rows = []
             for u, t in zip(batch.column(0).to_pylist(), py_texts(batch.column(1))):
-                if g := build_graph(t, base_spans(t)):
+                t, spans, own = planted(t, base_spans(t), u)
+                if g := build_graph(t, spans):
+                    after = np.flatnonzero(g.starts >= own)
+                    must = np.union1d(after, g.skip[np.isin(g.skip[:, 1], after), 0])
                     ends = [dict(e.tolist()) for e in (g.chain, g.skip)]  # a token's next in chain and skip
                     rows += [(u, i, g.x[i].tolist(), int(g.label[i]), *(int(g.label[e[i]]) if i in e else None for e in ends))
-                             for i in _picked(g.label, most)]
+                             for i in _picked(g.label, most, must)]
             columns = zip(*rows) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(columns, (
                 pa.int64(), pa.int32(), pa.list_(pa.float64()), pa.int32(), pa.int32(), pa.int32()))], names=schema.names)
