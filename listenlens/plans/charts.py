@@ -95,3 +95,24 @@ def triplet_lines_parse(spark, d):
 @register("genre_lines_parse", ids="S4 X7", sql=with_ctes(["genres"], "SELECT track_id, genre FROM genres"))
 def genre_lines_parse(spark, d):
     return parse_genre_lines(star.genre_lines(spark, d))
+
+
+@register("top_by_each_genre_fanout", ids="J1 J2 P3", sql=with_ctes(["triplets", "tracks"], """
+    SELECT genre, rank, artist, title, play_count FROM (
+        SELECT s.genre, t.artist, t.title, t.play_count,
+               row_number() OVER (PARTITION BY s.genre ORDER BY t.play_count DESC, t.track_id) AS rank
+        FROM (SELECT r.track_id, r.title, r.artist, CAST(sum(p.play_count) AS BIGINT) AS play_count
+              FROM triplets p JOIN releases r ON p.song_id = r.song_id
+              GROUP BY r.track_id, r.title, r.artist) t
+        JOIN styles s ON t.track_id = s.track_id)
+    WHERE rank <= 100""", {
+    "releases": """
+        SELECT track_id, song_id, artist, title FROM tracks
+        UNION ALL
+        SELECT 'R' || p_partkey, CAST(p_partkey AS VARCHAR), p_brand, p_name || ' (again)' FROM part WHERE p_size > 25""",
+    "styles": """
+        SELECT r.track_id, unnest(CASE WHEN p.p_size % 3 = 0 THEN [p.p_type, p.p_brand] ELSE [p.p_type] END) AS genre
+        FROM releases r JOIN part p ON r.song_id = CAST(p.p_partkey AS VARCHAR)"""}))
+def top_by_each_genre_fanout(spark, d):
+    """Songs with two tracks and tracks with two genres count in each of them."""
+    return charts.top_by_each_genre(star.triplets(spark, d), star.releases(spark, d), star.styles(spark, d), n=100)

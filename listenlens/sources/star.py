@@ -60,6 +60,24 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("p_brand").alias("artist"), F.col("p_name").alias("title"))
 
 
+def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks where songs of parts over size 25 have a second one, ``R`` and the key."""
+    part = table(spark, sf_dir, "part").where("p_size > 25")
+    key = F.col("p_partkey").cast("string")
+    return tracks(spark, sf_dir).unionByName(part.select(
+        F.concat(F.lit("R"), key).alias("track_id"), key.alias("song_id"), F.col("p_brand").alias("artist"),
+        F.concat("p_name", F.lit(" (again)")).alias("title")))
+
+
+def styles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genres of ``releases``: the part's type, for every third size the brand as well."""
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("string")
+    named = F.when(F.col("p_size") % 3 == 0, F.array("p_type", "p_brand")).otherwise(F.array("p_type"))
+    ids = F.when(F.col("p_size") > 25, F.array(key, F.concat(F.lit("R"), key))).otherwise(F.array(key))
+    return part.select(F.explode(ids).alias("track_id"), named.alias("genre")).select("track_id", F.explode("genre").alias("genre"))
+
+
 def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracks rendered as ``<SEP>`` lines (input of the line parser)."""
     t = tracks(spark, sf_dir)
