@@ -79,9 +79,11 @@ def parse_lyrics_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     A track without postings yields no row.
     """
     line = F.trim(F.col(column))
-    postings = (lines.select(line.alias("line")).where(_is_data_line(F.col("line")))
-                .select(F.get(F.split("line", ","), 0).alias("track_id"),
-                        F.explode(F.expr("slice(split(line, ','), 3, greatest(size(split(line, ',')) - 2, 0))")).alias("p")))
+    # the fields are cut before the explode: beside it they would be cut again for every posting
+    fields = (lines.select(line.alias("line")).where(_is_data_line(F.col("line")))
+              .select(F.get(F.split("line", ","), 0).alias("track_id"),
+                      F.expr("slice(split(line, ','), 3, greatest(size(split(line, ',')) - 2, 0))").alias("ps")))
+    postings = fields.select("track_id", F.explode("ps").alias("p"))
     # try_cast: a malformed ``idx:count`` becomes NULL instead of failing the job
     # under ANSI mode; ``bad_postings`` counts them
     return postings.select(

@@ -1,10 +1,12 @@
 import os
+import time
 
 from fixtures_music import load
 from pyspark.sql import functions as F
 
 from listenlens.operators import classify, content, themes
-from listenlens.sources import english_stop_words, read_theme_sets, train_word_vectors
+from listenlens.session import materialize
+from listenlens.sources import english_stop_words, parse_lyrics_lines, read_theme_sets, train_word_vectors
 
 
 def test_theme_set_roundtrip(spark, tmpdir_path):
@@ -85,3 +87,15 @@ def test_chi_square_and_the_two_layer_model(spark):
     vectors = classify.selected_vectors(words, best)
     model = classify.fit(classes, vectors, "mlp", max_iter=40)
     assert classify.predict(model, classes, vectors).where("theme = prediction").count() >= 88
+
+
+def test_lyrics_line_is_cut_once(spark):
+    # 40,000 postings in one line: cut for every posting, this took minutes
+    n = 40_000
+    line = spark.range(1).select(F.concat(F.lit("T1,0,"), F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat_ws(":", i.cast("string"), F.lit("2"))), ",")).alias("value"))
+    began = time.time()
+    got = parse_lyrics_lines(materialize(line)).agg(
+        F.count("count"), F.sum("word_index"), F.min("track_id"), F.max("track_id")).first()
+    assert tuple(got) == (n, n * (n + 1) // 2, "T1", "T1")
+    assert time.time() - began < 30
