@@ -11,11 +11,22 @@ no pairs; an empty table gives empty results.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlens.operators import factors
-from listenlens.session import materialize
+from listenlens.session import materialize, shared_path
+
+
+def _ways(a: str, b: str) -> Column:
+    return F.array(F.struct(F.col(a).alias("word"), F.col(b).alias("other")), F.struct(F.col(b).alias("word"), F.col(a).alias("other")))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder: pairs are many and repeat their words."""
+    path = shared_path(df.sparkSession, "word-pairs")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def pair_counts(sentences: DataFrame, column: str = "words", window: int = 5, min_count: int = 1) -> DataFrame:
@@ -32,20 +43,25 @@ def pair_counts(sentences: DataFrame, column: str = "words", window: int = 5, mi
                 .where(F.col("c") >= min_count).select("a"))
         half = half.join(kept, "a", "left_semi").join(kept.withColumnRenamed("a", "b"), "b", "left_semi")
     # one row becomes its two directions: the counts are made once
-    ways = F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("other")), F.struct(F.col("b").alias("word"), F.col("a").alias("other")))
-    return half.select(F.explode(ways).alias("p"), "n").select("p.word", "p.other", "n")
+    return half.select(F.explode(_ways("a", "b")).alias("p"), "n").select("p.word", "p.other", "n")
 
 
 def information(counts: DataFrame) -> DataFrame:
     """``(word, other, n, weight)`` with ``weight = ln(n * total / (n(word) * n(other)))``
-    where that is positive."""
-    counts = materialize(counts)
-    of_word = counts.groupBy("word").agg(F.sum("n").alias("nw"))
+    where that is positive.  ``counts``: both directions of every pair, as ``pair_counts``
+    gives them."""
+    # a pair's directions have the same count and weight: one is written, in columns, and
+    # joined; the other is made at the end
+    half = _written(counts.where(F.col("word") < F.col("other")).select("word", "other", "n"))
+    of_word = materialize(half.select(F.explode(F.array("word", "other")).alias("word"), "n")
+                          .groupBy("word").agg(F.sum("n").alias("nw")))
     of_other = of_word.select(F.col("word").alias("other"), F.col("nw").alias("no"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    total = of_word.agg(F.sum("nw")).first()[0] or 0
     ratio = F.col("n") * F.lit(float(total)) / (F.col("nw").cast("double") * F.col("no"))
-    return (counts.join(of_word, "word").join(of_other, "other").where(ratio > 1)
-            .select("word", "other", "n", F.log(ratio).alias("weight")))
+    weights = (half.join(of_word, "word").join(of_other, "other").where(ratio > 1)
+               .select("word", "other", "n", F.log(ratio).alias("weight")))
+    return weights.select(F.explode(_ways("word", "other")).alias("p"), "n", "weight").select(
+        "p.word", "p.other", "n", "weight")
 
 
 def word_vectors(weights: DataFrame, size: int = 32, tolerance: float = 1e-3) -> DataFrame:

@@ -62,3 +62,16 @@ def test_words_of_a_topic_are_near(spark):
 def test_empty(spark):
     none = cooccurrence.information(cooccurrence.pair_counts(spark.createDataFrame([], SCHEMA)))
     assert none.count() == 0 and cooccurrence.word_vectors(none, 2).count() == 0
+
+
+def test_pairs_are_kept_in_one_direction(spark, monkeypatch):
+    written, real = [], getattr(cooccurrence, "_written", None)
+    monkeypatch.setattr(cooccurrence, "_written", lambda df: written.append(real(df)) or written[-1])
+    df = spark.createDataFrame([(["a", "b", "c", "a"],), (["b", "a"],)], "words array<string>")
+    counts = cooccurrence.pair_counts(df, window=2)
+    weights = cooccurrence.information(counts)
+    both = {(r["word"], r["other"]) for r in counts.collect()}
+    assert {tuple(r) for r in written[0].select("word", "other").collect()} == {p for p in both if p[0] < p[1]}
+    found = {(r["word"], r["other"]): r["weight"] for r in weights.collect()}
+    assert found and all(found[b, a] == w for (a, b), w in found.items())
+    assert weights.where("weight <= 0").count() == 0
