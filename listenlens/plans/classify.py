@@ -76,9 +76,13 @@ def bow_features(spark, d):
     FROM postings p JOIN vocab v ON p.word = v.word
     WHERE NOT v.is_stop AND p.track_id IN (SELECT track_id FROM lab)""", LAB))
 def bow_features_split(spark, d):
-    vocab = star.vocabulary(spark, d)
-    rows = materialize(star.indexed_postings(spark, d, vocab, split=True))
-    return classify.bow_features(rows, vocab, labelled(spark, d), split=True)
+    words = materialize(star.postings(spark, d))  # the texts are tokenised once, for the vocabulary and the rows
+    vocab = star.vocabulary(spark, d, rows=words)
+    # documents without a label go before the joins with words that most documents hold
+    tracks = labelled(spark, d)
+    wanted = materialize(words.join(tracks.select("track_id").distinct(), "track_id", "left_semi"))
+    rows = materialize(star.indexed_postings(spark, d, vocab, split=True, rows=wanted))
+    return classify.bow_features(rows, vocab, tracks, split=True)
 
 
 def _model(spark, d):

@@ -132,23 +132,25 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("track_id").cast("string").alias("track_id"), "word", "count"))
 
 
-def vocabulary(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS) -> DataFrame:
-    """``(word_index, word, is_stop)``, index 1-based in word order."""
-    words = tokens(spark, sf_dir, string_ids=False).select("word").distinct()
+def vocabulary(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS, rows: DataFrame | None = None) -> DataFrame:
+    """``(word_index, word, is_stop)``, index 1-based in word order; ``rows``: written
+    postings of all documents, where a caller has them."""
+    words = (rows if rows is not None else tokens(spark, sf_dir, string_ids=False)).select("word").distinct()
     indexed = dense_index(words, ["word"], name="word_index", base=1)
     return indexed.select(F.col("word_index").cast("int").alias("word_index"), "word",
                           F.col("word").isin(list(stop_words)).alias("is_stop"))
 
 
 def indexed_postings(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None,
-                     split: bool = False) -> DataFrame:
+                     split: bool = False, rows: DataFrame | None = None) -> DataFrame:
     """Postings in the lyrics-file form ``(track_id, word_index, count)``; ``split``:
-    with the words of very many documents dealt over several tasks."""
+    with the words of very many documents dealt over several tasks; ``rows``: written
+    postings to index instead of all documents'."""
     vocab = (vocab if vocab is not None else vocabulary(spark, sf_dir)).select("word", "word_index")
     if split:
-        rows = materialize(postings(spark, sf_dir))  # read by the pass that names the words and by the join
+        rows = rows if rows is not None else materialize(postings(spark, sf_dir))  # read by the pass that names the words and by the join
         return split_join(rows, vocab, "word").select("track_id", "word_index", "count")
-    return postings(spark, sf_dir).join(vocab, "word").select("track_id", "word_index", "count")
+    return (rows if rows is not None else postings(spark, sf_dir)).join(vocab, "word").select("track_id", "word_index", "count")
 
 
 #: Words of the vocabulary header: the most frequent ones, as in the lyrics file.
