@@ -117,9 +117,11 @@ def model_roundtrip(spark, d):
 CHI_WORDS = 200
 
 
-def _chi_square(spark, d):
-    train = split(spark, d).where(F.col("split") == "train").select("track_id", "theme")
-    words = star.word_lists(spark, d).select("track_id", F.explode("words").alias("word"), F.lit(1).alias("count"))
+def _chi_square(parts, lists):
+    train = parts.where(F.col("split") == "train").select("track_id", "theme")
+    # only the training documents' lists are unfolded
+    words = lists.join(train.select("track_id"), "track_id", "left_semi").select(
+        "track_id", F.explode("words").alias("word"), F.lit(1).alias("count"))
     return classify.select_features(classify.chi_square(words, train), CHI_WORDS)
 
 
@@ -131,15 +133,17 @@ def _chi_square(spark, d):
     JOIN (SELECT theme, count(*) / sum(count(*)) OVER () AS p FROM strat WHERE split = 'train' GROUP BY theme) USING (theme)
     GROUP BY word ORDER BY chi2 DESC, word LIMIT {CHI_WORDS}""", LAB))
 def chi_square_words(spark, d):
-    return _chi_square(spark, d)
+    return _chi_square(split(spark, d), star.word_lists(spark, d))
 
 
 @register("mlp_classifier", ids="M1 D8")
 def mlp_classifier(spark, d):
     # the two-layer model on the words that tell the classes apart
-    vocabulary = [r["word"] for r in _chi_square(spark, d).orderBy(F.desc("chi2"), "word").collect()]  # CHI_WORDS at most
-    vectors = materialize(classify.selected_vectors(star.word_lists(spark, d), vocabulary))
-    parts = split(spark, d)
+    parts = materialize(split(spark, d))  # read by the selection, the fit and the prediction
+    # texts are tokenised once; documents without a label are in neither split
+    lists = materialize(star.word_lists(spark, d).join(parts.select("track_id"), "track_id", "left_semi"))
+    vocabulary = [r["word"] for r in _chi_square(parts, lists).orderBy(F.desc("chi2"), "word").collect()]  # CHI_WORDS at most
+    vectors = materialize(classify.selected_vectors(lists, vocabulary))
     model = classify.fit(parts.where(F.col("split") == "train"), vectors, "mlp", max_iter=60)
     return classify.predict(model, parts.where(F.col("split") == "test"), vectors)
 
