@@ -1,96 +1,255 @@
 """Nearest items of every item of the whole catalogue by cosine.
 
 An exact similarity join over inverted lists (a list per user, an entry per item
-with weight ``x = value / norm``), without a Gram matrix and without a copy of a
-side per column block:
-
-1. Each item meets the heaviest ``k + 1`` entries of its users' lists.  The sums
-   are lower bounds of similarities, their k-th largest ``t`` bounds the item's
-   k-th best from below.
-2. An entry ``y`` of a list is met by an item with weight ``x`` there only if
+with weight ``x = value / norm``), without a Gram matrix and without a row per pair:
+lists travel packed, and the pairs of an item are made, added up and cut to its ``k``
+best inside one task.
+
+1. A list's ``k`` heaviest entries besides the item itself are partners with at least
+   ``x`` times the list's ``k + 1``-th weight, so the largest of these products over an
+   item's lists bounds its k-th best ``t`` from below.
+2. Items are dealt into blocks and partners into parts.  A (block, part) task holds the
+   lists' entries of its part, of the users that listen to its block, heaviest first.
+   An entry ``y`` is met by an item with weight ``x`` there only if
    ``y >= slack * t * x``.  What an item misses of a partner is then below
-   ``slack * t`` times the unmet part of its squared norm, and a partner whose sum
-   and that bound stay below ``t`` is given up.  Entries lie in levels by powers of
-   two of their weight, and levels in blocks of bounded size: a list's light
-   entries are not even read by items that cannot need them.
-3. The partners left are multiplied out, over the entries of the item that has
-   fewer.
-
-No partner is dropped but by a bound.  Defined results: values must not be
-negative, zeros and null users, items or values are left out; repeated
-(user, item) rows are added; an item with fewer than ``k`` partners that share a
-user lists these; an empty table gives an empty result.
+   ``slack * t`` times the unmet part of its squared norm, and a partner whose sum and
+   that bound stay below ``t`` is given up; a part's own k-th best sum raises ``t``.
+3. The partners left of items that missed entries are multiplied out.  A part's ``k``
+   best of every item are merged over the parts.
+
+A task's memory is bounded by ``part_entries`` and ``BATCH``.  A list is copied once per
+block that its user listens to, and once per part for the items' own entries.  No partner
+is dropped but by a bound.  Defined results: values must not be negative, zeros and null
+users, items or values are left out; repeated (user, item) rows are added; an item with
+fewer than ``k`` partners that share a user lists these; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listenlens.session import materialize
+from listenlens.functions.indexing import dense_index
+from listenlens.session import map_batches, shared_path
 
 #: Similarities are ranked by this many digits.
 DIGITS = 6
+#: Pairs that a task makes at a time (more only for one item that has more).
+BATCH = 4_000_000
+#: Entries of a part; blocks for each part and blocks at least.
+PART_ENTRIES, BLOCKS_PER_PART, LEAST_BLOCKS = 12_000_000, 2, 8
+
+#: Share of its lists' entries from which an item meets all of them.
+MOSTLY = 0.75
+
+_ASK, _LIST = 0, 1
 
 
-def _weights(rows: DataFrame, user: str, item: str, value: str) -> DataFrame:
-    """``(u, i, x, n)``: unit item vectors and the number of their entries."""
-    entries = (rows.where((F.col(value) > 0) & F.col(user).isNotNull() & F.col(item).isNotNull())
-               .groupBy(F.col(user).alias("u"), F.col(item).alias("i")).agg(F.sum(F.col(value).cast("double")).alias("v")))
-    norms = entries.groupBy("i").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), F.count("v").alias("n"))
-    return entries.join(norms, "i").select("u", "i", (F.col("v") / F.col("norm")).alias("x"), "n")
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder."""
+    path = shared_path(df.sparkSession, "neighbours")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def _level(x):
-    return F.greatest(F.lit(0), F.floor(-F.log2(x))).cast("int")
+def _weights(rows: DataFrame, user: str, item: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """``(u, i, x)``: unit item vectors by the items' numbers; ``(i, item)``, numbered in item order."""
+    entries = _written(rows.where((F.col(value) > 0) & F.col(user).isNotNull() & F.col(item).isNotNull())
+                       .groupBy(F.col(user).alias("u"), F.col(item).alias("item")).agg(F.sum(F.col(value).cast("double")).alias("v")))
+    norms = entries.groupBy("item").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    items = _written(dense_index(norms, ["item"], name="i"))
+    weights = entries.join(items, "item").select("u", "i", (F.col("v") / F.col("norm")).alias("x"))
+    return weights, items.select("i", "item")
 
 
 def _bounds(weights: DataFrame, k: int) -> DataFrame:
-    """``(i, t)``: a lower bound of the k-th best similarity, where there are k partners."""
+    """``(i, t)``: a lower bound of the k-th best similarity, where a list has k partners."""
     heavy = Window.partitionBy("u").orderBy(F.desc("x"), "i")
-    heads = (weights.withColumn("r", F.row_number().over(heavy)).where(F.col("r") <= k + 1)
-             .select("u", F.col("i").alias("j"), F.col("x").alias("y")))
-    least = (weights.join(heads, "u").where(F.col("i") != F.col("j"))
-             .groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("p")))
-    best = Window.partitionBy("i").orderBy(F.desc("p"), "j")
+    heads = (weights.withColumn("r", F.row_number().over(heavy)).where(F.col("r") <= k + 1).where(F.col("r") == k + 1)
+             .select("u", F.col("x").alias("y")))
     # a place below the last ranked digit, so that ties by rounding stay in
-    return (least.withColumn("r", F.row_number().over(best)).where(F.col("r") == k)
+    return (weights.join(heads, "u").groupBy("i").agg(F.max(F.col("x") * F.col("y")).alias("p"))
             .select("i", F.greatest(F.lit(0.0), F.col("p") - F.lit(2 * 10.0 ** -DIGITS)).alias("t")))
 
 
-def _candidates(weights: DataFrame, bounds: DataFrame, slack: float, block_rows: int) -> DataFrame:
-    """``(i, j)`` that the bounds do not exclude."""
-    lists = weights.select("u", F.col("i").alias("j"), F.col("x").alias("y"), _level(F.col("x")).alias("level"))
-    blocks = lists.groupBy("u", "level").agg(F.ceil(F.count("j") / F.lit(block_rows)).cast("int").alias("blocks"))
-    lists = lists.join(blocks, ["u", "level"]).select(
-        "u", "level", F.pmod(F.xxhash64("j"), F.col("blocks")).cast("int").alias("block"), "j", "y")
-    asks = weights.select("u", "i", "x").join(bounds, "i", "left").select(
-        "u", "i", "x", F.coalesce("t", F.lit(0.0)).alias("t")).withColumn("least", F.lit(slack) * F.col("t") * F.col("x"))
-    asks = (asks.join(blocks, "u").where((F.col("least") <= 0) | (F.col("level") <= _level(F.col("least"))))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    met = asks.join(lists, ["u", "level", "block"]).where((F.col("y") >= F.col("least")) & (F.col("i") != F.col("j")))
-    sums = met.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("p"), F.sum(F.col("x") * F.col("x")).alias("m"),
-                                     F.first("t").alias("t"))
-    rest = F.lit(slack) * F.col("t") * F.greatest(F.lit(0.0), 1 - F.col("m"))
-    return sums.where(F.col("p") + rest >= F.col("t") - F.lit(1e-9)).select("i", "j")
+def _dealt(weights: DataFrame, bounds: DataFrame, blocks: int, parts: int, block_rows: int) -> DataFrame:
+    """``(b, c, side, u, e)``: the items' own entries of block ``b`` and the lists' entries
+    of part ``c``, in packed rows of about ``block_rows`` entries at most."""
+    block, part = F.pmod("i", F.lit(blocks)), F.pmod(F.floor(F.col("i") / blocks), F.lit(parts))
+    placed = _written(weights.join(bounds, "i", "left").select(
+        "u", "i", "x", F.coalesce("t", F.lit(0.0)).alias("t"), block.cast("int").alias("b"), part.cast("int").alias("c")))
+    # one item alone has no partners
+    users = placed.groupBy("u").agg(F.ceil(F.count("i") / F.lit(block_rows)).alias("chunks"), F.collect_set("b").alias("bs"),
+                                    F.collect_set("c").alias("cs"), F.count("i").alias("n")).where("n > 1").drop("n")
+    sliced = placed.join(users.select("u", "chunks"), "u").withColumn("s", F.pmod(F.xxhash64("i"), F.col("chunks")))
+    asks = (sliced.groupBy("u", "b", "s").agg(F.collect_list(F.struct(F.col("i").cast("int").alias("i"), "x", "t")).alias("e"))
+            .join(users.select("u", "cs"), "u").select("b", F.explode("cs").alias("c"), F.lit(_ASK).alias("side"), "u", "e"))
+    none = F.lit(None).cast("double").alias("t")
+    lists = (sliced.groupBy("u", "c", "s").agg(F.collect_list(F.struct(F.col("i").cast("int").alias("i"), "x")).alias("e"))
+             .join(users.select("u", "bs"), "u").select(F.explode("bs").alias("b"), "c", F.lit(_LIST).alias("side"), "u", "e"))
+    flat = [F.col("e.i").alias("i"), F.col("e.x").alias("x")]
+    return asks.select("b", "c", "side", "u", *flat, F.col("e.t").alias("t")).unionByName(
+        lists.select("b", "c", "side", "u", *flat, F.array(none).alias("t")))
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places ``starts[a], starts[a] + 1, ...`` (``counts[a]`` of them) of every ``a``."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
+def _first_below(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """In every falling run ``values[lo:hi]`` the place of the first value under ``least``."""
+    lo, hi = lo.copy(), hi.copy()
+    while (open_ := lo < hi).any():
+        middle = (lo + hi) // 2
+        on = open_ & (values[np.minimum(middle, len(values) - 1)] >= least)
+        lo, hi = np.where(on, middle + 1, lo), np.where(open_ & ~on, middle, hi)
+    return lo
+
+
+def _best(i: np.ndarray, j: np.ndarray, sim: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` largest ``sim`` of every ``i``, ties to the smaller ``j``."""
+    order = np.lexsort((j, -sim, i))
+    first = np.searchsorted(i[order], i[order])
+    return order[np.arange(len(order)) - first < k]
+
+
+def _multiplied(i_at: np.ndarray, j: np.ndarray, first: np.ndarray, last: np.ndarray, user: np.ndarray, x: np.ndarray,
+                keys: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
+    """Whole sums of the pairs ``(i_at, j)``: ``keys`` are the sorted ``user * width + item`` of the lists."""
+    out = np.zeros(len(j))
+    sizes = last[i_at] - first[i_at]
+    cuts = np.searchsorted(np.cumsum(sizes), np.arange(BATCH, sizes.sum() + BATCH, BATCH), "right")
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(j)]):
+        if a < b:
+            own = np.repeat(np.arange(a, b), sizes[a:b])
+            entry = _spread(first[i_at[a:b]], sizes[a:b])
+            key = user[entry].astype(np.int64) * width + j[own]
+            place = np.searchsorted(keys, key).clip(max=len(keys) - 1)
+            hit = keys[place] == key
+            out += np.bincount(own[hit], x[entry[hit]] * y[place[hit]], len(j))
+    return out
+
+
+def _nearest(asks: tuple, lists: tuple, k: int, slack: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(i, j, sim)``: the ``k`` best partners among ``lists`` of every item of ``asks``;
+    ``asks``: user numbers, items, weights, bounds by entry; ``lists``: users, items, weights."""
+    (au, ai, ax, at), (lu, lj, ly) = asks, lists
+    order, sizes = np.lexsort((-ly, lu)), np.bincount(lu, minlength=int(au.max()) + 1)
+    lj, ly = lj[order], ly[order]
+    order = np.argsort(ai, kind="stable")
+    au, ai, ax, at = au[order], ai[order], ax[order], at[order]
+    del order, lu
+    items, first = np.unique(ai, return_index=True)
+    last = np.append(first[1:], len(ai))
+    end = np.cumsum(sizes)[au]
+    begin = end - sizes[au]
+    met = _first_below(ly, begin, end, slack * at * ax) - begin
+    # an item that would miss little meets all: cheaper than to multiply its partners out
+    whole = np.add.reduceat(met, first) >= MOSTLY * np.add.reduceat(end - begin, first)
+    met = np.where(np.repeat(whole, last - first), end - begin, met)
+    del end
+    width, by_key = int(max(lj.max(), ai.max())) + 1, None
+    work = np.add.reduceat(met, first)
+    a, so_far = 0, np.concatenate([[0], np.cumsum(work)])
+    while a < len(items):
+        b = max(a + 1, int(np.searchsorted(so_far, so_far[a] + BATCH, "right")) - 1)
+        lo, hi = first[a], last[b - 1]
+        place = _spread(begin[lo:hi], met[lo:hi])
+        entry = np.repeat(np.arange(lo, hi), met[lo:hi])
+        key = np.repeat(np.arange(b - a), work[a:b]) * width + lj[place]
+        p, m = ax[entry] * ly[place], ax[entry] ** 2
+        on = lj[place] != ai[entry]
+        key, p, m = key[on], p[on], m[on]
+        del place, entry, on
+        if len(key):
+            order = np.argsort(key)
+            key = key[order]
+            run = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key, p, m = key[run], np.add.reduceat(p[order], run), np.add.reduceat(m[order], run)
+            i, j = key // width + a, key % width
+            least = at[first[i]]
+            keep = p + slack * least * np.maximum(0.0, 1 - m) >= least - 1e-9
+            i, j, p, m = i[keep], j[keep], p[keep], m[keep]
+            part = ~whole[i]
+            if part.any():
+                # the k-th best sum of the part is a bound, too
+                best = _best(i, j, p, k)
+                counts = np.bincount(i[best] - a, minlength=b - a)
+                kth = np.full(b - a, np.inf)
+                np.minimum.at(kth, i[best] - a, p[best])
+                bound = np.where(counts >= k, kth - 2 * 10.0 ** -DIGITS, 0.0)[i - a]
+                keep = ~part | (p + slack * at[first[i]] * np.maximum(0.0, 1 - m) >= bound - 1e-9)
+                i, j, p = i[keep], j[keep], p[keep]
+                part = ~whole[i]
+                if by_key is None:
+                    keys = np.repeat(np.arange(len(sizes)), sizes) * width + lj
+                    sort = np.argsort(keys)
+                    by_key = keys[sort], ly[sort]
+                    del keys, sort
+                p[part] = _multiplied(i[part], j[part], first, last, au, ax, *by_key, width)
+            sim = np.floor(p * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
+            best = _best(i, j, sim, k)
+            yield items[i[best]], j[best], sim[best]
+        a = b
+
+
+def _ranked(dealt: DataFrame, tasks: int, parts: int, k: int, slack: float) -> DataFrame:
+    """``(i, j, sim)``: the ``k`` best of every part for every item."""
+    names = ["i", "j", "sim"]
+
+    def result(held: dict) -> Iterator[pa.RecordBatch]:
+        if not held[_ASK] or not held[_LIST]:
+            return
+        users = pa.chunked_array([r["u"] for s in (_ASK, _LIST) for r in held[s]]).combine_chunks().dictionary_encode()
+        number, sides = users.indices.to_numpy(), []
+        for side in (_ASK, _LIST):
+            size = np.concatenate([r["n"] for r in held[side]])
+            own, number = number[:len(size)], number[len(size):]
+            columns = [np.concatenate([r[c] for r in held[side]]) for c in ("i", "x", "t")[:3 - side]]
+            held[side].clear()
+            sides.append((np.repeat(own, size), *columns))
+        for found in _nearest(*sides, k, slack):
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2])], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {_ASK: [], _LIST: []}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch[c].to_numpy(zero_copy_only=False) for c in ("task", "side")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if keys[0, a] != at:
+                    yield from result(held)
+                    at, held = keys[0, a], {_ASK: [], _LIST: []}
+                rows = batch.slice(a, b - a)
+                row = {c: rows[c].flatten().to_numpy(zero_copy_only=False) for c in "ixt"}
+                held[int(keys[1, a])].append(row | {"u": rows["u"], "n": rows["i"].value_lengths().to_numpy()})
+        yield from result(held)
+
+    # a task's number is its partition
+    placed = dealt.withColumn("task", F.col("b") * parts + F.col("c")).drop("b", "c").repartitionById(tasks, F.col("task"))
+    return map_batches(placed.sortWithinPartitions("task", "side"), run, "i long, j long, sim double")
 
 
 def item_neighbours(rows: DataFrame, k: int = 10, user: str = "user_id", item: str = "song_id", value: str = "play_count",
-                    slack: float = 0.25, block_rows: int = 4096) -> DataFrame:
+                    slack: float = 0.25, block_rows: int = 4096, part_entries: int = PART_ENTRIES) -> DataFrame:
     """``(item_i, item_j, sim, rank)``: the ``k`` best partners of every item, by
     similarity (rounded to 6 digits) and then by item."""
-    weights = materialize(_weights(rows, user, item, value))
-    bounds = _bounds(weights, k)
-    pairs = materialize(_candidates(weights, bounds, slack, block_rows))
-    sizes = weights.select("i", "n").distinct()
-    sized = pairs.join(sizes, "i").join(sizes.select(F.col("i").alias("j"), F.col("n").alias("nj")), "j")
-    swap = F.col("nj") < F.col("n")
-    sides = sized.select("i", "j", F.when(swap, F.col("j")).otherwise(F.col("i")).alias("short"),
-                         F.when(swap, F.col("i")).otherwise(F.col("j")).alias("long"))
-    few = weights.select(F.col("i").alias("short"), "u", "x")
-    many = weights.select(F.col("i").alias("long"), "u", F.col("x").alias("y"))
-    sims = (sides.join(few, "short").join(many, ["long", "u"]).groupBy("i", "j")
-            .agg(F.round(F.sum(F.col("x") * F.col("y")), DIGITS).alias("sim")))
+    weights, items = _weights(rows, user, item, value)
+    parts = max(1, -(-weights.count() // part_entries))
+    blocks = max(LEAST_BLOCKS, BLOCKS_PER_PART * parts)
+    dealt = _dealt(weights, _bounds(weights, k), blocks, parts, block_rows)
     best = Window.partitionBy("i").orderBy(F.desc("sim"), "j")
-    return (sims.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select(F.col("i").alias("item_i"), F.col("j").alias("item_j"), "sim", "rank"))
+    top = (_ranked(dealt, blocks * parts, parts, k, slack).withColumn("rank", F.row_number().over(best))
+           .where(F.col("rank") <= k))
+    return (top.join(items.select("i", F.col("item").alias("item_i")), "i")
+            .join(items.select(F.col("i").alias("j"), F.col("item").alias("item_j")), "j")
+            .select("item_i", "item_j", "sim", "rank"))

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from listenlens.operators import neighbours
 from listenlens.operators.neighbours import item_neighbours
 
 
@@ -51,3 +52,39 @@ def test_neighbours_equal_brute_force(spark, case, k):
 def test_empty(spark):
     df = spark.createDataFrame([], "user_id string, song_id string, play_count long")
     assert item_neighbours(df).count() == 0
+
+
+@pytest.mark.parametrize("case", ["hot user", "ties", "skewed weights"])
+def test_neighbours_over_parts_and_batches(spark, case, monkeypatch):
+    # several parts to merge, packed rows cut in slices, batches of few pairs
+    rows = plays(case)
+    monkeypatch.setattr(neighbours, "BATCH", 50)
+    df = spark.createDataFrame(rows, "user_id string, song_id string, play_count long")
+    got = {tuple(r) for r in item_neighbours(df, 4, block_rows=16, part_entries=60).collect()}
+    assert got == brute(rows, 4)
+
+
+@pytest.mark.parametrize("mostly", [0.0, 2.0])
+def test_items_that_miss_entries_are_multiplied_out(mostly, monkeypatch):
+    # 2.0: no item is taken as whole, every pair is looked up
+    monkeypatch.setattr(neighbours, "MOSTLY", mostly)
+    monkeypatch.setattr(neighbours, "BATCH", 70)
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((30, 12)) < 0.5, 10.0 ** rng.uniform(-3, 0, (30, 12)), 0)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sim = x @ x.T
+    np.fill_diagonal(sim, 0)
+    i, u = np.nonzero(x)
+    least = np.maximum(np.sort(sim, axis=1)[:, -3] - 2e-6, 0)
+    found = list(neighbours._nearest((u, i, x[i, u], least[i]), (u, i, x[i, u]), 3, 0.25))
+    got = {(a, b): s for f in found for a, b, s in zip(*(c.tolist() for c in f))}
+    want = {(a, b): sim[a, b] for a in range(30) for b in np.lexsort((np.arange(30), -np.round(sim[a], 6)))[:3].tolist() if sim[a, b] > 0}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-6 for p in got)
+
+
+def test_no_row_per_pair_is_shuffled(spark):
+    # 60 items of one list have 3,540 pairs; packed, they are a few rows
+    rows = [("u", f"s{i:02}", i + 1) for i in range(60)] + [("v", f"s{i:02}", 9) for i in range(40)]
+    weights, _ = neighbours._weights(spark.createDataFrame(rows, "user_id string, song_id string, play_count long"), "user_id", "song_id", "play_count")
+    dealt = neighbours._dealt(weights, neighbours._bounds(weights, 3), blocks=4, parts=2, block_rows=4096)
+    assert dealt.count() == 2 * 4 * 2 + 2 * 2 * 4  # users x blocks x parts of asks, and of lists
