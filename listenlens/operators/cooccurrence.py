@@ -1,8 +1,10 @@
 """Word vectors made in Spark (S11): windowed co-occurrence counts, positive pointwise
 mutual information, and the singular vectors of the weights.
 
-Every stage is a table: nothing of the vocabulary passes the driver.  A pair's count is
-combined map-side under its ordered words, so a frequent word is never one group.
+Every stage is a table: nothing of the vocabulary passes the driver but a bitmap of
+bounded size.  A task counts the pairs of many texts at once, by numbers of their words,
+and sends a pair's count under its ordered words, so a frequent word is never one group.
+Words that the bitmap shows to be too rare make no pairs; the rest are checked exactly.
 
 Defined results: null texts and empty lists add nothing; a word beside itself is no pair;
 words with fewer than ``min_count`` occurrences keep their places in the window but have
@@ -11,11 +13,22 @@ no pairs; an empty table gives empty results.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlens.operators import factors
-from listenlens.session import materialize, shared_path
+from listenlens.session import map_batches, materialize, shared_path
+
+#: Words whose pairs a task counts at a time (more only for one batch that has more).
+WORDS_AT_ONCE = 2_000_000
+#: Bits of the bitmap of kept words, and of one row of it (Spark's).
+BITS, ROW_BITS = 1 << 22, 8 * 4096
 
 
 def _ways(a: str, b: str) -> Column:
@@ -29,18 +42,67 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _bitmap(kept: DataFrame) -> np.ndarray:
+    """Flags of the kept words' hashes: at most ``BITS`` of them, whatever the vocabulary."""
+    at = F.pmod(F.crc32(F.col("a").cast("binary")), F.lit(BITS)) + 1  # Spark numbers bits and rows from 1
+    rows = (kept.select(at.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("row"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")).collect())
+    flags = np.zeros(BITS, bool)
+    for r in rows:
+        flags[(r["row"] - 1) * ROW_BITS:r["row"] * ROW_BITS] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+    return flags
+
+
+def _count_pairs(texts: list[pa.Array], window: int, flags: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    lists = pa.chunked_array(texts).combine_chunks()
+    text = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    coded = lists.flatten().dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    words = coded.dictionary.take(pa.array(order))
+    number = np.empty(len(order) + 1, np.int64)
+    number[order] = np.arange(len(order))
+    number[-1] = -1  # null words, and words too rare
+    if flags is not None and len(order):
+        at = np.fromiter((zlib.crc32(w.encode()) % BITS for w in coded.dictionary.to_pylist()), np.int64, len(order))
+        number[:-1][~flags[at]] = -1
+    code = number[pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)]
+    width, keys = max(1, len(order)), []
+    for apart in range(1, window + 1):
+        a, b = code[:-apart], code[apart:]
+        on = (text[:-apart] == text[apart:]) & (a >= 0) & (b >= 0) & (a != b)
+        a, b = a[on], b[on]
+        keys.append(np.minimum(a, b) * width + np.maximum(a, b))
+    pairs, n = np.unique(np.concatenate(keys), return_counts=True)
+    for lo in range(0, len(pairs), WORDS_AT_ONCE):
+        part = pairs[lo:lo + WORDS_AT_ONCE]
+        yield pa.RecordBatch.from_arrays([words.take(pa.array(part // width)), words.take(pa.array(part % width)),
+                                          pa.array(n[lo:lo + WORDS_AT_ONCE], pa.int64())], names=["a", "b", "n"])
+
+
+def _counter(window: int, flags: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch.column(0))
+            size += len(batch.column(0).flatten())
+            if size >= WORDS_AT_ONCE:
+                yield from _count_pairs(held, window, flags)
+                held, size = [], 0
+        if size:
+            yield from _count_pairs(held, window, flags)
+
+    return run
+
+
 def pair_counts(sentences: DataFrame, column: str = "words", window: int = 5, min_count: int = 1) -> DataFrame:
     """``(word, other, n)``, both directions: how often two words are at most ``window`` apart."""
     words = sentences.select(F.col(column).alias("w"))
-    apart = words.select("w", F.explode(F.sequence(F.lit(1), F.lit(window))).alias("o")).where(F.size("w") > F.col("o"))
-    two = apart.select(F.explode(F.arrays_zip(
-        F.slice("w", F.lit(1), F.size("w") - F.col("o")).alias("a"),
-        F.slice("w", F.col("o") + 1, F.size("w") - F.col("o")).alias("b"))).alias("p"))
-    half = (two.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).where(F.col("a") != F.col("b"))
-            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
     if min_count > 1:
-        kept = (words.select(F.explode("w").alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("c"))
-                .where(F.col("c") >= min_count).select("a"))
+        kept = _written(words.select(F.explode("w").alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("c"))
+                        .where((F.col("c") >= min_count) & F.col("a").isNotNull()).select("a"))
+    counted = map_batches(words, _counter(window, _bitmap(kept) if min_count > 1 else None), "a string, b string, n long")
+    half = counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    if min_count > 1:  # the bitmap lets some rare words through
         half = half.join(kept, "a", "left_semi").join(kept.withColumnRenamed("a", "b"), "b", "left_semi")
     # one row becomes its two directions: the counts are made once
     return half.select(F.explode(_ways("a", "b")).alias("p"), "n").select("p.word", "p.other", "n")

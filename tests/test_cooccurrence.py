@@ -75,3 +75,19 @@ def test_pairs_are_kept_in_one_direction(spark, monkeypatch):
     found = {(r["word"], r["other"]): r["weight"] for r in weights.collect()}
     assert found and all(found[b, a] == w for (a, b), w in found.items())
     assert weights.where("weight <= 0").count() == 0
+
+
+def test_rare_words_make_no_pairs_and_batches_add_up(spark, monkeypatch):
+    # pairs of words under min_count are not even sent; texts over several batches and tasks
+    monkeypatch.setattr(cooccurrence, "WORDS_AT_ONCE", 50)
+    rng = random.Random(9)
+    rows = [[f"rare{n}", "ä", None, rng.choice(["sun", "Sea", "é"]), f"odd{n}", rng.choice(["sun", "ä"])] for n in range(300)]
+    df = spark.createDataFrame([(r,) for r in rows], "words array<string>").repartition(3)
+    kept = spark.createDataFrame([(w,) for w in ("sun", "Sea", "ä", "é")], "a string")
+    flags = cooccurrence._bitmap(kept)
+    assert 1 <= flags.sum() <= 4
+    sent = [b for r in rows for b in cooccurrence._count_pairs([cooccurrence.pa.array([r])], 4, flags)]
+    assert sum(b.num_rows for b in sent) < 2_000  # 300 x 10 with the rare words
+    got = {(r["word"], r["other"]): r["n"] for r in cooccurrence.pair_counts(df, window=4, min_count=20).collect()}
+    want = brute([[x or f"none{n}" for x in r] for n, r in enumerate(rows)], 4, 20)
+    assert got == dict(want)
