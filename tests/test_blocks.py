@@ -78,3 +78,34 @@ def test_content_recommend_matches_brute_force(spark, n_tracks):
         best = sorted(scored, key=lambda x: (-x[0], x[1], x[2]))[:10]
         mine = [(t, g) for _, t, g, _ in sorted(got[u])]
         assert mine == [(t, g) for _, t, g in best], u
+
+
+@pytest.mark.parametrize("most_sent", [content.MOST_SENT, 0])
+def test_content_recommend_writes_no_row_per_pair(spark, monkeypatch, most_sent):
+    # every user has 8 artists of 6 genres each, all pairs hold k songs
+    written = []
+
+    def keep(df):
+        out = df.localCheckpoint()
+        written.append(out.selectExpr("sum(size(pairs))").first()[0] if "pairs" in out.columns else out.count())
+        return out
+    monkeypatch.setattr(content, "materialize", keep)
+    monkeypatch.setattr(content, "MOST_SENT", most_sent)
+    cat = [(f"t{i:03d}", f"g{i % 6}", f"a{i // 6 % 8}") for i in range(480)]
+    rng = np.random.default_rng(5)
+    prof = [(f"u{u:02d}", t, a, 10, g) for u in range(40) for i in range(8)
+            for (t, g, a) in [cat[48 * int(rng.integers(0, 10)) + 6 * i + int(rng.integers(0, 6))]]]
+    prof += [(f"u{u:02d}", "x", f"a{u % 8}", 10, f"g{u % 6}") for u in range(40)]
+    cdf = spark.createDataFrame(cat, "track_id string, genre string, artist string")
+    pdf = spark.createDataFrame(prof, "user_id string, track_id string, artist string, play_count int, genre string")
+    got = {}
+    for r in content.recommend(pdf, cdf, 10).collect():
+        got.setdefault(r.user_id, []).append((r.rank, r.track_id, r.score))
+    assert max(written) <= len(cat) < 40 * 8 * 6  # a row per user, artist and genre before
+    for u in {p[0] for p in prof}:
+        cnt = {}
+        for _, _, a, _, g in [p for p in prof if p[0] == u]:
+            cnt[a], cnt[g] = cnt.get(a, 0) + 1, cnt.get(g, 0) + 1
+        norm = np.sqrt(sum(c * c for c in cnt.values()))
+        scored = sorted((-round((cnt.get(a, 0) + cnt.get(g, 0)) / norm / np.sqrt(2), 6), t) for t, g, a in cat)
+        assert [(t, s) for _, t, s in sorted(got[u])] == [(t, -s) for s, t in scored[:10]], u
