@@ -4,7 +4,8 @@
 A track belongs to a theme when ``theme words / all words > threshold`` and
 ``theme words >= min_words``; all words include stop words, theme words
 never are stop words.  Scoring is a join of the postings with the theme-word
-table plus map-side combined word counts, so hot words do not skew it.
+table, sent to the postings' tasks, plus map-side combined word counts, so hot
+words do not skew it.
 """
 
 from __future__ import annotations
@@ -68,13 +69,14 @@ def theme_scores(postings: DataFrame, theme_words: DataFrame, key: str = "word_i
     Counts are summed per (track, set of themes of the word), combined on the map
     side, so a track leaves its task as a few sums: no posting is copied per theme.
     A track's sums then give its total and, unfolded, its theme scores.  One plan
-    for any number of themes and words; the join with the word table is Spark's
-    choice by its size.  Only tracks with a theme word and a positive total get a
-    row.
+    for any number of themes and words.  The word table is sent to every task: it is
+    bounded by the lexicon, and dealing postings by word would sort all those of a
+    word that every lyric holds in one task.  Only tracks with a theme word and a
+    positive total get a row.
     """
     word_themes = theme_words.select("theme", key).distinct().groupBy(key).agg(
         F.array_sort(F.collect_set("theme")).alias("_themes"))
-    sums = postings.join(word_themes, key, "left").groupBy("track_id", "_themes").agg(F.sum("count").alias("_s"))
+    sums = postings.join(F.broadcast(word_themes), key, "left").groupBy("track_id", "_themes").agg(F.sum("count").alias("_s"))
     per_track = sums.groupBy("track_id").agg(
         F.sum("_s").alias("total_words"),
         F.collect_list(F.when(F.col("_themes").isNotNull(), F.struct("_themes", "_s"))).alias("_t"))

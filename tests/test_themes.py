@@ -76,3 +76,18 @@ def test_theme_scores_overlapping_words_brute_force(spark):
             if score > 0:
                 expect[(t, th)] = (score, total)
     assert got == expect
+
+
+def test_postings_are_not_dealt_by_word(spark):
+    # nothing is known of the lexicon's size, as after an expansion, and small tables are not sent by Spark
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        post = spark.range(3000).selectExpr("cast(id % 300 as string) AS track_id", "if(id % 3 = 0, 'love', 'the') AS word", "1 AS count")
+        scores = themes.theme_scores(post, themes.lexicon_df(spark, {"love": ["love", "heart"]}), key="word")
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+        got = scores.select("theme_score", "total_words").distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [tuple(r) for r in got] == [(10, 10)]
