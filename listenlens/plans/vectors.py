@@ -118,8 +118,8 @@ def theme_word_expansion(spark, d):
 WINDOW, MIN_COUNT = 4, 20
 
 
-def _pairs(spark, d):
-    return cooccurrence.pair_counts(star.word_lists(spark, d), window=WINDOW, min_count=MIN_COUNT)
+def _pairs(spark, d, packed=False):
+    return cooccurrence.pair_counts(star.word_lists(spark, d), window=WINDOW, min_count=MIN_COUNT, packed=packed)
 
 
 PAIRS = {

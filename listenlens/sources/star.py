@@ -19,12 +19,17 @@ the whole input tables, so the work grows with them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listenlens.functions.indexing import dense_index
 from listenlens.operators.skew import split_join
-from listenlens.session import materialize
+from listenlens.session import map_batches, materialize
 
 # Fixed values of the adapter (they must equal the oracle's):
 # theme lexicon over function words of the test prose, and the stop words.
@@ -183,13 +188,36 @@ def lyrics_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return body.unionByName(bags.select(F.concat(F.lit("# "), F.col("track_id")).alias("value")))
 
 
+def _cut(texts: pa.Array, stop_words: pa.Array) -> pa.Array:
+    """The runs of a-z of every text but the stop words, found in the texts' bytes."""
+    texts = pa.concat_arrays([texts.cast(pa.string())])
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends -= ends[0]
+    letter = data - np.uint8(97) < 26  # other bytes wrap to larger ones
+    before, after = np.zeros((2, len(letter) + 1), bool)  # a letter of the same text
+    before[1:], after[:-2] = letter, letter[1:]
+    before[ends[:-1]] = False
+    after[ends[1:][ends[1:] > 0] - 1] = False
+    begin = np.flatnonzero(letter & ~before[:-1])
+    lens = np.flatnonzero(letter & ~after[:-1]) + 1 - begin
+    places = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(lens), pa.py_buffer(places), pa.py_buffer(data[letter]))
+    keep = pc.invert(pc.is_in(words, value_set=stop_words))
+    kept = np.concatenate([[0], np.cumsum(keep.to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(pa.array(kept[np.searchsorted(begin, ends)].astype(np.int32)), words.filter(keep))
+
+
 def word_lists(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS) -> DataFrame:
     """``(track_id, words)``: each document's tokens without stop words."""
-    words = F.array_except(F.array(F.lit("")), F.array(F.lit("")))  # empty, of strings
-    split = F.coalesce(F.split(F.lower("text"), TOKEN_SPLIT), words)
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("track_id"),
-        F.filter(split, lambda w: (w != "") & ~w.isin(list(stop_words))).alias("words"))
+    stops = pa.array(list(stop_words), pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["track_id"], _cut(batch["text"], stops)], names=["track_id", "words"])
+
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("track_id"), F.lower("text").alias("text"))
+    return map_batches(texts, run, "track_id string, words array<string>")
 
 
 def word_frequency_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
