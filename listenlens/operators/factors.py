@@ -15,7 +15,7 @@ block product and drop heard items there.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,25 +121,37 @@ def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, ro
     """
     rows = train.where(F.col(P) != 0).select(U, S, F.col(P).cast("double").alias("_x"))
     rows = materialize(rows)
+    return singular_vectors(rows.select(S).distinct(), S, lambda v, width: _weighted_sum(rows, v, S, U, width),
+                            lambda v, width: _weighted_sum(rows, v, U, S, width), k, oversample, rounds, tolerance)
+
+
+Product = Callable[[DataFrame, int], DataFrame]
+
+
+def singular_vectors(start: DataFrame, seed: str, forth: Product, back: Product, k: int, oversample: int | None = None,
+                     rounds: int = 12, tolerance: float = 1e-5) -> tuple[DataFrame, DataFrame, list[float]]:
+    """``svd_vectors`` of a matrix that is known by its products: ``forth`` gives ``X V`` by user for
+    vectors ``(song_id, v)`` of a width, ``back`` gives ``XᵀV`` by item for vectors by user.  ``start``:
+    the items, and the column ``seed`` that their random vectors hash."""
     width = k + (oversample if oversample is not None else 2 * k)
-    draws = F.array(*(F.xxhash64(F.col(S), F.lit(j)) / F.lit(float(1 << 63)) for j in range(width)))
-    block = rows.select(S).distinct().select(S, draws.alias("v"))
+    draws = F.array(*(F.xxhash64(F.col(seed), F.lit(j)) / F.lit(float(1 << 63)) for j in range(width)))
+    block = start.select(S, draws.alias("v"))
     error = np.inf
     for _ in range(rounds):
-        image = _weighted_sum(rows, _weighted_sum(rows, block, S, U, width), U, S, width)
+        image = back(forth(block, width), width)
         image, found = _orthonormal(image, S, width)
         if not found:
-            return _weighted_sum(rows, block, S, U, width).limit(0), image, []
+            return forth(block, width).limit(0), image, []
         # a narrower image is the whole row space
         whole = found < width
         basis, found = (image, found) if whole else _orthonormal(_beside(block, image, S), S, width + found)
         basis = materialize(basis)
-        users = materialize(_weighted_sum(rows, basis, S, U, found))
+        users = materialize(forth(basis, found))
         _, values, turn = np.linalg.svd(_triangle(users, found), full_matrices=False)
         turn, values = turn.T[:, :width], values[:width]
         items, users = materialize(_rotated(basis, S, turn)), materialize(_rotated(users, U, turn))
         kept = min(k, len(values))
-        error = 0.0 if whole else _residual(rows, users, items, values, kept)
+        error = 0.0 if whole else _residual(back, users, items, values, kept)
         if error <= tolerance:
             break
         block, width = items, len(values)
@@ -151,9 +163,9 @@ def svd_vectors(train: DataFrame, k: int = 20, oversample: int | None = None, ro
     return users.select(U, first), items.select(S, first), values[:kept].tolist()
 
 
-def _residual(rows: DataFrame, users: DataFrame, items: DataFrame, values: np.ndarray, k: int) -> float:
+def _residual(back: Product, users: DataFrame, items: DataFrame, values: np.ndarray, k: int) -> float:
     """The largest |XᵀXv - s²v| / s₁² of the first ``k`` vectors."""
-    image = _weighted_sum(rows, users.select(U, F.slice("v", 1, k).alias("v")), U, S, k)
+    image = back(users.select(U, F.slice("v", 1, k).alias("v")), k)
     both = items.join(image.withColumnRenamed("v", "_v"), S)
     squares = [F.sum(F.pow(F.col("_v")[j] - float(values[j]) ** 2 * F.col("v")[j], 2.0)).alias(f"e{j}") for j in range(k)]
     return float(np.sqrt(max(both.agg(*squares).first()))) / float(values[0]) ** 2

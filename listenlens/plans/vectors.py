@@ -153,7 +153,7 @@ def word_pairs(spark, d):
 @register("word_information", ids="S11", sql=with_ctes(
     [], "SELECT word, other, n, round(weight, 6) AS weight FROM weighted WHERE weight > 0", PAIRS))
 def word_information(spark, d):
-    return cooccurrence.information(_pairs(spark, d)).withColumn("weight", F.round("weight", 6))
+    return cooccurrence.information(_pairs(spark, d, packed=True)).withColumn("weight", F.round("weight", 6))
 
 
 @register("trained_similar_words", ids="S11 V2")

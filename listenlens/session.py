@@ -7,6 +7,7 @@ use ``df.sparkSession``.  ``get_spark`` is for scripts, tests and the bench.
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import shutil
@@ -107,6 +108,16 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and written tables that no plan refers to any more;
+    it does so when the driver's JVM collects its garbage, which a long loop may not make it do."""
+    gc.collect()
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # a remote (Connect) session: the server cleans up
+        return
+
+
 def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings to size a session for a given input volume.
 
