@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlens.operators import factors
-from listenlens.session import map_batches, materialize, shared_path
+from listenlens.session import map_batches, materialize, release, shared_path
 
 #: Words whose pairs a task counts at a time (more only for one batch that has more).
 WORDS_AT_ONCE = 2_000_000
@@ -437,7 +437,7 @@ def _weighed_rows(total: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def information(counts: DataFrame | Squares, packed: bool = False) -> DataFrame | Squares:
     """``(word, other, n, weight)`` with ``weight = ln(n * total / (n(word) * n(other)))``
     where that is positive.  ``counts``: both directions of every pair, as ``pair_counts``
-    gives them, or packed.  ``packed``: as squares."""
+    gives them, or packed.  ``packed``: as squares, for ``word_vectors``."""
     if isinstance(counts, DataFrame):
         # a pair's directions have the same count and weight: one is written and packed
         half = _written(counts.where(F.col("word") < F.col("other")).select("word", "other", F.col("n").cast("long").alias("n")))
@@ -451,12 +451,147 @@ def information(counts: DataFrame | Squares, packed: bool = False) -> DataFrame
                        "word string, other string, n long, weight double")
 
 
-def word_vectors(weights: DataFrame, size: int = 32, tolerance: float = 1e-3) -> DataFrame:
+def _product(squares: Squares, sides: int, vectors: DataFrame, width: int) -> DataFrame:
+    """``(id, v)``: the weights times the vectors ``(id, v)``, for the words that have a weight.  Squares join
+    to ``sides`` x ``sides`` of them, triangle only: a task makes both directions of its pairs."""
+    fine, total = squares.sides, squares.total
+    kinds = {"kind": "int", "r": "int", "id": "long", "v": "array<double>", "keys": "binary", "n": "binary"}
+
+    def full(df: DataFrame, kind: int) -> DataFrame:
+        df = df.withColumn("kind", F.lit(kind))
+        return df.select("t", *(F.col(c) if c in df.columns else F.lit(None).cast(k).alias(c) for c, k in kinds.items()))
+
+    def copied(df: DataFrame, side: Column) -> DataFrame:
+        return df.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(sides - 1)))).withColumn("t", _square_of(side.cast("int"), F.col("o")))
+
+    corners = squares.pairs.withColumn("q", F.floor((F.sqrt(8 * F.col("t") + 1.0) - 1) / 2).cast("int")).withColumn(
+        "p", F.col("t") - F.shiftright(F.col("q") * (F.col("q") + 1), 1))
+    blocks = corners.withColumn("r", F.col("t")).withColumn("t", _square_of(F.col("p") % sides, F.col("q") % sides))
+    sums = copied(squares.words.select("r", F.col("sums").alias("n")), F.col("r") % sides)
+    dealt = full(sums, 0).unionByName(full(blocks, 1)).unionByName(full(copied(vectors, F.col("id") % sides), 2))
+
+    def multiplied(t: int, sums: dict, blocks: list, vectors: list) -> Iterator[pa.RecordBatch]:
+        ends = _corner(t)
+        ids = np.concatenate([x[0] for x in vectors]) if vectors else np.empty(0, np.int64)
+        values = np.concatenate([x[1] for x in vectors]) if vectors else np.empty((0, width))
+        vectors.clear()
+        height = int(ids.max(initial=0)) // sides + 1
+        small = np.uint16 if height <= 1 << 16 else np.int32  # 16 bits are sorted by radix
+        own = []
+        for r in dict.fromkeys(ends):
+            dense = np.zeros((height, width))
+            dense[ids[ids % sides == r] // sides] = values[ids % sides == r]
+            own.append(dense)
+        del ids, values
+        rows, columns, weights = [], [], []
+        for square, keys, n in blocks:
+            p, q = _corner(square)
+            a, b, _, x = _weights(np.cumsum(_unpacked(keys, np.int64)), _unpacked(n, np.int64), len(sums[q]), [sums[p], sums[q]], total)
+            a, b = ((at * fine + r) // sides for at, r in ((a, p), (b, q)))
+            if p % sides != ends[0]:
+                a, b = b, a
+            on = (a < height) & (b < height)  # no vector, no product
+            rows.append(a[on].astype(small))
+            columns.append(b[on].astype(small))
+            weights.append(x[on])
+        blocks.clear()
+        rows = np.concatenate(rows)  # one after the other, so that each is there twice for a moment only
+        columns = np.concatenate(columns)
+        weights = np.concatenate(weights)
+        out, seen = [np.zeros((height, width)) for _ in own], [np.zeros(height, bool) for _ in own]
+        for side, (at, to) in enumerate(((rows, columns), (columns, rows))):
+            order = np.argsort(at, kind="stable")
+            at, to, x = at[order], to[order], weights[order]
+            del order
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), bool), at[1:] != at[:-1]]))
+            sums_to, source = out[side % len(out)], own[(1 - side) % len(own)]
+            for i, lo, hi in zip(at[first].tolist(), first.tolist(), [*first[1:].tolist(), len(at)]):
+                sums_to[i] += x[lo:hi] @ source.take(to[lo:hi], axis=0)
+            seen[side % len(seen)][at[first]] = True
+        for r, dense, has in zip(dict.fromkeys(ends), out, seen):
+            places = np.flatnonzero(has)
+            for lo in range(0, len(places), 4096):
+                part = places[lo:lo + 4096]
+                yield pa.RecordBatch.from_arrays([pa.array(part * sides + r), _lists(dense[part])], names=["id", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[dict, list, list]] = {}
+        for batch in batches:
+            ts, kinds = (batch[c].to_numpy() for c in ("t", "kind"))
+            for t in np.unique(ts).tolist():
+                sums, blocks, vectors = held.setdefault(t, ({}, [], []))
+                for at in np.flatnonzero((ts == t) & (kinds == 0)).tolist():
+                    sums[batch["r"][at].as_py()] = _unpacked(batch["n"][at].as_py(), np.int64)
+                for at in np.flatnonzero((ts == t) & (kinds == 1)).tolist():
+                    blocks.append(tuple(batch[c][at].as_py() for c in ("r", "keys", "n")))
+                if len(at := np.flatnonzero((ts == t) & (kinds == 2))):
+                    some = batch.take(pa.array(at))
+                    vectors.append((some["id"].to_numpy(), some["v"].flatten().to_numpy().reshape(-1, width)))
+        for t in sorted(held):
+            if held[t][1]:
+                yield from multiplied(t, *held.pop(t))
+
+    parts = map_batches(dealt.repartitionById(_tasks(sides), F.col("t")), run, "id long, v array<double>")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b["id"].to_numpy(), b["v"].flatten().to_numpy().reshape(-1, width)) for b in batches if b.num_rows]
+        if held:
+            ids, values = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(ids, kind="stable")
+            ids = ids[order]
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            ids, values = ids[first], np.add.reduceat(values[order], first, axis=0)
+            for lo in range(0, len(ids), 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:lo + 4096]), _lists(values[lo:lo + 4096])], names=["id", "v"])
+
+    return map_batches(parts.repartition(F.col("id")), add, "id long, v array<double>")
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    n, width = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(np.ascontiguousarray(values).reshape(-1)))
+
+
+def _left_vectors(squares: Squares, size: int, tolerance: float) -> tuple[DataFrame, list[float]]:
+    """``(word, v)``, the left singular vectors times their values, and the values."""
+    fine, sides = squares.sides, LEAST_SIDES
+    while sides < fine and (squares.kept[0] > sides * WORDS_PER_SIDE or 2 * squares.kept[1] > sides ** 2 * PAIRS_PER_PRODUCT):
+        sides *= 2
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = _unpacked_words(row["lens"], row["data"])
+                for lo in range(0, len(words), ROWS_OUT):
+                    part = words[lo:lo + ROWS_OUT]
+                    yield pa.RecordBatch.from_arrays([pa.array((np.arange(len(part)) + lo) * fine + row["r"]), part], names=["id", "word"])
+
+    def times(key: str, out: str) -> Callable[[DataFrame, int], DataFrame]:
+        def product(vectors: DataFrame, width: int) -> DataFrame:
+            release(vectors.sparkSession)  # what earlier products shuffled
+            return materialize(_product(squares, sides, vectors.select(F.col(key).alias("id"), "v"), width)).withColumnRenamed("id", out)
+
+        return product
+
+    words = map_batches(squares.words.select("r", "lens", "data"), unfold, "id long, word string")
+    seen = _product(squares, sides, words.select("id", F.array(F.lit(1.0)).alias("v")), 1).select("id")
+    words = materialize(words.join(seen, "id"))
+    start = words.select(F.col("id").alias(factors.S), "word")
+    left, _, values = factors.singular_vectors(start, "word", times(factors.S, factors.U), times(factors.U, factors.S), size, tolerance=tolerance)
+    return left.join(words.withColumnRenamed("id", factors.U), factors.U).select("word", "v"), values
+
+
+def word_vectors(weights: DataFrame | Squares, size: int = 32, tolerance: float = 1e-3) -> DataFrame:
     """``(word, vector array<double>)``: left singular vectors times the roots of the
-    singular values; ``tolerance`` as in ``factors.svd_vectors``."""
-    entries = weights.select(F.col("word").alias(factors.U), F.col("other").alias(factors.S), F.col("weight").alias(factors.P))
-    left, _, values = factors.svd_vectors(entries, size, tolerance=tolerance)
+    singular values; ``tolerance`` as in ``factors.svd_vectors``.  ``weights``: as
+    ``information`` gives them, packed or not."""
+    if isinstance(weights, DataFrame):
+        entries = weights.select(F.col("word").alias(factors.U), F.col("other").alias(factors.S), F.col("weight").alias(factors.P))
+        left, _, values = factors.svd_vectors(entries, size, tolerance=tolerance)
+        left = left.withColumnRenamed(factors.U, "word")
+    else:
+        left, values = _left_vectors(weights, size, tolerance)
     if not values:
-        return left.select(F.col(factors.U).alias("word"), F.col("v").alias("vector"))
+        return left.select("word", F.col("v").alias("vector"))
     roots = F.array(*(F.lit(float(v) ** 0.5) for v in values))
-    return left.select(F.col(factors.U).alias("word"), F.zip_with("v", roots, lambda x, r: x / r).alias("vector"))
+    return left.select("word", F.zip_with("v", roots, lambda x, r: x / r).alias("vector"))

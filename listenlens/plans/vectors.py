@@ -159,5 +159,5 @@ def word_information(spark, d):
 @register("trained_similar_words", ids="S11 V2")
 def trained_similar_words(spark, d):
     # vectors trained here, neighbours of the lexicon's words
-    table = materialize(cooccurrence.word_vectors(cooccurrence.information(_pairs(spark, d)), 16))
+    table = materialize(cooccurrence.word_vectors(cooccurrence.information(_pairs(spark, d, packed=True), packed=True), 16))
     return vectors.similar_words(table, star.theme_lexicon(spark), 10)
