@@ -133,7 +133,7 @@ def _chi_square(parts, lists):
     JOIN (SELECT theme, count(*) / sum(count(*)) OVER () AS p FROM strat WHERE split = 'train' GROUP BY theme) USING (theme)
     GROUP BY word ORDER BY chi2 DESC, word LIMIT {CHI_WORDS}""", LAB))
 def chi_square_words(spark, d):
-    return _chi_square(split(spark, d), star.word_lists(spark, d))
+    return _chi_square(split(spark, d), star.word_lists(spark, d, ids=labelled(spark, d)))
 
 
 @register("mlp_classifier", ids="M1 D8")
@@ -141,7 +141,7 @@ def mlp_classifier(spark, d):
     # the two-layer model on the words that tell the classes apart
     parts = materialize(split(spark, d))  # read by the selection, the fit and the prediction
     # texts are tokenised once; documents without a label are in neither split
-    lists = materialize(star.word_lists(spark, d).join(parts.select("track_id"), "track_id", "left_semi"))
+    lists = materialize(star.word_lists(spark, d, ids=parts))
     vocabulary = [r["word"] for r in _chi_square(parts, lists).orderBy(F.desc("chi2"), "word").collect()]  # CHI_WORDS at most
     vectors = materialize(classify.selected_vectors(lists, vocabulary))
     model = classify.fit(parts.where(F.col("split") == "train"), vectors, "mlp", max_iter=60)

@@ -208,16 +208,19 @@ def _cut(texts: pa.Array, stop_words: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(kept[np.searchsorted(begin, ends)].astype(np.int32)), words.filter(keep))
 
 
-def word_lists(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS) -> DataFrame:
-    """``(track_id, words)``: each document's tokens without stop words."""
+def word_lists(spark: SparkSession, sf_dir: str, stop_words=ADAPTER_STOP_WORDS, ids: DataFrame | None = None) -> DataFrame:
+    """``(track_id, words)``: each document's tokens without stop words; ``ids``: of the documents
+    with these ``track_id`` only, the others' texts are not cut."""
     stops = pa.array(list(stop_words), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch["track_id"], _cut(batch["text"], stops)], names=["track_id", "words"])
 
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("track_id"), F.lower("text").alias("text"))
-    return map_batches(texts, run, "track_id string, words array<string>")
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("track_id"), "text")
+    if ids is not None:
+        texts = texts.join(ids.select("track_id"), "track_id", "left_semi")
+    return map_batches(texts.select("track_id", F.lower("text").alias("text")), run, "track_id string, words array<string>")
 
 
 def word_frequency_rank(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,3 +30,14 @@ def test_no_stop_words_and_no_texts(spark, tmpdir_path):
     assert [r["words"] for r in star.word_lists(spark, tmpdir_path, []).collect()] == [["the", "of"]]
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmpdir_path}/none/documents.parquet")
     assert star.word_lists(spark, f"{tmpdir_path}/none").count() == 0
+
+
+def test_texts_of_given_documents_only(spark, tmpdir_path):
+    rows = [(i, "sun sea") for i in range(9)] + [(None, "sand")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmpdir_path}/documents.parquet")
+    ids = spark.createDataFrame([("3", 1), ("3", 2), ("40", 1), (None, 1)], "track_id string, n int")
+    got = star.word_lists(spark, tmpdir_path, ids=ids)
+    assert [tuple(r) for r in got.collect()] == [("3", ["sun", "sea"])]
+    # the other documents' texts are left out below the step that cuts them
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("LeftSemi")
