@@ -8,17 +8,20 @@ best inside one task.
 1. A list's ``k`` heaviest entries besides the item itself are partners with at least
    ``x`` times the list's ``k + 1``-th weight, so the largest of these products over an
    item's lists bounds its k-th best ``t`` from below.
-2. Items are dealt into blocks and partners into parts.  A (block, part) task holds the
-   lists' entries of its part, of the users that listen to its block, heaviest first.
-   An entry ``y`` is met by an item with weight ``x`` there only if
+2. Items are dealt into blocks and partners into parts.  Users' lists are written once, in
+   packed bundles of whole lists; from these, for a few blocks at a time, a (block, part) task
+   gets the lists' entries of its part, of the users that listen to its block.  An entry
+   ``y`` is met by an item with weight ``x`` there, heaviest first, only if
    ``y >= slack * t * x``.  What an item misses of a partner is then below
    ``slack * t`` times the unmet part of its squared norm, and a partner whose sum and
    that bound stay below ``t`` is given up; a part's own k-th best sum raises ``t``.
 3. The partners left of items that missed entries are multiplied out.  A part's ``k``
    best of every item are merged over the parts.
 
-A task's memory is bounded by ``part_entries`` and ``BATCH``.  A list is copied once per
-block that its user listens to, and once per part for the items' own entries.  No partner
+A task's memory is bounded by ``part_entries``, ``block_rows`` (a bundle; more only for one list
+that has more) and ``BATCH``.  A list is copied once per block of those at work that its user
+listens to, and once per part for the items' own entries, so the disk is bounded by a multiple
+of the entries, however many blocks there are.  No partner
 is dropped but by a bound.  Defined results: values must not be negative, zeros and null
 users, items or values are left out; repeated (user, item) rows are added; an item with
 fewer than ``k`` partners that share a user lists these; an empty table gives an empty
@@ -28,14 +31,17 @@ result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listenlens.functions.indexing import dense_index
-from listenlens.session import map_batches, shared_path
+from listenlens.session import map_batches, release, shared_path
 
 #: Similarities are ranked by this many digits.
 DIGITS = 6
@@ -43,6 +49,8 @@ DIGITS = 6
 BATCH = 4_000_000
 #: Entries of a part; blocks for each part and blocks at least.
 PART_ENTRIES, BLOCKS_PER_PART, LEAST_BLOCKS = 12_000_000, 2, 8
+#: Entries of users' lists in a bundle; blocks whose lists are copied at a time.
+BUNDLE, BLOCKS_AT_ONCE = 500_000, 4
 
 #: Share of its lists' entries from which an item meets all of them.
 MOSTLY = 0.75
@@ -77,24 +85,94 @@ def _bounds(weights: DataFrame, k: int) -> DataFrame:
             .select("i", F.greatest(F.lit(0.0), F.col("p") - F.lit(2 * 10.0 ** -DIGITS)).alias("t")))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers by planes of their bytes, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if len(values) else b"")
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.empty(0, kind)
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=n * size, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).reshape(n)
+
+
+def _bundled(weights: DataFrame, bounds: DataFrame, block_rows: int) -> DataFrame:
+    """``(g, u, i, x, t)``: a row for the whole lists of users with about ``block_rows`` entries; users are numbered
+    within it.  Bounds lose digits downwards."""
+    def one(rows: pa.Table, g: str) -> pa.RecordBatch:
+        user = rows["u"].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int32)
+        on = (np.bincount(user) > 1)[user]  # one item alone has no partners
+        low = np.nextafter(rows["t"].to_numpy()[on].astype(np.float32), np.float32(-1))
+        packed = [_packed(np.diff(user[on], prepend=np.int32(0))), _packed(rows["i"].to_numpy()[on].astype(np.int32)),
+                  _packed(rows["x"].to_numpy()[on]), _packed(np.maximum(low, np.float32(0)))]
+        return pa.RecordBatch.from_arrays([pa.array([g]), *(pa.array([p], pa.binary()) for p in packed)], names=["g", "u", "i", "x", "t"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, made = [], 0, 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= block_rows:
+                rows = pa.Table.from_batches(held).combine_chunks()
+                user = rows["u"].combine_chunks().dictionary_encode().indices.to_numpy()
+                last = int(np.searchsorted(user, user[-1]))  # the last list may go on
+                if last:
+                    yield one(rows.slice(0, last), f"{TaskContext.get().partitionId()}-{made}")
+                    made, held, n = made + 1, rows.slice(last).to_batches(), n - last
+        if n:
+            yield one(pa.Table.from_batches(held).combine_chunks(), f"{TaskContext.get().partitionId()}-{made}")
+
+    entries = weights.join(bounds, "i", "left").select("u", "i", "x", F.coalesce("t", F.lit(0.0)).alias("t"))
+    tasks = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_batches(entries.repartition(tasks, "u").sortWithinPartitions("u"), run, "g string, u binary, i binary, x binary, t binary")
+
+
+def _copies(bundles: DataFrame, blocks: int, parts: int, first: int, last: int) -> DataFrame:
+    """``(b, c, side, g, u, i, x, t)``: of every bundle the own entries of the blocks from ``first`` to before ``last``,
+    and the entries of part ``c`` of the users that listen to block ``b``, in a row each."""
+    names = ["b", "c", "side", "g", "u", "i", "x", "t"]
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), *[pa.binary()] * 4]
+
+    def dealt(g: str, u: np.ndarray, i: np.ndarray, x: np.ndarray, t: np.ndarray) -> Iterator[tuple]:
+        def row(at: np.ndarray) -> list[bytes]:
+            return [_packed(np.diff(u[at], prepend=np.int32(0))), _packed(i[at]), _packed(x[at])]
+
+        block, part = i % blocks, i // blocks % parts
+        of_block, of_part = (np.argsort(z, kind="stable") for z in (block, part))
+        in_block, in_part = (np.searchsorted(z[o], np.arange(n + 1)) for z, o, n in ((block, of_block, blocks), (part, of_part, parts)))
+        for b in range(first, last):
+            own = of_block[in_block[b]:in_block[b + 1]]
+            if not len(own):
+                continue
+            listens = np.zeros(int(u[-1]) + 1, bool)
+            listens[u[own]] = True
+            asks = (*row(own), _packed(t[own]))
+            for c in range(parts):
+                at = of_part[in_part[c]:in_part[c + 1]]
+                at = at[listens[u[at]]]
+                if len(at):
+                    yield (b, c, _ASK, g, *asks)
+                    yield (b, c, _LIST, g, *row(at), None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                columns = [_unpacked(r[c], k) for c, k in (("u", np.int32), ("i", np.int32), ("x", np.float64), ("t", np.float32))]
+                columns[0] = np.cumsum(columns[0], dtype=np.int32)
+                rows = dealt(r["g"], *columns) if len(columns[0]) else iter(())
+                while some := list(islice(rows, 64)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*some), kinds)], names=names)
+
+    return map_batches(bundles, run, "b int, c int, side int, g string, u binary, i binary, x binary, t binary")
+
+
 def _dealt(weights: DataFrame, bounds: DataFrame, blocks: int, parts: int, block_rows: int) -> DataFrame:
-    """``(b, c, side, u, e)``: the items' own entries of block ``b`` and the lists' entries
-    of part ``c``, in packed rows of about ``block_rows`` entries at most."""
-    block, part = F.pmod("i", F.lit(blocks)), F.pmod(F.floor(F.col("i") / blocks), F.lit(parts))
-    placed = _written(weights.join(bounds, "i", "left").select(
-        "u", "i", "x", F.coalesce("t", F.lit(0.0)).alias("t"), block.cast("int").alias("b"), part.cast("int").alias("c")))
-    # one item alone has no partners
-    users = placed.groupBy("u").agg(F.ceil(F.count("i") / F.lit(block_rows)).alias("chunks"), F.collect_set("b").alias("bs"),
-                                    F.collect_set("c").alias("cs"), F.count("i").alias("n")).where("n > 1").drop("n")
-    sliced = placed.join(users.select("u", "chunks"), "u").withColumn("s", F.pmod(F.xxhash64("i"), F.col("chunks")))
-    asks = (sliced.groupBy("u", "b", "s").agg(F.collect_list(F.struct(F.col("i").cast("int").alias("i"), "x", "t")).alias("e"))
-            .join(users.select("u", "cs"), "u").select("b", F.explode("cs").alias("c"), F.lit(_ASK).alias("side"), "u", "e"))
-    none = F.lit(None).cast("double").alias("t")
-    lists = (sliced.groupBy("u", "c", "s").agg(F.collect_list(F.struct(F.col("i").cast("int").alias("i"), "x")).alias("e"))
-             .join(users.select("u", "bs"), "u").select(F.explode("bs").alias("b"), "c", F.lit(_LIST).alias("side"), "u", "e"))
-    flat = [F.col("e.i").alias("i"), F.col("e.x").alias("x")]
-    return asks.select("b", "c", "side", "u", *flat, F.col("e.t").alias("t")).unionByName(
-        lists.select("b", "c", "side", "u", *flat, F.array(none).alias("t")))
+    """``_copies`` of all blocks."""
+    return _copies(_bundled(weights, bounds, block_rows), blocks, parts, 0, blocks)
 
 
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -200,56 +278,65 @@ def _nearest(asks: tuple, lists: tuple, k: int, slack: float) -> Iterator[tuple[
         a = b
 
 
-def _ranked(dealt: DataFrame, tasks: int, parts: int, k: int, slack: float) -> DataFrame:
-    """``(i, j, sim)``: the ``k`` best of every part for every item."""
+def _ranked(dealt: DataFrame, first: int, tasks: int, parts: int, k: int, slack: float) -> DataFrame:
+    """``(i, j, sim)``: the ``k`` best of every part for every item of the blocks from ``first``."""
     names = ["i", "j", "sim"]
 
     def result(held: dict) -> Iterator[pa.RecordBatch]:
+        starts, sides = {}, []
         if not held[_ASK] or not held[_LIST]:
             return
-        users = pa.chunked_array([r["u"] for s in (_ASK, _LIST) for r in held[s]]).combine_chunks().dictionary_encode()
-        number, sides = users.indices.to_numpy(), []
+        users = 0
+        for g, u, *_ in held[_ASK]:  # who listens to no item of the block asks for none
+            starts[g], users = users, users + int(u[-1]) + 1
         for side in (_ASK, _LIST):
-            size = np.concatenate([r["n"] for r in held[side]])
-            own, number = number[:len(size)], number[len(size):]
-            columns = [np.concatenate([r[c] for r in held[side]]) for c in ("i", "x", "t")[:3 - side]]
-            held[side].clear()
-            sides.append((np.repeat(own, size), *columns))
+            columns = []
+            for c in range(1, len(held[side][0])):
+                columns.append(np.concatenate([r[1] + np.int32(starts[r[0]]) if c == 1 else r[c] for r in held[side]]))
+                for r in held[side]:
+                    r[c] = None
+            sides.append(tuple(columns))
+        sides[0] = (*sides[0][:3], sides[0][3].astype(np.float64))
         for found in _nearest(*sides, k, slack):
             yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2])], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, {_ASK: [], _LIST: []}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch[c].to_numpy(zero_copy_only=False) for c in ("task", "side")])
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                if keys[0, a] != at:
+            for row in batch.to_pylist():
+                if row["task"] != at:
                     yield from result(held)
-                    at, held = keys[0, a], {_ASK: [], _LIST: []}
-                rows = batch.slice(a, b - a)
-                row = {c: rows[c].flatten().to_numpy(zero_copy_only=False) for c in "ixt"}
-                held[int(keys[1, a])].append(row | {"u": rows["u"], "n": rows["i"].value_lengths().to_numpy()})
+                    at, held = row["task"], {_ASK: [], _LIST: []}
+                columns = [np.cumsum(_unpacked(row["u"], np.int32), dtype=np.int32), _unpacked(row["i"], np.int32), _unpacked(row["x"], np.float64)]
+                held[row["side"]].append([row["g"], *columns, *([_unpacked(row["t"], np.float32)] if row["side"] == _ASK else [])])
         yield from result(held)
 
     # a task's number is its partition
-    placed = dealt.withColumn("task", F.col("b") * parts + F.col("c")).drop("b", "c").repartitionById(tasks, F.col("task"))
-    return map_batches(placed.sortWithinPartitions("task", "side"), run, "i long, j long, sim double")
+    placed = dealt.withColumn("task", (F.col("b") - first) * parts + F.col("c")).drop("b", "c").repartitionById(tasks, F.col("task"))
+    return map_batches(placed.sortWithinPartitions("task"), run, "i long, j long, sim double")
 
 
 def item_neighbours(rows: DataFrame, k: int = 10, user: str = "user_id", item: str = "song_id", value: str = "play_count",
-                    slack: float = 0.25, block_rows: int = 4096, part_entries: int = PART_ENTRIES) -> DataFrame:
+                    slack: float = 0.25, block_rows: int = BUNDLE, part_entries: int = PART_ENTRIES) -> DataFrame:
     """``(item_i, item_j, sim, rank)``: the ``k`` best partners of every item, by
     similarity (rounded to 6 digits) and then by item."""
     weights, items = _weights(rows, user, item, value)
+    weights = _written(weights)
     parts = max(1, -(-weights.count() // part_entries))
     blocks = max(LEAST_BLOCKS, BLOCKS_PER_PART * parts)
-    dealt = _dealt(weights, _bounds(weights, k), blocks, parts, block_rows)
+    bounds = _written(_bounds(weights, k))
+    release(rows.sparkSession)
+    bundles = _written(_bundled(weights, bounds, block_rows))
     best = Window.partitionBy("i").orderBy(F.desc("sim"), "j")
-    top = (_ranked(dealt, blocks * parts, parts, k, slack).withColumn("rank", F.row_number().over(best))
-           .where(F.col("rank") <= k))
+    found = []
+    at_once = max(BLOCKS_AT_ONCE, LEAST_BLOCKS // parts)
+    for first in range(0, blocks, at_once):
+        # what the blocks before have shuffled may go
+        release(rows.sparkSession)
+        last = min(blocks, first + at_once)
+        top = _ranked(_copies(bundles, blocks, parts, first, last), first, (last - first) * parts, parts, k, slack)
+        found.append(_written(top.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)))
+    top = reduce(DataFrame.unionByName, found)
     return (top.join(items.select("i", F.col("item").alias("item_i")), "i")
             .join(items.select(F.col("i").alias("j"), F.col("item").alias("item_j")), "j")
             .select("item_i", "item_j", "sim", "rank"))
